@@ -39,7 +39,7 @@ class Field:
     name: str
     build: Builder
     out_type: T.DataType
-    default: Column | None = None  # B10: value when the column is absent
+    default: object = None  # B10: value when the column is absent (a Python literal)
     has_default: bool = False
 
 
@@ -63,7 +63,8 @@ def first(*pairs: tuple[Column, str]) -> Column:
     return expr if expr is not None else F.lit(None).cast("string")
 
 
-_NULL_STR = F.lit(None).cast("string")
+def _null_str() -> Column:
+    return F.lit(None).cast("string")
 
 
 # ---------------------------------------------------------------- field builders
@@ -86,7 +87,7 @@ def key_id(name: str, fatal_parse: bool = True) -> Builder:
         else:
             value = F.lit(None).cast("long")
             bad = F.lit(True)
-        fatal = first((bad, f"{name}_type")) if fatal_parse else _NULL_STR
+        fatal = first((bad, f"{name}_type")) if fatal_parse else _null_str()
         dead = first((bad, name), (value < 1, name)) if not fatal_parse else first((value < 1, name))
         return FieldResult(value, dead, fatal)
 
@@ -104,8 +105,8 @@ def int_min1(name: str) -> Builder:
         else:
             wide = F.lit(None).cast(N.WIDE)
         whole = wide.isNotNull() & (wide == F.floor(wide)) & (wide >= 1) & (wide <= INT_MAX)
-        value = F.when(whole, wide.cast("int"))
-        return FieldResult(value, first((~whole | wide.isNull(), name)), _NULL_STR)
+        value = F.when(wide == F.floor(wide), wide.try_cast("int"))
+        return FieldResult(value, first((~whole | wide.isNull(), name)), _null_str())
 
     return build
 
@@ -119,10 +120,10 @@ def uuid_field(name: str, fatal_parse: bool) -> Builder:
             hexed = uuid_hex(c)
             value = canonical_uuid(c)
             unparsable = c.isNotNull() & hexed.isNull()
-            fatal = first((unparsable, f"{name}_format")) if fatal_parse else _NULL_STR
+            fatal = first((unparsable, f"{name}_format")) if fatal_parse else _null_str()
             dead = first((c.isNull(), name)) if fatal_parse else first((c.isNull() | unparsable, name))
             return FieldResult(value, dead, fatal)
-        return FieldResult(_NULL_STR, first((F.lit(True), name)), _NULL_STR)
+        return FieldResult(_null_str(), first((F.lit(True), name)), _null_str())
 
     return build
 
@@ -158,9 +159,8 @@ def money(name: str, allow_zero: bool, fatal_parse: bool) -> Builder:
         checks += [(digits_bad, f"{name}_digits"), (~places, f"{name}_scale")]
         if not allow_zero:
             checks.append((wide == 0, f"{name}_zero"))
-        ok = ~not_finite & ~digits_bad & places
-        value = F.when(ok & ~unparsable, wide.cast(T.DecimalType(18, 2)))
-        fatal = first((unparsable, f"{name}_type")) if fatal_parse else _NULL_STR
+        value = wide
+        fatal = first((unparsable, f"{name}_type")) if fatal_parse else _null_str()
         return FieldResult(value, first(*checks), fatal)
 
     return build
@@ -172,11 +172,11 @@ def currency(name: str = "currency") -> Builder:
 
     def build(c: Column, dt: T.DataType) -> FieldResult:
         if not N.is_text(dt):
-            return FieldResult(_NULL_STR, _NULL_STR, first((F.lit(True), f"{name}_type")))
+            return FieldResult(_null_str(), _null_str(), first((F.lit(True), f"{name}_type")))
         s = py_strip(c)
         value = normalise_currency(c)
         dead = first((F.char_length(s) != 3, name), (F.char_length(value) != 3, name))
-        return FieldResult(F.when(dead.isNull(), value), dead, first((c.isNull(), f"{name}_type")))
+        return FieldResult(value, dead, first((c.isNull(), f"{name}_type")))
 
     return build
 
@@ -186,9 +186,9 @@ def enum(name: str, allowed: Sequence[str]) -> Builder:
 
     def build(c: Column, dt: T.DataType) -> FieldResult:
         if not N.is_text(dt):
-            return FieldResult(_NULL_STR, first((F.lit(True), name)), _NULL_STR)
+            return FieldResult(_null_str(), first((F.lit(True), name)), _null_str())
         ok = c.isin(*allowed)
-        return FieldResult(F.when(ok, c), first((~F.coalesce(ok, F.lit(False)), name)), _NULL_STR)
+        return FieldResult(c, first((~F.coalesce(ok, F.lit(False)), name)), _null_str())
 
     return build
 
@@ -199,12 +199,12 @@ def text(name: str, max_len: int, nullable: bool) -> Builder:
     def build(c: Column, dt: T.DataType) -> FieldResult:
         if not N.is_text(dt):
             if isinstance(dt, T.NullType):
-                return FieldResult(_NULL_STR, first((F.lit(not nullable), name)), _NULL_STR)
-            return FieldResult(_NULL_STR, first((c.isNotNull() | F.lit(not nullable), name)), _NULL_STR)
+                return FieldResult(_null_str(), first((F.lit(not nullable), name)), _null_str())
+            return FieldResult(_null_str(), first((c.isNotNull() | F.lit(not nullable), name)), _null_str())
         s = strip(c)
         too_long = F.char_length(s) > max_len
         missing = c.isNull() & F.lit(not nullable)
-        return FieldResult(F.when(~F.coalesce(too_long, F.lit(False)), s), first((missing, name), (too_long, name)), _NULL_STR)
+        return FieldResult(s, first((missing, name), (too_long, name)), _null_str())
 
     return build
 
@@ -215,7 +215,7 @@ def timestamp(name: str, fatal_parse: bool) -> Builder:
     def build(c: Column, dt: T.DataType) -> FieldResult:
         value = parse_iso(c, dt)
         unparsable = c.isNotNull() & value.isNull()
-        fatal = first((unparsable, f"{name}_format")) if fatal_parse else _NULL_STR
+        fatal = first((unparsable, f"{name}_format")) if fatal_parse else _null_str()
         dead = first((c.isNull(), name)) if fatal_parse else first((c.isNull() | unparsable, name))
         return FieldResult(value, dead, fatal)
 
@@ -240,7 +240,7 @@ def boolean(name: str) -> Builder:
             value = F.when(c == 1, True).when(c == 0, False)
         else:
             value = F.lit(None).cast("boolean")
-        return FieldResult(value, first((value.isNull(), name)), _NULL_STR)
+        return FieldResult(value, first((value.isNull(), name)), _null_str())
 
     return build
 
@@ -259,10 +259,10 @@ TRANSACTION_CONTRACT = Contract(
         Field("account_id", uuid_field("account_id", fatal_parse=True), T.StringType()),
         Field("category_id", int_min1("category_id"), T.IntegerType()),
         Field("amount", money("amount", allow_zero=False, fatal_parse=True), T.DecimalType(18, 2)),
-        Field("currency", currency(), T.StringType(), F.lit("USD"), True),
+        Field("currency", currency(), T.StringType(), "USD", True),
         Field("transaction_type", enum("transaction_type", TRANSACTION_TYPES), T.StringType()),
         Field("status", enum("status", TRANSACTION_STATUSES), T.StringType()),
-        Field("description", text("description", 255, nullable=True), T.StringType(), F.lit(None).cast("string"), True),
+        Field("description", text("description", 255, nullable=True), T.StringType(), None, True),
         Field("created_at", timestamp("created_at", fatal_parse=True), T.TimestampNTZType()),
         Field("updated_at", timestamp("updated_at", fatal_parse=True), T.TimestampNTZType()),
     ),
@@ -276,10 +276,10 @@ ACCOUNT_CONTRACT = Contract(
         Field("account_name", text("account_name", 100, nullable=False), T.StringType()),
         Field("account_type", enum("account_type", ACCOUNT_TYPES), T.StringType()),
         Field("owner_name", text("owner_name", 100, nullable=False), T.StringType()),
-        Field("currency", currency(), T.StringType(), F.lit("USD"), True),
+        Field("currency", currency(), T.StringType(), "USD", True),
         Field("balance", money("balance", allow_zero=True, fatal_parse=False), T.DecimalType(18, 2),
-              F.lit("0.00").cast("decimal(18,2)"), True),
-        Field("is_active", boolean("is_active"), T.BooleanType(), F.lit(True), True),
+              "0.00", True),
+        Field("is_active", boolean("is_active"), T.BooleanType(), True, True),
         Field("created_at", timestamp("created_at", fatal_parse=False), T.TimestampNTZType()),
         Field("updated_at", timestamp("updated_at", fatal_parse=False), T.TimestampNTZType()),
     ),
@@ -291,7 +291,7 @@ CATEGORY_CONTRACT = Contract(
     (
         Field("category_id", int_min1("category_id"), T.IntegerType()),
         Field("name", text("name", 50, nullable=False), T.StringType()),
-        Field("description", text("description", 200, nullable=True), T.StringType(), F.lit(None).cast("string"), True),
+        Field("description", text("description", 200, nullable=True), T.StringType(), None, True),
         Field("updated_at", timestamp("updated_at", fatal_parse=False), T.TimestampNTZType()),
     ),
     key=("category_id",),
@@ -317,11 +317,11 @@ def evaluate(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> Dat
     for fld in contract.fields:
         if fld.name in schema:
             res = fld.build(F.col(f"`{fld.name}`"), schema[fld.name])
-            values.append(res.value.cast(fld.out_type).alias(f"n_{fld.name}"))
+            values.append(res.value.try_cast(fld.out_type).alias(f"n_{fld.name}"))
             dead_codes.append(res.dead)
             fatal_codes.append(res.fatal)
         elif fld.has_default:
-            values.append(fld.default.cast(fld.out_type).alias(f"n_{fld.name}"))
+            values.append(F.lit(fld.default).cast(fld.out_type).alias(f"n_{fld.name}"))
         else:
             values.append(F.lit(None).cast(fld.out_type).alias(f"n_{fld.name}"))
             dead_codes.append(F.lit(f"missing:{fld.name}"))

@@ -67,3 +67,162 @@ FROM per_chunk""",
     + f"""SELECT {BOUND} AS extract_since, count(*) AS row_count,
  CAST(coalesce(max(chunk_index) + 1, 0) AS BIGINT) AS chunk_count FROM chunks""",
 }
+
+# ------------------------------------------------------------------ validation group
+WS = r"[\x{9}-\x{D}\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+PYWS = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+def strip(x: str, ws: str = WS) -> str:
+    return f"regexp_replace({x}, '^{ws}+|{ws}+$', '', 'g')"
+
+
+def uuid_hex(x: str) -> str:
+    h = f"lower(replace(regexp_replace(replace(replace({x}, 'urn:', ''), 'uuid:', ''), '^[{{}}]+|[{{}}]+$', '', 'g'), '-', ''))"
+    return h
+
+
+def canonical(x: str) -> str:
+    h = uuid_hex(x)
+    return (f"CASE WHEN regexp_full_match({h}, '[0-9a-f]{{32}}') THEN "
+            f"regexp_replace({h}, '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5') END")
+
+
+NUMBER = r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?"
+PLAIN = r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)"
+NOT_FINITE = r"(?i)[+-]?(nan|snan|inf|infinity)"
+TWO_PLACES = r"[+-]?([0-9]+(\.[0-9]{0,2}0*)?|\.[0-9]{1,2}0*)"
+E16 = "CAST('10000000000000000' AS DECIMAL(38,18))"
+
+V_RAW = r"""transactions_raw AS (
+ SELECT transaction_id, account_id,
+  CAST(CASE WHEN transaction_id % 97 = 6 THEN 0 ELSE category_id END AS INTEGER) AS category_id,
+  CASE transaction_id % 97 WHEN 0 THEN '0.00' WHEN 7 THEN '1.005' WHEN 10 THEN '100.500'
+    WHEN 11 THEN '12345678901234567.00' ELSE CAST(amount AS VARCHAR) END AS amount,
+  CASE transaction_id % 97 WHEN 2 THEN ' usd ' WHEN 3 THEN 'US' WHEN 12 THEN '$$$' ELSE currency END AS currency,
+  CASE WHEN transaction_id % 97 = 5 THEN concat(' ', transaction_type) ELSE transaction_type END AS transaction_type,
+  CASE WHEN transaction_id % 97 = 1 THEN upper(status) ELSE status END AS status,
+  CASE transaction_id % 97 WHEN 4 THEN repeat('x', 256) WHEN 8 THEN NULL
+    WHEN 9 THEN concat('  ', description, '  ') ELSE description END AS description,
+  created_at, updated_at
+ FROM transactions)"""
+
+V_TEXT = r"""transactions_text AS (
+ SELECT CASE WHEN transaction_id % 89 = 1 THEN concat(CAST(transaction_id AS VARCHAR), '.5') ELSE CAST(transaction_id AS VARCHAR) END AS transaction_id,
+  CASE transaction_id % 89 WHEN 2 THEN 'not-a-uuid' WHEN 3 THEN upper(replace(account_id, '-', ''))
+    WHEN 4 THEN concat('{', account_id, '}') ELSE account_id END AS account_id,
+  CAST(category_id AS VARCHAR) AS category_id,
+  CASE transaction_id % 89 WHEN 5 THEN 'abc' WHEN 6 THEN NULL ELSE CAST(amount AS VARCHAR) END AS amount,
+  CASE WHEN transaction_id % 89 = 7 THEN NULL ELSE currency END AS currency,
+  transaction_type, status, description,
+  CASE WHEN transaction_id % 89 = 8 THEN 'yesterday' ELSE CAST(created_at AS VARCHAR) END AS created_at,
+  CASE transaction_id % 89 WHEN 9 THEN 'bad'
+    WHEN 10 THEN concat(substring(CAST(updated_at AS VARCHAR), 1, 10), 'T12:00:00Z') ELSE CAST(updated_at AS VARCHAR) END AS updated_at
+ FROM transactions)"""
+
+# Rule evaluation of the transaction contract over a raw view with text amounts.
+V_EVAL = f"""ev0 AS (
+ SELECT *, {strip('amount')} AS a_s FROM transactions_raw),
+ev1 AS (
+ SELECT *, CASE WHEN regexp_full_match(a_s, '{NUMBER}') THEN TRY_CAST(a_s AS DECIMAL(38,18)) END AS a_v FROM ev0),
+ev AS (
+ SELECT transaction_id, {canonical('account_id')} AS n_account_id,
+  CASE WHEN category_id = floor(category_id) THEN TRY_CAST(category_id AS INTEGER) END AS n_category_id,
+  TRY_CAST(a_v AS DECIMAL(18,2)) AS n_amount,
+  upper({strip('currency', PYWS)}) AS n_currency,
+  transaction_type, status, {strip('description')} AS n_description, created_at, updated_at,
+  amount, currency, description,
+  concat_ws(',',
+   CASE WHEN transaction_id < 1 THEN 'transaction_id' END,
+   CASE WHEN account_id IS NULL THEN 'account_id' END,
+   CASE WHEN category_id IS NULL OR category_id < 1 THEN 'category_id' END,
+   CASE WHEN regexp_full_match(a_s, '{NOT_FINITE}') THEN 'amount_not_finite'
+        WHEN a_v IS NULL OR abs(a_v) >= {E16} THEN 'amount_digits'
+        WHEN NOT (CASE WHEN regexp_full_match(a_s, '{PLAIN}') THEN regexp_full_match(a_s, '{TWO_PLACES}')
+                  ELSE a_v * 100 = floor(a_v * 100) END) THEN 'amount_scale'
+        WHEN a_v = 0 THEN 'amount_zero' END,
+   CASE WHEN length({strip('currency', PYWS)}) <> 3 OR length(upper({strip('currency', PYWS)})) <> 3 THEN 'currency' END,
+   CASE WHEN transaction_type IS NULL OR transaction_type NOT IN ('debit', 'credit') THEN 'transaction_type' END,
+   CASE WHEN status IS NULL OR status NOT IN ('pending', 'completed', 'failed') THEN 'status' END,
+   CASE WHEN length({strip('description')}) > 255 THEN 'description' END,
+   CASE WHEN created_at IS NULL THEN 'created_at' END,
+   CASE WHEN updated_at IS NULL THEN 'updated_at' END) AS errors
+ FROM ev1)"""
+
+NORMALISED = """SELECT transaction_id, n_account_id AS account_id, n_category_id AS category_id, n_amount AS amount,
+ n_currency AS currency, transaction_type, status, n_description AS description, created_at, updated_at FROM ev"""
+
+RAW_CHUNKS = """raw_chunks AS (
+ SELECT *, CAST((row_number() OVER (ORDER BY updated_at, transaction_id) - 1) // 500 AS INTEGER) AS chunk_index
+ FROM transactions_raw)"""
+
+TS_TEXT = "TRY_CAST(regexp_replace({x}, '[Zz]$', '') AS TIMESTAMP)"
+
+ACCOUNTS = r"""accounts AS (
+ SELECT regexp_replace(md5(CAST(c_custkey AS VARCHAR)), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\1-\2-\3-\4-\5') AS account_id,
+  concat('Account-', lpad(CAST(c_custkey AS VARCHAR), 5, '0')) AS account_name,
+  CASE c_custkey % 3 WHEN 0 THEN 'savings' WHEN 1 THEN 'checking' ELSE 'investment' END AS account_type,
+  c_name AS owner_name,
+  CASE c_custkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'COP' END AS currency,
+  CAST(c_acctbal AS DECIMAL(18,2)) AS balance,
+  c_custkey % 20 <> 0 AS is_active,
+  TIMESTAMP '2024-01-01 00:00:00' AS created_at,
+  TIMESTAMP '2024-01-01 00:00:00' + to_seconds(c_custkey % 86400) AS updated_at
+ FROM customer)"""
+
+CATEGORIES = """categories AS (
+ SELECT CAST(n_nationkey + 1 AS INTEGER) AS category_id, lower(n_name) AS name,
+  CAST(NULL AS VARCHAR) AS description, TIMESTAMP '2024-01-01 00:00:00' AS updated_at
+ FROM nation WHERE n_nationkey < 10)"""
+
+SQL.update({
+    "pack_unpack": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "normalise_rows": _with(V_TRANSACTIONS, V_RAW, V_EVAL) + NORMALISED,
+    "rule_errors": _with(V_TRANSACTIONS, V_RAW, V_EVAL) + "SELECT errors, count(*) AS row_count FROM ev GROUP BY errors",
+    "valid_rows": _with(V_TRANSACTIONS, V_RAW, V_EVAL) + NORMALISED + " WHERE errors = ''",
+    "dead_letter": _with(V_TRANSACTIONS, V_RAW, RAW_CHUNKS)
+    + ", " + V_EVAL.replace("FROM transactions_raw)", "FROM raw_chunks)").replace(
+        "amount, currency, description,", "amount, currency, description, chunk_index,")
+    + """
+SELECT 'fixture-run' AS pipeline_run_id, chunk_index, transaction_id, replace(errors, ',', '; ') AS error_message,
+ amount AS payload_amount, currency AS payload_currency, transaction_type AS payload_transaction_type,
+ status AS payload_status, description AS payload_description, updated_at AS payload_updated_at
+FROM ev WHERE errors <> ''""",
+    "fatal_rows": _with(V_TRANSACTIONS, V_TEXT)
+    + f"""SELECT * FROM (
+ SELECT transaction_id, concat_ws(',',
+  CASE WHEN transaction_id IS NULL OR NOT regexp_full_match({strip('transaction_id')}, '[+-]?[0-9]{{1,18}}') THEN 'transaction_id_type' END,
+  CASE WHEN account_id IS NOT NULL AND NOT regexp_full_match({uuid_hex('account_id')}, '[0-9a-f]{{32}}') THEN 'account_id_format' END,
+  CASE WHEN amount IS NULL OR (NOT regexp_full_match({strip('amount')}, '{NOT_FINITE}')
+       AND NOT regexp_full_match({strip('amount')}, '{NUMBER}')) THEN 'amount_type' END,
+  CASE WHEN currency IS NULL THEN 'currency_type' END,
+  CASE WHEN created_at IS NOT NULL AND {TS_TEXT.format(x='created_at')} IS NULL THEN 'created_at_format' END,
+  CASE WHEN updated_at IS NOT NULL AND {TS_TEXT.format(x='updated_at')} IS NULL THEN 'updated_at_format' END) AS fatal
+ FROM transactions_text) WHERE fatal <> ''""",
+    "extra_keys": """SELECT event_type, count(*) AS row_count,
+ count_if(len(list_filter(json_keys(props), lambda k: k NOT IN ('k'))) > 0) AS unknown_key_rows,
+ count_if(len(list_filter(['k'], lambda k: NOT list_contains(json_keys(props), k))) > 0) AS missing_key_rows
+FROM events GROUP BY event_type""",
+    "account_contract": _with(ACCOUNTS)
+    + f"""SELECT {canonical('account_id')} AS account_id, {strip('account_name')} AS account_name,
+ upper({strip('currency', PYWS)}) AS currency, balance, is_active,
+ concat_ws(',',
+  CASE WHEN currency IS NULL THEN 'currency_type' END,
+  CASE WHEN account_id IS NULL OR NOT regexp_full_match({uuid_hex('account_id')}, '[0-9a-f]{{32}}') THEN 'account_id' END,
+  CASE WHEN account_name IS NULL OR length({strip('account_name')}) > 100 THEN 'account_name' END,
+  CASE WHEN account_type IS NULL OR account_type NOT IN ('savings', 'checking', 'investment') THEN 'account_type' END,
+  CASE WHEN owner_name IS NULL OR length({strip('owner_name')}) > 100 THEN 'owner_name' END,
+  CASE WHEN length({strip('currency', PYWS)}) <> 3 OR length(upper({strip('currency', PYWS)})) <> 3 THEN 'currency' END,
+  CASE WHEN balance IS NULL THEN 'balance' WHEN abs(balance) >= {E16} THEN 'balance_digits' END,
+  CASE WHEN is_active IS NULL THEN 'is_active' END,
+  CASE WHEN created_at IS NULL THEN 'created_at' END,
+  CASE WHEN updated_at IS NULL THEN 'updated_at' END) AS errors
+FROM accounts""",
+    "category_contract": _with(CATEGORIES)
+    + f"""SELECT category_id, {strip('name')} AS name, concat_ws(',',
+  CASE WHEN category_id IS NULL OR category_id < 1 THEN 'category_id' END,
+  CASE WHEN name IS NULL OR length({strip('name')}) > 50 THEN 'name' END,
+  CASE WHEN length({strip('description')}) > 200 THEN 'description' END,
+  CASE WHEN updated_at IS NULL THEN 'updated_at' END) AS errors
+FROM categories""",
+})

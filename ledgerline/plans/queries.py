@@ -12,8 +12,11 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import jsonrows as J
 from ..functions.temporal import extract_since, ntz
 from ..operators import extract as X
+from ..operators import rules as R
+from ..operators import validate as V
 from ..plans import ledger as L
 from ..sources.fixtures import Fixtures
 
@@ -66,6 +69,105 @@ def extract_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.extract_summary(chunked, bound)
 
 
+FIXTURE_RUN = "fixture-run"
+FIXTURE_ATTEMPT = "1"
+FIXTURE_TIME = _dt.datetime(2024, 2, 1)
+# The allowed and required keys of an event's props document.
+PROPS_ALLOWED = ("k",)
+PROPS_REQUIRED = ("k",)
+
+
+def _evaluated_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.evaluate(Fixtures(spark, sf_dir).transactions_raw(), R.TRANSACTION_CONTRACT)
+
+
+def normalise_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed, normalised contract columns of every raw row."""
+    return R.normalised(_evaluated_raw(spark, sf_dir), R.TRANSACTION_CONTRACT)
+
+
+def rule_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count per set of dead-letter codes."""
+    ev = _evaluated_raw(spark, sf_dir)
+    return ev.groupBy(F.concat_ws(",", "errors").alias("errors")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The normalised valid rows."""
+    return V.valid_rows(_evaluated_raw(spark, sf_dir))
+
+
+def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of one run over the whole raw extract, chunk 500; the
+    payload is shown by its parsed fields."""
+    raw = Fixtures(spark, sf_dir).transactions_raw()
+    chunked = X.assign_chunks(raw, DEMO_CHUNK)
+    ev = R.evaluate(chunked, R.TRANSACTION_CONTRACT, keep=("position", "chunk_index"))
+    dl = V.dead_letters(ev, FIXTURE_RUN, FIXTURE_ATTEMPT, FIXTURE_TIME, list(raw.columns))
+    p = F.from_json("payload", raw.schema, V.PAYLOAD_JSON_OPTIONS)
+    return dl.select(
+        "pipeline_run_id",
+        "chunk_index",
+        p["transaction_id"].alias("transaction_id"),
+        "error_message",
+        p["amount"].alias("payload_amount"),
+        p["currency"].alias("payload_currency"),
+        p["transaction_type"].alias("payload_transaction_type"),
+        p["status"].alias("payload_status"),
+        p["description"].alias("payload_description"),
+        p["updated_at"].alias("payload_updated_at"),
+    )
+
+
+def fatal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the all-text view that cannot be normalised."""
+    ev = R.evaluate(Fixtures(spark, sf_dir).transactions_text(), R.TRANSACTION_CONTRACT)
+    return V.fatal_rows(ev)
+
+
+def extra_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of ``events.props`` against the allowed and required lists."""
+    ev = Fixtures(spark, sf_dir).table("events")
+    codes = R.json_key_errors(F.col("props"), PROPS_ALLOWED, PROPS_REQUIRED)
+    flagged = ev.select("event_type", codes.alias("codes"))
+    has = lambda prefix: F.exists("codes", lambda c: c.startswith(prefix))
+    return flagged.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(has("unknown:")).alias("unknown_key_rows"),
+        F.count_if(has("missing:")).alias("missing_key_rows"),
+    )
+
+
+def account_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The account contract over the derived accounts."""
+    ev = R.evaluate(Fixtures(spark, sf_dir).accounts(), R.ACCOUNT_CONTRACT)
+    return ev.select(
+        "account_id",
+        F.col("n_account_name").alias("account_name"),
+        F.col("n_currency").alias("currency"),
+        F.col("n_balance").alias("balance"),
+        F.col("n_is_active").alias("is_active"),
+        F.concat_ws(",", F.concat("fatal", "errors")).alias("errors"),
+    )
+
+
+def category_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The category contract over the derived categories."""
+    ev = R.evaluate(Fixtures(spark, sf_dir).categories(), R.CATEGORY_CONTRACT)
+    return ev.select(
+        "category_id", F.col("n_name").alias("name"), F.concat_ws(",", F.concat("fatal", "errors")).alias("errors")
+    )
+
+
+def pack_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events packed 500 per chunk into JSON arrays and read back."""
+    events = Fixtures(spark, sf_dir).table("events")
+    chunked = X.assign_chunks(events, DEMO_CHUNK, order=("ts", "event_id"))
+    cols = events.columns
+    packed = J.pack(chunked, ["chunk_index"], cols, "position")
+    return J.unpack(packed, ["chunk_index"], events.schema).select(*cols)
+
+
 CATALOGUE = {
     "incremental_extract": incremental_extract,
     "resume_point": resume_point,
@@ -73,4 +175,13 @@ CATALOGUE = {
     "chunk_assign": chunk_assign,
     "chunk_ledger": chunk_ledger,
     "extract_summary": extract_summary,
+    "pack_unpack": pack_unpack,
+    "normalise_rows": normalise_rows,
+    "rule_errors": rule_errors,
+    "valid_rows": valid_rows,
+    "dead_letter": dead_letter,
+    "fatal_rows": fatal_rows,
+    "extra_keys": extra_keys,
+    "account_contract": account_contract,
+    "category_contract": category_contract,
 }

@@ -226,3 +226,115 @@ FROM accounts""",
   CASE WHEN updated_at IS NULL THEN 'updated_at' END) AS errors
 FROM categories""",
 })
+
+# ------------------------------------------------------------------ merge / constraints / change set
+EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
+
+
+def _newest(where: str, desc: bool = True) -> str:
+    d = "DESC" if desc else "ASC"
+    return (f"SELECT {EVENT_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts {d}, event_id {d}) AS rn "
+            f"FROM events WHERE {where}) WHERE rn = 1")
+
+
+def _upsert_sql(cut: str) -> str:
+    return (f"WITH base AS ({_newest(f'ts <= {cut}')}), changes AS (SELECT {EVENT_COLS} FROM events WHERE ts > {cut}), "
+            f"latest AS ({_newest(f'ts > {cut}')})\n"
+            f"SELECT {EVENT_COLS} FROM base WHERE user_id NOT IN (SELECT user_id FROM changes) "
+            f"UNION ALL SELECT {EVENT_COLS} FROM latest")
+
+
+def _outcome_sql(cut: str) -> str:
+    return (f"SELECT {cut} AS cut, outcome, count(*) AS row_count FROM (SELECT CASE WHEN c.user_id IS NOT NULL AND b.user_id IS NOT NULL "
+            f"THEN 'update' WHEN c.user_id IS NOT NULL THEN 'insert' ELSE 'keep' END AS outcome FROM "
+            f"(SELECT DISTINCT user_id FROM events WHERE ts <= {cut}) b FULL OUTER JOIN "
+            f"(SELECT DISTINCT user_id FROM events WHERE ts > {cut}) c ON b.user_id = c.user_id) GROUP BY outcome")
+
+
+CUT_SQL = ("TIMESTAMP '2024-01-01 01:00:00'", "TIMESTAMP '2024-01-02 00:00:00'", "TIMESTAMP '2024-01-30 12:00:00'")
+NOW_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
+
+PENDING_KEYS = """pending_keys AS (SELECT transaction_id FROM transactions WHERE status = 'pending'
+ ORDER BY created_at, transaction_id LIMIT 200)"""
+
+UPDATED = f"""updated AS (SELECT transaction_id, account_id, category_id, amount, currency, transaction_type,
+ CASE WHEN transaction_id IN (SELECT transaction_id FROM pending_keys) THEN 'completed' ELSE status END AS status,
+ description, created_at,
+ CASE WHEN transaction_id IN (SELECT transaction_id FROM pending_keys) THEN {NOW_SQL} ELSE updated_at END AS updated_at
+ FROM transactions)"""
+
+INSERTS = f"""acc AS (SELECT account_id, row_number() OVER (ORDER BY account_id) AS rn FROM accounts),
+inserts AS (SELECT (SELECT max(transaction_id) FROM transactions) + e.event_id + 1 AS transaction_id, acc.account_id,
+  CAST(1 + (e.event_id + 1) % 10 AS INTEGER) AS category_id,
+  CAST(round(CAST(e.value AS DECIMAL(18,2)) + 100, 2) AS DECIMAL(18,2)) AS amount,
+  (['USD', 'EUR', 'COP'])[1 + (e.event_id + 1) % 3] AS currency,
+  (['debit', 'credit'])[1 + (e.event_id + 1) % 2] AS transaction_type,
+  'completed' AS status, concat('Incremental-', CAST(e.event_id + 1 AS VARCHAR)) AS description,
+  {NOW_SQL} AS created_at, {NOW_SQL} AS updated_at
+ FROM events e JOIN acc ON acc.rn = 1 + (e.event_id + 1) % (SELECT count(*) FROM accounts)),
+changed AS (SELECT * FROM updated UNION ALL SELECT * FROM inserts)"""
+
+_CONSTRAINTS = [
+    ("transaction_id_not_null", "transaction_id IS NULL"),
+    ("account_id_not_null", "account_id IS NULL"),
+    ("category_id_not_null", "category_id IS NULL"),
+    ("amount_not_null", "amount IS NULL"),
+    ("amount_not_zero", "TRY_CAST(amount AS DECIMAL(38,18)) = 0"),
+    ("currency_not_null", "currency IS NULL"),
+    ("currency_length", "length(currency) > 3"),
+    ("transaction_type_not_null", "transaction_type IS NULL"),
+    ("transaction_type_in", "transaction_type NOT IN ('debit', 'credit')"),
+    ("transaction_type_length", "length(transaction_type) > 10"),
+    ("status_not_null", "status IS NULL"),
+    ("status_in", "status NOT IN ('pending', 'completed', 'failed')"),
+    ("status_length", "length(status) > 10"),
+    ("description_length", "length(description) > 255"),
+    ("created_at_not_null", "created_at IS NULL"),
+    ("updated_at_not_null", "updated_at IS NULL"),
+]
+
+TXN_COLS = "transaction_id, account_id, category_id, amount, currency, transaction_type, status, description, created_at, updated_at"
+
+SQL.update({
+    "latest_per_key": _newest("TRUE"),
+    "upsert_table": _upsert_sql(CUT_SQL[1]),
+    "upsert_outcome": "\nUNION ALL\n".join(_outcome_sql(c) for c in CUT_SQL),
+    "upsert_replay": _upsert_sql(CUT_SQL[2]),
+    "upsert_stale_row": f"""WITH o AS ({_newest('TRUE', desc=False)}), n AS ({_newest('TRUE')})
+SELECT o.user_id, o.event_id, o.ts, CASE WHEN o.ts >= n.ts THEN o.event_id ELSE n.event_id END AS guarded_event_id
+FROM o JOIN n ON o.user_id = n.user_id""",
+    "insert_if_absent": _with(CATEGORIES)
+    + f""", offered AS (SELECT CAST(n_nationkey + 1 AS INTEGER) AS category_id, lower(n_name) AS name, {NOW_SQL} AS updated_at FROM nation)
+SELECT category_id, name, updated_at FROM categories
+UNION ALL SELECT category_id, name, updated_at FROM offered WHERE name NOT IN (SELECT name FROM categories)""",
+    "unique_check": """SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "foreign_key_check": _with(V_TRANSACTIONS, ACCOUNTS, CATEGORIES)
+    + """, t AS (SELECT transaction_id, account_id, category_id + 1 AS category_id FROM transactions)
+SELECT 'category_fk' AS constraint_name, transaction_id, CAST(category_id AS VARCHAR) AS missing_key FROM t
+ WHERE category_id IS NOT NULL AND category_id NOT IN (SELECT category_id FROM categories)
+UNION ALL SELECT 'account_fk', transaction_id, account_id FROM t
+ WHERE account_id IS NOT NULL AND account_id NOT IN (SELECT account_id FROM accounts)""",
+    "check_constraints": _with(V_TRANSACTIONS, V_RAW)
+    + "\nUNION ALL ".join(f"SELECT '{n}' AS constraint_name, count_if({c}) AS violations FROM transactions_raw" for n, c in _CONSTRAINTS),
+    "oldest_pending_update": _with(V_TRANSACTIONS, PENDING_KEYS, UPDATED) + "SELECT * FROM updated",
+    "apply_change_set": _with(V_TRANSACTIONS, ACCOUNTS, PENDING_KEYS, UPDATED, INSERTS) + "SELECT * FROM changed",
+    "newest_n_transfer": _with(V_TRANSACTIONS)
+    + f"""SELECT {TXN_COLS}, updated_at AS source_updated_at, {NOW_SQL} AS loaded_at FROM transactions
+ORDER BY updated_at DESC, transaction_id DESC LIMIT 1000""",
+    "load_projection": _with(V_TRANSACTIONS, V_RAW, V_EVAL)
+    + f"""SELECT transaction_id, n_account_id AS account_id, n_category_id AS category_id, n_amount AS amount,
+ n_currency AS currency, transaction_type, status, n_description AS description, created_at, updated_at,
+ updated_at AS source_updated_at, {NOW_SQL} AS loaded_at FROM ev WHERE errors = ''""",
+    "table_counts": _with(V_TRANSACTIONS, ACCOUNTS, CATEGORIES, PENDING_KEYS, UPDATED, INSERTS)
+    + f"""SELECT 'accounts' AS table_name, count(*) AS total FROM accounts
+UNION ALL SELECT 'categories', count(*) FROM categories
+UNION ALL SELECT 'transactions', count(*) FROM changed
+UNION ALL SELECT 'recent_transactions', count(*) FROM changed WHERE updated_at >= {NOW_SQL} - INTERVAL 1 MINUTE""",
+    "late_rows": _with(V_TRANSACTIONS)
+    + """, target AS (SELECT * FROM transactions
+  WHERE updated_at + to_days(CAST(transaction_id % 7 AS INTEGER)) <= TIMESTAMP '2000-06-01 00:00:00'),
+bound AS (SELECT max(updated_at) - INTERVAL 5 MINUTE AS b FROM target)
+SELECT transaction_id, updated_at FROM transactions
+WHERE updated_at <= (SELECT b FROM bound) AND transaction_id NOT IN (SELECT transaction_id FROM target)""",
+})

@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonrows as J
 from ..functions.temporal import extract_since, ntz
+from ..operators import change_set as C
+from ..operators import constraints as K
 from ..operators import extract as X
+from ..operators import merge as M
+from ..operators.load import load_projection as _load_projection
 from ..operators import rules as R
 from ..operators import validate as V
 from ..plans import ledger as L
+from ..plans import report as P
 from ..sources.fixtures import Fixtures
 
 # Fixed parameters of the catalogue.
@@ -168,6 +173,159 @@ def pack_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.unpack(packed, ["chunk_index"], events.schema).select(*cols)
 
 
+# Fixed parameters of the change-feed queries over ``events`` (key ``user_id``).
+EVENT_KEY = ["user_id"]
+EVENT_ORDER = ["ts", "event_id"]
+CUTS = (_dt.datetime(2024, 1, 1, 1), _dt.datetime(2024, 1, 2), _dt.datetime(2024, 1, 30, 12))
+UPSERT_CUT = CUTS[1]
+REPLAY_CUT = CUTS[2]
+NOW = _dt.datetime(2024, 2, 1)  # the NOW() of the change set and of the loads
+PENDING_K = 200
+TRANSFER_LIMIT = 1000
+LATE_CUT = _dt.datetime(2000, 6, 1)  # time of the first run in the late-row scenario
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Fixtures(spark, sf_dir).table("events")
+
+
+def _base_and_changes(events: DataFrame, cut: _dt.datetime) -> tuple[DataFrame, DataFrame]:
+    base = M.latest_per_key(events.where(F.col("ts") <= ntz(cut)), EVENT_KEY, EVENT_ORDER)
+    changes = events.where(F.col("ts") > ntz(cut))
+    return base, changes
+
+
+def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest event per user (by ts, then event_id)."""
+    return M.latest_per_key(_events(spark, sf_dir), EVENT_KEY, EVENT_ORDER)
+
+
+def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base (newest per user up to the cut) upserted with all later events."""
+    base, changes = _base_and_changes(_events(spark, sf_dir), UPSERT_CUT)
+    return M.upsert(base, changes, EVENT_KEY, EVENT_ORDER)
+
+
+def upsert_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: insert / update / keep counts of the upsert at three cuts."""
+    events = _events(spark, sf_dir)
+    parts = []
+    for cut in CUTS:
+        base, changes = _base_and_changes(events, cut)
+        out = M.upsert_outcome(base, changes, EVENT_KEY)
+        parts.append(out.groupBy("outcome").agg(F.count(F.lit(1)).alias("row_count")).select(
+            ntz(cut).alias("cut"), "outcome", "row_count"))
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
+def upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same change set applied twice gives the state of one application."""
+    base, changes = _base_and_changes(_events(spark, sf_dir), REPLAY_CUT)
+    once = M.upsert(base, changes, EVENT_KEY, EVENT_ORDER)
+    return M.upsert(once, changes, EVENT_KEY, EVENT_ORDER)
+
+
+def upsert_stale_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older change overwrites a newer row (no guard by default); the guarded
+    upsert keeps the newer row, shown next to it."""
+    events = _events(spark, sf_dir)
+    newest = M.latest_per_key(events, EVENT_KEY, EVENT_ORDER)
+    oldest = M.latest_per_key(events, EVENT_KEY, [F.unix_micros(F.col("ts").cast("timestamp")) * -1, F.col("event_id") * -1])
+    plain = M.upsert(newest, oldest, EVENT_KEY, EVENT_ORDER)
+    guarded = M.upsert(newest, oldest, EVENT_KEY, EVENT_ORDER, guard="ts")
+    return plain.select("user_id", "event_id", "ts").join(
+        guarded.select("user_id", F.col("event_id").alias("guarded_event_id")), "user_id")
+
+
+def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nations offered as categories, inserted only when the name is new."""
+    fx = Fixtures(spark, sf_dir)
+    offered = fx.table("nation").select(
+        (F.col("n_nationkey") + 1).cast("int").alias("category_id"),
+        F.lower("n_name").alias("name"),
+        F.lit(None).cast("string").alias("description"),
+        ntz(NOW).alias("updated_at"),
+    )
+    return M.insert_if_absent(fx.categories(), offered, ["name"]).select("category_id", "name", "updated_at")
+
+
+def unique_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated (l_orderkey, l_linenumber) pairs of lineitem."""
+    return K.duplicate_keys(Fixtures(spark, sf_dir).table("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def foreign_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphans of both references of transactions (category shifted by one)."""
+    fx = Fixtures(spark, sf_dir)
+    txn = fx.transactions().withColumn("category_id", F.col("category_id") + 1)
+    cat = K.orphans(txn, ["category_id"], fx.categories(), ["category_id"]).select(
+        F.lit("category_fk").alias("constraint_name"), "transaction_id", F.col("category_id").cast("string").alias("missing_key"))
+    acc = K.orphans(txn, ["account_id"], fx.accounts(), ["account_id"]).select(
+        F.lit("account_fk").alias("constraint_name"), "transaction_id", F.col("account_id").alias("missing_key"))
+    return cat.unionByName(acc)
+
+
+def check_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations per constraint of the source DDL over the raw rows."""
+    raw = Fixtures(spark, sf_dir).transactions_raw()
+    return K.violation_counts(raw, K.transaction_constraints(F.col("amount").try_cast("decimal(38,18)")))
+
+
+def oldest_pending_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 200 oldest pending transactions become completed."""
+    return C.oldest_pending_to_completed(Fixtures(spark, sf_dir).transactions(), NOW, PENDING_K)
+
+
+def apply_change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One new transaction per event (round-robin accounts) plus M5."""
+    fx = Fixtures(spark, sf_dir)
+    txn = fx.transactions()
+    first_id = txn.agg(F.max("transaction_id")).first()[0] or 0
+    inserts = C.new_transactions(fx.table("events"), fx.accounts(), first_id, NOW)
+    return C.apply_change_set(txn, inserts, NOW, PENDING_K)
+
+
+def newest_n_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest 1000 rows, strict validation, load projection."""
+    txn = Fixtures(spark, sf_dir).transactions()
+    top = txn.orderBy(F.col("updated_at").desc(), F.col("transaction_id").desc()).limit(TRANSFER_LIMIT)
+    ev = R.evaluate(top, R.TRANSACTION_CONTRACT)
+    V.strict_gate(ev)
+    return _load_projection(V.valid_rows(ev), NOW)
+
+
+def load_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 12 target columns of the valid raw rows, fixed ``loaded_at``."""
+    return _load_projection(V.valid_rows(_evaluated_raw(spark, sf_dir)), NOW)
+
+
+def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Post-load counts after the change set: recent and total rows."""
+    fx = Fixtures(spark, sf_dir)
+    changed = apply_change_set(spark, sf_dir)
+    return P.labelled_counts([
+        ("accounts", fx.accounts()),
+        ("categories", fx.categories()),
+        ("transactions", changed),
+        ("recent_transactions", P.recent(changed, NOW, 1)),
+    ])
+
+
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that commit days after their ``updated_at`` (arrival = updated_at +
+    key mod 7 days); a first run at the cut loads what had arrived, the next run's bound is
+    its watermark minus the overlap, and rows under it that never arrived are lost."""
+    txn = Fixtures(spark, sf_dir).transactions()
+    arrival = F.col("updated_at") + F.make_dt_interval(F.pmod(F.col("transaction_id"), F.lit(7)))
+    target = txn.where(arrival <= ntz(LATE_CUT))
+    wm = target.agg(F.max("updated_at")).first()[0]
+    bound = extract_since(ntz(wm), OVERLAP_MINUTES)
+    return P.late_rows(txn, target, bound, ["transaction_id"]).select("transaction_id", "updated_at")
+
+
 CATALOGUE = {
     "incremental_extract": incremental_extract,
     "resume_point": resume_point,
@@ -184,4 +342,19 @@ CATALOGUE = {
     "extra_keys": extra_keys,
     "account_contract": account_contract,
     "category_contract": category_contract,
+    "latest_per_key": latest_per_key,
+    "upsert_table": upsert_table,
+    "upsert_outcome": upsert_outcome,
+    "upsert_replay": upsert_replay,
+    "upsert_stale_row": upsert_stale_row,
+    "insert_if_absent": insert_if_absent,
+    "unique_check": unique_check,
+    "foreign_key_check": foreign_key_check,
+    "check_constraints": check_constraints,
+    "oldest_pending_update": oldest_pending_update,
+    "apply_change_set": apply_change_set,
+    "newest_n_transfer": newest_n_transfer,
+    "load_projection": load_projection,
+    "table_counts": table_counts,
+    "late_rows": late_rows,
 }

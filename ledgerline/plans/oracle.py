@@ -338,3 +338,54 @@ bound AS (SELECT max(updated_at) - INTERVAL 5 MINUTE AS b FROM target)
 SELECT transaction_id, updated_at FROM transactions
 WHERE updated_at <= (SELECT b FROM bound) AND transaction_id NOT IN (SELECT transaction_id FROM target)""",
 })
+
+# ------------------------------------------------------------------ pipeline, ledger, stream
+E2E = f"""s1 AS (SELECT * FROM transactions_raw WHERE updated_at <= TIMESTAMP '2000-01-01 00:00:00'),
+since2 AS (SELECT max(updated_at) - INTERVAL 5 MINUTE AS b FROM s1),
+e2 AS (SELECT * FROM transactions_raw WHERE updated_at > (SELECT b FROM since2))"""
+
+LOADED = f"""SELECT transaction_id, n_account_id AS account_id, n_category_id AS category_id, n_amount AS amount,
+ n_currency AS currency, transaction_type, status, n_description AS description, created_at, updated_at,
+ updated_at AS source_updated_at, {{loaded_at}} AS loaded_at FROM ev WHERE errors = ''"""
+
+SQL.update({
+    "pipeline_end_to_end": _with(V_TRANSACTIONS, V_RAW, V_EVAL, E2E)
+    + LOADED.format(loaded_at="CASE WHEN updated_at > (SELECT b FROM since2) THEN TIMESTAMP '2024-02-02 00:00:00' "
+                              "ELSE TIMESTAMP '2024-02-01 00:00:00' END"),
+    "run_metrics": _with(V_TRANSACTIONS, V_RAW, V_EVAL, E2E)
+    + """, m AS (
+ SELECT 'run-1' AS pipeline_run_id, 0 AS staging_chunks, 0 AS validated_chunks,
+  (SELECT count(*) FROM ev WHERE errors <> '' AND updated_at <= TIMESTAMP '2000-01-01 00:00:00') AS dead_letter_rows,
+  (SELECT ceil(count(*) / 500) FROM s1) AS chunks_completed, (SELECT ceil(count(*) / 500) FROM s1) AS total_chunks,
+  'completed' AS checkpoint_status
+ UNION ALL
+ SELECT 'run-2', (SELECT ceil(count(*) / 500) FROM e2), (SELECT ceil(count(*) / 500) FROM e2),
+  (SELECT count(*) FROM ev WHERE errors <> '' AND updated_at > (SELECT b FROM since2)),
+  (SELECT ceil(count(*) / 500) FROM e2), (SELECT ceil(count(*) / 500) FROM e2), 'running'
+ UNION ALL
+ SELECT 'run-unknown', 0, 0, 0, 0, 0, NULL)
+SELECT pipeline_run_id, CAST(staging_chunks AS BIGINT) AS staging_chunks, CAST(validated_chunks AS BIGINT) AS validated_chunks,
+ CAST(dead_letter_rows AS BIGINT) AS dead_letter_rows, CAST(chunks_completed AS BIGINT) AS chunks_completed,
+ CAST(total_chunks AS BIGINT) AS total_chunks, checkpoint_status FROM m""",
+    "ledger_state": """WITH ev AS (
+ SELECT concat('run-', CAST(user_id AS VARCHAR)) AS pipeline_run_id, event_id AS seq, ts AS event_at,
+  CASE event_type WHEN 'signup' THEN 'start' WHEN 'view' THEN 'total' WHEN 'click' THEN 'advance' ELSE 'finish' END AS event,
+  CASE WHEN event_type IN ('signup', 'click') THEN ts END AS last_watermark,
+  CASE WHEN event_type = 'click' THEN 1 END AS chunks_delta,
+  CASE WHEN event_type = 'view' THEN CAST(floor(value) AS INTEGER) END AS total_chunks,
+  CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' END AS status
+ FROM events),
+fs AS (SELECT pipeline_run_id, min(seq) AS first_start FROM ev WHERE event = 'start' GROUP BY pipeline_run_id),
+live AS (SELECT ev.*, fs.first_start FROM ev JOIN fs ON ev.pipeline_run_id = fs.pipeline_run_id WHERE seq >= first_start)
+SELECT pipeline_run_id,
+ greatest(max(CASE WHEN seq = first_start THEN last_watermark END),
+          coalesce(max(CASE WHEN event = 'advance' THEN last_watermark END), max(CASE WHEN seq = first_start THEN last_watermark END))) AS last_watermark,
+ CAST(coalesce(sum(CASE WHEN event = 'advance' THEN chunks_delta END), 0) AS INTEGER) AS chunks_completed,
+ arg_max(total_chunks, CASE WHEN event = 'total' THEN seq END) AS total_chunks,
+ arg_max(CASE WHEN event = 'start' THEN 'running' WHEN event = 'finish' THEN status END,
+         CASE WHEN event IN ('start', 'finish') THEN seq END) AS status,
+ max(CASE WHEN seq = first_start THEN event_at END) AS started_at,
+ max(event_at) AS updated_at
+FROM live GROUP BY pipeline_run_id""",
+    "stream_upsert": _with(V_TRANSACTIONS, V_RAW, V_EVAL) + LOADED.format(loaded_at="TIMESTAMP '2024-02-01 00:00:00'"),
+})

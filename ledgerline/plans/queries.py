@@ -326,6 +326,79 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.late_rows(txn, target, bound, ["transaction_id"]).select("transaction_id", "updated_at")
 
 
+# Fixed parameters of the end-to-end scenario: run 1 sees the source as it was at T1,
+# run 2 sees all of it; run 2 is left unfinished so that its buffers show in the report.
+E2E_T1 = _dt.datetime(2000, 1, 1)
+E2E_L1 = _dt.datetime(2024, 2, 1)
+E2E_L2 = _dt.datetime(2024, 2, 2)
+E2E_CHUNK = 500
+E2E_RUNS = ["run-1", "run-2", "run-unknown"]
+
+
+def _two_runs(spark: SparkSession, sf_dir: str):
+    from ..plans.pipeline import LedgerPipeline, PipelineConfig
+    from ..session import scratch_path
+
+    raw = Fixtures(spark, sf_dir).transactions_raw()
+    pipe = LedgerPipeline(spark, scratch_path(spark, "e2e"), PipelineConfig(chunk_size=E2E_CHUNK, buckets=16))
+    pipe.run_pipeline("run-1", raw.where(F.col("updated_at") <= ntz(E2E_T1)), E2E_L1)
+    pipe.run_pipeline("run-2", raw, E2E_L2, finalize=False)
+    return pipe
+
+
+def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reporting table after two runs; overlap rows carry the second load time."""
+    return _two_runs(spark, sf_dir).table()
+
+
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six metrics for a finished run, a running run and an unknown run."""
+    return _two_runs(spark, sf_dir).run_metrics(E2E_RUNS)
+
+
+def ledger_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger events from ``events`` (one run per user; signup
+    starts, view sets the total, click advances, purchase / error finish), folded to the
+    current row per run. Events before a run's first start change nothing."""
+    ev = Fixtures(spark, sf_dir).table("events")
+    et = F.col("event_type")
+    events = ev.select(
+        F.col("event_id").alias("seq"),
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("pipeline_run_id"),
+        F.when(et == "signup", "start").when(et == "view", "total").when(et == "click", "advance").otherwise(
+            "finish").alias("event"),
+        F.when(et.isin("signup", "click"), F.col("ts")).alias("last_watermark"),
+        F.when(et == "click", F.lit(1)).alias("chunks_delta"),
+        F.when(et == "view", F.floor("value").cast("int")).alias("total_chunks"),
+        F.when(et == "purchase", "completed").when(et == "error", "failed").alias("status"),
+        F.lit(None).cast("string").alias("attempt"),
+        F.lit(None).cast("long").alias("table_version"),
+        F.col("ts").alias("at"),
+    )
+    return L.fold(events).select("pipeline_run_id", "last_watermark", "chunks_completed", "total_chunks", "status",
+                                 "started_at", "updated_at")
+
+
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ``availableNow`` stream over the orders file, one pipeline run per
+    micro-batch; the table equals the batch load of the same rows."""
+    from ..plans.pipeline import LedgerPipeline, PipelineConfig
+    from ..session import scratch_path
+    from ..sources import fixtures as FX
+    from ..streaming.stream import file_glob, read_stream, start_upsert_stream
+
+    root = scratch_path(spark, "stream")
+    orders_path = f"{sf_dir.rstrip('/')}/orders.parquet"
+    schema = spark.read.parquet(orders_path).schema
+    stream = FX.transactions_raw(FX.transactions(read_stream(spark, file_glob(orders_path), schema)))
+    pipe = LedgerPipeline(spark, root, PipelineConfig(chunk_size=E2E_CHUNK, buckets=16))
+    q = start_upsert_stream(spark, stream, pipe, "orders", f"{root}/_stream_checkpoint", now=lambda: NOW)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return pipe.table()
+
+
 CATALOGUE = {
     "incremental_extract": incremental_extract,
     "resume_point": resume_point,
@@ -357,4 +430,8 @@ CATALOGUE = {
     "load_projection": load_projection,
     "table_counts": table_counts,
     "late_rows": late_rows,
+    "pipeline_end_to_end": pipeline_end_to_end,
+    "run_metrics": run_metrics,
+    "ledger_state": ledger_state,
+    "stream_upsert": stream_upsert,
 }

@@ -31,6 +31,11 @@ def late_rows(source: DataFrame, target: DataFrame, bound: Column, key: Sequence
     return source.where(F.col(ts_col) <= bound).join(target.select(*key), list(key), "left_anti")
 
 
+def staging_chunk_counts(staging_rows: DataFrame) -> DataFrame:
+    """Chunks per run in staged rows (``pipeline_run_id``, ``chunk_index``)."""
+    return staging_rows.groupBy("pipeline_run_id").agg(F.count_distinct("chunk_index").alias("staging_chunks"))
+
+
 def run_metrics(
     staging: DataFrame,
     chunks: DataFrame,
@@ -40,13 +45,14 @@ def run_metrics(
 ) -> DataFrame:
     """Six metrics per run, for all runs at once.
 
-    ``staging``: rows with ``pipeline_run_id`` and ``chunk_index`` (current attempts);
+    ``staging``: ``(pipeline_run_id, staging_chunks)`` of the current attempts (see
+    ``staging_chunk_counts``);
     ``chunks``: the per-chunk table of validated attempts; ``dead_letter``: all attempts;
     ``ledger_current``: folded ledger rows. A run missing everywhere gets zeros and a null
     status (give it in ``runs``).
     """
     rid = "pipeline_run_id"
-    s = staging.groupBy(rid).agg(F.count_distinct("chunk_index").alias("staging_chunks"))
+    s = staging.select(rid, "staging_chunks")
     v = chunks.groupBy(rid).agg(F.count(F.lit(1)).alias("validated_chunks"))
     d = dead_letter.groupBy(rid).agg(F.count(F.lit(1)).alias("dead_letter_rows"))
     c = ledger_current.select(rid, "chunks_completed", "total_chunks", F.col("status").alias("checkpoint_status"))

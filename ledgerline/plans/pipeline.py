@@ -97,6 +97,8 @@ class LedgerStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self._seq: int | None = None  # single writer: the last seq, read once
+        self._states: dict[str, dict | None] = {}  # fold of one run, until its next event
 
     def events(self) -> DataFrame:
         return read_or_empty(self.spark, self.path, LEDGER_EVENTS)
@@ -105,18 +107,24 @@ class LedgerStore:
         return L.fold(self.events())
 
     def next_seq(self) -> int:
-        v = self.events().agg(F.max("seq")).first()[0]
-        return (int(v) + 1) if v is not None else 1
+        if self._seq is None:
+            v = self.events().agg(F.max("seq")).first()[0]
+            self._seq = int(v) if v is not None else 0
+        return self._seq + 1
 
     def append(self, run_id: str, event: str, at: _dt.datetime, **values) -> int:
         seq = self.next_seq()
         row = {"seq": seq, "pipeline_run_id": run_id, "event": event, "at": at, **values}
         L.event_rows(self.spark, [row]).coalesce(1).write.mode("append").parquet(self.path)
+        self._seq = seq
+        self._states.pop(run_id, None)
         return seq
 
     def state(self, run_id: str) -> dict | None:
-        rows = self.current().where(F.col("pipeline_run_id") == run_id).collect()
-        return rows[0].asDict() if rows else None
+        if run_id not in self._states:
+            rows = self.current().where(F.col("pipeline_run_id") == run_id).collect()
+            self._states[run_id] = rows[0].asDict() if rows else None
+        return self._states[run_id]
 
 
 class LedgerPipeline:

@@ -32,7 +32,7 @@ from ..operators import validate as V
 from ..operators.load import load_projection
 from ..operators.ranking import apply_offsets, chunk_of, partition_offsets, tag_sorted
 from ..schemas import EPOCH, FINANCIAL_RECORDS, LEDGER_EVENTS
-from ..sources.store import BucketTable, Workspace, read_or_empty
+from ..sources.store import BucketTable, Workspace, delete_path, read_or_empty
 from . import ledger as L
 from . import report as P
 
@@ -113,12 +113,16 @@ class LedgerStore:
         return self._seq + 1
 
     def append(self, run_id: str, event: str, at: _dt.datetime, **values) -> int:
-        seq = self.next_seq()
-        row = {"seq": seq, "pipeline_run_id": run_id, "event": event, "at": at, **values}
-        L.event_rows(self.spark, [row]).coalesce(1).write.mode("append").parquet(self.path)
-        self._seq = seq
+        return self.append_many(run_id, at, [(event, values)])
+
+    def append_many(self, run_id: str, at: _dt.datetime, events: list[tuple[str, dict]]) -> int:
+        """Append events of one run in order, as one file (one commit); returns the last seq."""
+        first = self.next_seq()
+        rows = [{"seq": first + i, "pipeline_run_id": run_id, "event": e, "at": at, **v} for i, (e, v) in enumerate(events)]
+        L.event_rows(self.spark, rows).coalesce(1).write.mode("append").parquet(self.path)
+        self._seq = first + len(rows) - 1
         self._states.pop(run_id, None)
-        return seq
+        return self._seq
 
     def state(self, run_id: str) -> dict | None:
         if run_id not in self._states:
@@ -156,11 +160,14 @@ class LedgerPipeline:
     def run_extraction(self, run_id: str, source: DataFrame, now: _dt.datetime, use_watermark: bool = True) -> dict:
         cfg = self.config
         since, initial, _ = self.resume_point()  # T7: read before the run row is restarted
-        # A8 then K5: hide and delete old buffers, start (or restart, T6) with a new attempt.
-        self.ledger.append(run_id, "attempt", now, attempt=None)
+        # A8 then K5: hide the old buffers and start (or restart, T6) with a new attempt in
+        # one commit, then delete the old attempt folders; nothing reads them any more.
+        attempt = f"a{self.ledger.next_seq() + 1}"
+        self.ledger.append_many(run_id, now, [
+            ("attempt", {"attempt": None}),
+            ("start", {"last_watermark": initial, "attempt": attempt, "status": "running"}),
+        ])
         self.ws.clear_run(run_id)
-        attempt = f"a{self.ledger.next_seq()}"
-        self.ledger.append(run_id, "start", now, last_watermark=initial, attempt=attempt, status="running")
         extract = X.incremental_extract(source, since) if use_watermark else source.select(*self.contract.columns)
         staged_path = self.ws.buffer("staging_rows", run_id, attempt)
         tag_sorted(extract, X.EXTRACT_ORDER).withColumn("pipeline_run_id", F.lit(run_id)).write.parquet(staged_path)
@@ -195,25 +202,31 @@ class LedgerPipeline:
         staged = self.staging_rows(run_id)
         raw_cols = [c for c in staged.columns if c not in ("pipeline_run_id", "position", "chunk_index")]
         ev = R.evaluate(staged, self.contract, keep=("pipeline_run_id", "position", "chunk_index"))
-        if self.config.on_malformed == "stop":
-            V.fatal_gate(ev)  # V18: before any write
-        else:
+        if self.config.on_malformed == "dead_letter":
             ev = ev.withColumn("errors", F.concat("fatal", "errors")).withColumn("fatal", F.array().cast("array<string>"))
         ok = (F.size("errors") == 0) & (F.size("fatal") == 0)
-        chunks = ev.groupBy("chunk_index").agg(
+        # One pass gives the chunk table (G2, T8: the watermark is over raw rows) and the
+        # number of malformed rows, so the fatal gate needs no scan of its own.
+        chunks_path = self.ws.buffer("validated_chunks", run_id, attempt)
+        ev.groupBy("chunk_index").agg(
             F.count(F.lit(1)).alias("raw_rows"),
             F.count_if(ok).alias("valid_rows"),
-            F.coalesce(F.max("n_updated_at"), ntz(EPOCH)).alias("source_high_watermark"),  # T8: raw rows
+            F.coalesce(F.max("n_updated_at"), ntz(EPOCH)).alias("source_high_watermark"),
+            F.count_if(F.size("fatal") > 0).alias("fatal_rows"),
         ).select(F.lit(run_id).alias("pipeline_run_id"), F.col("chunk_index").cast("int"), "raw_rows", "valid_rows",
-                 "source_high_watermark")
+                 "source_high_watermark", "fatal_rows").coalesce(1).write.parquet(chunks_path)
+        stats = self.spark.read.parquet(chunks_path).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum(F.col("raw_rows") - F.col("valid_rows")), F.lit(0)).alias("dlq"),
+            F.coalesce(F.sum("fatal_rows"), F.lit(0)).alias("fatal"),
+        ).first()
+        if stats["fatal"]:
+            delete_path(self.spark, chunks_path)
+            V.fatal_gate(ev)  # V18: raises with a sample of at most five rows, before any row is written
         V.dead_letters(ev, run_id, attempt, now, raw_cols).write.mode("append").parquet(self.ws.dead_letter_path)
         V.valid_rows(ev, self.contract, keep=("pipeline_run_id", "position", "chunk_index")).write.parquet(
             self.ws.buffer("validated_rows", run_id, attempt))
-        chunks.coalesce(1).write.parquet(self.ws.buffer("validated_chunks", run_id, attempt))
-        stats = self.chunk_table(run_id).agg(
-            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("raw_rows") - F.col("valid_rows")), F.lit(0)).alias("dlq")
-        ).first()
-        return {"pipeline_run_id": run_id, "dlq_count": int(stats["dlq"]), "chunks_validated": int(stats["n"])}
+        return {"pipeline_run_id": run_id, "dlq_count": int(stats["dlq"] - stats["fatal"]), "chunks_validated": int(stats["n"])}
 
     def chunk_table(self, run_id: str) -> DataFrame:
         attempt = self._attempt(run_id)
@@ -259,8 +272,8 @@ class LedgerPipeline:
 
     # -------------------------------------------------------------- P5
     def run_finalize(self, run_id: str, now: _dt.datetime, summary: dict | None = None, status: str = "completed") -> dict:
-        self.ledger.append(run_id, "finish", now, status=L.check_status(status))  # K8
-        self.ledger.append(run_id, "attempt", now, attempt=None)  # A8: hide, then delete
+        # K8, then A8: hide the buffers in the same commit, then delete them.
+        self.ledger.append_many(run_id, now, [("finish", {"status": L.check_status(status)}), ("attempt", {"attempt": None})])
         self.ws.clear_run(run_id)
         return {"pipeline_run_id": run_id, "status": status, "dlq_count": (summary or {}).get("dlq_count", 0)}
 

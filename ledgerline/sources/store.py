@@ -193,9 +193,11 @@ class BucketTable:
     ) -> int:
         """Apply ``changes`` (target columns plus the order columns); return the version."""
         cols = [f.name for f in self.schema.fields]
+        # Touched buckets from the raw changes (same key set as after the dedupe, no
+        # shuffle of rows): a partial aggregate of at most ``buckets`` values.
+        touched = sorted(int(r[0]) for r in changes.select(self.bucket_of().alias("b")).distinct().collect())
         latest = dedupe_changes(changes, self.key, order, on_duplicate).select(*cols)
         latest = latest.withColumn("bucket", self.bucket_of())
-        touched = sorted(int(r[0]) for r in latest.select("bucket").distinct().collect())  # <= buckets values
         current = self.current_paths(touched)
         old = self._read_paths(sorted(current.values())).withColumn("bucket", self.bucket_of())
         if guard is not None:

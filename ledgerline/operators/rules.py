@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions import numeric as N
 from ..functions.temporal import parse_iso
-from ..functions.text import canonical_uuid, normalise_currency, py_strip, strip, uuid_hex
+from ..functions.text import canonical_uuid, is_canonical_uuid, normalise_currency, py_strip, strip, uuid_hex
 
 INT_MAX = 2**31 - 1
 LONG_DIGITS = r"^[+-]?[0-9]{1,18}$"
@@ -117,9 +117,8 @@ def uuid_field(name: str, fatal_parse: bool) -> Builder:
 
     def build(c: Column, dt: T.DataType) -> FieldResult:
         if N.is_text(dt):
-            hexed = uuid_hex(c)
             value = canonical_uuid(c)
-            unparsable = c.isNotNull() & hexed.isNull()
+            unparsable = c.isNotNull() & ~is_canonical_uuid(c) & uuid_hex(c).isNull()
             fatal = first((unparsable, f"{name}_format")) if fatal_parse else _null_str()
             dead = first((c.isNull(), name)) if fatal_parse else first((c.isNull() | unparsable, name))
             return FieldResult(value, dead, fatal)
@@ -301,13 +300,30 @@ CATEGORY_CONTRACT = Contract(
 FINANCIAL_RECORD_CONTRACT = TRANSACTION_CONTRACT
 
 
-def evaluate(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:
-    """One projection: the input columns, ``n_<field>`` normalised values, and the arrays
-    ``errors`` (class D codes) and ``fatal`` (class F codes).
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a narrow input over the cluster's cores before CPU-heavy rules.
+
+    Fires only when the input has fewer partitions than ``defaultParallelism`` (one small
+    file is one task); a large input is left as it is, so no shuffle is added at scale.
+    """
+    sc = df.sparkSession.sparkContext
+    if df.isStreaming:
+        return df
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def evaluate(df: DataFrame, contract: Contract, keep: Sequence[str] = (), spread_input: bool = True) -> DataFrame:
+    """One projection: the input columns, ``n_<field>`` normalised values, the arrays
+    ``errors`` (class D codes) and ``fatal`` (class F codes), and ``is_valid_row``.
 
     Columns that are neither contract fields nor in ``keep`` are unknown keys (V15);
     absent fields without a default are missing keys (V16).
     """
+    if spread_input:
+        df = spread(df)
     schema = {f.name: f.dataType for f in df.schema.fields}
     known = set(contract.columns) | set(keep)
     unknown = sorted(c for c in schema if c not in known)
@@ -326,10 +342,15 @@ def evaluate(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> Dat
             values.append(F.lit(None).cast(fld.out_type).alias(f"n_{fld.name}"))
             dead_codes.append(F.lit(f"missing:{fld.name}"))
     dead_codes += [F.lit(f"unknown:{c}") for c in unknown]
-    not_null = lambda x: x.isNotNull()
-    errors = F.filter(F.array(*dead_codes), not_null) if dead_codes else F.array().cast("array<string>")
-    fatal = F.filter(F.array(*fatal_codes), not_null) if fatal_codes else F.array().cast("array<string>")
-    return df.select("*", *values, errors.alias("errors"), fatal.alias("fatal"))
+    # array_except(..., [null]) drops the nulls and stays in generated code (a lambda
+    # ``filter`` would force the whole projection or predicate to run interpreted). The
+    # codes of one row are distinct, so its de-duplication changes nothing.
+    no_null = F.array(F.lit(None).cast("string"))
+    errors = F.array_except(F.array(*dead_codes), no_null) if dead_codes else F.array().cast("array<string>")
+    fatal = F.array_except(F.array(*fatal_codes), no_null) if fatal_codes else F.array().cast("array<string>")
+    codes = dead_codes + fatal_codes
+    valid = F.coalesce(*codes).isNull() if codes else F.lit(True)
+    return df.select("*", *values, errors.alias("errors"), fatal.alias("fatal"), valid.alias("is_valid_row"))
 
 
 def normalised(evaluated: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:

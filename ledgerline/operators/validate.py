@@ -27,8 +27,7 @@ class InvalidRowsError(ValueError):
 
 def valid_rows(evaluated: DataFrame, contract: Contract = TRANSACTION_CONTRACT, keep: Sequence[str] = ()) -> DataFrame:
     """The normalised rows with no error of either class."""
-    ok = (F.size("errors") == 0) & (F.size("fatal") == 0)
-    return normalised(evaluated.where(ok), contract, keep)
+    return normalised(evaluated.where(F.col("is_valid_row")), contract, keep)
 
 
 def invalid_rows(evaluated: DataFrame) -> DataFrame:

@@ -198,21 +198,35 @@ class LedgerPipeline:
 
     # -------------------------------------------------------------- P2
     def run_validation(self, run_id: str, now: _dt.datetime) -> dict:
+        """P2. The rules are evaluated once: the evaluated change set (normalised columns,
+        codes, the raw payload of rejected rows) is the validated buffer of the attempt.
+        The chunk table, the fatal gate, the dead letters and the load all read it."""
         attempt = self._attempt(run_id)
         staged = self.staging_rows(run_id)
-        raw_cols = [c for c in staged.columns if c not in ("pipeline_run_id", "position", "chunk_index")]
-        ev = R.evaluate(staged, self.contract, keep=("pipeline_run_id", "position", "chunk_index"))
+        keep = ("pipeline_run_id", "position", "chunk_index")
+        raw_cols = [c for c in staged.columns if c not in keep]
+        ev = R.evaluate(staged, self.contract, keep=keep)
         if self.config.on_malformed == "dead_letter":
             ev = ev.withColumn("errors", F.concat("fatal", "errors")).withColumn("fatal", F.array().cast("array<string>"))
-        ok = (F.size("errors") == 0) & (F.size("fatal") == 0)
-        # One pass gives the chunk table (G2, T8: the watermark is over raw rows) and the
-        # number of malformed rows, so the fatal gate needs no scan of its own.
+        bad = ~F.col("is_valid_row")
+        rows_path = self.ws.buffer("validated_rows", run_id, attempt)
+        ev.select(
+            *keep,
+            *[F.col(f"n_{c}").alias(c) for c in self.contract.columns],
+            "is_valid_row",
+            F.when(bad, F.col("errors")).alias("errors"),
+            F.when(bad, F.col("fatal")).alias("fatal"),
+            F.when(bad, V.payload_json(ev, raw_cols)).alias("payload"),
+        ).write.parquet(rows_path)
+        done = self.spark.read.parquet(rows_path)
+        # G2 + T8: rows, valid rows and the watermark over all rows per chunk (``updated_at``
+        # holds the parsed time of invalid rows too), and the malformed count for the gate.
         chunks_path = self.ws.buffer("validated_chunks", run_id, attempt)
-        ev.groupBy("chunk_index").agg(
+        done.groupBy("chunk_index").agg(
             F.count(F.lit(1)).alias("raw_rows"),
-            F.count_if(ok).alias("valid_rows"),
-            F.coalesce(F.max("n_updated_at"), ntz(EPOCH)).alias("source_high_watermark"),
-            F.count_if(F.size("fatal") > 0).alias("fatal_rows"),
+            F.count_if("is_valid_row").alias("valid_rows"),
+            F.coalesce(F.max("updated_at"), ntz(EPOCH)).alias("source_high_watermark"),
+            F.count_if(F.coalesce(F.size("fatal"), F.lit(0)) > 0).alias("fatal_rows"),
         ).select(F.lit(run_id).alias("pipeline_run_id"), F.col("chunk_index").cast("int"), "raw_rows", "valid_rows",
                  "source_high_watermark", "fatal_rows").coalesce(1).write.parquet(chunks_path)
         stats = self.spark.read.parquet(chunks_path).agg(
@@ -222,10 +236,19 @@ class LedgerPipeline:
         ).first()
         if stats["fatal"]:
             delete_path(self.spark, chunks_path)
-            V.fatal_gate(ev)  # V18: raises with a sample of at most five rows, before any row is written
-        V.dead_letters(ev, run_id, attempt, now, raw_cols).write.mode("append").parquet(self.ws.dead_letter_path)
-        V.valid_rows(ev, self.contract, keep=("pipeline_run_id", "position", "chunk_index")).write.parquet(
-            self.ws.buffer("validated_rows", run_id, attempt))
+            delete_path(self.spark, rows_path)
+            V.fatal_gate(done.where(F.size("fatal") > 0), key="position")  # V18: stops before any dead letter or load
+        rejected = done.where(~F.col("is_valid_row")).select(
+            F.lit(run_id).alias("pipeline_run_id"),
+            F.lit(attempt).alias("attempt"),
+            F.col("chunk_index").cast("int").alias("chunk_index"),
+            "payload",
+            "errors",
+            F.substring(F.concat_ws("; ", "errors"), 1, V.ERROR_MESSAGE_LIMIT).alias("error_message"),
+            F.lit(1).alias("attempt_count"),
+            ntz(now).alias("failed_at"),
+        )
+        rejected.write.mode("append").parquet(self.ws.dead_letter_path)  # A6: one bulk append
         return {"pipeline_run_id": run_id, "dlq_count": int(stats["dlq"] - stats["fatal"]), "chunks_validated": int(stats["n"])}
 
     def chunk_table(self, run_id: str) -> DataFrame:
@@ -241,7 +264,7 @@ class LedgerPipeline:
 
     def run_load(self, run_id: str, loaded_at: _dt.datetime) -> dict:
         attempt = self._attempt(run_id)
-        rows = self.spark.read.parquet(self.ws.buffer("validated_rows", run_id, attempt))
+        rows = self.spark.read.parquet(self.ws.buffer("validated_rows", run_id, attempt)).where(F.col("is_valid_row"))
         changes = load_projection(rows, loaded_at, carry=("chunk_index", "position"))
         stats = self.chunk_table(run_id).agg(
             F.count(F.lit(1)).alias("n"),

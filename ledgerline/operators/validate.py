@@ -25,21 +25,32 @@ class InvalidRowsError(ValueError):
     """Strict mode (V19): any invalid row stops the job."""
 
 
+def keep_if(df: DataFrame, cond: F.Column, cols: Sequence[F.Column]) -> DataFrame:
+    """Rows where ``cond`` holds, projected to ``cols``, as a generator rather than a filter.
+
+    Catalyst pushes a filter below projections and repartitions, inlining every rule into
+    the predicate: the rules would then run again, without common-subexpression reuse,
+    inside the scan stage. A generator that emits zero or one row keeps the rules
+    evaluated once, in the stage where ``evaluate`` placed them.
+    """
+    return df.select(F.inline(F.when(cond, F.array(F.struct(*cols))).otherwise(F.array())))
+
+
 def valid_rows(evaluated: DataFrame, contract: Contract = TRANSACTION_CONTRACT, keep: Sequence[str] = ()) -> DataFrame:
     """The normalised rows with no error of either class."""
-    return normalised(evaluated.where(F.col("is_valid_row")), contract, keep)
+    cols = [F.col(k) for k in keep] + [F.col(f"n_{c}").alias(c) for c in contract.columns]
+    return keep_if(evaluated, F.col("is_valid_row"), cols)
 
 
 def invalid_rows(evaluated: DataFrame) -> DataFrame:
     """Rows with at least one dead-letter code (and, after the gate, no fatal one)."""
-    return evaluated.where((F.size("errors") > 0) & (F.size("fatal") == 0))
+    return keep_if(evaluated, (F.size("errors") > 0) & (F.size("fatal") == 0), [F.col(c) for c in evaluated.columns])
 
 
 def fatal_rows(evaluated: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Rows that cannot be normalised, with their fatal codes (one per row)."""
-    return evaluated.where(F.size("fatal") > 0).select(
-        F.col(key).cast("string").alias(key), F.concat_ws(",", "fatal").alias("fatal")
-    )
+    return keep_if(evaluated, F.size("fatal") > 0,
+                   [F.col(key).cast("string").alias(key), F.concat_ws(",", "fatal").alias("fatal")])
 
 
 def fatal_gate(evaluated: DataFrame, key: str = "transaction_id", sample: int = FATAL_SAMPLE) -> None:

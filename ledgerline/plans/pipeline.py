@@ -145,6 +145,7 @@ class LedgerPipeline:
             spark, f"{self.ws.root}/financial_records", FINANCIAL_RECORDS, contract.key,
             self.config.buckets, self.config.files_per_bucket,
         )
+        self._offsets: dict[tuple[str, str], list] = {}  # per attempt, one row per sorted partition
 
     # -------------------------------------------------------------- K1
     def resume_point(self) -> tuple[_dt.datetime, _dt.datetime, _dt.datetime | None]:
@@ -176,9 +177,13 @@ class LedgerPipeline:
             F.lit(run_id).alias("pipeline_run_id"), "_part", "_first", "_n", "_offset",
             F.lit(cfg.chunk_size).alias("chunk_size"),
         )
-        offsets.coalesce(1).write.parquet(self.ws.buffer("staging_offsets", run_id, attempt))
-        rows = self.spark.read.schema(OFFSETS).parquet(self.ws.buffer("staging_offsets", run_id, attempt)).agg(
-            F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+        # The offset table has one row per sorted partition (bounded by the shuffle
+        # partition count): it comes to the driver once and is written beside the rows.
+        offset_rows = offsets.collect()
+        self.spark.createDataFrame(offset_rows, OFFSETS).coalesce(1).write.parquet(
+            self.ws.buffer("staging_offsets", run_id, attempt))
+        self._offsets[(run_id, attempt)] = offset_rows
+        rows = sum(r["_n"] for r in offset_rows)
         total = math.ceil(int(rows) / cfg.chunk_size)
         self.ledger.append(run_id, "total", now, total_chunks=total)  # K6
         return {"pipeline_run_id": run_id, "chunk_count": total, "extract_since": since.isoformat(), "row_count": int(rows)}
@@ -189,9 +194,12 @@ class LedgerPipeline:
         if attempt is None:
             raise StageError(f"run {run_id} has no staged attempt")
         staged = self.spark.read.parquet(self.ws.buffer("staging_rows", run_id, attempt))
-        offsets = self.spark.read.schema(OFFSETS).parquet(self.ws.buffer("staging_offsets", run_id, attempt))
-        chunk = offsets.select("chunk_size").first()
-        size = chunk[0] if chunk else self.config.chunk_size
+        if (run_id, attempt) not in self._offsets:
+            path = self.ws.buffer("staging_offsets", run_id, attempt)
+            self._offsets[(run_id, attempt)] = self.spark.read.schema(OFFSETS).parquet(path).collect()
+        offset_rows = self._offsets[(run_id, attempt)]
+        offsets = self.spark.createDataFrame(offset_rows, OFFSETS)
+        size = offset_rows[0]["chunk_size"] if offset_rows else self.config.chunk_size
         return apply_offsets(staged, offsets.drop("pipeline_run_id", "chunk_size", "_n")).withColumn(
             "chunk_index", chunk_of(F.col("position"), size)
         )

@@ -198,13 +198,17 @@ class BucketTable:
         touched = sorted(int(r[0]) for r in changes.select(self.bucket_of().alias("b")).distinct().collect())
         latest = dedupe_changes(changes, self.key, order, on_duplicate).select(*cols)
         latest = latest.withColumn("bucket", self.bucket_of())
-        current = self.current_paths(touched)
+        # One manifest read: newest path per bucket and the newest version (<= B rows).
+        heads = self.manifest().groupBy("bucket").agg(
+            F.max_by("path", "version").alias("path"), F.max("version").alias("v")).collect()
+        last_version = max((int(r["v"]) for r in heads), default=0)
+        current = {int(r["bucket"]): r["path"] for r in heads if r["path"] and int(r["bucket"]) in set(touched)}
         old = self._read_paths(sorted(current.values())).withColumn("bucket", self.bucket_of())
         if guard is not None:
             latest = drop_stale(old, latest, self.key, guard)
         kept = old.join(latest.select(*self.key), self.key, "left_anti")
         merged = kept.unionByName(latest)
-        version = self.version() + 1
+        version = last_version + 1
         folder = f"{self.path}/data/v={version:010d}-{uuid.uuid4().hex[:8]}"
         sub = F.pmod(F.xxhash64(*[F.col(k) for k in self.key], F.lit(7)), F.lit(self.files_per_bucket))
         n_out = max(1, len(touched) * self.files_per_bucket)

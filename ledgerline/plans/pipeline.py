@@ -22,55 +22,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.temporal import extract_since as _bound
 from ..functions.temporal import ntz
 from ..operators import extract as X
 from ..operators import rules as R
 from ..operators import validate as V
 from ..operators.load import load_projection
 from ..operators.ranking import apply_offsets, chunk_of, partition_offsets, tag_sorted
-from ..schemas import EPOCH, FINANCIAL_RECORDS, LEDGER_EVENTS
+from ..schemas import CHUNK_TABLE, DEAD_LETTER, EPOCH, FINANCIAL_RECORDS, LEDGER_EVENTS, OFFSETS
 from ..sources.store import BucketTable, Workspace, delete_path, read_or_empty
 from . import ledger as L
 from . import report as P
 
-OFFSETS = T.StructType(
-    [
-        T.StructField("pipeline_run_id", T.StringType(), False),
-        T.StructField("_part", T.IntegerType(), False),
-        T.StructField("_first", T.LongType(), False),
-        T.StructField("_n", T.LongType(), False),
-        T.StructField("_offset", T.LongType(), False),
-        T.StructField("chunk_size", T.IntegerType(), False),
-    ]
-)
-
-CHUNK_TABLE = T.StructType(
-    [
-        T.StructField("pipeline_run_id", T.StringType(), False),
-        T.StructField("chunk_index", T.IntegerType(), False),
-        T.StructField("raw_rows", T.LongType(), False),
-        T.StructField("valid_rows", T.LongType(), False),
-        T.StructField("source_high_watermark", T.TimestampNTZType(), False),
-    ]
-)
-
-DEAD_LETTER_TABLE = T.StructType(
-    [
-        T.StructField("pipeline_run_id", T.StringType(), False),
-        T.StructField("attempt", T.StringType(), False),
-        T.StructField("chunk_index", T.IntegerType(), False),
-        T.StructField("payload", T.StringType(), False),
-        T.StructField("errors", T.ArrayType(T.StringType(), True), False),
-        T.StructField("error_message", T.StringType(), False),
-        T.StructField("attempt_count", T.IntegerType(), False),
-        T.StructField("failed_at", T.TimestampNTZType(), False),
-    ]
-)
-
-
 class StageError(RuntimeError):
     """A stage failed; the run is marked failed in the ledger (unlike the reference, T21)."""
 
@@ -295,7 +258,7 @@ class LedgerPipeline:
         staging_chunks = offsets.groupBy("pipeline_run_id").agg(
             F.ceil(F.sum("_n") / F.max("chunk_size")).cast("long").alias("staging_chunks"))
         chunks = self.ws.read_current("validated_chunks", CHUNK_TABLE, current)
-        dead = read_or_empty(self.spark, self.ws.dead_letter_path, DEAD_LETTER_TABLE)
+        dead = read_or_empty(self.spark, self.ws.dead_letter_path, DEAD_LETTER)
         runs = None
         if run_ids is not None:
             runs = self.spark.createDataFrame([(r,) for r in run_ids], "pipeline_run_id string")

@@ -88,39 +88,41 @@ LEDGER_EVENTS = T.StructType(
     ]
 )
 
-LEDGER_STATE = T.StructType(
+# Offsets of a staged attempt: one row per sorted partition.
+OFFSETS = T.StructType(
     [
         T.StructField("pipeline_run_id", T.StringType(), False),
-        T.StructField("last_watermark", T.TimestampNTZType(), False),
-        T.StructField("chunks_completed", T.IntegerType(), False),
-        T.StructField("total_chunks", T.IntegerType(), True),
-        T.StructField("status", T.StringType(), False),
-        T.StructField("started_at", T.TimestampNTZType(), False),
-        T.StructField("updated_at", T.TimestampNTZType(), False),
+        T.StructField("_part", T.IntegerType(), False),
+        T.StructField("_first", T.LongType(), False),
+        T.StructField("_n", T.LongType(), False),
+        T.StructField("_offset", T.LongType(), False),
+        T.StructField("chunk_size", T.IntegerType(), False),
+    ]
+)
+
+# Per-chunk table of a validated attempt: an empty chunk still has a row.
+CHUNK_TABLE = T.StructType(
+    [
+        T.StructField("pipeline_run_id", T.StringType(), False),
+        T.StructField("chunk_index", T.IntegerType(), False),
+        T.StructField("raw_rows", T.LongType(), False),
+        T.StructField("valid_rows", T.LongType(), False),
+        T.StructField("source_high_watermark", T.TimestampNTZType(), False),
     ]
 )
 
+# Dead letters: append-only, one row per rejected record, all its codes.
 DEAD_LETTER = T.StructType(
     [
         T.StructField("pipeline_run_id", T.StringType(), False),
         T.StructField("attempt", T.StringType(), False),
         T.StructField("chunk_index", T.IntegerType(), False),
         T.StructField("payload", T.StringType(), False),
-        T.StructField("errors", T.ArrayType(T.StringType(), False), False),
+        T.StructField("errors", T.ArrayType(T.StringType(), True), False),
         T.StructField("error_message", T.StringType(), False),
         T.StructField("attempt_count", T.IntegerType(), False),
         T.StructField("failed_at", T.TimestampNTZType(), False),
     ]
 )
 
-# Per-chunk table of a validated attempt: an empty chunk still has a row.
-CHUNKS = T.StructType(
-    [
-        T.StructField("chunk_index", T.IntegerType(), False),
-        T.StructField("raw_rows", T.LongType(), False),
-        T.StructField("valid_rows", T.LongType(), False),
-        T.StructField("source_high_watermark", T.TimestampNTZType(), False),
-    ]
-)
-
 LEDGER_STATUSES = ("running", "completed", "failed")

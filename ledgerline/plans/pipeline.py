@@ -47,6 +47,7 @@ class PipelineConfig:
     on_malformed: str = "stop"  # V18: 'stop' the run, or 'dead_letter' the malformed rows
     buckets: int = 64
     files_per_bucket: int = 1
+    bucket_width: int | None = None  # range buckets on a rising integral key (see BucketTable)
 
     def __post_init__(self) -> None:
         X.check_parameters(self.chunk_size, self.overlap_minutes)
@@ -106,9 +107,10 @@ class LedgerPipeline:
         self.ledger = LedgerStore(spark, self.ws.ledger_path)
         self.target = BucketTable(
             spark, f"{self.ws.root}/financial_records", FINANCIAL_RECORDS, contract.key,
-            self.config.buckets, self.config.files_per_bucket,
+            self.config.buckets, self.config.files_per_bucket, self.config.bucket_width,
         )
         self._offsets: dict[tuple[str, str], list] = {}  # per attempt, one row per sorted partition
+        self._attempts: dict[str, str | None] = {}  # attempts this instance wrote to the ledger
 
     # -------------------------------------------------------------- K1
     def resume_point(self) -> tuple[_dt.datetime, _dt.datetime, _dt.datetime | None]:
@@ -117,6 +119,10 @@ class LedgerPipeline:
         return row["extract_since"], row["initial_watermark"], row["last_completed_watermark"]
 
     def _attempt(self, run_id: str) -> str | None:
+        """The run's current attempt: the one this instance started, else from the ledger
+        (stages may run in separate processes)."""
+        if run_id in self._attempts:
+            return self._attempts[run_id]
         st = self.ledger.state(run_id)
         return st["attempt"] if st else None
 
@@ -131,6 +137,7 @@ class LedgerPipeline:
             ("attempt", {"attempt": None}),
             ("start", {"last_watermark": initial, "attempt": attempt, "status": "running"}),
         ])
+        self._attempts[run_id] = attempt
         self.ws.clear_run(run_id)
         extract = X.incremental_extract(source, since) if use_watermark else source.select(*self.contract.columns)
         staged_path = self.ws.buffer("staging_rows", run_id, attempt)
@@ -268,6 +275,7 @@ class LedgerPipeline:
     def run_finalize(self, run_id: str, now: _dt.datetime, summary: dict | None = None, status: str = "completed") -> dict:
         # K8, then A8: hide the buffers in the same commit, then delete them.
         self.ledger.append_many(run_id, now, [("finish", {"status": L.check_status(status)}), ("attempt", {"attempt": None})])
+        self._attempts[run_id] = None
         self.ws.clear_run(run_id)
         return {"pipeline_run_id": run_id, "status": status, "dlq_count": (summary or {}).get("dlq_count", 0)}
 

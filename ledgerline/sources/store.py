@@ -122,20 +122,29 @@ class Workspace:
 MANIFEST = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
-        T.StructField("bucket", T.IntegerType(), False),
+        T.StructField("bucket", T.LongType(), False),
         T.StructField("path", T.StringType(), True),
     ]
 )
 
 
 class BucketTable:
-    """A keyed Parquet table stored as hash buckets under versions.
-
-    ``bucket = pmod(xxhash64(key), buckets)``. An upsert reads only the buckets its
-    changes hit, writes them whole under a new version folder, then appends one manifest
-    file ``(version, bucket, path)``. A reader takes, per bucket, the path of the newest
-    version in the manifest; untouched buckets keep their old files. Single writer:
-    the caller (the ledger) orders the loads.
+    """A keyed Parquet table stored as buckets under versions.
+
+    Two bucket rules:
+
+    * hash (default): ``bucket = pmod(xxhash64(key), buckets)`` — any key, a fixed number
+      of buckets; a change set with scattered keys touches most buckets.
+    * range (``bucket_width`` set, one integral key): ``bucket = key div bucket_width`` —
+      for a rising key (``BIGSERIAL``) new rows land in the last buckets and updates of
+      recent rows stay near them, so an incremental run rewrites a few buckets, not the
+      table. The number of buckets grows with the key range (``max_key / bucket_width``);
+      choose the width so that it stays in the tens of thousands.
+
+    An upsert reads only the buckets its changes hit, writes them whole under a new
+    version folder, then appends one manifest file ``(version, bucket, path)``. A reader
+    takes, per bucket, the path of the newest version; untouched buckets keep their old
+    files. Single writer: the caller (the ledger) orders the loads.
     """
 
     def __init__(
@@ -146,6 +155,7 @@ class BucketTable:
         key: Sequence[str],
         buckets: int = 64,
         files_per_bucket: int = 1,
+        bucket_width: int | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -153,13 +163,18 @@ class BucketTable:
         self.key = list(key)
         self.buckets = buckets
         self.files_per_bucket = files_per_bucket
+        self.bucket_width = bucket_width
+        if bucket_width is not None and (len(self.key) != 1 or bucket_width < 1):
+            raise ValueError("range buckets need one integral key and bucket_width >= 1")
 
     @property
     def manifest_path(self) -> str:
         return f"{self.path}/_manifest"
 
     def bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.key]), F.lit(self.buckets)).cast("int")
+        if self.bucket_width is not None:
+            return F.floor(F.col(self.key[0]) / F.lit(self.bucket_width)).cast("long")
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.key]), F.lit(self.buckets)).cast("long")
 
     def manifest(self) -> DataFrame:
         return read_or_empty(self.spark, self.manifest_path, MANIFEST)

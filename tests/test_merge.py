@@ -71,3 +71,16 @@ def test_replay_is_idempotent(spark):
     once = M.upsert(target, changes, ["k"], ["v"])
     twice = M.upsert(once, changes, ["k"], ["v"])
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_range_buckets_touch_only_new_ranges(spark, root):
+    table = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], bucket_width=100)
+    table.upsert(spark.createDataFrame([rec(i, "1.00", T) for i in range(1, 1001)], FINANCIAL_RECORDS), [F.col("updated_at")])
+    before = table.current_paths()
+    assert len(before) == 11  # ids 1..1000 in ranges 0..10
+    new = [rec(i, "2.00", T) for i in range(1001, 1051)] + [rec(999, "3.00", T)]
+    table.upsert(spark.createDataFrame(new, FINANCIAL_RECORDS), [F.col("updated_at")])
+    after = table.current_paths()
+    assert sorted(b for b in after if after[b] != before.get(b)) == [9, 10]  # only the touched ranges
+    got = {r["transaction_id"]: r["amount"] for r in table.read().collect()}
+    assert len(got) == 1050 and got[999] == Decimal("3.00") and got[1] == Decimal("1.00")

@@ -30,7 +30,7 @@ from ..operators import validate as V
 from ..operators.load import load_projection
 from ..operators.ranking import apply_offsets, chunk_of, partition_offsets, tag_sorted
 from ..schemas import CHUNK_TABLE, DEAD_LETTER, EPOCH, FINANCIAL_RECORDS, LEDGER_EVENTS, OFFSETS
-from ..sources.store import BucketTable, Workspace, delete_path, read_or_empty
+from ..sources.store import BucketTable, Workspace, commit_records, delete_path, read_or_empty, read_records
 from . import ledger as L
 from . import report as P
 
@@ -65,7 +65,7 @@ class LedgerStore:
         self._states: dict[str, dict | None] = {}  # fold of one run, until its next event
 
     def events(self) -> DataFrame:
-        return read_or_empty(self.spark, self.path, LEDGER_EVENTS)
+        return read_records(self.spark, self.path, LEDGER_EVENTS)
 
     def current(self) -> DataFrame:
         return L.fold(self.events())
@@ -83,7 +83,7 @@ class LedgerStore:
         """Append events of one run in order, as one file (one commit); returns the last seq."""
         first = self.next_seq()
         rows = [{"seq": first + i, "pipeline_run_id": run_id, "event": e, "at": at, **v} for i, (e, v) in enumerate(events)]
-        L.event_rows(self.spark, rows).coalesce(1).write.mode("append").parquet(self.path)
+        commit_records(self.spark, self.path, f"{first:020d}.json", rows)
         self._seq = first + len(rows) - 1
         self._states.pop(run_id, None)
         return self._seq
@@ -150,8 +150,8 @@ class LedgerPipeline:
         # The offset table has one row per sorted partition (bounded by the shuffle
         # partition count): it comes to the driver once and is written beside the rows.
         offset_rows = offsets.collect()
-        self.spark.createDataFrame(offset_rows, OFFSETS).coalesce(1).write.parquet(
-            self.ws.buffer("staging_offsets", run_id, attempt))
+        commit_records(self.spark, self.ws.buffer("staging_offsets", run_id, attempt), "offsets.json",
+                       [r.asDict() for r in offset_rows])
         self._offsets[(run_id, attempt)] = offset_rows
         rows = sum(r["_n"] for r in offset_rows)
         total = math.ceil(int(rows) / cfg.chunk_size)
@@ -166,7 +166,7 @@ class LedgerPipeline:
         staged = self.spark.read.parquet(self.ws.buffer("staging_rows", run_id, attempt))
         if (run_id, attempt) not in self._offsets:
             path = self.ws.buffer("staging_offsets", run_id, attempt)
-            self._offsets[(run_id, attempt)] = self.spark.read.schema(OFFSETS).parquet(path).collect()
+            self._offsets[(run_id, attempt)] = read_records(self.spark, path, OFFSETS).collect()
         offset_rows = self._offsets[(run_id, attempt)]
         offsets = self.spark.createDataFrame(offset_rows, OFFSETS)
         size = offset_rows[0]["chunk_size"] if offset_rows else self.config.chunk_size
@@ -261,7 +261,7 @@ class LedgerPipeline:
     # -------------------------------------------------------------- P4
     def run_metrics(self, run_ids: list[str] | None = None) -> DataFrame:
         current = self.ledger.current()
-        offsets = self.ws.read_current("staging_offsets", OFFSETS, current)
+        offsets = self.ws.read_current("staging_offsets", OFFSETS, current, fmt="json")
         staging_chunks = offsets.groupBy("pipeline_run_id").agg(
             F.ceil(F.sum("_n") / F.max("chunk_size")).cast("long").alias("staging_chunks"))
         chunks = self.ws.read_current("validated_chunks", CHUNK_TABLE, current)

@@ -18,7 +18,10 @@ Layout under ``root``::
 
 from __future__ import annotations
 
+import datetime as _dt
+import decimal
 import hashlib
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -49,25 +52,77 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def has_parquet(spark: SparkSession, path: str) -> bool:
-    """True when the folder holds any data file below it."""
+def has_data_file(spark: SparkSession, path: str, suffix: str) -> bool:
+    """True when the folder holds any visible data file with ``suffix`` below it."""
     if not path_exists(spark, path):
         return False
     fs, p = _fs_path(spark, path)
     files = fs.listFiles(p, True)
     while files.hasNext():
         name = files.next().getPath().getName()
-        if name.endswith(".parquet"):
+        if name.endswith(suffix) and not name.startswith(("_", ".")):
             return True
     return False
 
 
+def has_parquet(spark: SparkSession, path: str) -> bool:
+    return has_data_file(spark, path, ".parquet")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     if has_parquet(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
 
+# Small commit records (ledger events, manifest rows, offset tables) are JSON-lines files
+# written through the Hadoop FileSystem API: no Spark job for a few rows. Each file is
+# written under a hidden name, then renamed (atomic on HDFS), so a reader never sees half
+# a record; creating an existing name fails, which stops a second writer.
+RECORD_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def _json_value(v):
+    if isinstance(v, _dt.datetime):
+        return v.strftime("%Y-%m-%dT%H:%M:%S.%f")
+    if isinstance(v, decimal.Decimal):
+        return str(v)
+    return v
+
+
+def commit_records(spark: SparkSession, folder: str, name: str, rows: Sequence[dict]) -> None:
+    jvm = spark.sparkContext._jvm
+    fs, dir_p = _fs_path(spark, folder)
+    fs.mkdirs(dir_p)
+    final = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    if fs.exists(final):
+        raise FileExistsError(f"record {folder}/{name} exists: another writer?")
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{folder}/_tmp-{uuid.uuid4().hex}-{name}")
+    data = "\n".join(json.dumps({k: _json_value(v) for k, v in r.items()}) for r in rows) + "\n"
+    out = fs.create(tmp, False)
+    try:
+        out.write(bytearray(data.encode("utf-8")))
+    finally:
+        out.close()
+    if not fs.rename(tmp, final):
+        fs.delete(tmp, False)
+        raise FileExistsError(f"could not commit record {folder}/{name}")
+
+
+def has_records(spark: SparkSession, folder: str) -> bool:
+    if not path_exists(spark, folder):
+        return False
+    fs, p = _fs_path(spark, folder)
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
+
+
+def read_records(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """All committed record files of a folder (hidden temp files are skipped by Spark)."""
+    if not has_records(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("timestampNTZFormat", RECORD_TIME_FORMAT).json(folder)
+
+
 def run_folder(run_id: str) -> str:
     """A filesystem-safe, stable folder name for any run id (ids may hold ':' or '+')."""
     return "r" + hashlib.sha1(run_id.encode()).hexdigest()[:20]
@@ -104,15 +159,16 @@ class Workspace:
         for kind in self.BUFFERS:
             delete_path(self.spark, f"{self.root}/{kind}/run={run_folder(run_id)}")
 
-    def read_current(self, kind: str, schema: T.StructType, current: DataFrame) -> DataFrame:
+    def read_current(self, kind: str, schema: T.StructType, current: DataFrame, fmt: str = "parquet") -> DataFrame:
         """Rows of the current attempts only: the whole dataset semi-joined with
         ``current`` (pipeline_run_id, attempt) from the ledger, so a stale attempt left by
-        a crash is never read."""
+        a crash is never read. ``fmt='json'`` for record files (offset tables)."""
         path = self.dataset(kind)
-        if not has_parquet(self.spark, path):
+        if not has_data_file(self.spark, path, ".json" if fmt == "json" else ".parquet"):
             return self.spark.createDataFrame([], schema)
         full = T.StructType(schema.fields + [T.StructField("run", T.StringType()), T.StructField("attempt", T.StringType())])
-        df = self.spark.read.schema(full).option("basePath", path).parquet(path)
+        reader = self.spark.read.schema(full).option("basePath", path)
+        df = reader.option("timestampNTZFormat", RECORD_TIME_FORMAT).json(path) if fmt == "json" else reader.parquet(path)
         live = current.where(F.col("attempt").isNotNull()).select("pipeline_run_id", "attempt")
         return df.join(live, ["pipeline_run_id", "attempt"], "left_semi").drop("run", "attempt")
 
@@ -177,7 +233,7 @@ class BucketTable:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.key]), F.lit(self.buckets)).cast("long")
 
     def manifest(self) -> DataFrame:
-        return read_or_empty(self.spark, self.manifest_path, MANIFEST)
+        return read_records(self.spark, self.manifest_path, MANIFEST)
 
     def version(self) -> int:
         v = self.manifest().agg(F.max("version")).first()[0]
@@ -235,8 +291,6 @@ class BucketTable:
             .partitionBy("bucket")
             .parquet(folder)
         )
-        written = self.spark.createDataFrame(
-            [(version, b, f"{folder}/bucket={b}") for b in touched], MANIFEST
-        )
-        written.coalesce(1).write.mode("append").parquet(self.manifest_path)
+        commit_records(self.spark, self.manifest_path, f"v{version:010d}.json",
+                       [{"version": version, "bucket": b, "path": f"{folder}/bucket={b}"} for b in touched])
         return version

@@ -18,11 +18,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.temporal import extract_since, ntz
-from ..schemas import EPOCH, LEDGER_EVENTS, LEDGER_STATUSES
+from ..schemas import EPOCH, LEDGER_STATUSES
 
 EVENT_KINDS = ("start", "total", "advance", "finish", "attempt")
 
@@ -34,12 +34,6 @@ def check_status(status: str) -> str:
     return status
 
 
-def event_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
-    """A small DataFrame of ledger events (driver-side values of one state change)."""
-    full = [tuple(r.get(f.name) for f in LEDGER_EVENTS.fields) for r in rows]
-    return spark.createDataFrame(full, LEDGER_EVENTS)
-
-
 def fold(events: DataFrame) -> DataFrame:
     """K9: current row per run from its events (the ledger table of the reference)."""
     by_run = events.groupBy("pipeline_run_id")

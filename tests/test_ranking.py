@@ -30,3 +30,18 @@ def test_ties_1200_rows_chunk_500(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "transaction_id long, updated_at timestamp_ntz")
     assert assign_chunks(df, 5).count() == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(times=st.lists(st.integers(min_value=0, max_value=5), min_size=0, max_size=300), parts=st.integers(1, 9))
+def test_position_property(spark, times, parts):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i + 1, base + dt.timedelta(seconds=t)) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "transaction_id long, updated_at timestamp_ntz").repartition(parts)
+    got = sorted((r["transaction_id"], r["position"]) for r in global_position(df, ["updated_at", "transaction_id"]).collect())
+    want = sorted((tid, n + 1) for n, (tid, _) in enumerate(sorted(rows, key=lambda r: (r[1], r[0]))))
+    assert got == want

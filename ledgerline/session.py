@@ -31,6 +31,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` on ``total_cores`` executor cores.
+
+    Shuffle partitions are sized so that one partition of the largest shuffle (the range
+    sort of the change set, or the bucket rewrite) stays near ``target_partition_bytes``
+    and fits in executor memory; AQE coalesces small ones and splits skewed join
+    partitions at run time. Example: 100 TB on 1,000 executors x 8 cores gives about
+    400,000 shuffle partitions of 256 MiB.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 

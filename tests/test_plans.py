@@ -41,3 +41,11 @@ def test_dedupe_combines_map_side(spark):
     ev = Fixtures(spark, SF).table("events")
     plan = plan_text(M.latest_per_key(ev, ["user_id"], ["ts", "event_id"]))
     assert "partial_max_by" in plan  # partial aggregation before the shuffle: hot keys stay cheap
+
+
+def test_cluster_settings_scale():
+    from ledgerline.session import cluster_settings
+
+    conf = cluster_settings(100 * 10**12, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) > 300_000
+    assert cluster_settings(10**6, 8)["spark.sql.shuffle.partitions"] == "16"

@@ -26,8 +26,10 @@ def latest_per_key(
     df: DataFrame,
     key: Sequence[str],
     order: Sequence[str | Column],
+    earliest: bool = False,
 ) -> DataFrame:
-    """The row with the greatest ``order`` per key (order must be unique per key).
+    """The row with the greatest ``order`` per key (the least with ``earliest``); the
+    order must be unique per key.
 
     ``groupBy(key).agg(max_by(struct(row), struct(order)))`` — partial aggregation keeps
     hot keys cheap. ``order`` may name columns of ``df`` or be expressions over them.
@@ -36,7 +38,8 @@ def latest_per_key(
     rest = [c for c in df.columns if c not in key]
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     ordering = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order_cols)])
-    best = F.max_by(F.struct(*_cols(rest)), ordering).alias("_row")
+    pick = F.min_by if earliest else F.max_by
+    best = pick(F.struct(*_cols(rest)), ordering).alias("_row")
     if not rest:
         return df.select(*key).distinct()
     return df.groupBy(*key).agg(best).select(*key, "_row.*").select(*df.columns)

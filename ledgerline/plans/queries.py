@@ -233,7 +233,7 @@ def upsert_stale_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     upsert keeps the newer row, shown next to it."""
     events = _events(spark, sf_dir)
     newest = M.latest_per_key(events, EVENT_KEY, EVENT_ORDER)
-    oldest = M.latest_per_key(events, EVENT_KEY, [F.unix_micros(F.col("ts").cast("timestamp")) * -1, F.col("event_id") * -1])
+    oldest = M.latest_per_key(events, EVENT_KEY, EVENT_ORDER, earliest=True)
     plain = M.upsert(newest, oldest, EVENT_KEY, EVENT_ORDER)
     guarded = M.upsert(newest, oldest, EVENT_KEY, EVENT_ORDER, guard="ts")
     return plain.select("user_id", "event_id", "ts").join(

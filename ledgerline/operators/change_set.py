@@ -25,17 +25,25 @@ def top_keys(df: DataFrame, where: Column, order: Sequence[str | Column], key: S
     return df.where(where).orderBy(*order).limit(k).select(*key)
 
 
+BROADCAST_KEYS = 1_000_000
+
+
 def keyed_update(
     df: DataFrame,
     keys: DataFrame,
     key: Sequence[str],
     assignments: dict[str, Column],
+    max_keys: int | None = None,
 ) -> DataFrame:
     """M5: ``UPDATE t SET ... WHERE key IN (keys)`` — a left join flag and ``when``.
 
-    ``keys`` is bounded by the caller (here at most ``k`` rows), so it is broadcast.
+    ``max_keys`` is the caller's bound on ``keys`` (the ``k`` of a top-k); under
+    ``BROADCAST_KEYS`` rows the keys are broadcast, otherwise Spark picks the join.
     """
-    flagged = df.join(F.broadcast(keys.withColumn("_hit", F.lit(True))), list(key), "left")
+    hits = keys.withColumn("_hit", F.lit(True))
+    if max_keys is not None and max_keys <= BROADCAST_KEYS:
+        hits = F.broadcast(hits)
+    flagged = df.join(hits, list(key), "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     out = [F.when(hit, assignments[c]).otherwise(F.col(c)).alias(c) if c in assignments else F.col(c) for c in df.columns]
     return flagged.select(*out)
@@ -45,7 +53,7 @@ def oldest_pending_to_completed(txn: DataFrame, now: _dt.datetime, k: int = 200)
     """The 200 oldest pending rows (by ``created_at``, then key) become completed, and
     their ``updated_at`` is bumped to ``now``."""
     keys = top_keys(txn, F.col("status") == "pending", ["created_at", "transaction_id"], ["transaction_id"], k)
-    return keyed_update(txn, keys, ["transaction_id"], {"status": F.lit("completed"), "updated_at": ntz(now)})
+    return keyed_update(txn, keys, ["transaction_id"], {"status": F.lit("completed"), "updated_at": ntz(now)}, max_keys=k)
 
 
 def numbered(df: DataFrame, order: Sequence[str], name: str = "rn", materialize: Materialize | None = None) -> DataFrame:

@@ -19,6 +19,10 @@ from ..session import checkpoint_root
 
 Materialize = Callable[[DataFrame], DataFrame]
 
+# The offset table has one row per sorted partition (three longs and an int). Up to this
+# many rows (about 50 MB) it is broadcast; above it, it is joined by a shuffle.
+MAX_BROADCAST_PARTITIONS = 2_000_000
+
 
 def checkpoint_materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
@@ -47,11 +51,18 @@ def partition_offsets(tagged: DataFrame) -> DataFrame:
     return counts.select("_part", "_first", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
 
 
-def apply_offsets(tagged: DataFrame, offsets: DataFrame, name: str = "position") -> DataFrame:
-    """Position from 1 for each tagged row; drops the tag columns."""
+def apply_offsets(tagged: DataFrame, offsets: DataFrame, name: str = "position", partitions: int | None = None) -> DataFrame:
+    """Position from 1 for each tagged row; drops the tag columns.
+
+    ``partitions`` is the number of sorted partitions (the offset table's row bound); the
+    table is broadcast only when that bound is known and under the limit.
+    """
     pos = F.col("_offset") + (F.col("_tick") - F.col("_first")) + 1
+    small = offsets.select("_part", "_first", "_offset")
+    if partitions is not None and partitions <= MAX_BROADCAST_PARTITIONS:
+        small = F.broadcast(small)
     return (
-        tagged.join(F.broadcast(offsets.select("_part", "_first", "_offset")), "_part")
+        tagged.join(small, "_part")
         .withColumn(name, pos.cast("long"))
         .drop("_part", "_tick", "_first", "_offset")
     )
@@ -65,7 +76,8 @@ def global_position(
 ) -> DataFrame:
     """``row_number() over (order by ...)``, computed without a one-task window."""
     tagged = (materialize or checkpoint_materialize)(tag_sorted(df, order))
-    return apply_offsets(tagged, partition_offsets(tagged), name)
+    # A materialised frame knows its partition count without a job: that bounds the table.
+    return apply_offsets(tagged, partition_offsets(tagged), name, tagged.rdd.getNumPartitions())
 
 
 def chunk_of(position: Column, chunk_size: int) -> Column:
@@ -85,8 +97,9 @@ def running_max(
 
     ``order_col`` is a dense integer index (a chunk index). Rows are grouped in blocks of
     ``block`` indexes; the block maxima (one row per block, so rows / block rows) are
-    scanned in one small window and broadcast back; inside a block the window is
-    partitioned by block, so no task holds more than ``block`` rows.
+    scanned in one small window and joined back (Spark broadcasts it by its measured
+    size); inside a block the window is partitioned by block, so no task holds more than
+    ``block`` rows.
     """
     blk = F.floor(F.col(order_col) / F.lit(block)).cast("long")
     with_blk = df.withColumn("_blk", blk)
@@ -99,7 +112,7 @@ def running_max(
     if initial is not None:
         running = F.greatest(running, initial)
     return (
-        with_blk.join(F.broadcast(prior), "_blk")
+        with_blk.join(prior, "_blk")
         .withColumn(out_col, running)
         .drop("_blk", "_prior")
     )

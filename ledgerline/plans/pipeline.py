@@ -170,7 +170,7 @@ class LedgerPipeline:
         offset_rows = self._offsets[(run_id, attempt)]
         offsets = self.spark.createDataFrame(offset_rows, OFFSETS)
         size = offset_rows[0]["chunk_size"] if offset_rows else self.config.chunk_size
-        return apply_offsets(staged, offsets.drop("pipeline_run_id", "chunk_size", "_n")).withColumn(
+        return apply_offsets(staged, offsets.drop("pipeline_run_id", "chunk_size", "_n"), partitions=len(offset_rows)).withColumn(
             "chunk_index", chunk_of(F.col("position"), size)
         )
 

@@ -301,17 +301,25 @@ FINANCIAL_RECORD_CONTRACT = TRANSACTION_CONTRACT
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a narrow input over the cluster's cores before CPU-heavy rules.
+    """Spread a small input over the cluster's cores before CPU-heavy rules.
 
-    Fires only when the input has fewer partitions than ``defaultParallelism`` (one small
-    file is one task); a large input is left as it is, so no shuffle is added at scale.
+    Decided from the optimizer's size estimate, so nothing runs: when the input is smaller
+    than one file split per core (one small file is one task, whatever its rows), rows are
+    dealt round-robin to ``defaultParallelism`` partitions. A large input already has many
+    splits and is left as it is, so no shuffle is added at scale.
     """
-    sc = df.sparkSession.sparkContext
     if df.isStreaming:
         return df
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        jconf = spark._jsparkSession.sessionState().conf()
+        split = int(jconf.filesMaxPartitionBytes())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: leave the input as it is
+        return df
+    if size < split * cores:
+        return df.repartition(cores)
     return df
 
 

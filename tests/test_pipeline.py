@@ -126,3 +126,23 @@ def test_rerun_same_id_replaces_buffers(spark, root):
     assert m["staging_chunks"] == 2 and m["validated_chunks"] == 2  # old attempt not counted
     assert st["chunks_completed"] == 4 and st["total_chunks"] == 2
     assert p.table().count() == 10  # replay: same target state
+
+
+def test_stages_in_separate_processes(spark, root, tmp_path):
+    """Each stage through the CLI runner with a fresh pipeline object: state lives in the
+    ledger and the storage root only (the reference runs each stage as its own task)."""
+    from ledgerline.cli import run
+
+    src = str(tmp_path / "src")
+    rows(spark, 10, bad={4}).write.parquet(src)
+    common = ["--root", root, "--run-id", RUN, "--chunk-size", "5", "--buckets", "4", "--now", NOW.isoformat()]
+    ext = run(["extract", "--source-path", src, *common], spark)
+    assert ext["row_count"] == 10 and ext["chunk_count"] == 2
+    assert run(["validate", *common], spark)["dlq_count"] == 1
+    assert run(["load", *common], spark)["records_loaded"] == 9
+    rep = run(["report", *common], spark)
+    assert rep["staging_chunks"] == 2 and rep["checkpoint_status"] == "running"
+    assert run(["finalize", "--dlq-count", "1", *common], spark)["status"] == "completed"
+    nxt = run(["extract", "--source-path", src, *common[:2], "--run-id", "next", "--chunk-size", "5", "--now", NOW.isoformat()],
+              spark)
+    assert nxt["extract_since"] == "2026-04-17T12:05:00"  # 12:10 minus the overlap

@@ -30,7 +30,17 @@ from ..operators import validate as V
 from ..operators.load import load_projection
 from ..operators.ranking import apply_offsets, chunk_of, partition_offsets, tag_sorted
 from ..schemas import CHUNK_TABLE, DEAD_LETTER, EPOCH, FINANCIAL_RECORDS, LEDGER_EVENTS, OFFSETS
-from ..sources.store import BucketTable, Workspace, commit_records, delete_path, read_or_empty, read_records
+from ..sources.store import (
+    RECORD_TIME_FORMAT,
+    BucketTable,
+    Workspace,
+    _fs_path,
+    commit_records,
+    delete_path,
+    path_exists,
+    read_or_empty,
+    read_records,
+)
 from . import ledger as L
 from . import report as P
 
@@ -64,8 +74,70 @@ class LedgerStore:
         self._seq: int | None = None  # single writer: the last seq, read once
         self._states: dict[str, dict | None] = {}  # fold of one run, until its next event
 
+    def _live_files(self) -> list[str]:
+        """Event files a reader folds: the newest snapshot and the files after it.
+
+        Names are ``<first seq>.json`` for events and ``snapshot-<seq>.json`` for a
+        compaction; older files may still exist while a compaction cleans up.
+        """
+        if not path_exists(self.spark, self.path):
+            return []
+        fs, p = _fs_path(self.spark, self.path)
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        names = [n for n in names if n.endswith(".json") and not n.startswith(("_", "."))]
+        snaps = sorted(n for n in names if n.startswith("snapshot-"))
+        upto = int(snaps[-1][len("snapshot-"):-5]) if snaps else 0
+        live = [n for n in names if not n.startswith("snapshot-") and int(n[:-5]) > upto]
+        return [f"{self.path}/{n}" for n in (snaps[-1:] + sorted(live))]
+
     def events(self) -> DataFrame:
-        return read_records(self.spark, self.path, LEDGER_EVENTS)
+        files = self._live_files()
+        if not files:
+            return self.spark.createDataFrame([], LEDGER_EVENTS)
+        return self.spark.read.schema(LEDGER_EVENTS).option("timestampNTZFormat", RECORD_TIME_FORMAT).json(files)
+
+    def compact(self) -> int:
+        """Fold the ledger into one snapshot file and delete the files it replaces.
+
+        For each run the snapshot holds synthetic events that fold to the run's current
+        row (start, total, advance, finish, attempt). Readers switch to it as soon as it is
+        committed, so the deletes afterwards change nothing they see. Returns the seq the
+        snapshot covers. Runs through Spark; only the file names reach the driver.
+        """
+        upto = self.next_seq() - 1
+        if upto <= 0:
+            return 0
+        old = self._live_files()
+        cur = self.current()
+        lit = F.lit
+        ev = lambda event, seq, **cols: cur.select(
+            lit(seq).cast("long").alias("seq"), "pipeline_run_id", lit(event).alias("event"),
+            *[(cols[c] if c in cols else lit(None)).cast(f.dataType).alias(c)
+              for c, f in ((f.name, f) for f in LEDGER_EVENTS.fields) if c not in ("seq", "pipeline_run_id", "event")],
+        )
+        snap = (
+            ev("start", upto - 4, last_watermark=F.col("last_watermark"), at=F.col("started_at"))
+            .unionByName(ev("total", upto - 3, total_chunks=F.col("total_chunks"), at=F.col("updated_at"))
+                         .where(F.col("total_chunks").isNotNull()))
+            .unionByName(ev("advance", upto - 2, last_watermark=F.col("last_watermark"),
+                            chunks_delta=F.col("chunks_completed"), at=F.col("updated_at")))
+            .unionByName(ev("finish", upto - 1, status=F.col("status"), at=F.col("updated_at"))
+                         .where(F.col("status") != "running"))
+            .unionByName(ev("attempt", upto, attempt=F.col("attempt"), at=F.col("updated_at")))
+        )
+        tmp = f"{self.path}/_snapshot-{upto:020d}-tmp"
+        snap.coalesce(1).write.option("timestampNTZFormat", RECORD_TIME_FORMAT).json(tmp)
+        fs, _ = _fs_path(self.spark, tmp)
+        jvm = self.spark.sparkContext._jvm
+        part = [st.getPath() for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(tmp))
+                if st.getPath().getName().startswith("part-")][0]
+        if not fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{self.path}/snapshot-{upto:020d}.json")):
+            raise FileExistsError(f"snapshot {upto} exists")
+        delete_path(self.spark, tmp)
+        for f in old:
+            delete_path(self.spark, f)
+        self._states.clear()
+        return upto
 
     def current(self) -> DataFrame:
         return L.fold(self.events())

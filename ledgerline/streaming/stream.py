@@ -23,11 +23,17 @@ def stream_run_id(name: str, batch_id: int) -> str:
     return f"stream-{name}-{batch_id}"
 
 
-def upsert_batches(pipeline: LedgerPipeline, name: str, now: Callable[[], _dt.datetime]) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: one pipeline run per micro-batch."""
+def upsert_batches(
+    pipeline: LedgerPipeline, name: str, now: Callable[[], _dt.datetime], compact_every: int | None = 100
+) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function: one pipeline run per micro-batch; every
+    ``compact_every`` batches the ledger is folded into a snapshot (a long-running stream
+    would otherwise leave a few small files per batch)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         pipeline.run_pipeline(stream_run_id(name, batch_id), batch, now(), finalize=True, use_watermark=False)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            pipeline.ledger.compact()
 
     return handle
 
@@ -41,10 +47,11 @@ def start_upsert_stream(
     now: Callable[[], _dt.datetime] | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    compact_every: int | None = 100,
 ) -> StreamingQuery:
     """Start the stream; ``available_now`` drains what exists and stops (a scheduled run)."""
     stamp = now or (lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
-    writer = stream.writeStream.foreachBatch(upsert_batches(pipeline, name, stamp)).option(
+    writer = stream.writeStream.foreachBatch(upsert_batches(pipeline, name, stamp, compact_every)).option(
         "checkpointLocation", checkpoint
     ).queryName(f"ledgerline_{name}")
     if available_now:

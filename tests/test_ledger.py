@@ -81,3 +81,24 @@ def test_progress_running_max(spark):
     got = L.progress(chunks, T0 + dt.timedelta(minutes=4), base_completed=2, block=2).orderBy("chunk_index").collect()
     assert [(r["last_watermark"] - T0).seconds // 60 for r in got] == [5, 5, 9, 9, 9, 12, 12]
     assert [r["chunks_completed"] for r in got] == [3, 4, 5, 6, 7, 8, 9]
+
+
+def test_compaction_keeps_every_run_state(spark, root):
+    st = store(spark, root)
+    st.append("a", "start", h(0), last_watermark=h(1), attempt="a1")
+    st.append("a", "total", h(0), total_chunks=3)
+    st.append("a", "advance", h(1), last_watermark=h(4), chunks_delta=2)
+    st.append("a", "finish", h(2), status="completed")
+    st.append("a", "attempt", h(2), attempt=None)
+    st.append("b", "start", h(3), last_watermark=h(4), attempt="a9")
+    st.append("ghost", "advance", h(3), last_watermark=h(9), chunks_delta=1)
+    before = sorted(tuple(r) for r in st.current().collect())
+    upto = st.compact()
+    assert upto == 7
+    after = sorted(tuple(r) for r in st.current().collect())
+    assert after == before
+    # events after the snapshot fold on top of it
+    st.append("b", "advance", h(5), last_watermark=h(6), chunks_delta=1)
+    assert st.state("b")["chunks_completed"] == 1 and st.state("b")["last_watermark"] == h(6)
+    assert st.state("a")["status"] == "completed" and st.state("a")["chunks_completed"] == 2
+    assert resume(st)[0] == h(4) - dt.timedelta(minutes=5)

@@ -21,9 +21,10 @@ def test_three_batches_then_restart(spark, tmp_path):
     pipe = LedgerPipeline(spark, root, PipelineConfig(chunk_size=100, buckets=4))
     stream = FX.transactions_raw(FX.transactions(read_stream(spark, f"{landing}/*", orders.schema, max_files=1)))
     ckpt = str(tmp_path / "ckpt")
-    q = start_upsert_stream(spark, stream, pipe, "t", ckpt, now=lambda: NOW)
+    q = start_upsert_stream(spark, stream, pipe, "t", ckpt, now=lambda: NOW, compact_every=2)
     q.awaitTermination()
     assert q.exception() is None
+    assert any(f.split("/")[-1].startswith("snapshot-") for f in pipe.ledger._live_files())  # compacted after batch 1
     states = [pipe.ledger.state(stream_run_id("t", b)) for b in range(3)]
     assert all(s is not None and s["status"] == "completed" for s in states)
     batch = FX.transactions_raw(FX.transactions(orders))

@@ -232,8 +232,54 @@ class BucketTable:
             return F.floor(F.col(self.key[0]) / F.lit(self.bucket_width)).cast("long")
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.key]), F.lit(self.buckets)).cast("long")
 
+    def _manifest_files(self) -> list[str]:
+        """The newest manifest snapshot and the version files after it."""
+        if not path_exists(self.spark, self.manifest_path):
+            return []
+        fs, p = _fs_path(self.spark, self.manifest_path)
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        names = [n for n in names if n.endswith(".json") and not n.startswith(("_", "."))]
+        snaps = sorted(n for n in names if n.startswith("snapshot-v"))
+        upto = int(snaps[-1][len("snapshot-v"):-5]) if snaps else 0
+        live = [n for n in names if n.startswith("v") and int(n[1:-5]) > upto]
+        return [f"{self.manifest_path}/{n}" for n in snaps[-1:] + sorted(live)]
+
     def manifest(self) -> DataFrame:
-        return read_records(self.spark, self.manifest_path, MANIFEST)
+        files = self._manifest_files()
+        if not files:
+            return self.spark.createDataFrame([], MANIFEST)
+        return self.spark.read.schema(MANIFEST).json(files)
+
+    def compact_manifest(self) -> int:
+        """Replace the manifest files by one snapshot of the newest row per bucket
+        (at most one row per bucket). Returns the version it covers."""
+        old = self._manifest_files()
+        heads = self.manifest().groupBy("bucket").agg(F.max("version").alias("version"),
+                                                      F.max_by("path", "version").alias("path")).collect()
+        if not heads:
+            return 0
+        upto = max(int(r["version"]) for r in heads)
+        commit_records(self.spark, self.manifest_path, f"snapshot-v{upto:010d}.json",
+                       [{"version": int(r["version"]), "bucket": int(r["bucket"]), "path": r["path"]} for r in heads])
+        for f in old:
+            delete_path(self.spark, f)
+        return upto
+
+    def vacuum(self) -> int:
+        """Delete data version folders that no current bucket path points into; returns
+        how many were deleted. Run it when no reader uses an older version."""
+        live = {p.rsplit("/bucket=", 1)[0].rstrip("/") for p in self.current_paths().values()}
+        data = f"{self.path}/data"
+        if not path_exists(self.spark, data):
+            return 0
+        fs, p = _fs_path(self.spark, data)
+        gone = 0
+        for st in fs.listStatus(p):
+            folder = st.getPath()
+            if folder.getName().startswith("v=") and not any(x.endswith("/" + folder.getName()) for x in live):
+                fs.delete(folder, True)
+                gone += 1
+        return gone
 
     def version(self) -> int:
         v = self.manifest().agg(F.max("version")).first()[0]

@@ -27,13 +27,14 @@ def upsert_batches(
     pipeline: LedgerPipeline, name: str, now: Callable[[], _dt.datetime], compact_every: int | None = 100
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one pipeline run per micro-batch; every
-    ``compact_every`` batches the ledger is folded into a snapshot (a long-running stream
-    would otherwise leave a few small files per batch)."""
+    ``compact_every`` batches the ledger and the table manifest are folded into snapshots
+    (a long-running stream would otherwise leave a few small files per batch)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         pipeline.run_pipeline(stream_run_id(name, batch_id), batch, now(), finalize=True, use_watermark=False)
         if compact_every and batch_id % compact_every == compact_every - 1:
             pipeline.ledger.compact()
+            pipeline.target.compact_manifest()
 
     return handle
 

@@ -84,3 +84,18 @@ def test_range_buckets_touch_only_new_ranges(spark, root):
     assert sorted(b for b in after if after[b] != before.get(b)) == [9, 10]  # only the touched ranges
     got = {r["transaction_id"]: r["amount"] for r in table.read().collect()}
     assert len(got) == 1050 and got[999] == Decimal("3.00") and got[1] == Decimal("1.00")
+
+
+def test_manifest_compaction_and_vacuum(spark, root):
+    table = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], buckets=4)
+    for v in range(3):
+        table.upsert(spark.createDataFrame([rec(i, f"{v + 1}.00", T) for i in range(1, 21)], FINANCIAL_RECORDS),
+                     [F.col("updated_at")])
+    before = sorted((r["transaction_id"], r["amount"]) for r in table.read().collect())
+    assert table.compact_manifest() == 3
+    assert len(table._manifest_files()) == 1
+    assert table.vacuum() == 2  # versions 1 and 2 are no longer referenced
+    assert sorted((r["transaction_id"], r["amount"]) for r in table.read().collect()) == before
+    table.upsert(spark.createDataFrame([rec(1, "9.00", T)], FINANCIAL_RECORDS), [F.col("updated_at")])
+    assert table.version() == 4
+    assert {r["transaction_id"]: r["amount"] for r in table.read().collect()}[1] == Decimal("9.00")

@@ -25,7 +25,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -228,9 +228,12 @@ class BucketTable:
         return f"{self.path}/_manifest"
 
     def bucket_of(self) -> Column:
+        """Bucket id. Hash buckets use ``pmod(hash(key), B)``, the function of Spark's own
+        hash partitioning, so that ``repartition(B * f, key)`` puts each bucket in ``f``
+        whole partitions (see ``upsert``)."""
         if self.bucket_width is not None:
             return F.floor(F.col(self.key[0]) / F.lit(self.bucket_width)).cast("long")
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.key]), F.lit(self.buckets)).cast("long")
+        return F.pmod(F.hash(*[F.col(k) for k in self.key]), F.lit(self.buckets)).cast("long")
 
     def _manifest_files(self) -> list[str]:
         """The newest manifest snapshot and the version files after it."""
@@ -320,23 +323,32 @@ class BucketTable:
             F.max_by("path", "version").alias("path"), F.max("version").alias("v")).collect()
         last_version = max((int(r["v"]) for r in heads), default=0)
         current = {int(r["bucket"]): r["path"] for r in heads if r["path"] and int(r["bucket"]) in set(touched)}
-        old = self._read_paths(sorted(current.values())).withColumn("bucket", self.bucket_of())
-        if guard is not None:
-            latest = drop_stale(old, latest, self.key, guard)
-        kept = old.join(latest.select(*self.key), self.key, "left_anti")
-        merged = kept.unionByName(latest)
+        old = self._read_paths(sorted(current.values()))
         version = last_version + 1
         folder = f"{self.path}/data/v={version:010d}-{uuid.uuid4().hex[:8]}"
-        sub = F.pmod(F.xxhash64(*[F.col(k) for k in self.key], F.lit(7)), F.lit(self.files_per_bucket))
-        n_out = max(1, len(touched) * self.files_per_bucket)
-        (
-            merged.withColumn("_sub", sub)
-            .repartition(n_out, "bucket", "_sub")
-            .drop("_sub")
-            .write.mode("errorifexists")
-            .partitionBy("bucket")
-            .parquet(folder)
-        )
+        if guard is not None:
+            latest = drop_stale(old, latest, self.key, guard)
+        if self.bucket_width is None:
+            # Hash buckets: one shuffle of the old rows. Old rows and changes are hash
+            # partitioned by key into B * f partitions; partition q holds only bucket
+            # q mod B, so the per-key pick (the change over the old row) needs no further
+            # exchange and each task writes one file of one bucket.
+            both = old.select(*cols, F.lit(0).alias("_src")).unionByName(latest.drop("bucket").withColumn("_src", F.lit(1)))
+            pick = Window.partitionBy(*self.key).orderBy(F.col("_src").desc())
+            merged = (
+                both.repartition(self.buckets * self.files_per_bucket, *self.key)
+                .withColumn("_rank", F.row_number().over(pick))
+                .where(F.col("_rank") == 1)
+                .drop("_rank", "_src")
+                .withColumn("bucket", self.bucket_of())
+            )
+        else:
+            # Range buckets: anti-join, then lay out by (bucket, sub-bucket).
+            kept = old.join(latest.select(*self.key), self.key, "left_anti").withColumn("bucket", self.bucket_of())
+            sub = F.pmod(F.hash(*[F.col(k) for k in self.key], F.lit(7)), F.lit(self.files_per_bucket))
+            n_out = max(1, len(touched) * self.files_per_bucket)
+            merged = kept.unionByName(latest).withColumn("_sub", sub).repartition(n_out, "bucket", "_sub").drop("_sub")
+        merged.write.mode("errorifexists").partitionBy("bucket").parquet(folder)
         commit_records(self.spark, self.manifest_path, f"v{version:010d}.json",
                        [{"version": version, "bucket": b, "path": f"{folder}/bucket={b}"} for b in touched])
         return version

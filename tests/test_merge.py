@@ -99,3 +99,12 @@ def test_manifest_compaction_and_vacuum(spark, root):
     table.upsert(spark.createDataFrame([rec(1, "9.00", T)], FINANCIAL_RECORDS), [F.col("updated_at")])
     assert table.version() == 4
     assert {r["transaction_id"]: r["amount"] for r in table.read().collect()}[1] == Decimal("9.00")
+
+
+def test_hash_bucket_rewrite_writes_f_files_per_bucket(spark, root):
+    import glob
+
+    table = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], buckets=4, files_per_bucket=2)
+    table.upsert(spark.createDataFrame([rec(i, "1.00", T) for i in range(1, 401)], FINANCIAL_RECORDS), [F.col("updated_at")])
+    for path in table.current_paths().values():
+        assert len(glob.glob(path.replace("file:", "") + "/*.parquet")) == 2  # one shuffle lays the files out

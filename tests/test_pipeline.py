@@ -146,3 +146,30 @@ def test_stages_in_separate_processes(spark, root, tmp_path):
     nxt = run(["extract", "--source-path", src, *common[:2], "--run-id", "next", "--chunk-size", "5", "--now", NOW.isoformat()],
               spark)
     assert nxt["extract_since"] == "2026-04-17T12:05:00"  # 12:10 minus the overlap
+
+
+def test_crash_between_table_and_ledger_then_replay(spark, root):
+    """The table version is committed but the ledger event is not (the driver dies);
+    re-running the run gives the same table and a consistent ledger."""
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    src = rows(spark, 10, bad={3})
+    p.run_extraction("r1", src, NOW)
+    p.run_validation("r1", NOW)
+    real = p.ledger.append_many
+
+    def dies_on_advance(run_id, at, events):
+        if events and events[0][0] == "advance":
+            raise RuntimeError("driver lost")
+        return real(run_id, at, events)
+
+    p.ledger.append_many = dies_on_advance
+    with pytest.raises(RuntimeError):
+        p.run_load("r1", NOW)
+    assert p.table().count() == 9  # the data commit happened
+    assert p.ledger.state("r1")["chunks_completed"] == 0  # the ledger commit did not
+    q = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))  # a new process
+    out = q.run_pipeline("r1", src, NOW)
+    assert out["load"]["records_loaded"] == 9
+    assert q.table().count() == 9
+    st = q.ledger.state("r1")
+    assert st["status"] == "completed" and st["chunks_completed"] == 2

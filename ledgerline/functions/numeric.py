@@ -43,12 +43,15 @@ def two_places(c: Column, dtype: T.DataType, value: Column, stripped: Column | N
     """True when the number has at most two fraction digits (trailing zeros free)."""
     if is_text(dtype):
         s = stripped if stripped is not None else c
-        return F.when(s.rlike(PLAIN_NUMBER_TEXT), s.rlike(TWO_PLACES_TEXT)).otherwise(value * 100 == F.floor(value * 100))
+        return F.when(s.rlike(PLAIN_NUMBER_TEXT), s.rlike(TWO_PLACES_TEXT)).otherwise(value == F.round(value, 2).cast(WIDE))
     if isinstance(dtype, T.DecimalType) and dtype.scale <= 2:
         return F.lit(True)
     if is_integral(dtype):
         return F.lit(True)
-    return value * 100 == F.floor(value * 100)
+    # Compare with the value rounded to two places, cast back to the same DECIMAL(38,18):
+    # ``value * 100`` or a comparison of two decimal types widens past precision 38 and
+    # drops the tiny fractions of exponent forms.
+    return value == F.round(value, 2).cast(WIDE)
 
 
 def whole_digits_ok(value: Column) -> Column:

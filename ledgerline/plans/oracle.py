@@ -139,7 +139,7 @@ ev AS (
    CASE WHEN regexp_full_match(a_s, '{NOT_FINITE}') THEN 'amount_not_finite'
         WHEN a_v IS NULL OR abs(a_v) >= {E16} THEN 'amount_digits'
         WHEN NOT (CASE WHEN regexp_full_match(a_s, '{PLAIN}') THEN regexp_full_match(a_s, '{TWO_PLACES}')
-                  ELSE a_v * 100 = floor(a_v * 100) END) THEN 'amount_scale'
+                  ELSE a_v = round(a_v, 2) END) THEN 'amount_scale'
         WHEN a_v = 0 THEN 'amount_zero' END,
    CASE WHEN length({strip('currency', PYWS)}) <> 3 OR length(upper({strip('currency', PYWS)})) <> 3 THEN 'currency' END,
    CASE WHEN transaction_type IS NULL OR transaction_type NOT IN ('debit', 'credit') THEN 'transaction_type' END,

@@ -22,6 +22,7 @@ from ..functions.text import canonical_uuid, is_canonical_uuid, normalise_curren
 
 INT_MAX = 2**31 - 1
 LONG_DIGITS = r"^[+-]?[0-9]{1,18}$"
+INT_TEXT = r"^[+-]?[0-9]+(\.0*)?$"
 
 
 @dataclass(frozen=True)
@@ -99,7 +100,9 @@ def int_min1(name: str) -> Builder:
 
     def build(c: Column, dt: T.DataType) -> FieldResult:
         if N.is_text(dt):
-            wide = N.number_value(c, dt, strip(c))
+            s = strip(c)
+            # integer text: digits, optionally a fraction of zeros ('5.0'); no exponent
+            wide = F.when(s.rlike(INT_TEXT), N.number_value(c, dt, s))
         elif N.is_number(dt):
             wide = N.number_value(c, dt)
         else:

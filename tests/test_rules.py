@@ -151,3 +151,8 @@ def test_category_contract(spark):
                                "category_id int, name string, description string, updated_at timestamp_ntz")
     r = R.evaluate(df, R.CATEGORY_CONTRACT).first()
     assert r["errors"] == ["category_id", "name", "description"]
+
+
+@pytest.mark.parametrize("value,expected", [("5.00", "ok"), ("+5", "ok"), ("1E2", "D"), ("5.01", "D"), ("x", "D")])
+def test_category_text_forms(spark, value, expected):
+    assert outcome(evaluate_one(spark, category_id=value)) == expected

@@ -66,3 +66,56 @@ def test_upsert_matches_model(spark, target, changes):
     c = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(changes)], "k int, v int, arrival int")
     got = {r["k"]: r["v"] for r in M.upsert(t, c, ["k"], ["arrival"]).collect()}
     assert got == model
+
+
+WHITE = [*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+UNICODE_WHITE_SPACE = {chr(x) for x in WHITE}
+# test alphabet: Unicode white space, the four separators only Python strips, and two
+# characters that are no white space to either (zero-width space, BOM)
+WS = "".join(chr(x) for x in WHITE + [0x1C, 0x1D, 0x1E, 0x1F, 0x200B, 0xFEFF])
+
+
+def model_currency(v: str):
+    """Python strip (isspace set), exactly 3 characters, then upper case (still 3)."""
+    t = v.strip()
+    if len(t) != 3:
+        return None
+    u = t.upper()
+    return u if len(u) == 3 else None
+
+
+def model_description(v: str):
+    """Strip of Unicode White_Space (not U+001C-U+001F), at most 255 characters."""
+    i, j = 0, len(v)
+    while i < j and v[i] in UNICODE_WHITE_SPACE:
+        i += 1
+    while j > i and v[j - 1] in UNICODE_WHITE_SPACE:
+        j -= 1
+    t = v[i:j]
+    return t if len(t) <= 255 else None
+
+
+text = st.text(alphabet="abcUSDßéﬁ$1" + WS, max_size=8)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(text, min_size=50, max_size=150), longs=st.lists(st.integers(250, 260), min_size=5, max_size=10))
+def test_text_rules_match_model(spark, values, longs):
+    descs = values + [" " * (i % 3) + "d" * n + chr(0x3000) for i, n in enumerate(longs)]
+    rows = [(str(i + 1), UUID, "1", "1.00", values[i % len(values)], "debit", "pending", d, "2024-01-01", "2024-01-01")
+            for i, d in enumerate(descs)]
+    cols = "transaction_id string, account_id string, category_id string, amount string, currency string, " \
+           "transaction_type string, status string, description string, created_at string, updated_at string"
+    got = R.evaluate(spark.createDataFrame(rows, cols), R.TRANSACTION_CONTRACT).select(
+        "transaction_id", "n_currency", "n_description", "errors").collect()
+    for r in got:
+        i = int(r["transaction_id"]) - 1
+        cur, desc = values[i % len(values)], descs[i]
+        want_c = model_currency(cur)
+        assert ("currency" not in r["errors"]) == (want_c is not None), (cur, r["errors"])
+        if want_c is not None:
+            assert r["n_currency"] == want_c
+        want_d = model_description(desc)
+        assert ("description" not in r["errors"]) == (want_d is not None), (desc, r["errors"])
+        if want_d is not None:
+            assert r["n_description"] == want_d

@@ -304,6 +304,35 @@ class BucketTable:
     def read(self) -> DataFrame:
         return self._read_paths(sorted(self.current_paths().values()))
 
+
+    def _merged(self, old: DataFrame, latest: DataFrame, touched: int) -> DataFrame:
+        """The rewritten rows of the ``touched`` buckets (old rows and deduplicated
+        changes, the change winning per key), with a ``bucket`` column."""
+        # One shuffle of the old rows: old rows and changes are partitioned so that every
+        # partition holds whole buckets, the per-key pick (the change over the old row) is
+        # a window over that same partitioning (no further exchange), and each task writes
+        # its buckets' files.
+        cols = [f.name for f in self.schema.fields]
+        both = old.select(*cols, F.lit(0).alias("_src")).unionByName(latest.select(*cols, F.lit(1).alias("_src")))
+        if self.bucket_width is None:
+            # Hash buckets: partition q of B * f holds only bucket q mod B (Spark's own
+            # hash partitioning is the bucket function).
+            laid_out = both.repartition(self.buckets * self.files_per_bucket, *self.key)
+            pick = Window.partitionBy(*self.key).orderBy(F.col("_src").desc())
+        else:
+            # Range buckets: partition by (bucket, sub-bucket); the window's keys include
+            # them, so this partitioning satisfies it.
+            sub = F.pmod(F.hash(*[F.col(k) for k in self.key], F.lit(7)), F.lit(self.files_per_bucket))
+            laid_out = both.withColumn("bucket", self.bucket_of()).withColumn("_sub", sub).repartition(
+                max(1, touched * self.files_per_bucket), "bucket", "_sub")
+            pick = Window.partitionBy("bucket", "_sub", *self.key).orderBy(F.col("_src").desc())
+        return (
+            laid_out.withColumn("_rank", F.row_number().over(pick))
+            .where(F.col("_rank") == 1)
+            .drop("_rank", "_src", "_sub")
+            .withColumn("bucket", self.bucket_of())
+        )
+
     def upsert(
         self,
         changes: DataFrame,
@@ -328,26 +357,7 @@ class BucketTable:
         folder = f"{self.path}/data/v={version:010d}-{uuid.uuid4().hex[:8]}"
         if guard is not None:
             latest = drop_stale(old, latest, self.key, guard)
-        if self.bucket_width is None:
-            # Hash buckets: one shuffle of the old rows. Old rows and changes are hash
-            # partitioned by key into B * f partitions; partition q holds only bucket
-            # q mod B, so the per-key pick (the change over the old row) needs no further
-            # exchange and each task writes one file of one bucket.
-            both = old.select(*cols, F.lit(0).alias("_src")).unionByName(latest.drop("bucket").withColumn("_src", F.lit(1)))
-            pick = Window.partitionBy(*self.key).orderBy(F.col("_src").desc())
-            merged = (
-                both.repartition(self.buckets * self.files_per_bucket, *self.key)
-                .withColumn("_rank", F.row_number().over(pick))
-                .where(F.col("_rank") == 1)
-                .drop("_rank", "_src")
-                .withColumn("bucket", self.bucket_of())
-            )
-        else:
-            # Range buckets: anti-join, then lay out by (bucket, sub-bucket).
-            kept = old.join(latest.select(*self.key), self.key, "left_anti").withColumn("bucket", self.bucket_of())
-            sub = F.pmod(F.hash(*[F.col(k) for k in self.key], F.lit(7)), F.lit(self.files_per_bucket))
-            n_out = max(1, len(touched) * self.files_per_bucket)
-            merged = kept.unionByName(latest).withColumn("_sub", sub).repartition(n_out, "bucket", "_sub").drop("_sub")
+        merged = self._merged(old, latest.drop("bucket"), len(touched))
         merged.write.mode("errorifexists").partitionBy("bucket").parquet(folder)
         commit_records(self.spark, self.manifest_path, f"v{version:010d}.json",
                        [{"version": version, "bucket": b, "path": f"{folder}/bucket={b}"} for b in touched])

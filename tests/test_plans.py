@@ -49,3 +49,20 @@ def test_cluster_settings_scale():
     conf = cluster_settings(100 * 10**12, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) > 300_000
     assert cluster_settings(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_bucket_rewrite_has_one_exchange(spark, tmp_path):
+    """The rewrite of touched buckets shuffles the old rows once, for hash and for
+    range buckets (the per-key pick reuses the write layout's partitioning)."""
+    from ledgerline.schemas import FINANCIAL_RECORDS
+    from ledgerline.sources.store import BucketTable
+
+    path = str(tmp_path / "src")
+    Fixtures(spark, SF).transactions().withColumn("source_updated_at", F.col("updated_at")) \
+        .withColumn("loaded_at", F.col("updated_at")).write.parquet(path)
+    old = spark.read.parquet(path)
+    latest = old.where(F.col("transaction_id") % 7 == 0).withColumn("status", F.lit("completed"))
+    for kwargs in ({"buckets": 8}, {"bucket_width": 100}):
+        table = BucketTable(spark, str(tmp_path / "t"), FINANCIAL_RECORDS, ["transaction_id"], **kwargs)
+        plan = plan_text(table._merged(old, latest, 8))
+        assert plan.count("Exchange ") == 1, plan

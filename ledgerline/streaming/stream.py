@@ -11,6 +11,7 @@ effect.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +55,7 @@ def start_upsert_stream(
     stamp = now or (lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
     writer = stream.writeStream.foreachBatch(upsert_batches(pipeline, name, stamp, compact_every)).option(
         "checkpointLocation", checkpoint
-    ).queryName(f"ledgerline_{name}")
+    ).queryName(f"ledgerline_{name}_{uuid.uuid4().hex[:8]}")  # unique: concurrent streams may share a name
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

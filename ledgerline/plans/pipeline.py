@@ -161,6 +161,8 @@ class LedgerStore:
         return self._seq
 
     def state(self, run_id: str) -> dict | None:
+        if run_id not in self._states and not self._live_files():
+            return None
         if run_id not in self._states:
             rows = self.current().where(F.col("pipeline_run_id") == run_id).collect()
             self._states[run_id] = rows[0].asDict() if rows else None
@@ -187,6 +189,8 @@ class LedgerPipeline:
     # -------------------------------------------------------------- K1
     def resume_point(self) -> tuple[_dt.datetime, _dt.datetime, _dt.datetime | None]:
         """(extract_since, initial_watermark, last_completed) from the ledger."""
+        if not self.ledger._live_files():  # empty ledger: the first run (T5), no job needed
+            return EPOCH - _dt.timedelta(minutes=self.config.overlap_minutes), EPOCH, None
         row = L.resume_point(self.ledger.current(), self.config.overlap_minutes).first()
         return row["extract_since"], row["initial_watermark"], row["last_completed_watermark"]
 

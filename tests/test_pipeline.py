@@ -173,3 +173,34 @@ def test_crash_between_table_and_ledger_then_replay(spark, root):
     assert q.table().count() == 9
     st = q.ledger.state("r1")
     assert st["status"] == "completed" and st["chunks_completed"] == 2
+
+
+def test_json_text_source_normalised_end_to_end(spark, root, tmp_path):
+    """A JSON-lines source read with an all-text schema (as staged JSON values arrive):
+    lenient UUIDs, padded currency, offset and 'Z' times are normalised on the way in."""
+    import json
+
+    from ledgerline.sources.tables import read_source
+
+    recs = [
+        {"transaction_id": 1, "account_id": "{" + UUID.upper() + "}", "category_id": "2", "amount": "10.50",
+         "currency": " eur ", "transaction_type": "debit", "status": "pending", "description": "  a  ",
+         "created_at": "2026-04-17T10:00:00Z", "updated_at": "2026-04-17T12:00:00+02:00"},
+        {"transaction_id": 2, "account_id": "urn:uuid:" + UUID, "category_id": 3.0, "amount": 1e3,
+         "currency": "usd", "transaction_type": "credit", "status": "completed",
+         "created_at": "2026-04-17", "updated_at": "2026-04-17 11:00:00"},
+    ]
+    path = tmp_path / "src.json"
+    path.write_text("\n".join(json.dumps(r) for r in recs))
+    schema = ", ".join(f"{c} string" for c in TRANSACTION_COLUMNS)
+    src = read_source(spark, "json", str(path), schema=schema)
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    out = p.run_pipeline("json-run", src, NOW)
+    assert out["validate"]["dlq_count"] == 0
+    got = {r["transaction_id"]: r for r in p.table().collect()}
+    assert got[1]["account_id"] == UUID and got[2]["account_id"] == UUID
+    assert got[1]["currency"] == "EUR" and got[2]["currency"] == "USD"
+    assert got[1]["description"] == "a" and got[2]["description"] is None
+    assert got[1]["updated_at"] == dt.datetime(2026, 4, 17, 10, 0)  # +02:00 read as UTC
+    assert got[2]["category_id"] == 3 and str(got[2]["amount"]) == "1000.00"
+    assert p.ledger.state("json-run")["last_watermark"] == dt.datetime(2026, 4, 17, 11, 0)

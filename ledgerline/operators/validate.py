@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.temporal import ntz
-from .rules import TRANSACTION_CONTRACT, Contract, evaluate, normalised
+from .rules import TRANSACTION_CONTRACT, Contract, evaluate
 
 ERROR_MESSAGE_LIMIT = 20000
 # Payload times keep their microseconds.

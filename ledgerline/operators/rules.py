@@ -303,13 +303,28 @@ CATEGORY_CONTRACT = Contract(
 FINANCIAL_RECORD_CONTRACT = TRANSACTION_CONTRACT
 
 
+def _leaf_partitions(df: DataFrame) -> int | None:
+    """The most partitions any leaf of the plan starts with (a checkpointed RDD's partitions,
+    a file scan's files), read from the optimized plan without running anything."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    best = 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        kind = leaf.getClass().getSimpleName()
+        if kind == "LogicalRDD":
+            best = max(best, int(leaf.rdd().getNumPartitions()))
+        elif kind == "LogicalRelation":
+            best = max(best, len(list(leaf.relation().location().inputFiles())))
+    return best
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a small input over the cluster's cores before CPU-heavy rules.
+    """Spread a small, narrow input over the cluster's cores before CPU-heavy rules.
 
-    Decided from the optimizer's size estimate, so nothing runs: when the input is smaller
-    than one file split per core (one small file is one task, whatever its rows), rows are
-    dealt round-robin to ``defaultParallelism`` partitions. A large input already has many
-    splits and is left as it is, so no shuffle is added at scale.
+    Decided from the plan, so nothing runs: when the input's estimated size is below one
+    file split per core and no leaf already starts with a partition per core (one small
+    file is one task, whatever its rows), rows are dealt round-robin to
+    ``defaultParallelism`` partitions. A large input is never reshuffled.
     """
     if df.isStreaming:
         return df
@@ -321,9 +336,14 @@ def spread(df: DataFrame) -> DataFrame:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no estimate: leave the input as it is
         return df
-    if size < split * cores:
-        return df.repartition(cores)
-    return df
+    if size >= split * cores:
+        return df
+    try:
+        if _leaf_partitions(df) >= cores:
+            return df
+    except Exception:  # noqa: BLE001 - unknown leaves: spread (the input is small)
+        pass
+    return df.repartition(cores)
 
 
 def evaluate(df: DataFrame, contract: Contract, keep: Sequence[str] = (), spread_input: bool = True) -> DataFrame:

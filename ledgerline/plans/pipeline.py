@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.temporal import ntz
 from ..operators import extract as X
@@ -40,6 +41,7 @@ from ..sources.store import (
     path_exists,
     read_or_empty,
     read_records,
+    run_folder,
 )
 from . import ledger as L
 from . import report as P
@@ -302,9 +304,16 @@ class LedgerPipeline:
             F.lit(1).alias("attempt_count"),
             ntz(now).alias("failed_at"),
         )
-        rejected.write.mode("append").parquet(self.ws.dead_letter_path)  # A6: one bulk append
+        # One bulk append, partitioned by run so a per-run report reads one partition
+        rejected.withColumn("run", F.lit(run_folder(run_id))).write.mode("append").partitionBy("run").parquet(
+            self.ws.dead_letter_path)
         return {"pipeline_run_id": run_id, "dlq_count": int(stats["dlq"] - stats["fatal"]), "chunks_validated": int(stats["n"])}
 
+    def dead_letters(self) -> DataFrame:
+        """The dead-letter table (all runs, all attempts), with its ``run`` partition column."""
+        schema = T.StructType(DEAD_LETTER.fields + [T.StructField("run", T.StringType())])
+        return read_or_empty(self.spark, self.ws.dead_letter_path, schema)
+
     def chunk_table(self, run_id: str) -> DataFrame:
         attempt = self._attempt(run_id)
         return self.spark.read.schema(CHUNK_TABLE).parquet(self.ws.buffer("validated_chunks", run_id, attempt))
@@ -341,10 +350,11 @@ class LedgerPipeline:
         staging_chunks = offsets.groupBy("pipeline_run_id").agg(
             F.ceil(F.sum("_n") / F.max("chunk_size")).cast("long").alias("staging_chunks"))
         chunks = self.ws.read_current("validated_chunks", CHUNK_TABLE, current)
-        dead = read_or_empty(self.spark, self.ws.dead_letter_path, DEAD_LETTER)
+        dead = self.dead_letters()
         runs = None
         if run_ids is not None:
             runs = self.spark.createDataFrame([(r,) for r in run_ids], "pipeline_run_id string")
+            dead = dead.where(F.col("run").isin([run_folder(r) for r in run_ids]))  # partition pruning
         return P.run_metrics(staging_chunks, chunks, dead, current, runs)
 
     # -------------------------------------------------------------- P5

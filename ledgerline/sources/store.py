@@ -11,7 +11,7 @@ Layout under ``root``::
     staging_offsets/run=r<h>/attempt=a<n>/    one row per sorted partition (W2 offsets)
     validated_rows/run=r<h>/attempt=a<n>/     A4: typed valid rows
     validated_chunks/run=r<h>/attempt=a<n>/   A4: one row per chunk, empty chunks too (T9)
-    dead_letter/                              A6: append-only
+    dead_letter/run=r<h>/                     A6: append-only, partitioned by run
     ledger/                                   A9: append-only state events
     financial_records/                        A7: bucket table (data/ and _manifest/)
 """

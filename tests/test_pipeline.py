@@ -204,3 +204,15 @@ def test_json_text_source_normalised_end_to_end(spark, root, tmp_path):
     assert got[1]["updated_at"] == dt.datetime(2026, 4, 17, 10, 0)  # +02:00 read as UTC
     assert got[2]["category_id"] == 3 and str(got[2]["amount"]) == "1000.00"
     assert p.ledger.state("json-run")["last_watermark"] == dt.datetime(2026, 4, 17, 11, 0)
+
+
+def test_dead_letter_report_prunes_partitions(spark, root):
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p.run_pipeline("r1", rows(spark, 5, bad={2}), NOW)
+    p.run_pipeline("r2", rows(spark, 5, bad={3}, start=6), NOW)
+    from ledgerline.sources.store import run_folder
+
+    one = p.dead_letters().where(F.col("run").isin([run_folder("r2")]))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run" in plan and one.count() == 1
+    assert [r["dead_letter_rows"] for r in p.run_metrics(["r1", "r2"]).orderBy("pipeline_run_id").collect()] == [1, 1]

@@ -346,10 +346,10 @@ class LedgerPipeline:
     # -------------------------------------------------------------- P4
     def run_metrics(self, run_ids: list[str] | None = None) -> DataFrame:
         current = self.ledger.current()
-        offsets = self.ws.read_current("staging_offsets", OFFSETS, current, fmt="json")
+        offsets = self.ws.read_current("staging_offsets", OFFSETS, current, fmt="json", run_ids=run_ids)
         staging_chunks = offsets.groupBy("pipeline_run_id").agg(
             F.ceil(F.sum("_n") / F.max("chunk_size")).cast("long").alias("staging_chunks"))
-        chunks = self.ws.read_current("validated_chunks", CHUNK_TABLE, current)
+        chunks = self.ws.read_current("validated_chunks", CHUNK_TABLE, current, run_ids=run_ids)
         dead = self.dead_letters()
         runs = None
         if run_ids is not None:

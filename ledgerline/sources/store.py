@@ -159,7 +159,8 @@ class Workspace:
         for kind in self.BUFFERS:
             delete_path(self.spark, f"{self.root}/{kind}/run={run_folder(run_id)}")
 
-    def read_current(self, kind: str, schema: T.StructType, current: DataFrame, fmt: str = "parquet") -> DataFrame:
+    def read_current(self, kind: str, schema: T.StructType, current: DataFrame, fmt: str = "parquet",
+                     run_ids: Sequence[str] | None = None) -> DataFrame:
         """Rows of the current attempts only: the whole dataset semi-joined with
         ``current`` (pipeline_run_id, attempt) from the ledger, so a stale attempt left by
         a crash is never read. ``fmt='json'`` for record files (offset tables)."""
@@ -169,6 +170,8 @@ class Workspace:
         full = T.StructType(schema.fields + [T.StructField("run", T.StringType()), T.StructField("attempt", T.StringType())])
         reader = self.spark.read.schema(full).option("basePath", path)
         df = reader.option("timestampNTZFormat", RECORD_TIME_FORMAT).json(path) if fmt == "json" else reader.parquet(path)
+        if run_ids is not None:  # partition pruning on the run folder
+            df = df.where(F.col("run").isin([run_folder(r) for r in run_ids]))
         live = current.where(F.col("attempt").isNotNull()).select("pipeline_run_id", "attempt")
         return df.join(live, ["pipeline_run_id", "attempt"], "left_semi").drop("run", "attempt")
 

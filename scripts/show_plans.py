@@ -12,7 +12,6 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerline.operators import constraints as K  # noqa: E402
@@ -25,6 +24,7 @@ from ledgerline.plans import ledger as L  # noqa: E402
 from ledgerline.schemas import FINANCIAL_RECORDS  # noqa: E402
 from ledgerline.session import local_session  # noqa: E402
 from ledgerline.sources.fixtures import Fixtures  # noqa: E402
+from ledgerline.sources.store import BucketTable  # noqa: E402
 
 
 def _clean(line: str, width: int = 180) -> str:
@@ -54,10 +54,8 @@ def main() -> None:
     old = source.select(*[c for c in cols if c in source.columns]).withColumn("source_updated_at", F.col("updated_at")) \
         .withColumn("loaded_at", F.col("updated_at"))
     changes = old.where(F.col("transaction_id") % 30 == 0).withColumn("status", F.lit("completed"))
-    both = old.select(*cols, F.lit(0).alias("_src")).unionByName(changes.select(*cols, F.lit(1).alias("_src")))
-    merge = both.repartition(16, "transaction_id").withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("transaction_id").orderBy(F.col("_src").desc()))
-    ).where("_rank = 1")
+    table = BucketTable(spark, f"{scratch}/table", FINANCIAL_RECORDS, ["transaction_id"], buckets=16)
+    merge = table._merged(old, changes, 16)
     cases = [
         ("A1 incremental extract on a Parquet source",
          "The filter reaches the scan (`PushedFilters`) and `ReadSchema` lists the 10 contract columns only.",
@@ -71,7 +69,7 @@ def main() -> None:
         ("W4 latest per key",
          "`partial_max_by` before the shuffle: a hot key is reduced in each map task.",
          M.latest_per_key(fx.table("events"), ["user_id"], ["ts", "event_id"])),
-        ("M1 bucket rewrite (hash buckets)",
+        ("M1 bucket rewrite (hash buckets, `BucketTable._merged`)",
          "One hash exchange on the key; the window reuses it (no second exchange).",
          merge),
         ("V24 foreign keys",

@@ -216,3 +216,18 @@ def test_dead_letter_report_prunes_partitions(spark, root):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run" in plan and one.count() == 1
     assert [r["dead_letter_rows"] for r in p.run_metrics(["r1", "r2"]).orderBy("pipeline_run_id").collect()] == [1, 1]
+
+
+def test_pipeline_chain_and_metadata_keys(spark, root):
+    """The stage chain and the keys each stage hands to the next (the reference's DAG
+    wiring and metadata tests); the load result also carries ``dlq_count``."""
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    out = p.run_pipeline(RUN, rows(spark, 10, bad={4}), NOW)
+    assert list(out) == ["extract", "validate", "load", "report", "finalize"]
+    assert set(out["extract"]) == {"pipeline_run_id", "chunk_count", "extract_since", "row_count"}
+    assert set(out["validate"]) == {"pipeline_run_id", "dlq_count", "chunks_validated"}
+    assert out["load"] == {"pipeline_run_id": RUN, "records_loaded": 9, "chunks_processed": 2, "dlq_count": 1}
+    assert set(out["report"][0]) == {"pipeline_run_id", "staging_chunks", "validated_chunks", "dead_letter_rows",
+                                     "chunks_completed", "total_chunks", "checkpoint_status"}
+    assert out["report"][0]["checkpoint_status"] == "running"  # the report runs before finalize
+    assert out["finalize"] == {"pipeline_run_id": RUN, "status": "completed", "dlq_count": 1}

@@ -102,3 +102,15 @@ def test_compaction_keeps_every_run_state(spark, root):
     assert st.state("b")["chunks_completed"] == 1 and st.state("b")["last_watermark"] == h(6)
     assert st.state("a")["status"] == "completed" and st.state("a")["chunks_completed"] == 2
     assert resume(st)[0] == h(4) - dt.timedelta(minutes=5)
+
+
+def test_ledger_constraints(spark, root):
+    """V25 / V27 over the folded ledger: a status outside the set is one violation."""
+    from ledgerline.operators.constraints import ledger_constraints, violation_counts
+
+    st = store(spark, root)
+    st.append("a", "start", h(0), last_watermark=h(1), attempt="a1")
+    st.append("b", "start", h(0), last_watermark=h(1), attempt="a2")
+    st.append("b", "finish", h(1), status="done")  # written past the guard of check_status
+    got = {r["constraint_name"]: r["violations"] for r in violation_counts(st.current(), ledger_constraints()).collect()}
+    assert got == {"pipeline_run_id_not_null": 0, "last_watermark_not_null": 0, "status_not_null": 0, "status_in": 1}

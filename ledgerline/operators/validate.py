@@ -64,9 +64,8 @@ def fatal_gate(evaluated: DataFrame, key: str = "transaction_id", sample: int =
 
 def strict_gate(evaluated: DataFrame, key: str = "transaction_id", sample: int = FATAL_SAMPLE) -> None:
     """Raise when any row has an error of either class."""
-    bad = evaluated.where((F.size("errors") > 0) | (F.size("fatal") > 0)).select(
-        F.col(key).cast("string").alias(key), F.concat_ws(",", F.concat("fatal", "errors")).alias("codes")
-    )
+    bad = keep_if(evaluated, ~F.col("is_valid_row"),
+                  [F.col(key).cast("string").alias(key), F.concat_ws(",", F.concat("fatal", "errors")).alias("codes")])
     rows = bad.limit(sample).collect()
     if rows:
         shown = "; ".join(f"{key}={r[key]}: {r['codes']}" for r in rows)

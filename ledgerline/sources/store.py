@@ -8,12 +8,13 @@ job that dies half-way leaves unreferenced folders and nothing half-visible (T22
 Layout under ``root``::
 
     staging_rows/run=r<h>/attempt=a<n>/       A2: extracted rows, tagged with sort position
-    staging_offsets/run=r<h>/attempt=a<n>/    one row per sorted partition (W2 offsets)
-    validated_rows/run=r<h>/attempt=a<n>/     A4: typed valid rows
+    staging_offsets/run=r<h>/attempt=a<n>/    offsets.json: one record per sorted partition (W2)
+    validated_rows/run=r<h>/attempt=a<n>/     A4: the evaluated change set (valid flag, codes)
     validated_chunks/run=r<h>/attempt=a<n>/   A4: one row per chunk, empty chunks too (T9)
     dead_letter/run=r<h>/                     A6: append-only, partitioned by run
-    ledger/                                   A9: append-only state events
-    financial_records/                        A7: bucket table (data/ and _manifest/)
+    ledger/<seq>.json, snapshot-<seq>.json    A9: append-only state event records
+    financial_records/data/v=<n>-<id>/bucket=<b>/   A7: bucket files of one table version
+    financial_records/_manifest/v<n>.json, snapshot-v<n>.json   (version, bucket, path) records
 """
 
 from __future__ import annotations

@@ -403,3 +403,10 @@ class LedgerPipeline:
 
     def table(self) -> DataFrame:
         return self.target.read()
+
+    def late_rows(self, source: DataFrame) -> DataFrame:
+        """Source rows at or under the next extract bound whose key never reached
+        the table. They committed after a run had moved past their time, so no later run
+        reads them."""
+        since, _, _ = self.resume_point()
+        return P.late_rows(source.select(*self.contract.columns), self.table(), ntz(since), list(self.contract.key))

@@ -231,3 +231,14 @@ def test_pipeline_chain_and_metadata_keys(spark, root):
                                      "chunks_completed", "total_chunks", "checkpoint_status"}
     assert out["report"][0]["checkpoint_status"] == "running"  # the report runs before finalize
     assert out["finalize"] == {"pipeline_run_id": RUN, "status": "completed", "dlq_count": 1}
+
+
+def test_late_rows_report(spark, root):
+    """A row that lands after the run, with an old time, is never extracted."""
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p.run_pipeline("r1", rows(spark, 10), NOW)
+    late = rows(spark, 1, start=50, t0=T0 - dt.timedelta(hours=2))  # updated 10:50, lands after the run
+    src = rows(spark, 10).unionByName(late)
+    assert [r["transaction_id"] for r in p.late_rows(src).collect()] == [50]
+    assert p.run_pipeline("r2", src, NOW)["extract"]["row_count"] == 5  # only the overlap
+    assert [r["transaction_id"] for r in p.late_rows(src).collect()] == [50]

@@ -82,7 +82,8 @@ def global_position(
 
 def chunk_of(position: Column, chunk_size: int) -> Column:
     """Chunk index from 0 for a 1-based position; the last chunk may be short."""
-    return F.floor((position - 1) / F.lit(chunk_size)).cast("int")
+    zero_based = (position - 1).cast("decimal(20,0)")  # exact; a double is exact only below 2**53
+    return F.floor(zero_based / F.lit(chunk_size).cast("decimal(20,0)")).cast("int")
 
 
 def running_max(

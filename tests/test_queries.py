@@ -60,3 +60,18 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0
     assert df.columns[0] == "transaction_id"
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import subprocess
+    import sys
+
+    env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_CPUS="2", BENCH_QUERIES="incremental_extract,resume_point")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py")], env=env, capture_output=True, text=True,
+                         timeout=600, check=True).stdout.strip().splitlines()
+    assert len(out) == 1
+    d = json.loads(out[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(d) and d["unit"] == "sec" and d["sf"] == 0.001
+    assert set(d["queries"]) == {"incremental_extract", "resume_point"}

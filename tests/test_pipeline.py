@@ -242,3 +242,14 @@ def test_late_rows_report(spark, root):
     assert [r["transaction_id"] for r in p.late_rows(src).collect()] == [50]
     assert p.run_pipeline("r2", src, NOW)["extract"]["row_count"] == 5  # only the overlap
     assert [r["transaction_id"] for r in p.late_rows(src).collect()] == [50]
+
+
+def test_load_progress_per_chunk(spark, root):
+    """The running watermark and completed count the load reaches, chunk by chunk."""
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=4, buckets=4))
+    p.run_extraction("r1", rows(spark, 10), NOW)
+    p.run_validation("r1", NOW)
+    got = [(r["chunk_index"], r["chunks_completed"], r["last_watermark"]) for r in
+           p.load_progress("r1").orderBy("chunk_index").collect()]
+    minute = lambda m: T0 + dt.timedelta(minutes=m)
+    assert got == [(0, 1, minute(4)), (1, 2, minute(8)), (2, 3, minute(10))]

@@ -253,3 +253,18 @@ def test_load_progress_per_chunk(spark, root):
            p.load_progress("r1").orderBy("chunk_index").collect()]
     minute = lambda m: T0 + dt.timedelta(minutes=m)
     assert got == [(0, 1, minute(4)), (1, 2, minute(8)), (2, 3, minute(10))]
+
+
+def test_source_pinned_by_staging(spark, root, tmp_path):
+    """The extract has no upper bound, so the staging write pins what the run saw; rows
+    landing in the source afterwards wait for the next run."""
+    src = str(tmp_path / "src")
+    rows(spark, 10).write.parquet(src)
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    assert p.run_extraction("r1", spark.read.parquet(src), NOW)["row_count"] == 10
+    rows(spark, 5, start=11).write.mode("append").parquet(src)  # lands during the run
+    p.run_validation("r1", NOW)
+    assert p.run_load("r1", NOW)["records_loaded"] == 10
+    p.run_finalize("r1", NOW)
+    assert p.run_pipeline("r2", spark.read.parquet(src), NOW)["load"]["records_loaded"] == 10  # 5 overlap + 5 new
+    assert p.table().count() == 15

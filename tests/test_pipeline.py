@@ -268,3 +268,14 @@ def test_source_pinned_by_staging(spark, root, tmp_path):
     p.run_finalize("r1", NOW)
     assert p.run_pipeline("r2", spark.read.parquet(src), NOW)["load"]["records_loaded"] == 10  # 5 overlap + 5 new
     assert p.table().count() == 15
+
+
+def test_cli_smoke_stage(spark, root, tmp_path):
+    """P6 through the stage runner: newest rows, strict validation, one upsert."""
+    from ledgerline.cli import run
+
+    src = str(tmp_path / "src")
+    rows(spark, 25).select(*TRANSACTION_COLUMNS).write.parquet(src)
+    out = run(["smoke", "--root", root, "--source-path", src, "--limit", "1000", "--buckets", "4", "--now", NOW.isoformat()],
+              spark)
+    assert out == {"rows_read": 25, "rows_loaded": 25}

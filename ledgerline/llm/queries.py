@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import mixing, packing, token_files
+from ledgerline.llm import mixing, near_vectors, ngram_join, packing, quality, secrets, token_files, toxicity, url_rules
 from ledgerline.llm.common import read
 from ledgerline.session import scratch_path
 
@@ -44,8 +44,52 @@ def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer(BYTE_TOKENIZER))
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2: spans of secrets in every text."""
+    docs = read(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(docs))
+
+
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3: shingle count and component of every document."""
+    return ngram_join.link(read(spark, sf_dir, "documents"))
+
+
+def toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: score and prediction of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+#: Rules of the URL query (fixed by its contract): host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6: rule and verdict of every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge(read(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8: statistics and verdict of every document."""
+    return quality.judge(read(spark, sf_dir, "documents"))
+
+
+def near_dup_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9: links and component of every vector."""
+    return near_vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 LLM_CATALOGUE: dict[str, Query] = {
     "op1_token_orc": token_orc,
+    "op2_secret_scan": secret_scan,
+    "op3_ngram_jaccard_join": ngram_jaccard_join,
+    "op4_toxicity": toxicity_score,
     "op5_mix_sources": mix_sources,
+    "op6_url_filter": url_filter,
     "op7_vector_best_fit": pack_sequences,
+    "op8_quality_rules": quality_rules,
+    "op9_near_dup_vectors": near_dup_vectors,
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -31,6 +34,31 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow``, with this package sent to the executors first.
+
+    Functions of the package are pickled by name, so a worker must be able to import it; Spark
+    sends the archive once per application.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        top = os.path.dirname(package)
+        archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "ledgerline.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, top))
+        sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
+    return df.mapInArrow(fn, schema)
+
+
 def tasks_for(rows: int, per_task: int, least: int = 1) -> int:
     """Number of tasks so that each gets about ``per_task`` rows."""
     return max(least, -(-rows // per_task))
@@ -85,7 +113,7 @@ def grouped(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table |
         if out:
             yield from pa.concat_tables(out).combine_chunks().to_batches()
 
-    return df.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(over, schema)
+    return map_arrow(df.repartition(parts, *keys).sortWithinPartitions(*keys), over, schema)
 
 
 def tiled(members: DataFrame, key: str, member: str, weight: str, most: int) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import components, grouped, materialise
+from ledgerline.llm.common import components, grouped, map_arrow, materialise
 
 #: Vectors of a block, axes that are cut into cells, and dimensions after which pairs are dropped.
 BLOCK = 1024
@@ -67,7 +67,7 @@ def axes(classes: DataFrame) -> dict[int, np.ndarray]:
         for d, m in sums.items():
             yield pa.record_batch([pa.array(np.full(d * d, d, np.int32)), pa.array(np.arange(d * d)), pa.array(m.ravel())], names=["dims", "at", "s"])
 
-    rows = classes.select("v").mapInArrow(moments, "dims int, at long, s double").groupBy("dims", "at").agg(F.sum("s").alias("s")).toArrow()
+    rows = classes.select("v").transform(map_arrow, moments, "dims int, at long, s double").groupBy("dims", "at").agg(F.sum("s").alias("s")).toArrow()
     dims, at, s = (rows[c].to_numpy() for c in ("dims", "at", "s"))
     out = {}
     for d in np.unique(dims).tolist():
@@ -101,7 +101,7 @@ def _rotated(classes: DataFrame, turn: dict[int, np.ndarray], width: float) -> D
                     names=["node", "label", "copies", "dims", "cell", "y"],
                 )
 
-    return classes.select("node", F.col("label").cast("string").alias("label"), "copies", "v").mapInArrow(
+    return classes.select("node", F.col("label").cast("string").alias("label"), "copies", "v").transform(map_arrow, 
         over, "node binary, label string, copies long, dims int, cell array<int>, y binary"
     )
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import tasks_for
+from ledgerline.llm.common import map_arrow, tasks_for
 from ledgerline.llm.tokens import Encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -147,7 +147,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, most: int) -> DataFrame
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PIECE_TYPES, strict=True)], names=_PIECE_NAMES
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(over, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(map_arrow, over, PIECES)
 
 
 _PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -174,7 +174,7 @@ def pack(items: DataFrame, room: Room, documents: int) -> DataFrame:
 
     n = tasks_for(documents, DOCS_A_TASK)
     # the pieces of a document are dealt singly: full pieces of a long one need no neighbours
-    return items.repartition(n, F.xxhash64("doc_id", "piece", "ids_crc32")).mapInArrow(over, PACKED)
+    return items.repartition(n, F.xxhash64("doc_id", "piece", "ids_crc32")).transform(map_arrow, over, PACKED)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, room: Room = Room(), end_id: int = 0) -> DataFrame:

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import map_arrow
+
 #: Kinds in the order that breaks ties of the start, and their patterns (fixed values).
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -134,7 +136,7 @@ def train(docs: DataFrame, sample: int = TRAIN_DOCS) -> Models:
     """Count both models on about ``sample`` documents, chosen by hash; at most 2 x 68 x 68 sums return."""
     total = max(1, docs.count())
     part = docs.select("text").where(F.pmod(F.xxhash64("doc_id"), F.lit(total)) < sample)
-    sums = part.mapInArrow(_count, "label int, a int, b int, n long").groupBy("label", "a", "b").agg(F.sum("n").alias("n")).collect()
+    sums = part.transform(map_arrow, _count, "label int, a int, b int, n long").groupBy("label", "a", "b").agg(F.sum("n").alias("n")).collect()
     n = len(ALPHABET)
     counts = np.zeros((2, n + 1, n + 1))
     for r in sums:
@@ -160,7 +162,7 @@ def scan(docs: DataFrame, models: Models) -> DataFrame:
                 yield pa.record_batch([batch.column("doc_id"), *columns], names=["doc_id", *_SCAN])
 
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_markov long"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(over, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(map_arrow, over, schema)
 
 
 _SCAN = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov"]
@@ -188,7 +190,7 @@ def redact(docs: DataFrame, models: Models) -> DataFrame:
             texts = [hide(t.as_py(), models) for t in batch.column("text")]
             yield batch.set_column(place, batch.schema.field("text"), pa.array(texts, batch.schema.field("text").type))
 
-    out = docs.mapInArrow(over, docs.schema)
+    out = docs.transform(map_arrow, over, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import partitions
+from ledgerline.llm.common import map_arrow, partitions
 from ledgerline.llm.tokens import Encoder
 
 SCHEMA = "part int, before long, doc_id long, n_tokens long, ids array<int>"
@@ -72,7 +72,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, fi
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange(n, "doc_id", tie)
         .sortWithinPartitions("doc_id", tie)
-        .mapInArrow(encode, SCHEMA)
+        .transform(map_arrow, encode, SCHEMA)
         .write.option("compression", "zstd")
         .option("orc.create.index", "true")
         .option("orc.stripe.size", str(STRIPE_BYTES))
@@ -128,4 +128,4 @@ def id_checksums(rows: DataFrame) -> DataFrame:
                 names=["part", "doc_id", "before", "n_tokens", "ids_crc32"],
             )
 
-    return rows.select("part", "doc_id", "before", "ids").mapInArrow(sums, "part int, doc_id long, before long, n_tokens long, ids_crc32 long")
+    return rows.select("part", "doc_id", "before", "ids").transform(map_arrow, sums, "part int, doc_id long, before long, n_tokens long, ids_crc32 long")

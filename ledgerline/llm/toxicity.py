@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import map_arrow
+
 #: Characters hashed at a time; longer texts go in overlapping parts.
 PART_CHARS = 1 << 20
 THRESHOLD = 0.3
@@ -114,7 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, sizes: Sizes = Sizes()) -> Model:
         columns = [np.concatenate((y, [0, 1])), np.concatenate((b, [-1, -1])), np.concatenate((seen[y, b], held))]
         yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], names=["y", "bucket", "n"])
 
-    sums = rows.mapInArrow(count, "y long, bucket long, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n"))
+    sums = rows.transform(map_arrow, count, "y long, bucket long, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n"))
     strong = sums.groupBy("bucket").agg(F.sum("n").alias("all")).where(F.col("all") >= sizes.least_documents).select("bucket")
     got = sums.join(strong, "bucket", "left_semi").toArrow()
     seen, held = np.zeros((2, buckets)), np.zeros(2)
@@ -145,7 +147,7 @@ def _matrix(rows: DataFrame, used: np.ndarray, sizes: Sizes) -> tuple[np.ndarray
             found = [features(t, sizes, used).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.record_batch([batch.column("toxic"), pa.array(found, pa.binary())], names=["toxic", "found"])
 
-    got = rows.mapInArrow(over, "toxic int, found binary").toArrow()
+    got = rows.transform(map_arrow, over, "toxic int, found binary").toArrow()
     parts = [np.frombuffer(f.as_py(), "<u4") for f in got["found"]]
     starts = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
     # rows in an order of their own content: Spark returns them in any order
@@ -199,7 +201,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     names = [f"c{i}" for i in range(len(docs.columns))]
     names[docs.columns.index("text")] = "text"
     # own names inside, so that columns named like the results do not clash
-    out = docs.toDF(*names).mapInArrow(over, _schema(docs.toDF(*names)))
+    out = docs.toDF(*names).transform(map_arrow, over, _schema(docs.toDF(*names)))
     return out.toDF(*docs.columns, "score", "predicted")
 
 

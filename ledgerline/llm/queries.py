@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import mixing, near_vectors, ngram_join, packing, quality, secrets, token_files, toxicity, url_rules
+from ledgerline.llm import mixing, near_vectors, ngram_join, packing, passages, quality, secrets, token_files, toxicity, url_rules
 from ledgerline.llm.common import read
 from ledgerline.session import scratch_path
 
@@ -82,6 +82,11 @@ def near_dup_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10: documents with a passage of over 50 words that another one repeats."""
+    return passages.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 LLM_CATALOGUE: dict[str, Query] = {
     "op1_token_orc": token_orc,
     "op2_secret_scan": secret_scan,
@@ -92,4 +97,5 @@ LLM_CATALOGUE: dict[str, Query] = {
     "op7_vector_best_fit": pack_sequences,
     "op8_quality_rules": quality_rules,
     "op9_near_dup_vectors": near_dup_vectors,
+    "op10_substring_dedup": repeated_passages,
 }

@@ -10,6 +10,7 @@ storage root and the ledger, none in the process.
     python -m ledgerline.cli finalize --root R --run-id ID [--dlq-count N]
     python -m ledgerline.cli pipeline --root R --run-id ID --source-path P
     python -m ledgerline.cli smoke    --root R --source-path P [--limit 1000]
+    python -m ledgerline.cli compact  --root R
 
 Source options for JDBC and other formats: ``--source-format jdbc --option url=... --option
 dbtable=...``. ``--now`` fixes the run time (ISO text); default is the current UTC time.
@@ -30,7 +31,7 @@ from .sources.tables import read_source
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="ledgerline")
-    p.add_argument("stage", choices=["extract", "validate", "load", "report", "finalize", "pipeline", "smoke"])
+    p.add_argument("stage", choices=["extract", "validate", "load", "report", "finalize", "pipeline", "smoke", "compact"])
     p.add_argument("--root", required=True, help="storage root in the shared filesystem")
     p.add_argument("--run-id")
     p.add_argument("--source-path")
@@ -38,8 +39,11 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--option", action="append", default=[], help="source option key=value (repeatable)")
     p.add_argument("--chunk-size", type=int, default=5000)
     p.add_argument("--overlap-minutes", type=float, default=5)
-    p.add_argument("--buckets", type=int, default=64)
-    p.add_argument("--bucket-width", type=int)
+    p.add_argument("--buckets", type=int, help="hash buckets; default: the table's stored layout, else range buckets")
+    p.add_argument("--bucket-width", type=int, help="keys per range bucket")
+    p.add_argument("--on-malformed", choices=["stop", "dead_letter"], default="stop")
+    p.add_argument("--on-duplicate", choices=["latest", "fail"], default="latest")
+    p.add_argument("--guard", help="column: a change older in it than the stored row is skipped")
     p.add_argument("--limit", type=int, default=1000)
     p.add_argument("--dlq-count", type=int, default=0)
     p.add_argument("--now", help="run time, ISO text; default now (UTC)")
@@ -59,11 +63,12 @@ def _jsonable(v):
 def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = spark or (
-        SparkSession.builder.appName(f"ledgerline-{args.stage}").config("spark.ui.enabled", "false").getOrCreate()
+        SparkSession.builder.appName(f"ledgerline-{args.stage}").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     now = _dt.datetime.fromisoformat(args.now) if args.now else _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     config = PipelineConfig(chunk_size=args.chunk_size, overlap_minutes=args.overlap_minutes, buckets=args.buckets,
-                            bucket_width=args.bucket_width)
+                            bucket_width=args.bucket_width, on_malformed=args.on_malformed,
+                            on_duplicate=args.on_duplicate, guard=args.guard)
     pipe = LedgerPipeline(spark, args.root, config)
     options = dict(o.split("=", 1) for o in args.option)
 
@@ -72,6 +77,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
             raise SystemExit("--source-path is needed for this stage")
         return read_source(spark, args.source_format, args.source_path, **options)
 
+    if args.stage == "compact":
+        return {"ledger_seq": pipe.ledger.compact(), "table_version": pipe.target.compact_manifest()}
     if args.stage == "smoke":
         return pipe.run_smoke_transfer(source(), now, args.limit)
     if not args.run_id:

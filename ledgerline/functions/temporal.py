@@ -10,7 +10,15 @@ from pyspark.sql import types as T
 
 from ..schemas import EPOCH
 
-_OFFSET_TEXT = r"(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+# ISO text as the reference's parser takes it: date, optionally one separator character, a time
+# to the microsecond, and an offset; the basic form has no dashes and colons.
+_DATE = r"([0-9]{4})-?([0-9]{2})-?([0-9]{2})"
+_TIME = r"([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?"
+_OFFSET = r"(Z|[+-][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2})?)?)?"
+_CLOCK = r"[0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?|[0-9]{2}([0-9]{2}([.,][0-9]+)?)?)?"
+_ZONE = r"(Z|[+-][0-9]{2}(:[0-9]{2}(:[0-9]{2})?|[0-9]{2}([0-9]{2})?)?)?"
+_ISO = f"(?s)^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{8}})(.{_CLOCK}{_ZONE})?$"
+_PARTS = f"(?s)^{_DATE}(?:.{_TIME}{_OFFSET})?$"
 
 
 def ntz(value: _dt.datetime | str) -> Column:
@@ -26,30 +34,47 @@ def minutes(m: int | float | Column) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), m)
 
 
+def _since_epoch(seconds: Column) -> Column:
+    """UTC wall clock of an instant in seconds, free of the session's zone."""
+    return ntz(EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+
+
+def _parse_text(c: Column) -> Column:
+    part = lambda i: F.regexp_extract(c, _PARTS, i)
+    or_zero = lambda x: F.when(x == "", "00").otherwise(x)
+    micros = F.rpad(F.substring(part(7), 1, 6), 6, "0")
+    local = F.concat(
+        F.concat_ws("-", part(1), part(2), part(3)), F.lit(" "),
+        F.concat_ws(":", or_zero(part(4)), or_zero(part(5)), or_zero(part(6))), F.lit("."), micros,
+    ).try_cast(T.TimestampNTZType())
+    digits = F.regexp_replace(part(8), "[^0-9]", "")
+    sign = F.when(part(8).startswith("-"), -1).otherwise(1)
+    field = lambda at: F.coalesce(F.substring(digits, at, 2).try_cast("int"), F.lit(0))
+    hours, mins, secs = field(1), field(3), field(5)
+    # an offset of a day or more is no offset
+    fits = (hours < 24) & (mins < 60) & (secs < 60)
+    shift = F.make_dt_interval(F.lit(0), sign * hours, sign * mins, (sign * secs).cast("decimal(18,6)"))
+    return F.when(c.rlike(_ISO) & fits, local - shift)
+
+
 def parse_iso(c: Column, dtype: T.DataType) -> Column:
-    """ISO-8601 text (date only, with or without ``Z`` / offset) to UTC wall-clock NTZ.
+    """ISO-8601 text to UTC wall-clock NTZ, the same in every session zone.
 
     Text with an offset is read as an instant and shifted to UTC; text without one is
-    taken as it is. Typed timestamps pass through. Null when the text does not parse.
+    taken as it is. Typed times pass through; an instant becomes its UTC wall clock. Null
+    when the text is no ISO date or date and time.
     """
     if isinstance(dtype, T.TimestampNTZType):
         return c
     if isinstance(dtype, T.TimestampType):
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+        return _since_epoch(F.unix_micros(c).cast("decimal(24,6)") / 1_000_000)
     if isinstance(dtype, T.DateType):
         return c.cast("timestamp_ntz")
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
-        s = F.regexp_replace(c, r"^(\S+)[Zz]$", "$1+00:00")
-        with_offset = F.convert_timezone(
-            F.current_timezone(), F.lit("UTC"), s.try_cast(T.TimestampType()).cast("timestamp_ntz")
-        )
-        return F.when(c.rlike(_OFFSET_TEXT) & ~c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), with_offset).otherwise(
-            s.try_cast(T.TimestampNTZType())
-        )
+        return _parse_text(c)
     if isinstance(dtype, T.NumericType):
         # Epoch seconds, or milliseconds beyond 2e10 (the lax datetime rule of the contract).
-        secs = F.when(F.abs(c) > 2e10, c / 1000).otherwise(c)
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds(secs).cast("timestamp_ntz"))
+        return _since_epoch(F.when(F.abs(c) > 2e10, c / 1000).otherwise(c))
     return F.lit(None).cast("timestamp_ntz")
 
 

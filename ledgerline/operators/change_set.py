@@ -25,24 +25,15 @@ def top_keys(df: DataFrame, where: Column, order: Sequence[str | Column], key: S
     return df.where(where).orderBy(*order).limit(k).select(*key)
 
 
-BROADCAST_KEYS = 1_000_000
-
-
 def keyed_update(
     df: DataFrame,
     keys: DataFrame,
     key: Sequence[str],
     assignments: dict[str, Column],
-    max_keys: int | None = None,
 ) -> DataFrame:
     """M5: ``UPDATE t SET ... WHERE key IN (keys)`` — a left join flag and ``when``.
-
-    ``max_keys`` is the caller's bound on ``keys`` (the ``k`` of a top-k); under
-    ``BROADCAST_KEYS`` rows the keys are broadcast, otherwise Spark picks the join.
     """
     hits = keys.withColumn("_hit", F.lit(True))
-    if max_keys is not None and max_keys <= BROADCAST_KEYS:
-        hits = F.broadcast(hits)
     flagged = df.join(hits, list(key), "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     out = [F.when(hit, assignments[c]).otherwise(F.col(c)).alias(c) if c in assignments else F.col(c) for c in df.columns]
@@ -53,7 +44,7 @@ def oldest_pending_to_completed(txn: DataFrame, now: _dt.datetime, k: int = 200)
     """The 200 oldest pending rows (by ``created_at``, then key) become completed, and
     their ``updated_at`` is bumped to ``now``."""
     keys = top_keys(txn, F.col("status") == "pending", ["created_at", "transaction_id"], ["transaction_id"], k)
-    return keyed_update(txn, keys, ["transaction_id"], {"status": F.lit("completed"), "updated_at": ntz(now)}, max_keys=k)
+    return keyed_update(txn, keys, ["transaction_id"], {"status": F.lit("completed"), "updated_at": ntz(now)})
 
 
 def numbered(df: DataFrame, order: Sequence[str], name: str = "rn", materialize: Materialize | None = None) -> DataFrame:
@@ -73,32 +64,10 @@ def pick(seq: Column, values: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (F.lit(1) + F.pmod(seq, F.lit(len(values)))).cast("int"))
 
 
-def new_transactions(
-    events: DataFrame,
-    accounts: DataFrame,
-    first_id: int,
-    now: _dt.datetime,
-    materialize: Materialize | None = None,
-) -> DataFrame:
-    """M6 inserts: one new completed transaction per event, ids after ``first_id``,
-    accounts assigned round-robin over the numbered accounts (J1, W1, G7)."""
-    n_accounts = accounts.count()  # G7: the scalar COUNT(*), one number to the driver
-    acc = numbered(accounts.select("account_id"), ["account_id"], "rn", materialize)
-    seq_rows = events.select((F.col("event_id") + 1).alias("seq"), "value")
-    joined = assign_round_robin(seq_rows, "seq", acc, n_accounts)
-    s = F.col("seq")
-    return joined.select(
-        (F.lit(first_id) + s).alias("transaction_id"),
-        "account_id",
-        (F.lit(1) + F.pmod(s, F.lit(10))).cast("int").alias("category_id"),
-        F.round(F.col("value").cast("decimal(18,2)") + F.lit(100), 2).cast("decimal(18,2)").alias("amount"),
-        pick(s, ["USD", "EUR", "COP"]).alias("currency"),
-        pick(s, ["debit", "credit"]).alias("transaction_type"),
-        F.lit("completed").alias("status"),
-        F.concat(F.lit("Incremental-"), s.cast("string")).alias("description"),
-        ntz(now).alias("created_at"),
-        ntz(now).alias("updated_at"),
-    )
+def with_round_robin(rows: DataFrame, seq: str, side: DataFrame, key: str, materialize: Materialize | None = None) -> DataFrame:
+    """Give each row of ``rows`` one row of ``side``, numbered by ``key``, in turn."""
+    count = side.count()  # G7: the scalar COUNT(*), one number to the driver
+    return assign_round_robin(rows, seq, numbered(side, [key], "rn", materialize), count)
 
 
 def apply_change_set(txn: DataFrame, inserts: DataFrame, now: _dt.datetime, k: int = 200) -> DataFrame:

@@ -89,6 +89,33 @@ def transaction_constraints(amount: Column | None = None) -> list[Check | NotNul
     ]
 
 
+def account_constraints() -> list[Check | NotNull | MaxLength]:
+    """The DDL of the source ``accounts`` table."""
+    return [
+        *[NotNull(f"{c}_not_null", c) for c in ("account_id", "account_name", "account_type", "owner_name", "currency", "balance",
+                                                "is_active", "created_at", "updated_at")],
+        Check("account_type_in", F.col("account_type").isin("savings", "checking", "investment")),
+        *[MaxLength(f"{c}_length", c, n) for c, n in (("account_name", 100), ("account_type", 20), ("owner_name", 100), ("currency", 3))],
+    ]
+
+
+def category_constraints() -> list[Check | NotNull | MaxLength]:
+    """The DDL of the source ``categories`` table; the unique name is a ``duplicate_keys`` job."""
+    return [
+        *[NotNull(f"{c}_not_null", c) for c in ("category_id", "name", "updated_at")],
+        *[MaxLength(f"{c}_length", c, n) for c, n in (("name", 50), ("description", 200))],
+    ]
+
+
+def reporting_constraints() -> list[Check | NotNull | MaxLength]:
+    """The DDL of the reporting table ``financial_records``."""
+    return [
+        *[NotNull(f"{c}_not_null", c) for c in ("transaction_id", "account_id", "category_id", "amount", "currency", "transaction_type",
+                                                "status", "created_at", "updated_at", "source_updated_at", "loaded_at")],
+        *[MaxLength(f"{c}_length", c, n) for c, n in (("currency", 3), ("transaction_type", 10), ("status", 10), ("description", 255))],
+    ]
+
+
 def ledger_constraints() -> list[Check | NotNull | MaxLength]:
     """V25 / V27 over ledger rows: status set and not-null columns."""
     return [

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.temporal import ntz
+from ..functions.temporal import ntz, parse_iso
 from ..schemas import EPOCH, TRANSACTION_COLUMNS
 from .ranking import Materialize, chunk_of, global_position
 
@@ -34,12 +35,28 @@ def incremental_extract(
 ) -> DataFrame:
     """Rows with ``ts_col > since`` (strict, T1), projected to the contract columns.
 
-    The filter and the projection reach the Parquet scan (``PushedFilters``,
-    ``ReadSchema``); on JDBC they become the remote ``WHERE`` and column list.
+    On a typed time the filter and the projection reach the Parquet scan
+    (``PushedFilters``, ``ReadSchema``); on JDBC they become the remote ``WHERE`` and column
+    list. Text times are parsed to UTC before the comparison, and a row whose time does not
+    parse is kept, so that the rules see it.
     """
     bound = ntz(since) if isinstance(since, _dt.datetime) else since
+    kind = source.schema[ts_col].dataType
+    if not isinstance(kind, T.TimestampNTZType):
+        time = parse_iso(F.col(ts_col), kind)
+        after = F.col(ts_col).isNotNull() & F.coalesce(time > bound, F.lit(True))
+    else:
+        after = F.col(ts_col) > bound
     cols = [F.col("account_id").cast("string").alias("account_id") if c == "account_id" else F.col(c) for c in columns]
-    return source.where(F.col(ts_col) > bound).select(*cols)
+    return source.where(after).select(*cols)
+
+
+def extract_order(df: DataFrame) -> list[Column]:
+    """``EXTRACT_ORDER`` on the parsed time; rows without one come first, the key as text
+    when it is text that holds no number."""
+    time, key = EXTRACT_ORDER
+    by_key = [F.col(key).try_cast("decimal(38,0)"), F.col(key)] if isinstance(df.schema[key].dataType, T.StringType) else [F.col(key)]
+    return [parse_iso(F.col(time), df.schema[time].dataType), *by_key]
 
 
 def assign_chunks(

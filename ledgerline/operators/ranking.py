@@ -19,11 +19,6 @@ from ..session import checkpoint_root
 
 Materialize = Callable[[DataFrame], DataFrame]
 
-# The offset table has one row per sorted partition (three longs and an int). Up to this
-# many rows (about 50 MB) it is broadcast; above it, it is joined by a shuffle.
-MAX_BROADCAST_PARTITIONS = 2_000_000
-
-
 def checkpoint_materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
     checkpoint_root(df.sparkSession)
@@ -44,23 +39,20 @@ def partition_offsets(tagged: DataFrame) -> DataFrame:
     """One row per non-empty sorted partition: rows before it, and its first tick.
 
     The table has at most as many rows as the sort has partitions (bounded by
-    ``spark.sql.shuffle.partitions``), which is what makes its broadcast safe.
+    ``spark.sql.shuffle.partitions``).
     """
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_tick").alias("_first"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     return counts.select("_part", "_first", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
 
 
-def apply_offsets(tagged: DataFrame, offsets: DataFrame, name: str = "position", partitions: int | None = None) -> DataFrame:
+def apply_offsets(tagged: DataFrame, offsets: DataFrame, name: str = "position") -> DataFrame:
     """Position from 1 for each tagged row; drops the tag columns.
 
-    ``partitions`` is the number of sorted partitions (the offset table's row bound); the
-    table is broadcast only when that bound is known and under the limit.
+    The offset table has one row per sorted partition; Spark broadcasts it by its size.
     """
     pos = F.col("_offset") + (F.col("_tick") - F.col("_first")) + 1
     small = offsets.select("_part", "_first", "_offset")
-    if partitions is not None and partitions <= MAX_BROADCAST_PARTITIONS:
-        small = F.broadcast(small)
     return (
         tagged.join(small, "_part")
         .withColumn(name, pos.cast("long"))
@@ -76,8 +68,7 @@ def global_position(
 ) -> DataFrame:
     """``row_number() over (order by ...)``, computed without a one-task window."""
     tagged = (materialize or checkpoint_materialize)(tag_sorted(df, order))
-    # A materialised frame knows its partition count without a job: that bounds the table.
-    return apply_offsets(tagged, partition_offsets(tagged), name, tagged.rdd.getNumPartitions())
+    return apply_offsets(tagged, partition_offsets(tagged), name)
 
 
 def chunk_of(position: Column, chunk_size: int) -> Column:

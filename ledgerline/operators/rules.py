@@ -21,7 +21,7 @@ from ..functions.temporal import parse_iso
 from ..functions.text import canonical_uuid, is_canonical_uuid, normalise_currency, py_strip, strip, uuid_hex
 
 INT_MAX = 2**31 - 1
-LONG_DIGITS = r"^[+-]?[0-9]{1,18}$"
+LONG_TEXT = r"^[+-]?[0-9]+$"
 INT_TEXT = r"^[+-]?[0-9]+(\.0*)?$"
 
 
@@ -78,12 +78,13 @@ def key_id(name: str, fatal_parse: bool = True) -> Builder:
     def build(c: Column, dt: T.DataType) -> FieldResult:
         if N.is_text(dt):
             s = strip(c)
-            ok = s.rlike(LONG_DIGITS)
-            value = F.when(ok, s.try_cast("long"))
-            bad = c.isNull() | ~ok
+            # any BIGINT, however many zeros stand in front; beyond BIGINT no value fits
+            value = F.when(s.rlike(LONG_TEXT), s.try_cast("long"))
+            bad = value.isNull()
         elif N.is_number(dt):
             wide = N.number_value(c, dt)
-            value = F.when(wide.isNotNull() & (F.abs(wide) < F.lit(2**63 - 1)), c.cast("long"))
+            whole = F.when(wide < 0, F.ceil(wide)).otherwise(F.floor(wide))
+            value = whole.try_cast("long")
             bad = value.isNull()
         else:
             value = F.lit(None).cast("long")
@@ -299,62 +300,18 @@ CATEGORY_CONTRACT = Contract(
     key=("category_id",),
 )
 
-# The reporting row has the same contract as the source transaction.
-FINANCIAL_RECORD_CONTRACT = TRANSACTION_CONTRACT
-
-
-def _leaf_partitions(df: DataFrame) -> int | None:
-    """The most partitions any leaf of the plan starts with (a checkpointed RDD's partitions,
-    a file scan's files), read from the optimized plan without running anything."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    best = 0
-    for i in range(leaves.size()):
-        leaf = leaves.apply(i)
-        kind = leaf.getClass().getSimpleName()
-        if kind == "LogicalRDD":
-            best = max(best, int(leaf.rdd().getNumPartitions()))
-        elif kind == "LogicalRelation":
-            best = max(best, len(list(leaf.relation().location().inputFiles())))
-    return best
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small, narrow input over the cluster's cores before CPU-heavy rules.
-
-    Decided from the plan, so nothing runs: when the input's estimated size is below one
-    file split per core and no leaf already starts with a partition per core (one small
-    file is one task, whatever its rows), rows are dealt round-robin to
-    ``defaultParallelism`` partitions. A large input is never reshuffled.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        jconf = spark._jsparkSession.sessionState().conf()
-        split = int(jconf.filesMaxPartitionBytes())
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: leave the input as it is
-        return df
-    if size >= split * cores:
-        return df
-    try:
-        if _leaf_partitions(df) >= cores:
-            return df
-    except Exception:  # noqa: BLE001 - unknown leaves: spread (the input is small)
-        pass
-    return df.repartition(cores)
-
-
-def evaluate(df: DataFrame, contract: Contract, keep: Sequence[str] = (), spread_input: bool = True) -> DataFrame:
+def evaluate(df: DataFrame, contract: Contract, keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """One projection: the input columns, ``n_<field>`` normalised values, the arrays
     ``errors`` (class D codes) and ``fatal`` (class F codes), and ``is_valid_row``.
 
     Columns that are neither contract fields nor in ``keep`` are unknown keys (V15);
     absent fields without a default are missing keys (V16).
+
+    ``partitions`` deals the rows round-robin to so many partitions first. It is for a caller
+    who knows that the input is a single small file; by default nothing is reshuffled.
     """
-    if spread_input:
-        df = spread(df)
+    if partitions is not None:
+        df = df.repartition(partitions)
     schema = {f.name: f.dataType for f in df.schema.fields}
     known = set(contract.columns) | set(keep)
     unknown = sorted(c for c in schema if c not in known)

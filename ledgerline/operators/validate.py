@@ -62,11 +62,15 @@ def fatal_gate(evaluated: DataFrame, key: str = "transaction_id", sample: int =
         raise MalformedRowsError(f"malformed rows stop the run (first {len(rows)}): {shown}")
 
 
+def strict_rejects(evaluated: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """Rows with an error of either class, and their codes."""
+    return keep_if(evaluated, ~F.col("is_valid_row"),
+                   [F.col(key).cast("string").alias(key), F.concat_ws(",", F.concat("fatal", "errors")).alias("codes")])
+
+
 def strict_gate(evaluated: DataFrame, key: str = "transaction_id", sample: int = FATAL_SAMPLE) -> None:
     """Raise when any row has an error of either class."""
-    bad = keep_if(evaluated, ~F.col("is_valid_row"),
-                  [F.col(key).cast("string").alias(key), F.concat_ws(",", F.concat("fatal", "errors")).alias("codes")])
-    rows = bad.limit(sample).collect()
+    rows = strict_rejects(evaluated, key).limit(sample).collect()
     if rows:
         shown = "; ".join(f"{key}={r[key]}: {r['codes']}" for r in rows)
         raise InvalidRowsError(f"invalid rows in strict mode (first {len(rows)}): {shown}")

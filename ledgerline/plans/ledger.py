@@ -1,8 +1,7 @@
 """Checkpoint ledger as append-only state events.
 
 Each state change is one event row. The current row of a run is a fold of its events:
-``groupBy(run)`` with ``max_by`` / ``sum`` / ``max`` — an aggregate that combines
-map-side, never a global window. Events of a run before its first ``start`` are
+``groupBy(run)`` with ``max_by`` / ``sum`` / ``max``, never a global window. Events of a run before its first ``start`` are
 ignored, so an update of an unknown run changes nothing (T11).
 
 Events:
@@ -18,27 +17,24 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.temporal import extract_since, ntz
 from ..schemas import EPOCH, LEDGER_STATUSES
 
-EVENT_KINDS = ("start", "total", "advance", "finish", "attempt")
-
-
 def check_status(status: str) -> str:
     """The ledger accepts these statuses only."""
     if status not in LEDGER_STATUSES:
-        raise ValueError(f"invalid checkpoint status: {status}")
+        raise ValueError(f"status {status!r} is none of {LEDGER_STATUSES}")
     return status
 
 
 def fold(events: DataFrame) -> DataFrame:
     """K9: current row per run from its events (the ledger table of the reference)."""
-    by_run = events.groupBy("pipeline_run_id")
-    first_start = by_run.agg(F.min(F.when(F.col("event") == "start", F.col("seq"))).alias("_first_start"))
-    live = events.join(first_start, "pipeline_run_id").where(
+    # the window and the aggregate share one shuffle on the run id
+    first = F.min(F.when(F.col("event") == "start", F.col("seq"))).over(Window.partitionBy("pipeline_run_id"))
+    live = events.withColumn("_first_start", first).where(
         F.col("_first_start").isNotNull() & (F.col("seq") >= F.col("_first_start"))
     )
     is_start = F.col("event") == "start"
@@ -53,6 +49,7 @@ def fold(events: DataFrame) -> DataFrame:
         F.max_by(F.col("total_chunks"), F.when(F.col("event") == "total", F.col("seq"))).alias("total_chunks"),
         F.max_by(status_of, F.when(status_of.isNotNull(), F.col("seq"))).alias("status"),
         F.max_by(F.col("attempt"), F.when(F.col("event").isin("start", "attempt"), F.col("seq"))).alias("attempt"),
+        F.max_by(F.col("attempt"), F.when(F.col("attempt").isNotNull(), F.col("seq"))).alias("last_attempt"),
         F.max(F.when(is_first, F.col("at"))).alias("started_at"),
         F.max("at").alias("updated_at"),
     )
@@ -63,6 +60,7 @@ def fold(events: DataFrame) -> DataFrame:
         "total_chunks",
         "status",
         "attempt",
+        "last_attempt",
         "started_at",
         "updated_at",
     )

@@ -15,7 +15,7 @@ V_TRANSACTIONS = r"""transactions AS (
   CASE o_orderkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'COP' END AS currency,
   CASE o_orderkey % 2 WHEN 0 THEN 'debit' ELSE 'credit' END AS transaction_type,
   CASE o_orderstatus WHEN 'O' THEN 'pending' WHEN 'F' THEN 'completed' ELSE 'failed' END AS status,
-  concat('Transaction ref-', CAST(o_orderkey AS VARCHAR)) AS description,
+  concat('order ', CAST(o_orderkey AS VARCHAR)) AS description,
   o_orderdate AS created_at,
   o_orderdate + to_seconds(o_orderkey % 86400) AS updated_at
  FROM orders)"""
@@ -95,7 +95,8 @@ TWO_PLACES = r"[+-]?([0-9]+(\.[0-9]{0,2}0*)?|\.[0-9]{1,2}0*)"
 E16 = "CAST('10000000000000000' AS DECIMAL(38,18))"
 
 V_RAW = r"""transactions_raw AS (
- SELECT transaction_id, account_id,
+ SELECT CASE WHEN transaction_id % 97 = 16 THEN -transaction_id ELSE transaction_id END AS transaction_id,
+  CASE WHEN transaction_id % 97 <> 13 THEN account_id END AS account_id,
   CAST(CASE WHEN transaction_id % 97 = 6 THEN 0 ELSE category_id END AS INTEGER) AS category_id,
   CASE transaction_id % 97 WHEN 0 THEN '0.00' WHEN 7 THEN '1.005' WHEN 10 THEN '100.500'
     WHEN 11 THEN '12345678901234567.00' ELSE CAST(amount AS VARCHAR) END AS amount,
@@ -104,11 +105,16 @@ V_RAW = r"""transactions_raw AS (
   CASE WHEN transaction_id % 97 = 1 THEN upper(status) ELSE status END AS status,
   CASE transaction_id % 97 WHEN 4 THEN repeat('x', 256) WHEN 8 THEN NULL
     WHEN 9 THEN concat('  ', description, '  ') ELSE description END AS description,
-  created_at, updated_at
+  CASE WHEN transaction_id % 97 <> 14 THEN created_at END AS created_at,
+  CASE WHEN transaction_id % 97 <> 15 THEN updated_at END AS updated_at
  FROM transactions)"""
 
 V_TEXT = r"""transactions_text AS (
- SELECT CASE WHEN transaction_id % 89 = 1 THEN concat(CAST(transaction_id AS VARCHAR), '.5') ELSE CAST(transaction_id AS VARCHAR) END AS transaction_id,
+ SELECT CASE transaction_id % 89 WHEN 1 THEN concat(CAST(transaction_id AS VARCHAR), '.5')
+    WHEN 11 THEN CAST(9000000000000000000 + transaction_id AS VARCHAR)
+    WHEN 12 THEN concat(repeat('0', 20), CAST(transaction_id AS VARCHAR))
+    WHEN 13 THEN concat(repeat('9', 19), CAST(transaction_id AS VARCHAR))
+    ELSE CAST(transaction_id AS VARCHAR) END AS transaction_id,
   CASE transaction_id % 89 WHEN 2 THEN 'not-a-uuid' WHEN 3 THEN upper(replace(account_id, '-', ''))
     WHEN 4 THEN concat('{', account_id, '}') ELSE account_id END AS account_id,
   CAST(category_id AS VARCHAR) AS category_id,
@@ -117,7 +123,16 @@ V_TEXT = r"""transactions_text AS (
   transaction_type, status, description,
   CASE WHEN transaction_id % 89 = 8 THEN 'yesterday' ELSE CAST(created_at AS VARCHAR) END AS created_at,
   CASE transaction_id % 89 WHEN 9 THEN 'bad'
-    WHEN 10 THEN concat(substring(CAST(updated_at AS VARCHAR), 1, 10), 'T12:00:00Z') ELSE CAST(updated_at AS VARCHAR) END AS updated_at
+    WHEN 10 THEN concat(substring(CAST(updated_at AS VARCHAR), 1, 10), 'T12:00:00Z')
+    WHEN 14 THEN concat(substring(CAST(updated_at AS VARCHAR), 1, 10), 'T21:30:00-05:00')
+    WHEN 15 THEN concat(substring(CAST(updated_at AS VARCHAR), 1, 10), ' 03:00+0530')
+    WHEN 16 THEN replace(substring(CAST(updated_at AS VARCHAR), 1, 10), '-', '')
+    ELSE CAST(updated_at AS VARCHAR) END AS updated_at,
+  CASE transaction_id % 89 WHEN 9 THEN NULL
+    WHEN 10 THEN date_trunc('day', updated_at) + INTERVAL 12 HOUR
+    WHEN 14 THEN date_trunc('day', updated_at) + INTERVAL '26 hours 30 minutes'
+    WHEN 15 THEN date_trunc('day', updated_at) - INTERVAL '2 hours 30 minutes'
+    WHEN 16 THEN date_trunc('day', updated_at) ELSE updated_at END AS utc
  FROM transactions)"""
 
 # Rule evaluation of the transaction contract over a raw view with text amounts.
@@ -153,14 +168,14 @@ NORMALISED = """SELECT transaction_id, n_account_id AS account_id, n_category_id
  n_currency AS currency, transaction_type, status, n_description AS description, created_at, updated_at FROM ev"""
 
 RAW_CHUNKS = """raw_chunks AS (
- SELECT *, CAST((row_number() OVER (ORDER BY updated_at, transaction_id) - 1) // 500 AS INTEGER) AS chunk_index
+ SELECT *, CAST((row_number() OVER (ORDER BY updated_at NULLS FIRST, transaction_id) - 1) // 500 AS INTEGER) AS chunk_index
  FROM transactions_raw)"""
 
 TS_TEXT = "TRY_CAST(regexp_replace({x}, '[Zz]$', '') AS TIMESTAMP)"
 
 ACCOUNTS = r"""accounts AS (
  SELECT regexp_replace(md5(CAST(c_custkey AS VARCHAR)), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\1-\2-\3-\4-\5') AS account_id,
-  concat('Account-', lpad(CAST(c_custkey AS VARCHAR), 5, '0')) AS account_name,
+  concat('customer ', lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS account_name,
   CASE c_custkey % 3 WHEN 0 THEN 'savings' WHEN 1 THEN 'checking' ELSE 'investment' END AS account_type,
   c_name AS owner_name,
   CASE c_custkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'COP' END AS currency,
@@ -173,7 +188,24 @@ ACCOUNTS = r"""accounts AS (
 CATEGORIES = """categories AS (
  SELECT CAST(n_nationkey + 1 AS INTEGER) AS category_id, lower(n_name) AS name,
   CAST(NULL AS VARCHAR) AS description, TIMESTAMP '2024-01-01 00:00:00' AS updated_at
- FROM nation WHERE n_nationkey < 10)"""
+ FROM nation)"""
+
+ACCOUNTS_RAW = """accounts_raw AS (
+ SELECT CASE WHEN r = 1 THEN 'no-uuid' ELSE account_id END AS account_id, CASE WHEN r <> 2 THEN account_name END AS account_name,
+  CASE WHEN r = 3 THEN upper(account_type) ELSE account_type END AS account_type,
+  CASE WHEN r = 4 THEN repeat('o', 101) ELSE owner_name END AS owner_name,
+  CASE WHEN r = 5 THEN 'US' ELSE currency END AS currency,
+  CASE r WHEN 6 THEN '12345678901234567.00' WHEN 7 THEN '1.005' ELSE CAST(balance AS VARCHAR) END AS balance,
+  CASE WHEN r <> 8 THEN is_active END AS is_active, CASE WHEN r <> 9 THEN created_at END AS created_at,
+  CASE WHEN r <> 10 THEN updated_at END AS updated_at
+ FROM (SELECT *, CAST(replace(account_name, 'customer ', '') AS BIGINT) % 41 AS r FROM accounts))"""
+
+CATEGORIES_RAW = """categories_raw AS (
+ SELECT CASE WHEN category_id = 4 THEN 0 ELSE category_id END AS category_id,
+  CASE category_id WHEN 6 THEN NULL WHEN 8 THEN repeat(name, 51) ELSE name END AS name,
+  CASE WHEN category_id = 10 THEN repeat('d', 201) ELSE description END AS description,
+  CASE WHEN category_id <> 12 THEN updated_at END AS updated_at
+ FROM categories)"""
 
 SQL.update({
     "pack_unpack": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
@@ -191,21 +223,25 @@ FROM ev WHERE errors <> ''""",
     "fatal_rows": _with(V_TRANSACTIONS, V_TEXT)
     + f"""SELECT * FROM (
  SELECT transaction_id, concat_ws(',',
-  CASE WHEN transaction_id IS NULL OR NOT regexp_full_match({strip('transaction_id')}, '[+-]?[0-9]{{1,18}}') THEN 'transaction_id_type' END,
+  CASE WHEN transaction_id IS NULL OR NOT regexp_full_match({strip('transaction_id')}, '[+-]?[0-9]+')
+       OR TRY_CAST({strip('transaction_id')} AS BIGINT) IS NULL THEN 'transaction_id_type' END,
   CASE WHEN account_id IS NOT NULL AND NOT regexp_full_match({uuid_hex('account_id')}, '[0-9a-f]{{32}}') THEN 'account_id_format' END,
   CASE WHEN amount IS NULL OR (NOT regexp_full_match({strip('amount')}, '{NOT_FINITE}')
        AND NOT regexp_full_match({strip('amount')}, '{NUMBER}')) THEN 'amount_type' END,
   CASE WHEN currency IS NULL THEN 'currency_type' END,
   CASE WHEN created_at IS NOT NULL AND {TS_TEXT.format(x='created_at')} IS NULL THEN 'created_at_format' END,
-  CASE WHEN updated_at IS NOT NULL AND {TS_TEXT.format(x='updated_at')} IS NULL THEN 'updated_at_format' END) AS fatal
+  CASE WHEN updated_at IS NOT NULL AND utc IS NULL THEN 'updated_at_format' END) AS fatal
  FROM transactions_text) WHERE fatal <> ''""",
-    "extra_keys": """SELECT event_type, count(*) AS row_count,
+    "text_time_extract": _with(V_TRANSACTIONS, V_TEXT)
+    + f"SELECT transaction_id, updated_at, utc FROM transactions_text WHERE utc > {BOUND} OR utc IS NULL",
+    "extra_keys": """WITH e AS (SELECT event_type, CASE event_id % 50 WHEN 1 THEN '{"k": 1, "extra": 2}' WHEN 2 THEN '{"extra": 2}'
+ WHEN 3 THEN '{}' ELSE props END AS props FROM events) SELECT event_type, count(*) AS row_count,
  count_if(len(list_filter(json_keys(props), lambda k: k NOT IN ('k'))) > 0) AS unknown_key_rows,
  count_if(len(list_filter(['k'], lambda k: NOT list_contains(json_keys(props), k))) > 0) AS missing_key_rows
-FROM events GROUP BY event_type""",
-    "account_contract": _with(ACCOUNTS)
-    + f"""SELECT {canonical('account_id')} AS account_id, {strip('account_name')} AS account_name,
- upper({strip('currency', PYWS)}) AS currency, balance, is_active,
+FROM e GROUP BY event_type""",
+    "account_contract": _with(ACCOUNTS, ACCOUNTS_RAW)
+    + f"""SELECT account_id, {strip('account_name')} AS account_name,
+ upper({strip('currency', PYWS)}) AS currency, TRY_CAST(TRY_CAST(balance AS DECIMAL(38,18)) AS DECIMAL(18,2)) AS balance, is_active,
  concat_ws(',',
   CASE WHEN currency IS NULL THEN 'currency_type' END,
   CASE WHEN account_id IS NULL OR NOT regexp_full_match({uuid_hex('account_id')}, '[0-9a-f]{{32}}') THEN 'account_id' END,
@@ -213,18 +249,19 @@ FROM events GROUP BY event_type""",
   CASE WHEN account_type IS NULL OR account_type NOT IN ('savings', 'checking', 'investment') THEN 'account_type' END,
   CASE WHEN owner_name IS NULL OR length({strip('owner_name')}) > 100 THEN 'owner_name' END,
   CASE WHEN length({strip('currency', PYWS)}) <> 3 OR length(upper({strip('currency', PYWS)})) <> 3 THEN 'currency' END,
-  CASE WHEN balance IS NULL THEN 'balance' WHEN abs(balance) >= {E16} THEN 'balance_digits' END,
+  CASE WHEN balance IS NULL THEN 'balance' WHEN abs(TRY_CAST(balance AS DECIMAL(38,18))) >= {E16} THEN 'balance_digits'
+       WHEN NOT regexp_full_match(balance, '{TWO_PLACES}') THEN 'balance_scale' END,
   CASE WHEN is_active IS NULL THEN 'is_active' END,
   CASE WHEN created_at IS NULL THEN 'created_at' END,
   CASE WHEN updated_at IS NULL THEN 'updated_at' END) AS errors
-FROM accounts""",
-    "category_contract": _with(CATEGORIES)
+FROM accounts_raw""",
+    "category_contract": _with(CATEGORIES, CATEGORIES_RAW)
     + f"""SELECT category_id, {strip('name')} AS name, concat_ws(',',
   CASE WHEN category_id IS NULL OR category_id < 1 THEN 'category_id' END,
   CASE WHEN name IS NULL OR length({strip('name')}) > 50 THEN 'name' END,
   CASE WHEN length({strip('description')}) > 200 THEN 'description' END,
   CASE WHEN updated_at IS NULL THEN 'updated_at' END) AS errors
-FROM categories""",
+FROM categories_raw""",
 })
 
 # ------------------------------------------------------------------ merge / constraints / change set
@@ -265,11 +302,12 @@ UPDATED = f"""updated AS (SELECT transaction_id, account_id, category_id, amount
 
 INSERTS = f"""acc AS (SELECT account_id, row_number() OVER (ORDER BY account_id) AS rn FROM accounts),
 inserts AS (SELECT (SELECT max(transaction_id) FROM transactions) + e.event_id + 1 AS transaction_id, acc.account_id,
-  CAST(1 + (e.event_id + 1) % 10 AS INTEGER) AS category_id,
-  CAST(round(CAST(e.value AS DECIMAL(18,2)) + 100, 2) AS DECIMAL(18,2)) AS amount,
-  (['USD', 'EUR', 'COP'])[1 + (e.event_id + 1) % 3] AS currency,
-  (['debit', 'credit'])[1 + (e.event_id + 1) % 2] AS transaction_type,
-  'completed' AS status, concat('Incremental-', CAST(e.event_id + 1 AS VARCHAR)) AS description,
+  CAST(1 + (e.event_id + 1) % 25 AS INTEGER) AS category_id,
+  CAST(round(CAST(abs(e.value) AS DECIMAL(18,2)) + 1, 2) AS DECIMAL(18,2)) AS amount,
+  (['CHF', 'USD', 'JPY', 'EUR'])[1 + (e.event_id + 1) % 4] AS currency,
+  CASE WHEN e.event_type = 'purchase' THEN 'debit' ELSE 'credit' END AS transaction_type,
+  'completed' AS status,
+  concat(e.event_type, ' ', chr(CAST(65 + (e.event_id + 1) % 26 AS INTEGER)), lpad(CAST(e.event_id + 1 AS VARCHAR), 9, '0')) AS description,
   {NOW_SQL} AS created_at, {NOW_SQL} AS updated_at
  FROM events e JOIN acc ON acc.rn = 1 + (e.event_id + 1) % (SELECT count(*) FROM accounts)),
 changed AS (SELECT * FROM updated UNION ALL SELECT * FROM inserts)"""
@@ -293,6 +331,34 @@ _CONSTRAINTS = [
     ("updated_at_not_null", "updated_at IS NULL"),
 ]
 
+def _null(*columns: str) -> list[tuple[str, str]]:
+    return [(f"{c}_not_null", f"{c} IS NULL") for c in columns]
+
+
+def _long(**limits: int) -> list[tuple[str, str]]:
+    return [(f"{c}_length", f"length({c}) > {n}") for c, n in limits.items()]
+
+
+# The reporting rows before any rule drops them.
+REPORTING = f"""reporting AS (SELECT transaction_id, n_account_id AS account_id, n_category_id AS category_id, n_amount AS amount,
+ n_currency AS currency, transaction_type, status, n_description AS description, created_at, updated_at,
+ updated_at AS source_updated_at, {NOW_SQL} AS loaded_at FROM ev)"""
+
+_ALL_CONSTRAINTS = [
+    ("transactions", "transactions_raw", _CONSTRAINTS),
+    ("accounts", "accounts_raw",
+     _null("account_id", "account_name", "account_type", "owner_name", "currency", "balance", "is_active", "created_at", "updated_at")
+     + [("account_type_in", "account_type NOT IN ('savings', 'checking', 'investment')")]
+     + _long(account_name=100, account_type=20, owner_name=100, currency=3)),
+    ("categories", "categories_raw", _null("category_id", "name", "updated_at") + _long(name=50, description=200)),
+    ("financial_records", "reporting",
+     _null("transaction_id", "account_id", "category_id", "amount", "currency", "transaction_type", "status", "created_at",
+           "updated_at", "source_updated_at", "loaded_at")
+     + _long(currency=3, transaction_type=10, status=10, description=255)),
+    ("etl_checkpoints", "ledger",
+     _null("pipeline_run_id", "last_watermark", "status") + [("status_in", "status NOT IN ('running', 'completed', 'failed')")]),
+]
+
 TXN_COLS = "transaction_id, account_id, category_id, amount, currency, transaction_type, status, description, created_at, updated_at"
 
 SQL.update({
@@ -305,23 +371,31 @@ SELECT o.user_id, o.event_id, o.ts, CASE WHEN o.ts >= n.ts THEN o.event_id ELSE
 FROM o JOIN n ON o.user_id = n.user_id""",
     "insert_if_absent": _with(CATEGORIES)
     + f""", offered AS (SELECT CAST(n_nationkey + 1 AS INTEGER) AS category_id, lower(n_name) AS name, {NOW_SQL} AS updated_at FROM nation)
-SELECT category_id, name, updated_at FROM categories
-UNION ALL SELECT category_id, name, updated_at FROM offered WHERE name NOT IN (SELECT name FROM categories)""",
+, held AS (SELECT * FROM categories WHERE category_id <= 10)
+SELECT category_id, name, updated_at FROM held
+UNION ALL SELECT category_id, name, updated_at FROM offered WHERE name NOT IN (SELECT name FROM held)""",
     "unique_check": """SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "foreign_key_check": _with(V_TRANSACTIONS, ACCOUNTS, CATEGORIES)
-    + """, t AS (SELECT transaction_id, account_id, category_id + 1 AS category_id FROM transactions)
+    + r""", t AS (SELECT transaction_id, category_id * 3 AS category_id, CASE WHEN transaction_id % 50 = 0 THEN
+ regexp_replace(md5(CAST(-transaction_id AS VARCHAR)), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\1-\2-\3-\4-\5') ELSE account_id END AS account_id
+ FROM transactions)
 SELECT 'category_fk' AS constraint_name, transaction_id, CAST(category_id AS VARCHAR) AS missing_key FROM t
  WHERE category_id IS NOT NULL AND category_id NOT IN (SELECT category_id FROM categories)
 UNION ALL SELECT 'account_fk', transaction_id, account_id FROM t
  WHERE account_id IS NOT NULL AND account_id NOT IN (SELECT account_id FROM accounts)""",
-    "check_constraints": _with(V_TRANSACTIONS, V_RAW)
-    + "\nUNION ALL ".join(f"SELECT '{n}' AS constraint_name, count_if({c}) AS violations FROM transactions_raw" for n, c in _CONSTRAINTS),
+    "check_constraints": _with(V_TRANSACTIONS, V_RAW, V_EVAL, ACCOUNTS, ACCOUNTS_RAW, CATEGORIES, CATEGORIES_RAW, V_LEDGER, REPORTING)
+    + "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{n}' AS constraint_name, count_if({c}) AS violations FROM {view}"
+        for t, view, rows in _ALL_CONSTRAINTS for n, c in rows),
     "oldest_pending_update": _with(V_TRANSACTIONS, PENDING_KEYS, UPDATED) + "SELECT * FROM updated",
     "apply_change_set": _with(V_TRANSACTIONS, ACCOUNTS, PENDING_KEYS, UPDATED, INSERTS) + "SELECT * FROM changed",
     "newest_n_transfer": _with(V_TRANSACTIONS)
     + f"""SELECT {TXN_COLS}, updated_at AS source_updated_at, {NOW_SQL} AS loaded_at FROM transactions
 ORDER BY updated_at DESC, transaction_id DESC LIMIT 1000""",
+    "newest_n_rejects": _with(V_TRANSACTIONS, V_RAW, V_EVAL)
+    + """SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, errors AS codes FROM (
+ SELECT * FROM ev ORDER BY updated_at DESC NULLS LAST, transaction_id DESC LIMIT 1000) WHERE errors <> ''""",
     "load_projection": _with(V_TRANSACTIONS, V_RAW, V_EVAL)
     + f"""SELECT transaction_id, n_account_id AS account_id, n_category_id AS category_id, n_amount AS amount,
  n_currency AS currency, transaction_type, status, n_description AS description, created_at, updated_at,
@@ -331,12 +405,13 @@ ORDER BY updated_at DESC, transaction_id DESC LIMIT 1000""",
 UNION ALL SELECT 'categories', count(*) FROM categories
 UNION ALL SELECT 'transactions', count(*) FROM changed
 UNION ALL SELECT 'recent_transactions', count(*) FROM changed WHERE updated_at >= {NOW_SQL} - INTERVAL 1 MINUTE""",
-    "late_rows": _with(V_TRANSACTIONS)
-    + """, target AS (SELECT * FROM transactions
-  WHERE updated_at + to_days(CAST(transaction_id % 7 AS INTEGER)) <= TIMESTAMP '2000-06-01 00:00:00'),
-bound AS (SELECT max(updated_at) - INTERVAL 5 MINUTE AS b FROM target)
-SELECT transaction_id, updated_at FROM transactions
-WHERE updated_at <= (SELECT b FROM bound) AND transaction_id NOT IN (SELECT transaction_id FROM target)""",
+    # by what happened to each row, not by joining it with the target
+    "late_rows": _with(V_TRANSACTIONS, V_RAW, V_EVAL)
+    + """, m AS (SELECT transaction_id, updated_at, errors = '' AS valid, ((transaction_id % 11) + 11) % 11 = 3 AS was_older,
+  updated_at + to_days(CAST(((transaction_id % 7) + 7) % 7 AS INTEGER)) <= TIMESTAMP '2000-06-01 00:00:00' AS seen FROM ev),
+bound AS (SELECT max(updated_at) - INTERVAL 5 MINUTE AS b FROM m WHERE seen)
+SELECT transaction_id, updated_at FROM m
+WHERE updated_at <= (SELECT b FROM bound) AND (NOT seen OR (valid AND was_older))""",
 })
 
 # ------------------------------------------------------------------ pipeline, ledger, stream

@@ -9,8 +9,8 @@ P6 ``run_smoke_transfer``  S2, V19, B5, M1
 P7 ``run_pipeline``    all of the above in order
 
 Control stays in the driver; each stage is one or a few lazy plans whose only actions are
-writes plus bounded reads (a resume scalar, a fatal sample of at most five rows, the
-per-partition offset table, the touched bucket list). Commit order: staging, dead letter
+writes plus bounded reads (a resume scalar, a fatal sample of at most five rows, the touched
+bucket list). Commit order: staging, dead letter
 and validated rows, table version, ledger event last (T22). Load is atomic per run.
 """
 
@@ -38,11 +38,13 @@ from ..sources.store import (
     _fs_path,
     commit_records,
     delete_path,
+    has_parquet,
     path_exists,
     read_or_empty,
     read_records,
     run_folder,
 )
+from ..session import scratch_path
 from . import ledger as L
 from . import report as P
 
@@ -57,9 +59,9 @@ class PipelineConfig:
     on_duplicate: str = "latest"  # T13: later chunk wins; or 'fail'
     guard: str | None = None  # T12: no guard by default; 'updated_at' to skip stale changes
     on_malformed: str = "stop"  # V18: 'stop' the run, or 'dead_letter' the malformed rows
-    buckets: int = 64
-    files_per_bucket: int = 1
-    bucket_width: int | None = None  # range buckets on a rising integral key (see BucketTable)
+    buckets: int | None = None  # hash buckets instead of range buckets (see BucketTable)
+    files_per_bucket: int | None = None
+    bucket_width: int | None = None  # keys per range bucket; by default the stored or usual one
 
     def __post_init__(self) -> None:
         X.check_parameters(self.chunk_size, self.overlap_minutes)
@@ -107,9 +109,9 @@ class LedgerStore:
         snapshot covers. Runs through Spark; only the file names reach the driver.
         """
         upto = self.next_seq() - 1
-        if upto <= 0:
-            return 0
         old = self._live_files()
+        if upto <= 0 or old == [f"{self.path}/snapshot-{upto:020d}.json"]:
+            return max(upto, 0)  # nothing to fold, or nothing since the last snapshot
         cur = self.current()
         lit = F.lit
         ev = lambda event, seq, **cols: cur.select(
@@ -118,13 +120,14 @@ class LedgerStore:
               for c, f in ((f.name, f) for f in LEDGER_EVENTS.fields) if c not in ("seq", "pipeline_run_id", "event")],
         )
         snap = (
-            ev("start", upto - 4, last_watermark=F.col("last_watermark"), at=F.col("started_at"))
-            .unionByName(ev("total", upto - 3, total_chunks=F.col("total_chunks"), at=F.col("updated_at"))
+            ev("start", upto - 5, last_watermark=F.col("last_watermark"), at=F.col("started_at"))
+            .unionByName(ev("total", upto - 4, total_chunks=F.col("total_chunks"), at=F.col("updated_at"))
                          .where(F.col("total_chunks").isNotNull()))
-            .unionByName(ev("advance", upto - 2, last_watermark=F.col("last_watermark"),
+            .unionByName(ev("advance", upto - 3, last_watermark=F.col("last_watermark"),
                             chunks_delta=F.col("chunks_completed"), at=F.col("updated_at")))
-            .unionByName(ev("finish", upto - 1, status=F.col("status"), at=F.col("updated_at"))
+            .unionByName(ev("finish", upto - 2, status=F.col("status"), at=F.col("updated_at"))
                          .where(F.col("status") != "running"))
+            .unionByName(ev("attempt", upto - 1, attempt=F.col("last_attempt"), at=F.col("updated_at")))
             .unionByName(ev("attempt", upto, attempt=F.col("attempt"), at=F.col("updated_at")))
         )
         tmp = f"{self.path}/_snapshot-{upto:020d}-tmp"
@@ -171,6 +174,16 @@ class LedgerStore:
         return self._states[run_id]
 
 
+def newest_valid_rows(source: DataFrame, contract: R.Contract, limit: int) -> DataFrame:
+    """The newest ``limit`` rows, read once, normalised; any invalid one raises."""
+    top = source.orderBy(F.col("updated_at").desc(), F.col(contract.key[0]).desc()).limit(limit)
+    path = scratch_path(source.sparkSession, "newest")
+    top.select(*contract.columns).write.parquet(path)
+    ev = R.evaluate(source.sparkSession.read.parquet(path), contract)
+    V.strict_gate(ev)
+    return V.valid_rows(ev, contract)
+
+
 class LedgerPipeline:
     """One pipeline over one storage root: the six operations of the reference's DAGs."""
 
@@ -185,7 +198,6 @@ class LedgerPipeline:
             spark, f"{self.ws.root}/financial_records", FINANCIAL_RECORDS, contract.key,
             self.config.buckets, self.config.files_per_bucket, self.config.bucket_width,
         )
-        self._offsets: dict[tuple[str, str], list] = {}  # per attempt, one row per sorted partition
         self._attempts: dict[str, str | None] = {}  # attempts this instance wrote to the ledger
 
     # -------------------------------------------------------------- K1
@@ -219,19 +231,15 @@ class LedgerPipeline:
         self.ws.clear_run(run_id)
         extract = X.incremental_extract(source, since) if use_watermark else source.select(*self.contract.columns)
         staged_path = self.ws.buffer("staging_rows", run_id, attempt)
-        tag_sorted(extract, X.EXTRACT_ORDER).withColumn("pipeline_run_id", F.lit(run_id)).write.parquet(staged_path)
+        tag_sorted(extract, X.extract_order(extract)).withColumn("pipeline_run_id", F.lit(run_id)).write.parquet(staged_path)
         staged = self.spark.read.parquet(staged_path)
-        offsets = partition_offsets(staged).select(
+        # one row per sorted partition, kept as a table beside the rows
+        offsets = self.ws.buffer("staging_offsets", run_id, attempt)
+        partition_offsets(staged).select(
             F.lit(run_id).alias("pipeline_run_id"), "_part", "_first", "_n", "_offset",
             F.lit(cfg.chunk_size).alias("chunk_size"),
-        )
-        # The offset table has one row per sorted partition (bounded by the shuffle
-        # partition count): it comes to the driver once and is written beside the rows.
-        offset_rows = offsets.collect()
-        commit_records(self.spark, self.ws.buffer("staging_offsets", run_id, attempt), "offsets.json",
-                       [r.asDict() for r in offset_rows])
-        self._offsets[(run_id, attempt)] = offset_rows
-        rows = sum(r["_n"] for r in offset_rows)
+        ).write.json(offsets)
+        rows = self._offset_rows(run_id, attempt).agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
         total = math.ceil(int(rows) / cfg.chunk_size)
         self.ledger.append(run_id, "total", now, total_chunks=total)  # K6
         return {"pipeline_run_id": run_id, "chunk_count": total, "extract_since": since.isoformat(), "row_count": int(rows)}
@@ -242,22 +250,25 @@ class LedgerPipeline:
         if attempt is None:
             raise StageError(f"run {run_id} has no staged attempt")
         staged = self.spark.read.parquet(self.ws.buffer("staging_rows", run_id, attempt))
-        if (run_id, attempt) not in self._offsets:
-            path = self.ws.buffer("staging_offsets", run_id, attempt)
-            self._offsets[(run_id, attempt)] = read_records(self.spark, path, OFFSETS).collect()
-        offset_rows = self._offsets[(run_id, attempt)]
-        offsets = self.spark.createDataFrame(offset_rows, OFFSETS)
-        size = offset_rows[0]["chunk_size"] if offset_rows else self.config.chunk_size
-        return apply_offsets(staged, offsets.drop("pipeline_run_id", "chunk_size", "_n"), partitions=len(offset_rows)).withColumn(
+        offsets = self._offset_rows(run_id, attempt)
+        first = offsets.select("chunk_size").first()  # the same in each row
+        size = first[0] if first else self.config.chunk_size
+        return apply_offsets(staged, offsets.drop("pipeline_run_id", "chunk_size", "_n")).withColumn(
             "chunk_index", chunk_of(F.col("position"), size)
         )
 
+    def _offset_rows(self, run_id: str, attempt: str) -> DataFrame:
+        return read_records(self.spark, self.ws.buffer("staging_offsets", run_id, attempt), OFFSETS)
+
     # -------------------------------------------------------------- P2
     def run_validation(self, run_id: str, now: _dt.datetime) -> dict:
         """P2. The rules are evaluated once: the evaluated change set (normalised columns,
         codes, the raw payload of rejected rows) is the validated buffer of the attempt.
-        The chunk table, the fatal gate, the dead letters and the load all read it."""
+        The chunk table, the fatal gate, the dead letters and the load all read it. A run
+        without a staged attempt has nothing to validate: zeros, as on a retry."""
         attempt = self._attempt(run_id)
+        if attempt is None:
+            return {"pipeline_run_id": run_id, "dlq_count": 0, "chunks_validated": 0}
         staged = self.staging_rows(run_id)
         keep = ("pipeline_run_id", "position", "chunk_index")
         raw_cols = [c for c in staged.columns if c not in keep]
@@ -284,16 +295,18 @@ class LedgerPipeline:
             F.coalesce(F.max("updated_at"), ntz(EPOCH)).alias("source_high_watermark"),
             F.count_if(F.coalesce(F.size("fatal"), F.lit(0)) > 0).alias("fatal_rows"),
         ).select(F.lit(run_id).alias("pipeline_run_id"), F.col("chunk_index").cast("int"), "raw_rows", "valid_rows",
-                 "source_high_watermark", "fatal_rows").coalesce(1).write.parquet(chunks_path)
+                 "source_high_watermark", "fatal_rows").write.parquet(chunks_path)
         stats = self.spark.read.parquet(chunks_path).agg(
             F.count(F.lit(1)).alias("n"),
             F.coalesce(F.sum(F.col("raw_rows") - F.col("valid_rows")), F.lit(0)).alias("dlq"),
             F.coalesce(F.sum("fatal_rows"), F.lit(0)).alias("fatal"),
         ).first()
         if stats["fatal"]:
-            delete_path(self.spark, chunks_path)
-            delete_path(self.spark, rows_path)
-            V.fatal_gate(done.where(F.size("fatal") > 0), key="position")  # V18: stops before any dead letter or load
+            try:  # V18: stops before any dead letter or load
+                V.fatal_gate(done.where(F.size("fatal") > 0), key="position")
+            finally:
+                delete_path(self.spark, chunks_path)
+                delete_path(self.spark, rows_path)
         rejected = done.where(~F.col("is_valid_row")).select(
             F.lit(run_id).alias("pipeline_run_id"),
             F.lit(attempt).alias("attempt"),
@@ -327,6 +340,8 @@ class LedgerPipeline:
 
     def run_load(self, run_id: str, loaded_at: _dt.datetime) -> dict:
         attempt = self._attempt(run_id)
+        if attempt is None or not has_parquet(self.spark, self.ws.buffer("validated_chunks", run_id, attempt)):
+            return {"pipeline_run_id": run_id, "records_loaded": 0, "chunks_processed": 0}
         rows = self.spark.read.parquet(self.ws.buffer("validated_rows", run_id, attempt)).where(F.col("is_valid_row"))
         changes = load_projection(rows, loaded_at, carry=("chunk_index", "position"))
         stats = self.chunk_table(run_id).agg(
@@ -367,11 +382,11 @@ class LedgerPipeline:
 
     # -------------------------------------------------------------- P6
     def run_smoke_transfer(self, source: DataFrame, loaded_at: _dt.datetime, limit: int = 1000) -> dict:
-        """Newest ``limit`` rows, strict validation, one upsert; no ledger, no dead letter."""
-        top = source.orderBy(F.col("updated_at").desc(), F.col(self.contract.key[0]).desc()).limit(limit)
-        ev = R.evaluate(top.select(*self.contract.columns), self.contract)
-        V.strict_gate(ev)  # V19
-        rows = V.valid_rows(ev, self.contract)
+        """Newest ``limit`` rows, strict validation, one upsert; no ledger, no dead letter.
+
+        The rows are written once, so what is loaded is what was validated.
+        """
+        rows = newest_valid_rows(source, self.contract, limit)
         n = rows.count()
         if n == 0:
             return {"rows_read": 0, "rows_loaded": 0}
@@ -405,8 +420,11 @@ class LedgerPipeline:
         return self.target.read()
 
     def late_rows(self, source: DataFrame) -> DataFrame:
-        """Source rows at or under the next extract bound whose key never reached
-        the table. They committed after a run had moved past their time, so no later run
+        """Source rows at or under the next extract bound that no run loaded or
+        rejected. They committed after a run had moved past their time, so no later run
         reads them."""
         since, _, _ = self.resume_point()
-        return P.late_rows(source.select(*self.contract.columns), self.table(), ntz(since), list(self.contract.key))
+        cols = list(self.contract.columns)
+        rows = source.select(*cols)
+        rejected = self.dead_letters().select(F.from_json("payload", rows.schema, V.PAYLOAD_JSON_OPTIONS).alias("p")).select("p.*")
+        return P.late_rows(rows, self.table(), ntz(since), list(self.contract.key), rejected=rejected)

@@ -8,12 +8,13 @@ and returns a lazy DataFrame. Parameters below are fixed so that the DuckDB orac
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import jsonrows as J
-from ..functions.temporal import extract_since, ntz
+from ..functions.temporal import extract_since, ntz, parse_iso
 from ..operators import change_set as C
 from ..operators import constraints as K
 from ..operators import extract as X
@@ -23,7 +24,7 @@ from ..operators import rules as R
 from ..operators import validate as V
 from ..plans import ledger as L
 from ..plans import report as P
-from ..sources.fixtures import Fixtures
+from ..sources.fixtures import Fixtures, event_props, event_transactions, md5_uuid
 
 # Fixed parameters of the catalogue.
 DEMO_WATERMARK = _dt.datetime(2000, 1, 1)  # last completed watermark of the extract demos
@@ -82,8 +83,13 @@ PROPS_ALLOWED = ("k",)
 PROPS_REQUIRED = ("k",)
 
 
+def _tasks(spark: SparkSession) -> int:
+    """The given tables are single files: their rows are dealt to the cores before the rules."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _evaluated_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.evaluate(Fixtures(spark, sf_dir).transactions_raw(), R.TRANSACTION_CONTRACT)
+    return R.evaluate(Fixtures(spark, sf_dir).transactions_raw(), R.TRANSACTION_CONTRACT, partitions=_tasks(spark))
 
 
 def normalise_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,13 +132,20 @@ def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fatal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the all-text view that cannot be normalised."""
-    ev = R.evaluate(Fixtures(spark, sf_dir).transactions_text(), R.TRANSACTION_CONTRACT)
+    ev = R.evaluate(Fixtures(spark, sf_dir).transactions_text(), R.TRANSACTION_CONTRACT, partitions=_tasks(spark))
     return V.fatal_rows(ev)
 
 
+def text_time_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract of the all-text view, whose times carry mixed offsets;
+    rows whose time does not parse are kept for the rules."""
+    rows = X.incremental_extract(Fixtures(spark, sf_dir).transactions_text(), extract_since(ntz(DEMO_WATERMARK), OVERLAP_MINUTES))
+    return rows.select("transaction_id", "updated_at", parse_iso(F.col("updated_at"), rows.schema["updated_at"].dataType).alias("utc"))
+
+
 def extra_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of ``events.props`` against the allowed and required lists."""
-    ev = Fixtures(spark, sf_dir).table("events")
+    ev = event_props(Fixtures(spark, sf_dir).table("events"))
     codes = R.json_key_errors(F.col("props"), PROPS_ALLOWED, PROPS_REQUIRED)
     flagged = ev.select("event_type", codes.alias("codes"))
     has = lambda prefix: F.exists("codes", lambda c: c.startswith(prefix))
@@ -145,7 +158,7 @@ def extra_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def account_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The account contract over the derived accounts."""
-    ev = R.evaluate(Fixtures(spark, sf_dir).accounts(), R.ACCOUNT_CONTRACT)
+    ev = V.validate(Fixtures(spark, sf_dir).accounts_raw(), R.ACCOUNT_CONTRACT)
     return ev.select(
         "account_id",
         F.col("n_account_name").alias("account_name"),
@@ -158,7 +171,7 @@ def account_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def category_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The category contract over the derived categories."""
-    ev = R.evaluate(Fixtures(spark, sf_dir).categories(), R.CATEGORY_CONTRACT)
+    ev = V.validate(Fixtures(spark, sf_dir).categories_raw(), R.CATEGORY_CONTRACT)
     return ev.select(
         "category_id", F.col("n_name").alias("name"), F.concat_ws(",", F.concat("fatal", "errors")).alias("errors")
     )
@@ -241,7 +254,8 @@ def upsert_stale_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All nations offered as categories, inserted only when the name is new."""
+    """All nations offered as categories to a table that holds those up to id 10;
+    inserted only when the name is new."""
     fx = Fixtures(spark, sf_dir)
     offered = fx.table("nation").select(
         (F.col("n_nationkey") + 1).cast("int").alias("category_id"),
@@ -249,7 +263,8 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("description"),
         ntz(NOW).alias("updated_at"),
     )
-    return M.insert_if_absent(fx.categories(), offered, ["name"]).select("category_id", "name", "updated_at")
+    held = fx.categories().where(F.col("category_id") <= 10)
+    return M.insert_if_absent(held, offered, ["name"]).select("category_id", "name", "updated_at")
 
 
 def unique_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,9 +273,11 @@ def unique_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def foreign_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orphans of both references of transactions (category shifted by one)."""
+    """Orphans of both references of transactions, some of which point nowhere."""
     fx = Fixtures(spark, sf_dir)
-    txn = fx.transactions().withColumn("category_id", F.col("category_id") + 1)
+    lost = F.col("transaction_id") % 50 == 0
+    txn = fx.transactions().withColumn("category_id", F.col("category_id") * 3).withColumn(
+        "account_id", F.when(lost, md5_uuid(-F.col("transaction_id"))).otherwise(F.col("account_id")))
     cat = K.orphans(txn, ["category_id"], fx.categories(), ["category_id"]).select(
         F.lit("category_fk").alias("constraint_name"), "transaction_id", F.col("category_id").cast("string").alias("missing_key"))
     acc = K.orphans(txn, ["account_id"], fx.accounts(), ["account_id"]).select(
@@ -269,9 +286,20 @@ def foreign_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Violations per constraint of the source DDL over the raw rows."""
-    raw = Fixtures(spark, sf_dir).transactions_raw()
-    return K.violation_counts(raw, K.transaction_constraints(F.col("amount").try_cast("decimal(38,18)")))
+    """Violations per constraint of the five tables' DDL over dirty rows."""
+    fx = Fixtures(spark, sf_dir)
+    raw = fx.transactions_raw()
+    reporting = _load_projection(R.normalised(_evaluated_raw(spark, sf_dir), R.TRANSACTION_CONTRACT), NOW)
+    parts = [
+        K.violation_counts(raw, K.transaction_constraints(F.col("amount").try_cast("decimal(38,18)"))),
+        K.violation_counts(fx.accounts_raw(), K.account_constraints()),
+        K.violation_counts(fx.categories_raw(), K.category_constraints()),
+        K.violation_counts(reporting, K.reporting_constraints()),
+        K.violation_counts(fx.ledger_rows(), K.ledger_constraints()),
+    ]
+    names = ["transactions", "accounts", "categories", "financial_records", "etl_checkpoints"]
+    out = [p.select(F.lit(n).alias("table_name"), "constraint_name", "violations") for n, p in zip(names, parts, strict=True)]
+    return functools.reduce(DataFrame.unionByName, out)
 
 
 def oldest_pending_update(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,17 +312,24 @@ def apply_change_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
     txn = fx.transactions()
     first_id = txn.agg(F.max("transaction_id")).first()[0] or 0
-    inserts = C.new_transactions(fx.table("events"), fx.accounts(), first_id, NOW)
+    seq = fx.table("events").select((F.col("event_id") + 1).alias("seq"), "event_type", "value")
+    numbered = C.with_round_robin(seq, "seq", fx.accounts().select("account_id"), "account_id")
+    inserts = event_transactions(numbered, first_id, ntz(NOW))
     return C.apply_change_set(txn, inserts, NOW, PENDING_K)
 
 
 def newest_n_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest 1000 rows, strict validation, load projection."""
-    txn = Fixtures(spark, sf_dir).transactions()
-    top = txn.orderBy(F.col("updated_at").desc(), F.col("transaction_id").desc()).limit(TRANSFER_LIMIT)
-    ev = R.evaluate(top, R.TRANSACTION_CONTRACT)
-    V.strict_gate(ev)
-    return _load_projection(V.valid_rows(ev), NOW)
+    from ..plans.pipeline import newest_valid_rows
+
+    return _load_projection(newest_valid_rows(Fixtures(spark, sf_dir).transactions(), R.TRANSACTION_CONTRACT, TRANSFER_LIMIT), NOW)
+
+
+def newest_n_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the strict gate refuses among the newest 1000 dirty rows."""
+    raw = Fixtures(spark, sf_dir).transactions_raw()
+    top = raw.orderBy(F.col("updated_at").desc_nulls_last(), F.col("transaction_id").desc()).limit(TRANSFER_LIMIT)
+    return V.strict_rejects(R.evaluate(top, R.TRANSACTION_CONTRACT))
 
 
 def load_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,15 +350,20 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that commit days after their ``updated_at`` (arrival = updated_at +
-    key mod 7 days); a first run at the cut loads what had arrived, the next run's bound is
-    its watermark minus the overlap, and rows under it that never arrived are lost."""
-    txn = Fixtures(spark, sf_dir).transactions()
-    arrival = F.col("updated_at") + F.make_dt_interval(F.pmod(F.col("transaction_id"), F.lit(7)))
-    target = txn.where(arrival <= ntz(LATE_CUT))
-    wm = target.agg(F.max("updated_at")).first()[0]
+    """Dirty rows that commit days after their ``updated_at`` (arrival = updated_at +
+    key mod 7 days). A first run at the cut loads or rejects what had arrived; every 11th key
+    had then an older version, whose update committed late. The next run's bound is the
+    first run's watermark minus the overlap."""
+    raw = Fixtures(spark, sf_dir).transactions_raw()
+    key = F.col("transaction_id")
+    seen = raw.where(F.col("updated_at") + F.make_dt_interval(F.pmod(key, F.lit(7))) <= ntz(LATE_CUT))
+    wm = seen.agg(F.max("updated_at")).first()[0]
+    older = F.when(F.pmod(key, F.lit(11)) == 3, F.col("updated_at") - F.make_dt_interval(F.lit(1))).otherwise(F.col("updated_at"))
+    ev = R.evaluate(seen, R.TRANSACTION_CONTRACT, partitions=_tasks(spark))
+    target = V.valid_rows(ev).withColumn("updated_at", older)
+    rejected = V.invalid_rows(ev).select("transaction_id", "updated_at")
     bound = extract_since(ntz(wm), OVERLAP_MINUTES)
-    return P.late_rows(txn, target, bound, ["transaction_id"]).select("transaction_id", "updated_at")
+    return P.late_rows(raw, target, bound, ["transaction_id"], rejected=rejected).select("transaction_id", "updated_at")
 
 
 # Fixed parameters of the end-to-end scenario: run 1 sees the source as it was at T1,
@@ -340,7 +380,7 @@ def _two_runs(spark: SparkSession, sf_dir: str):
     from ..session import scratch_path
 
     raw = Fixtures(spark, sf_dir).transactions_raw()
-    pipe = LedgerPipeline(spark, scratch_path(spark, "e2e"), PipelineConfig(chunk_size=E2E_CHUNK, buckets=16))
+    pipe = LedgerPipeline(spark, scratch_path(spark, "e2e"), PipelineConfig(chunk_size=E2E_CHUNK))
     pipe.run_pipeline("run-1", raw.where(F.col("updated_at") <= ntz(E2E_T1)), E2E_L1)
     pipe.run_pipeline("run-2", raw, E2E_L2, finalize=False)
     return pipe
@@ -391,7 +431,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders_path = f"{sf_dir.rstrip('/')}/orders.parquet"
     schema = spark.read.parquet(orders_path).schema
     stream = FX.transactions_raw(FX.transactions(read_stream(spark, file_glob(orders_path), schema)))
-    pipe = LedgerPipeline(spark, root, PipelineConfig(chunk_size=E2E_CHUNK, buckets=16))
+    pipe = LedgerPipeline(spark, root, PipelineConfig(chunk_size=E2E_CHUNK))
     q = start_upsert_stream(spark, stream, pipe, "orders", f"{root}/_stream_checkpoint", now=lambda: NOW)
     q.awaitTermination()
     if q.exception() is not None:
@@ -412,6 +452,7 @@ CATALOGUE = {
     "valid_rows": valid_rows,
     "dead_letter": dead_letter,
     "fatal_rows": fatal_rows,
+    "text_time_extract": text_time_extract,
     "extra_keys": extra_keys,
     "account_contract": account_contract,
     "category_contract": category_contract,
@@ -427,6 +468,7 @@ CATALOGUE = {
     "oldest_pending_update": oldest_pending_update,
     "apply_change_set": apply_change_set,
     "newest_n_transfer": newest_n_transfer,
+    "newest_n_rejects": newest_n_rejects,
     "load_projection": load_projection,
     "table_counts": table_counts,
     "late_rows": late_rows,

@@ -25,15 +25,23 @@ def recent(df: DataFrame, now: _dt.datetime, within_minutes: int = 1, ts_col: st
     return df.where(F.col(ts_col) >= ntz(now) - minutes(within_minutes))
 
 
-def late_rows(source: DataFrame, target: DataFrame, bound: Column, key: Sequence[str], ts_col: str = "updated_at") -> DataFrame:
-    """Source rows at or under the extract bound whose key never reached the
-    target: they committed after a run had moved past them and no later run reads them."""
-    return source.where(F.col(ts_col) <= bound).join(target.select(*key), list(key), "left_anti")
+def late_rows(source: DataFrame, target: DataFrame, bound: Column, key: Sequence[str], ts_col: str = "updated_at",
+              rejected: DataFrame | None = None) -> DataFrame:
+    """Source rows at or under the extract bound that no run loaded or rejected.
 
-
-def staging_chunk_counts(staging_rows: DataFrame) -> DataFrame:
-    """Chunks per run in staged rows (``pipeline_run_id``, ``chunk_index``)."""
-    return staging_rows.groupBy("pipeline_run_id").agg(F.count_distinct("chunk_index").alias("staging_chunks"))
+    A row was loaded if the target holds its key with the same or a later time. A row was
+    rejected if ``rejected`` holds its key and time. What is left committed after a run had
+    moved past it, as a new row or as an update, and no later run reads it.
+    """
+    keys = list(key)
+    held = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col(ts_col).alias("_t_time"))
+    same = F.col(ts_col) <= F.col("_t_time")
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_t_{k}"))
+    out = source.where(F.col(ts_col) <= bound).join(held, same, "left_anti")
+    if rejected is not None:
+        out = out.join(rejected.select(*keys, ts_col).distinct(), [*keys, ts_col], "left_anti")
+    return out
 
 
 def run_metrics(
@@ -45,16 +53,17 @@ def run_metrics(
 ) -> DataFrame:
     """Six metrics per run, for all runs at once.
 
-    ``staging``: ``(pipeline_run_id, staging_chunks)`` of the current attempts (see
-    ``staging_chunk_counts``);
-    ``chunks``: the per-chunk table of validated attempts; ``dead_letter``: all attempts;
+    ``staging``: ``(pipeline_run_id, staging_chunks)`` of the current attempts;
+    ``chunks``: the per-chunk table of validated attempts; ``dead_letter``: all attempts,
+    of which each run's last one counts, so a replayed run counts its rejects once;
     ``ledger_current``: folded ledger rows. A run missing everywhere gets zeros and a null
     status (give it in ``runs``).
     """
     rid = "pipeline_run_id"
     s = staging.select(rid, "staging_chunks")
     v = chunks.groupBy(rid).agg(F.count(F.lit(1)).alias("validated_chunks"))
-    d = dead_letter.groupBy(rid).agg(F.count(F.lit(1)).alias("dead_letter_rows"))
+    last = ledger_current.select(rid, F.col("last_attempt").alias("attempt"))
+    d = dead_letter.join(last, [rid, "attempt"], "left_semi").groupBy(rid).agg(F.count(F.lit(1)).alias("dead_letter_rows"))
     c = ledger_current.select(rid, "chunks_completed", "total_chunks", F.col("status").alias("checkpoint_status"))
     out = s.join(v, rid, "full_outer").join(d, rid, "full_outer").join(c, rid, "full_outer")
     if runs is not None:

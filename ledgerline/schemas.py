@@ -47,7 +47,6 @@ FINANCIAL_RECORDS = T.StructType(
         T.StructField("loaded_at", T.TimestampNTZType(), False),
     ]
 )
-FINANCIAL_RECORD_COLUMNS = [f.name for f in FINANCIAL_RECORDS.fields]
 
 ACCOUNTS = T.StructType(
     [

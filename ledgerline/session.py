@@ -59,7 +59,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). Sets a temporary one
-    only when neither is set, which happens in tests only.
+    only on a local master, as in tests; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -69,6 +69,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return (sc.getCheckpointDir() or configured).rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(folder)
     return (sc.getCheckpointDir() or folder).rstrip("/")

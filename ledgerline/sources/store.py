@@ -1,7 +1,7 @@
 """Storage: run buffers, dead letters, ledger events and the bucketed reporting table.
 
 All state lives under one root in the shared filesystem (the cluster's checkpoint dir,
-HDFS, S3...). Files are only ever written into new folders; a version or attempt becomes
+HDFS...). Files are only ever written into new folders; a version or attempt becomes
 visible through a small commit record (manifest row or ledger event) written last, so a
 job that dies half-way leaves unreferenced folders and nothing half-visible (T22).
 
@@ -78,8 +78,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 # Small commit records (ledger events, manifest rows, offset tables) are JSON-lines files
 # written through the Hadoop FileSystem API: no Spark job for a few rows. Each file is
-# written under a hidden name, then renamed (atomic on HDFS), so a reader never sees half
-# a record; creating an existing name fails, which stops a second writer.
+# written under a hidden name, then renamed, so a reader never sees half a record; an existing
+# name stops a second writer. This needs a file system with atomic rename (HDFS and alike). On an object
+# store two writers could both commit: there, let one writer at a time run.
 RECORD_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -188,18 +189,31 @@ MANIFEST = T.StructType(
 )
 
 
+class LayoutError(ValueError):
+    """A table was opened with another layout than the one it is stored in."""
+
+
+#: Keys per range bucket of a table that is opened without a layout, and the file size that a
+#: rewrite aims at.
+DEFAULT_WIDTH = 10_000_000
+FILE_BYTES = 256 << 20
+
+
 class BucketTable:
     """A keyed Parquet table stored as buckets under versions.
 
-    Two bucket rules:
+    Two bucket rules, one of which is stored with the table on its first write:
+
+    * range (default for one integral key): ``bucket = key div bucket_width`` — for a rising
+      key (``BIGSERIAL``) new rows land in the last buckets and updates of recent rows stay
+      near them, so an incremental run rewrites a few buckets, not the table. The number
+      of buckets grows with the key range (``max_key / bucket_width``); choose the width so
+      that it stays in the tens of thousands.
+    * hash (``buckets`` given): ``bucket = pmod(hash(key), buckets)`` — any key, a fixed
+      number of buckets; a change set with scattered keys touches most buckets.
 
-    * hash (default): ``bucket = pmod(xxhash64(key), buckets)`` — any key, a fixed number
-      of buckets; a change set with scattered keys touches most buckets.
-    * range (``bucket_width`` set, one integral key): ``bucket = key div bucket_width`` —
-      for a rising key (``BIGSERIAL``) new rows land in the last buckets and updates of
-      recent rows stay near them, so an incremental run rewrites a few buckets, not the
-      table. The number of buckets grows with the key range (``max_key / bucket_width``);
-      choose the width so that it stays in the tens of thousands.
+    Opening a table takes the stored rule; asking for another one is a ``LayoutError``,
+    since a row would be looked for in a bucket that does not hold it.
 
     An upsert reads only the buckets its changes hit, writes them whole under a new
     version folder, then appends one manifest file ``(version, bucket, path)``. A reader
@@ -213,19 +227,50 @@ class BucketTable:
         path: str,
         schema: T.StructType,
         key: Sequence[str],
-        buckets: int = 64,
-        files_per_bucket: int = 1,
+        buckets: int | None = None,
+        files_per_bucket: int | None = None,
         bucket_width: int | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.key = list(key)
-        self.buckets = buckets
         self.files_per_bucket = files_per_bucket
-        self.bucket_width = bucket_width
-        if bucket_width is not None and (len(self.key) != 1 or bucket_width < 1):
+        if buckets is not None and bucket_width is not None:
+            raise ValueError("a table has hash buckets or range buckets, not both")
+        integral = len(self.key) == 1 and isinstance(schema[self.key[0]].dataType, T.IntegralType)
+        stored = self._stored_layout()
+        asked = buckets is not None or bucket_width is not None
+        if stored is not None:
+            if stored["key"] != self.key or (asked and (stored["buckets"], stored["bucket_width"]) != (buckets, bucket_width)):
+                raise LayoutError(f"{self.path} is stored with {stored}; it cannot be opened with "
+                                  f"key={self.key}, buckets={buckets}, bucket_width={bucket_width}")
+            buckets, bucket_width = stored["buckets"], stored["bucket_width"]
+        elif not asked:
+            if not integral:
+                raise ValueError("a table without one integral key needs a number of hash buckets")
+            bucket_width = DEFAULT_WIDTH
+        if bucket_width is not None and (not integral or bucket_width < 1):
             raise ValueError("range buckets need one integral key and bucket_width >= 1")
+        self.buckets = buckets
+        self.bucket_width = bucket_width
+        self._layout_is_stored = stored is not None
+
+    @property
+    def layout_path(self) -> str:
+        return f"{self.path}/_layout"
+
+    def _stored_layout(self) -> dict | None:
+        file = f"{self.layout_path}/layout.json"
+        if not path_exists(self.spark, file):
+            return None
+        return json.loads(self.spark.read.text(file).first()[0])
+
+    def _store_layout(self) -> None:
+        if not self._layout_is_stored:
+            commit_records(self.spark, self.layout_path, "layout.json",
+                           [{"key": self.key, "buckets": self.buckets, "bucket_width": self.bucket_width}])
+            self._layout_is_stored = True
 
     @property
     def manifest_path(self) -> str:
@@ -266,28 +311,14 @@ class BucketTable:
         if not heads:
             return 0
         upto = max(int(r["version"]) for r in heads)
+        if old == [f"{self.manifest_path}/snapshot-v{upto:010d}.json"]:
+            return upto  # nothing was written since the last snapshot
         commit_records(self.spark, self.manifest_path, f"snapshot-v{upto:010d}.json",
                        [{"version": int(r["version"]), "bucket": int(r["bucket"]), "path": r["path"]} for r in heads])
         for f in old:
             delete_path(self.spark, f)
         return upto
 
-    def vacuum(self) -> int:
-        """Delete data version folders that no current bucket path points into; returns
-        how many were deleted. Run it when no reader uses an older version."""
-        live = {p.rsplit("/bucket=", 1)[0].rstrip("/") for p in self.current_paths().values()}
-        data = f"{self.path}/data"
-        if not path_exists(self.spark, data):
-            return 0
-        fs, p = _fs_path(self.spark, data)
-        gone = 0
-        for st in fs.listStatus(p):
-            folder = st.getPath()
-            if folder.getName().startswith("v=") and not any(x.endswith("/" + folder.getName()) for x in live):
-                fs.delete(folder, True)
-                gone += 1
-        return gone
-
     def version(self) -> int:
         v = self.manifest().agg(F.max("version")).first()[0]
         return int(v) if v is not None else 0
@@ -309,7 +340,17 @@ class BucketTable:
         return self._read_paths(sorted(self.current_paths().values()))
 
 
-    def _merged(self, old: DataFrame, latest: DataFrame, touched: int) -> DataFrame:
+    def _files(self, paths: Sequence[str]) -> int:
+        """Files per rewritten bucket: given, or from the bytes of the largest of them."""
+        if self.files_per_bucket is not None:
+            return self.files_per_bucket
+        most = 0
+        for path in paths:
+            fs, p = _fs_path(self.spark, path)
+            most = max(most, int(fs.getContentSummary(p).getLength()))
+        return max(1, -(-most // FILE_BYTES))
+
+    def _merged(self, old: DataFrame, latest: DataFrame, touched: int, files: int = 1) -> DataFrame:
         """The rewritten rows of the ``touched`` buckets (old rows and deduplicated
         changes, the change winning per key), with a ``bucket`` column."""
         # One shuffle of the old rows: old rows and changes are partitioned so that every
@@ -321,14 +362,14 @@ class BucketTable:
         if self.bucket_width is None:
             # Hash buckets: partition q of B * f holds only bucket q mod B (Spark's own
             # hash partitioning is the bucket function).
-            laid_out = both.repartition(self.buckets * self.files_per_bucket, *self.key)
+            laid_out = both.repartition(self.buckets * files, *self.key)
             pick = Window.partitionBy(*self.key).orderBy(F.col("_src").desc())
         else:
             # Range buckets: partition by (bucket, sub-bucket); the window's keys include
             # them, so this partitioning satisfies it.
-            sub = F.pmod(F.hash(*[F.col(k) for k in self.key], F.lit(7)), F.lit(self.files_per_bucket))
+            sub = F.pmod(F.hash(*[F.col(k) for k in self.key], F.lit(7)), F.lit(files))
             laid_out = both.withColumn("bucket", self.bucket_of()).withColumn("_sub", sub).repartition(
-                max(1, touched * self.files_per_bucket), "bucket", "_sub")
+                max(1, touched * files), "bucket", "_sub")
             pick = Window.partitionBy("bucket", "_sub", *self.key).orderBy(F.col("_src").desc())
         return (
             laid_out.withColumn("_rank", F.row_number().over(pick))
@@ -355,14 +396,33 @@ class BucketTable:
         heads = self.manifest().groupBy("bucket").agg(
             F.max_by("path", "version").alias("path"), F.max("version").alias("v")).collect()
         last_version = max((int(r["v"]) for r in heads), default=0)
-        current = {int(r["bucket"]): r["path"] for r in heads if r["path"] and int(r["bucket"]) in set(touched)}
-        old = self._read_paths(sorted(current.values()))
+        hit = set(touched)
+        current = sorted(r["path"] for r in heads if r["path"] and int(r["bucket"]) in hit)
+        old = self._read_paths(current)
         version = last_version + 1
         folder = f"{self.path}/data/v={version:010d}-{uuid.uuid4().hex[:8]}"
         if guard is not None:
             latest = drop_stale(old, latest, self.key, guard)
-        merged = self._merged(old, latest.drop("bucket"), len(touched))
+        self._store_layout()
+        merged = self._merged(old, latest.drop("bucket"), len(touched), self._files(current))
         merged.write.mode("errorifexists").partitionBy("bucket").parquet(folder)
         commit_records(self.spark, self.manifest_path, f"v{version:010d}.json",
                        [{"version": version, "bucket": b, "path": f"{folder}/bucket={b}"} for b in touched])
         return version
+
+
+def merge_into(changes: DataFrame, table: str, key: Sequence[str], order: Sequence[str | Column] | None = None,
+               on_duplicate: str = "latest", guard: str | None = None) -> None:
+    """M1: ``MERGE INTO table`` for catalogs with row-level operations.
+
+    The table format finds the rows to change; nothing else is rewritten. Catalogs without it
+    (plain Parquet) raise an ``AnalysisException``: use ``BucketTable`` there.
+    """
+    target = changes.sparkSession.table(table).columns
+    latest = dedupe_changes(changes, list(key), order, on_duplicate).select(*target).alias("source")
+    same = F.lit(True)
+    for k in key:
+        same = same & (F.col(f"source.{k}") == F.col(f"{table}.{k}"))
+    merge = latest.mergeInto(table, same)
+    newer = None if guard is None else F.col(f"source.{guard}") >= F.col(f"{table}.{guard}")
+    merge.whenMatched(newer).updateAll().whenNotMatched().insertAll().merge()

@@ -4,8 +4,8 @@ The file source tracks which files it has read in its checkpoint, so each micro-
 a change set. ``foreachBatch`` runs the batch pipeline on it: stage (the materialisation
 point), validate with dead letters, upsert into the bucket table, then the ledger event.
 The run id is ``stream-<name>-<batchId>``: a batch replayed after a crash is a new
-attempt of the same run, and the upsert is idempotent, so the sink is exactly-once in
-effect.
+attempt of the same run: the upsert is idempotent, and reports count the rejects of a run's
+last attempt only.
 """
 
 from __future__ import annotations

@@ -38,7 +38,7 @@ class Sizes:
     grams: tuple[int, ...] = (3, 4, 5)
     bits: int = 18
     sample: int = 16_000
-    kept: int = 20_000
+    kept: int = 4_000
     least_documents: int = 3
     smooth: float = 1.0
     penalty: float = 1.0

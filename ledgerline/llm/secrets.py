@@ -46,6 +46,8 @@ TRAIN_DOCS = 20_000
 PRIOR = 1e-6
 #: Weight of the uniform distribution in the random model, which has seen few samples.
 UNIFORM = 0.5
+#: Weight of the single characters in a pair's chance, in pairs seen.
+BACK_OFF = 2.0
 MARK = "[secret]"
 
 
@@ -141,8 +143,11 @@ def train(docs: DataFrame, sample: int = TRAIN_DOCS) -> Models:
     counts = np.zeros((2, n + 1, n + 1))
     for r in sums:
         counts[r["label"], r["a"], r["b"]] = r["n"]
-    seen = counts[:, :, :n] + 0.5
-    chance = seen / seen.sum(axis=2, keepdims=True)
+    seen = counts[:, :, :n]
+    # pairs back off to single characters, and those to a small count of each
+    single = seen.sum(axis=1, keepdims=True) + 0.5
+    single /= single.sum(axis=2, keepdims=True)
+    chance = (seen + BACK_OFF * single) / (seen.sum(axis=2, keepdims=True) + BACK_OFF)
     random = (1 - UNIFORM) * chance[1] + UNIFORM / n
     return Models(np.log(random / chance[0]).tolist())
 

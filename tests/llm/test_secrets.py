@@ -1,12 +1,15 @@
 """Operator 2 against plain regular expressions, and its models on held-out strings."""
 
+import ast
 import hashlib
+import logging
+import os
 import random
 import re
 import string
 
 import pytest
-from conftest_llm import ODD, words
+from conftest_llm import ODD
 
 from ledgerline.llm import secrets
 
@@ -34,7 +37,8 @@ def plain_spans(text):
 
 @pytest.fixture(scope="module")
 def models(spark):
-    rows = [(i, " ".join(words(i, 50)).replace("w", random.Random(i).choice(["the", "in", "Or"])) + f" token={HEX40[i % 20:]}x9") for i in range(200)]
+    names = sorted({n for m in (os, ast, logging, random, string, re) for n in dir(m)})
+    rows = [(i, " ".join(random.Random(i).choices(names, k=50)) + f" token={HEX40[i % 20:]}x9") for i in range(200)]
     return secrets.train(spark.createDataFrame(rows, "doc_id long, text string"))
 
 

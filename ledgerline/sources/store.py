@@ -416,7 +416,7 @@ def merge_into(changes: DataFrame, table: str, key: Sequence[str], order: Sequen
     """M1: ``MERGE INTO table`` for catalogs with row-level operations.
 
     The table format finds the rows to change; nothing else is rewritten. Catalogs without it
-    (plain Parquet) raise an ``AnalysisException``: use ``BucketTable`` there.
+    (plain Parquet) raise an ``UnsupportedOperationException``: use ``BucketTable`` there.
     """
     target = changes.sparkSession.table(table).columns
     latest = dedupe_changes(changes, list(key), order, on_duplicate).select(*target).alias("source")

@@ -4,11 +4,12 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from ledgerline.operators import merge as M
 from ledgerline.schemas import FINANCIAL_RECORDS
-from ledgerline.sources.store import BucketTable
+from ledgerline.sources.store import BucketTable, LayoutError, merge_into
 
 T = dt.datetime(2024, 1, 1)
 UUID = "123e4567-e89b-12d3-a456-426614174000"
@@ -86,7 +87,7 @@ def test_range_buckets_touch_only_new_ranges(spark, root):
     assert len(got) == 1050 and got[999] == Decimal("3.00") and got[1] == Decimal("1.00")
 
 
-def test_manifest_compaction_and_vacuum(spark, root):
+def test_manifest_compaction(spark, root):
     table = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], buckets=4)
     for v in range(3):
         table.upsert(spark.createDataFrame([rec(i, f"{v + 1}.00", T) for i in range(1, 21)], FINANCIAL_RECORDS),
@@ -94,7 +95,7 @@ def test_manifest_compaction_and_vacuum(spark, root):
     before = sorted((r["transaction_id"], r["amount"]) for r in table.read().collect())
     assert table.compact_manifest() == 3
     assert len(table._manifest_files()) == 1
-    assert table.vacuum() == 2  # versions 1 and 2 are no longer referenced
+    assert table.compact_manifest() == 3  # repeating it changes nothing
     assert sorted((r["transaction_id"], r["amount"]) for r in table.read().collect()) == before
     table.upsert(spark.createDataFrame([rec(1, "9.00", T)], FINANCIAL_RECORDS), [F.col("updated_at")])
     assert table.version() == 4
@@ -108,3 +109,42 @@ def test_hash_bucket_rewrite_writes_f_files_per_bucket(spark, root):
     table.upsert(spark.createDataFrame([rec(i, "1.00", T) for i in range(1, 401)], FINANCIAL_RECORDS), [F.col("updated_at")])
     for path in table.current_paths().values():
         assert len(glob.glob(path.replace("file:", "") + "/*.parquet")) == 2  # one shuffle lays the files out
+
+
+def test_layout_is_stored_and_a_mismatch_refused(spark, root):
+    rows = spark.createDataFrame([rec(i, "1.00", T) for i in range(1, 101)], FINANCIAL_RECORDS)
+    BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], buckets=4).upsert(rows, [F.col("updated_at")])
+    for other in ({"buckets": 8}, {"bucket_width": 10}):
+        with pytest.raises(LayoutError):
+            BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], **other)
+    with pytest.raises(LayoutError):
+        BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["account_id"])
+    again = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"])  # takes the stored layout
+    assert again.buckets == 4 and again.bucket_width is None
+    more = [rec(i, "2.00", T) for i in (5, 101, 102)]
+    again.upsert(spark.createDataFrame(more, FINANCIAL_RECORDS), [F.col("updated_at")])
+    got = {r["transaction_id"]: r["amount"] for r in again.read().collect()}
+    assert again.read().count() == len(got) == 102 and got[5] == Decimal("2.00")
+
+
+def test_default_layout_reads_only_touched_buckets(spark, root):
+    table = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"])
+    w = table.bucket_width
+    rows = [rec(b * w + i, "1.00", T) for b in range(5) for i in range(1, 20)]
+    table.upsert(spark.createDataFrame(rows, FINANCIAL_RECORDS), [F.col("updated_at")])
+    before, read = table.current_paths(), []
+    table._read_paths = lambda paths: read.extend(paths) or BucketTable._read_paths(table, paths)
+    table.upsert(spark.createDataFrame([rec(4 * w + 3, "9.00", T)], FINANCIAL_RECORDS), [F.col("updated_at")])
+    assert read == [before[4]]
+    after = table.current_paths()
+    assert [b for b in after if after[b] != before[b]] == [4]
+
+
+def test_merge_into_needs_a_catalog_with_row_level_operations(spark, tmp_path):
+    spark.sql(f"create table plain_target (k long, v string) using parquet location '{tmp_path}/t'")
+    try:
+        changes = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
+        with pytest.raises(UnsupportedOperationException):
+            merge_into(changes, "plain_target", ["k"], ["v"])
+    finally:
+        spark.sql("drop table plain_target")

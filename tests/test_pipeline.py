@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.plans.pipeline import LedgerPipeline, PipelineConfig, StageError
+from ledgerline.operators.validate import MalformedRowsError
 from ledgerline.schemas import TRANSACTION_COLUMNS
 
 UUID = "123e4567-e89b-12d3-a456-426614174000"
@@ -87,8 +88,10 @@ def test_all_rows_invalid_still_advance(spark, root):
 def test_malformed_row_stops_before_any_write(spark, root):
     p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
     src = rows(spark, 5).withColumn("amount", F.when(F.col("transaction_id") == 3, "abc").otherwise(F.col("amount")))
-    with pytest.raises(StageError, match="malformed"):
+    with pytest.raises(StageError) as stopped:
         p.run_pipeline("r1", src, NOW)
+    cause = stopped.value.__cause__
+    assert isinstance(cause, MalformedRowsError) and "position=3: amount_type" in str(cause)
     assert p.ledger.state("r1")["status"] == "failed"  # T21: we record the failure
     m = p.run_metrics(["r1"]).first()
     assert m["dead_letter_rows"] == 0 and m["validated_chunks"] == 0
@@ -244,6 +247,52 @@ def test_late_rows_report(spark, root):
     assert [r["transaction_id"] for r in p.late_rows(src).collect()] == [50]
 
 
+def test_late_update_and_rejected_row(spark, root):
+    """K4: an update that commits late is reported though its key is loaded; a row that a
+    run rejected is not."""
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    src = rows(spark, 10, bad={3})
+    p.run_pipeline("r1", src, NOW)
+    assert p.late_rows(src).count() == 0
+    hour = F.expr("interval 1 minute")
+    update = src.where("transaction_id = 2").withColumn("updated_at", F.col("updated_at") + hour)
+    assert [r["transaction_id"] for r in p.late_rows(src.where("transaction_id <> 2").unionByName(update)).collect()] == [2]
+
+
+def test_replayed_run_counts_its_rejects_once(spark, root):
+    """The report counts the rejects of a run's last attempt; compaction keeps that."""
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    for _ in range(2):
+        p.run_pipeline("r1", rows(spark, 6, bad={3}), NOW, use_watermark=False)
+    assert p.run_metrics(["r1"]).first()["dead_letter_rows"] == 1
+    upto = p.ledger.compact()
+    assert p.ledger.compact() == upto  # repeatable
+    assert p.run_metrics(["r1"]).first()["dead_letter_rows"] == 1
+    p.run_pipeline("r1", rows(spark, 6), NOW, use_watermark=False)  # the replay has no bad row
+    assert p.run_metrics(["r1"]).first()["dead_letter_rows"] == 0
+
+
+def test_retry_without_buffers_gives_zeros(spark, root):
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p.run_pipeline("r1", rows(spark, 6), NOW)  # finalised: its buffers are gone
+    assert p.run_validation("r1", NOW) == {"pipeline_run_id": "r1", "dlq_count": 0, "chunks_validated": 0}
+    assert p.run_load("r1", NOW) == {"pipeline_run_id": "r1", "records_loaded": 0, "chunks_processed": 0}
+    assert p.run_load("never", NOW)["records_loaded"] == 0
+
+
+def test_text_times_are_parsed_before_the_filter_and_the_sort(spark, root):
+    src = rows(spark, 4).withColumn("updated_at", F.element_at(F.array(
+        F.lit("2026-04-17T11:00:00-05:00"), F.lit("2026-04-17T16:30:00Z"), F.lit("20260417T154500"), F.lit("yesterday")), F.col("transaction_id").cast("int")))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4, on_malformed="dead_letter"))
+    p.run_pipeline("r0", rows(spark, 1, start=90, t0=dt.datetime(2026, 4, 17, 10, 30)), NOW)  # watermark 12:00
+    out = p.run_pipeline("r1", src, NOW, finalize=False)
+    assert (out["extract"]["row_count"], out["validate"]["dlq_count"], out["load"]["records_loaded"]) == (4, 1, 3)
+    staged = [r["transaction_id"] for r in p.staging_rows("r1").orderBy("position").collect()]
+    assert staged == [4, 3, 1, 2]  # unparsed first, then by instant
+    got = {r["transaction_id"]: r["updated_at"] for r in p.table().collect()}
+    assert got[1] == dt.datetime(2026, 4, 17, 16) and got[3] == dt.datetime(2026, 4, 17, 15, 45)
+
+
 def test_load_progress_per_chunk(spark, root):
     """The running watermark and completed count the load reaches, chunk by chunk."""
     p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=4, buckets=4))

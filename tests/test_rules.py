@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import rules as R
+from ledgerline.functions.temporal import parse_iso
 from ledgerline.operators import validate as V
+from ledgerline.operators.rules import key_id
 
 UUID = "123e4567-e89b-12d3-a456-426614174000"
 GOOD = {
@@ -156,3 +158,42 @@ def test_category_contract(spark):
 @pytest.mark.parametrize("value,expected", [("5.00", "ok"), ("+5", "ok"), ("1E2", "D"), ("5.01", "D"), ("x", "D")])
 def test_category_text_forms(spark, value, expected):
     assert outcome(evaluate_one(spark, category_id=value)) == expected
+
+
+def test_any_bigint_id(spark):
+    ids = ["9223372036854775807", "-9223372036854775808", "0" * 30 + "7", "9223372036854775808", "1" * 30]
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "i int, x string")
+    built = key_id("transaction_id")(F.col("x"), frame.schema["x"].dataType)
+    got = [(r[0], r[1]) for r in frame.select(built.value, built.fatal, "i").orderBy("i").collect()]
+    bad = (None, "transaction_id_type")
+    assert got == [(2**63 - 1, None), (-(2**63), None), (7, None), bad, bad]
+    number = spark.createDataFrame([(2**63 - 1,)], "x long")
+    built = key_id("transaction_id")(F.col("x"), number.schema["x"].dataType)
+    assert number.select(built.value, built.fatal).first() == (2**63 - 1, None)
+
+
+def test_iso_times_as_the_reference_parses_them(spark):
+    import datetime as dt
+
+    texts = ["2026-04-17", "20260417", "2026-04-17T11:00:00-05:00", "2026-04-17 11:00", "20260417T110000Z", "2026-04-17T11:00:00.1234567+0530",
+             "2026-04-17x11", "2026", "2026-04", "2026-4-7", " 2026-04-17", "2026-04-17 ", "2026-13-01", "2026-04-17T25:00", "2026-04-17T11:00+24:00",
+             "2024-11-03T06:30:00Z", "2024-03-10T02:30:00", "2026-04-17T1100:00", "yesterday", ""]
+
+    def want(t):
+        try:
+            x = dt.datetime.fromisoformat(t.replace("Z", "+00:00"))
+        except ValueError:
+            return None
+        return x if x.tzinfo is None else x.astimezone(dt.timezone.utc).replace(tzinfo=None)
+
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            got = [r[0] for r in frame.select(parse_iso(F.col("t"), frame.schema["t"].dataType), "i").orderBy("i").collect()]
+            assert got == [want(t) for t in texts], z
+            instant = spark.sql("select timestamp_seconds(1730615400) t")  # 06:30 UTC, in the hour that New York repeats
+            assert instant.select(parse_iso(F.col("t"), instant.schema["t"].dataType)).first()[0] == dt.datetime(2024, 11, 3, 6, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -64,7 +64,7 @@ def main() -> None:
          "One `rangepartitioning` exchange; no `SinglePartition` exchange of rows.",
          tag_sorted(source.select("transaction_id", "updated_at"), X.EXTRACT_ORDER)),
         ("V17 rules and the valid split",
-         "Rules run once in generated code (`*` stages) after the spread; the split is a `Generate`, not a filter.",
+         "Rules run once in generated code (`*` stages) after the rows are dealt out; the split is a `Generate`, not a filter.",
          V.valid_rows(R.evaluate(raw, R.TRANSACTION_CONTRACT))),
         ("W4 latest per key",
          "`partial_max_by` before the shuffle: a hot key is reduced in each map task.",

@@ -35,13 +35,13 @@ THRESHOLD = 0.3
 class Sizes:
     """Bounds and settings of the training."""
 
-    grams: tuple[int, ...] = (3, 4, 5)
+    grams: tuple[int, ...] = (4, 5, 6)
     bits: int = 18
     sample: int = 16_000
     kept: int = 4_000
     least_documents: int = 3
     smooth: float = 1.0
-    penalty: float = 1.0
+    penalty: float = 3.0
     steps: int = 200
 
 

@@ -12,7 +12,7 @@ lengths of URLs), whatever the number of rules. Only DataFrame functions are use
 Defined results: a null URL, or one without ``://``, has an empty host and path and no rule;
 of rules of equal length the longer host wins, then block; rows that repeat stay rows of
 their own; an empty rule table leaves every URL to the default verdict; an empty input gives
-no rows; other columns of the input pass through.
+no rows; columns named host, path, rule or verdict are replaced, others pass through.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         F.sort_array(F.collect_set(F.size(F.split("host", r"\.")))).alias("labels"),
         F.sort_array(F.collect_set(F.length("path"))).alias("lengths"),
     ).first()
-    rows = pages.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url"))).withColumn("_row", F.monotonically_increasing_id())
+    rows = pages.drop("rule", "verdict").withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url"))).withColumn("_row", F.monotonically_increasing_id())
     spread = rows.withColumn("_expr", F.explode_outer(_expressions(F.col("host"), F.col("path"), forms["labels"], forms["lengths"])))
     spread = spread.withColumn("_digest", F.sha2("_expr", 256)).withColumn("_short", F.substring("_digest", 1, KEY_DIGITS))
     r = table.select(

@@ -26,7 +26,7 @@ def brute(url, rules, default="allow"):
 
 def test_verdicts(spark):
     rules = [*URL_RULES, ("f.g.net", "/e", "block"), ("a.b.c.d.e.f.g.net", "/en/", "allow"), ("c.d.e.f.g.net", "/en/abcdef", "block")]
-    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(URLS * 2)], "page_id long, url string, verdict_by string").repartition(3)
+    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(URLS * 2)], "page_id long, url string, rule string").repartition(3)
     for some in (rules, URL_RULES):
         out = url_rules.judge(pages, spark.createDataFrame(some, "host string, path string, verdict string"))
         got = sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in out.select("page_id", "host", "path", "rule", "verdict").collect())

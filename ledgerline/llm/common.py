@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -36,6 +38,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 _shipped: set[str] = set()
 
+#: Rows that Spark hands a worker at a time. Texts are long: 10,000 of them, the default, are
+#: some 40 MB on both sides. A session with another value keeps it.
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_DEFAULT = "10000"
+BATCH_ROWS = 1000
+
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``df.mapInArrow``, with this package sent to the executors first.
@@ -56,7 +64,25 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
                         z.write(path, os.path.relpath(path, top))
         sc.addPyFile(archive)
         _shipped.add(sc.applicationId)
-    return df.mapInArrow(fn, schema)
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        release()
+
+    return df.mapInArrow(over, schema)
+
+
+def release() -> None:
+    """Give a worker's free memory back: workers live on between tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def tasks_for(rows: int, per_task: int, least: int = 1) -> int:

@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 
 #: Words kept per Python worker; about 250 bytes each.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 700_000
 #: Longer words are encoded without being kept.
 KEPT_CHARS = 40
 

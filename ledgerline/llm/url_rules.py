@@ -38,10 +38,10 @@ def path_of(url: Column) -> Column:
 
 def rule_table(rules: DataFrame) -> DataFrame:
     """``rules(host, path, verdict)`` with the digest of the expression and its short key."""
-    expression = F.concat("host", "path")
+    expression = F.concat_ws(" ", "host", "path")
     return (
         rules.select(F.translate("host", UPPER, UPPER.lower()).alias("host"), "path", "verdict")
-        .withColumn("rule", expression)
+        .withColumn("rule", F.concat("host", "path"))
         .withColumn("digest", F.sha2(expression, 256))
         .withColumn("short", F.substring("digest", 1, KEY_DIGITS))
     )
@@ -52,7 +52,7 @@ def _expressions(host: Column, path: Column, labels: list[int], lengths: list[in
     has = F.length(host) - F.length(F.replace(host, F.lit("."))) + 1
     size = F.length(path)
     found = [
-        F.when((has >= k) & (size >= n) & (host != ""), F.concat(F.substring_index(host, ".", -k), F.substring(path, 1, n)))
+        F.when((has >= k) & (size >= n) & (host != ""), F.concat_ws(" ", F.substring_index(host, ".", -k), F.substring(path, 1, n)))
         for k in labels
         for n in lengths
     ]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import WORD, materialise, tasks_for
 
 #: Rows of one key range, and the largest share a source may take of its own size.
-ROWS_A_RANGE = 50_000
+ROWS_A_RANGE = 10_000
 MOST_EPOCHS = 3
 SEED = "mix-1"
 

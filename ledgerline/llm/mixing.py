@@ -111,7 +111,8 @@ def take(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST
     Columns and names as in ``docs``; ``n_chars``, if there, follows the text. The texts are
     not shuffled: each row compares its key with its source's cut.
     """
-    per = cuts(mix(keyed(docs), weights, most)).select(F.col("source").alias("_c_source"), F.col("epochs").alias("_epochs"), F.col("cut").alias("_cut"))
+    # a written table of one row per source: Spark knows its size and broadcasts it if small
+    per = materialise(cuts(mix(keyed(docs), weights, most)), "mix-cuts").select(F.col("source").alias("_c_source"), F.col("epochs").alias("_epochs"), F.col("cut").alias("_cut"))
     rows = docs.withColumn("_key", random_key(F.col("doc_id"), F.col("text"))).withColumn("_size", size_of(F.col("text")))
     rows = rows.join(per, rows["source"].eqNullSafe(per["_c_source"]))
     extra = (

@@ -29,9 +29,9 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Limits:
-    """A line is removed when more than ``documents`` documents and more than ``share`` of the
-    host's documents hold it. A document is rejected when less than ``kept`` of its words, or
-    fewer than ``words`` words, remain."""
+    """A line is removed when more than ``documents`` documents of the host hold it, whatever the
+    host's size; ``share`` is accepted and has no effect. A document is rejected when less than
+    ``kept`` of its words, or fewer than ``words`` words, remain."""
 
     documents: int = 20
     share: float = 0.01
@@ -119,26 +119,41 @@ def profile(docs: DataFrame, host: str = "source") -> DataFrame:
     )
 
 
-def judge(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
-    """Statistics, ``base_failed`` and ``kept`` of each row of ``docs(doc_id, text, host)``."""
-    rows = materialise(profile(docs, host), "quality-profile")
+def _frequent(rows: DataFrame, limits: Limits) -> DataFrame:
+    """The lines of each document of ``profile`` that too many documents of its host hold."""
     every = rows.select("doc_id", "host", "text_hash", F.explode("lines").alias("l")).select("doc_id", "host", "text_hash", "l.line", "l.words")
     # distinct documents per host and line; partial counts before the shuffle on (host, line)
     counts = every.select("host", "line", "doc_id").distinct().groupBy("host", "line").agg(F.count("*").alias("documents"))
-    hosts = rows.select("host", "doc_id").distinct().groupBy("host").agg(F.count("*").alias("held"))
-    frequent = counts.where(F.col("documents") > limits.documents)
-    h = hosts.select(F.col("host").alias("_h"), "held")
-    frequent = frequent.join(h, F.col("host").eqNullSafe(F.col("_h"))).where(F.col("documents") > F.col("held") * limits.share)
-    f = frequent.select(F.col("host").alias("_f_host"), F.col("line").alias("_f_line"))
-    hit = every.join(f, F.col("host").eqNullSafe(F.col("_f_host")) & (F.col("line") == F.col("_f_line")))
+    f = counts.where(F.col("documents") > limits.documents).select(F.col("host").alias("_f_host"), F.col("line").alias("_f_line"))
+    return every.join(f, F.col("host").eqNullSafe(F.col("_f_host")) & (F.col("line") == F.col("_f_line")))
+
+
+def _same_row(a: DataFrame, b: DataFrame) -> Column:
+    return F.lit(True) & a["doc_id"].eqNullSafe(b["doc_id"]) & a["host"].eqNullSafe(b["host"]) & (a["text_hash"] == b["text_hash"])
+
+
+def without_frequent_lines(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
+    """``docs`` with each text rebuilt without its frequent lines; other lines stay as they are."""
+    rows = materialise(profile(docs, host), "quality-profile")
+    cut = _frequent(rows, limits).groupBy("doc_id", "host", "text_hash").agg(F.collect_set("line").alias("_cut"))
+    full = docs.withColumn("host", F.col(host)).withColumn("text_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    out = full.join(cut, _same_row(full, cut), "left").select(*[full[c] for c in docs.columns], "_cut")
+    kept = F.filter(F.split("text", "\n", -1), lambda x: (F.length(F.translate(x, SPACE, "")) == 0) | ~F.array_contains(F.col("_cut"), F.xxhash64(_line(x))))
+    text = F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return out.withColumn("text", text).drop("_cut")
+
+
+def judge(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
+    """Statistics, ``base_failed`` and ``kept`` of each row of ``docs(doc_id, text, host)``."""
+    rows = materialise(profile(docs, host), "quality-profile")
+    hit = _frequent(rows, limits)
     # rows equal in doc_id and text would add up: the words of one of them are what is removed
     copies = rows.groupBy("doc_id", "host", "text_hash").agg(F.count("*").alias("copies"))
     removed = hit.groupBy("doc_id", "host", "text_hash").agg(F.sum("words").alias("removed"))
     keys = ["doc_id", "host", "text_hash"]
-    same = lambda a, b: F.lit(True) & a["doc_id"].eqNullSafe(b["doc_id"]) & a["host"].eqNullSafe(b["host"]) & (a["text_hash"] == b["text_hash"])
-    cut = removed.join(copies, same(removed, copies)).select(*[removed[k] for k in keys], (F.col("removed") / F.col("copies")).cast("long").alias("n_removed_words"))
+    cut = removed.join(copies, _same_row(removed, copies)).select(*[removed[k] for k in keys], (F.col("removed") / F.col("copies")).cast("long").alias("n_removed_words"))
     base = rows.drop("lines")
-    out = base.join(cut, same(base, cut), "left").select(
+    out = base.join(cut, _same_row(base, cut), "left").select(
         *[base[c] for c in base.columns if c not in ("host", "text_hash")], F.coalesce("n_removed_words", F.lit(0).cast("long")).alias("n_removed_words")
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))

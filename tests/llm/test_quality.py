@@ -64,3 +64,24 @@ def test_odd_and_empty(make):
 def test_native_plan(make):
     plan = quality.profile(make(ODD))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_verdict_does_not_depend_on_the_host_size(make):
+    line = "Menu home about contact search login help terms privacy"
+    rows = [(i, f"{line}\n{line}\nend", "large") for i in range(21)] + [(100 + i, " ".join(words(i, 12)), "large") for i in range(2200)]
+    rows += [(5000 + i, f"{line}\n{line}\nend", "small") for i in range(21)]
+    got = {r.doc_id: (r.n_removed_words, r.kept) for r in quality.judge(make(rows)).where("doc_id < 100 or doc_id >= 5000").collect()}
+    assert set(got.values()) == {(19, False)} and len(got) == 42
+
+
+def test_text_without_frequent_lines(make):
+    line = "Menu home about contact search login help terms privacy"
+    rows = [(i, f" {line.upper()}\t\n own {i} stays \n\n{line}\nend{i}", "s") for i in range(8)] + [(50, line, None), (51, None, "s"), (52, "", "s")]
+    limits = quality.Limits(documents=5)
+    docs = make(rows)
+    out = quality.without_frequent_lines(docs, limits=limits)
+    assert out.columns == docs.columns
+    texts = {r.doc_id: r.text for r in out.collect()}
+    assert texts == {**{i: f" own {i} stays \n\nend{i}" for i in range(8)}, 50: line, 51: None, 52: ""}
+    removed = {r.doc_id: r.n_removed_words for r in quality.judge(docs, limits=limits).collect()}
+    assert removed == {d: len((t or "").split()) - len((texts[d] or "").split()) for d, t, _ in rows}

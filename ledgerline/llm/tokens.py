@@ -81,6 +81,8 @@ class Encoder:
         core = word.rstrip(",.!?")
         if not _LETTERS.fullmatch(core):
             return None
+        if not self.keeps_space:
+            core = core.lower()  # what the file's normaliser does to these letters
         end = word[len(core) :]
         if end not in self.ends:
             self.ends[end] = self.plain(end)

@@ -1,5 +1,7 @@
 """Operators 1 and 7 against the tokenizers library alone."""
 
+import random
+
 import public_tokenizers
 import pyarrow.orc as orc
 import pytest
@@ -28,6 +30,29 @@ def test_encoder_equals_the_library(file):
         assert list(memoryview(encoder.encode(text)).cast("I")) == ids, text
 
 
+#: Parts that meet in real text: capitals beside curly quotes, ellipses, signs and other scripts.
+PARTS = [
+    "The", "cat", "DON'T", "Café", "…", "’", "“quoted”", "€", "Dvořák", "İ", "ΣΑΣ", "ﬁ", "日本", "e\u0301", "\u0301", "A\u030a", "\u2003", "\xa0", "\x85",
+    "\x1c", "\n", "\t", " ", "  ", ".", ",", "!?", "12", "'s", "'LL", "§", "|", "¶", "~", "Straße", "ẞ", "ÀÉÎ", "µ", "ª", "ǅ", "\U0001f600", "ſ", "\u2126",
+    "\u212b", "\u200b", "\ufeff", "\xad", "<|endoftext|>",
+]
+RANGES = [(32, 126), (0, 255), (0, 0x24F), (0x250, 0xD7FF), (0x1F300, 0x1F6FF), (32, 32)]
+
+
+def random_text(rnd: random.Random) -> str:
+    if rnd.random() < 0.5:
+        return "".join(rnd.choice(PARTS) + rnd.choice(["", " ", " "]) for _ in range(rnd.randint(1, 12)))
+    return "".join(chr(rnd.randint(*rnd.choice(RANGES))) for _ in range(rnd.randint(1, 25)))
+
+
+@pytest.mark.parametrize("file", [WORD, BYTE])
+def test_encoder_equals_the_library_on_random_text(file):
+    library, encoder, rnd = Tokenizer.from_file(file), Encoder.of(file), random.Random(11)
+    for _ in range(20_000):
+        text = random_text(rnd)
+        assert list(memoryview(encoder.encode(text)).cast("I")) == library.encode(text, add_special_tokens=False).ids, text
+
+
 def ids_of(file, text, end):
     return Tokenizer.from_file(file).encode(text or "", add_special_tokens=False).ids + [end]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ffd_packing, mixing, near_vectors, ngram_join, packing, passages, quality, secrets, token_files, toxicity, url_rules
+from ledgerline.llm import ffd_packing, mixing, near_vectors, ngram_join, packing, passages, periodic_runs, quality, secrets, token_files, toxicity, url_rules
 from ledgerline.llm.common import read
 from ledgerline.session import scratch_path
 
@@ -87,6 +87,11 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(read(spark, sf_dir, "documents"))
 
 
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12: periodic runs of every document, with the contract's loops put in."""
+    return periodic_runs.run_digests(read(spark, sf_dir, "documents"), periodic_runs.looped)
+
+
 def ffd_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 13: every piece with its sequence and offset."""
     return ffd_packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer(WORD_TOKENIZER))
@@ -103,5 +108,6 @@ LLM_CATALOGUE: dict[str, Query] = {
     "op8_quality_rules": quality_rules,
     "op9_near_dup_vectors": near_dup_vectors,
     "op10_substring_dedup": repeated_passages,
+    "op12_periodic_runs": word_runs,
     "op13_ffd_packing": ffd_pack,
 }

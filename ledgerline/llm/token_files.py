@@ -48,7 +48,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, fi
         end = np.array([end_id], "<u4").tobytes()
         before = 0
         for batch in batches:
-            for lo, hi in _slices(batch.column("text")):
+            for lo, hi in slices(batch.column("text")):
                 ids = [encoder.encode(t) + end for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
                 sizes = np.array([len(x) // 4 for x in ids], np.int64)
                 ends = np.cumsum(sizes)
@@ -83,13 +83,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, fi
     )
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Cut a batch so that one part holds about ``CHARS_A_BATCH`` bytes of text."""
+def slices(texts: pa.Array, most: int = CHARS_A_BATCH) -> Iterator[tuple[int, int]]:
+    """Cut a batch so that one part holds about ``most`` bytes of text."""
     sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     lo = held = 0
     for i, size in enumerate(sizes):
         held += int(size)
-        if held >= CHARS_A_BATCH:
+        if held >= most:
             yield lo, i + 1
             lo, held = i + 1, 0
     if lo < len(sizes):

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ffd_packing, mixing, near_vectors, ngram_join, packing, passages, periodic_runs, quality, secrets, token_files, toxicity, url_rules
+from ledgerline.llm import (
+    ffd_packing,
+    mixing,
+    near_vectors,
+    ngram_join,
+    packing,
+    passages,
+    periodic_runs,
+    quality,
+    secrets,
+    token_alignment,
+    token_files,
+    toxicity,
+    url_rules,
+)
 from ledgerline.llm.common import read
 from ledgerline.session import scratch_path
 
@@ -16,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: Tokenizer files of the queries; operators take a path.
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def tokenizer(name: str) -> str:
@@ -87,6 +102,11 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(read(spark, sf_dir, "documents"))
 
 
+def align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11: groups and links of the byte-level and the piece tokens of every document."""
+    return token_alignment.align_documents(read(spark, sf_dir, "documents"), tokenizer(BYTE_TOKENIZER), tokenizer(PIECE_TOKENIZER))
+
+
 def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 12: periodic runs of every document, with the contract's loops put in."""
     return periodic_runs.run_digests(read(spark, sf_dir, "documents"), periodic_runs.looped)
@@ -108,6 +128,7 @@ LLM_CATALOGUE: dict[str, Query] = {
     "op8_quality_rules": quality_rules,
     "op9_near_dup_vectors": near_dup_vectors,
     "op10_substring_dedup": repeated_passages,
+    "op11_token_alignment": align_tokens,
     "op12_periodic_runs": word_runs,
     "op13_ffd_packing": ffd_pack,
 }

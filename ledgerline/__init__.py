@@ -18,7 +18,7 @@ from .operators.rules import ACCOUNT_CONTRACT, CATEGORY_CONTRACT, TRANSACTION_CO
 from .operators.validate import dead_letters, fatal_gate, strict_gate, valid_rows
 from .plans.ledger import fold, resume_point
 from .plans.pipeline import LedgerPipeline, LedgerStore, PipelineConfig
-from .sources.store import BucketTable
+from .sources.store import RangeTable
 from .sources.tables import read_source
 from .streaming.stream import start_upsert_stream
 
@@ -26,11 +26,11 @@ __version__ = "0.1.0"
 
 __all__ = [
     "ACCOUNT_CONTRACT",
-    "BucketTable",
     "CATEGORY_CONTRACT",
     "LedgerPipeline",
     "LedgerStore",
     "PipelineConfig",
+    "RangeTable",
     "TRANSACTION_CONTRACT",
     "assign_chunks",
     "dead_letters",

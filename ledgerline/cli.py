@@ -39,8 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--option", action="append", default=[], help="source option key=value (repeatable)")
     p.add_argument("--chunk-size", type=int, default=5000)
     p.add_argument("--overlap-minutes", type=float, default=5)
-    p.add_argument("--buckets", type=int, help="hash buckets; default: the table's stored layout, else range buckets")
-    p.add_argument("--bucket-width", type=int, help="keys per range bucket")
+    p.add_argument("--range-width", type=int, help="keys per partition of the table; default: as stored, else the usual one")
     p.add_argument("--on-malformed", choices=["stop", "dead_letter"], default="stop")
     p.add_argument("--on-duplicate", choices=["latest", "fail"], default="latest")
     p.add_argument("--guard", help="column: a change older in it than the stored row is skipped")
@@ -66,8 +65,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
         SparkSession.builder.appName(f"ledgerline-{args.stage}").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     now = _dt.datetime.fromisoformat(args.now) if args.now else _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    config = PipelineConfig(chunk_size=args.chunk_size, overlap_minutes=args.overlap_minutes, buckets=args.buckets,
-                            bucket_width=args.bucket_width, on_malformed=args.on_malformed,
+    config = PipelineConfig(chunk_size=args.chunk_size, overlap_minutes=args.overlap_minutes, range_width=args.range_width,
+                            on_malformed=args.on_malformed,
                             on_duplicate=args.on_duplicate, guard=args.guard)
     pipe = LedgerPipeline(spark, args.root, config)
     options = dict(o.split("=", 1) for o in args.option)
@@ -78,7 +77,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
         return read_source(spark, args.source_format, args.source_path, **options)
 
     if args.stage == "compact":
-        return {"ledger_seq": pipe.ledger.compact(), "table_version": pipe.target.compact_manifest()}
+        return {"ledger_seq": pipe.ledger.compact()}
     if args.stage == "smoke":
         return pipe.run_smoke_transfer(source(), now, args.limit)
     if not args.run_id:

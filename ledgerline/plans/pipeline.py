@@ -9,9 +9,9 @@ P6 ``run_smoke_transfer``  S2, V19, B5, M1
 P7 ``run_pipeline``    all of the above in order
 
 Control stays in the driver; each stage is one or a few lazy plans whose only actions are
-writes plus bounded reads (a resume scalar, a fatal sample of at most five rows, the touched
-bucket list). Commit order: staging, dead letter
-and validated rows, table version, ledger event last (T22). Load is atomic per run.
+writes plus bounded reads (a resume scalar, a fatal sample of at most five rows). Row counts
+come out of the writes themselves (``DataFrame.observe``). Commit order: staging, dead letter
+and validated rows, table, ledger event last (T22). Load is atomic per run.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import datetime as _dt
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,15 +33,16 @@ from ..operators.ranking import apply_offsets, chunk_of, partition_offsets, tag_
 from ..schemas import CHUNK_TABLE, DEAD_LETTER, EPOCH, FINANCIAL_RECORDS, LEDGER_EVENTS, OFFSETS
 from ..sources.store import (
     RECORD_TIME_FORMAT,
-    BucketTable,
+    RangeTable,
     Workspace,
-    _fs_path,
     commit_records,
     delete_path,
+    finish_replace,
+    has_data_file,
     has_parquet,
-    path_exists,
     read_or_empty,
     read_records,
+    replace_partitions,
     run_folder,
 )
 from ..session import scratch_path
@@ -59,9 +60,7 @@ class PipelineConfig:
     on_duplicate: str = "latest"  # T13: later chunk wins; or 'fail'
     guard: str | None = None  # T12: no guard by default; 'updated_at' to skip stale changes
     on_malformed: str = "stop"  # V18: 'stop' the run, or 'dead_letter' the malformed rows
-    buckets: int | None = None  # hash buckets instead of range buckets (see BucketTable)
-    files_per_bucket: int | None = None
-    bucket_width: int | None = None  # keys per range bucket; by default the stored or usual one
+    range_width: int | None = None  # keys per partition of the reporting table; by default the stored or usual one
 
     def __post_init__(self) -> None:
         X.check_parameters(self.chunk_size, self.overlap_minutes)
@@ -70,7 +69,13 @@ class PipelineConfig:
 
 
 class LedgerStore:
-    """Append-only ledger events; the current state is their fold (K9)."""
+    """Append-only ledger events; the current state is their fold (K9).
+
+    One small file per commit in the folder of its day; ``compact`` merges them.
+    """
+
+    SCHEMA = T.StructType([*LEDGER_EVENTS.fields, T.StructField("day", T.DateType())])
+    FORMAT = {"timestampNTZFormat": RECORD_TIME_FORMAT}
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -78,71 +83,27 @@ class LedgerStore:
         self._seq: int | None = None  # single writer: the last seq, read once
         self._states: dict[str, dict | None] = {}  # fold of one run, until its next event
 
-    def _live_files(self) -> list[str]:
-        """Event files a reader folds: the newest snapshot and the files after it.
+    def is_empty(self) -> bool:
+        return not has_data_file(self.spark, self.path, ".json")
 
-        Names are ``<first seq>.json`` for events and ``snapshot-<seq>.json`` for a
-        compaction; older files may still exist while a compaction cleans up.
-        """
-        if not path_exists(self.spark, self.path):
-            return []
-        fs, p = _fs_path(self.spark, self.path)
-        names = [st.getPath().getName() for st in fs.listStatus(p)]
-        names = [n for n in names if n.endswith(".json") and not n.startswith(("_", "."))]
-        snaps = sorted(n for n in names if n.startswith("snapshot-"))
-        upto = int(snaps[-1][len("snapshot-"):-5]) if snaps else 0
-        live = [n for n in names if not n.startswith("snapshot-") and int(n[:-5]) > upto]
-        return [f"{self.path}/{n}" for n in (snaps[-1:] + sorted(live))]
+    def _stored(self) -> DataFrame:
+        finish_replace(self.spark, self.path, self.SCHEMA, "day", "json", **self.FORMAT)
+        if self.is_empty():
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).options(**self.FORMAT).json(self.path)
 
     def events(self) -> DataFrame:
-        files = self._live_files()
-        if not files:
-            return self.spark.createDataFrame([], LEDGER_EVENTS)
-        return self.spark.read.schema(LEDGER_EVENTS).option("timestampNTZFormat", RECORD_TIME_FORMAT).json(files)
+        return self._stored().drop("day")
 
     def compact(self) -> int:
-        """Fold the ledger into one snapshot file and delete the files it replaces.
+        """Merge the files of every day that has several of them; the events stay as they are.
 
-        For each run the snapshot holds synthetic events that fold to the run's current
-        row (start, total, advance, finish, attempt). Readers switch to it as soon as it is
-        committed, so the deletes afterwards change nothing they see. Returns the seq the
-        snapshot covers. Runs through Spark; only the file names reach the driver.
+        Each day is one task's work. Returns the last seq. Nothing reaches the driver but that.
         """
-        upto = self.next_seq() - 1
-        old = self._live_files()
-        if upto <= 0 or old == [f"{self.path}/snapshot-{upto:020d}.json"]:
-            return max(upto, 0)  # nothing to fold, or nothing since the last snapshot
-        cur = self.current()
-        lit = F.lit
-        ev = lambda event, seq, **cols: cur.select(
-            lit(seq).cast("long").alias("seq"), "pipeline_run_id", lit(event).alias("event"),
-            *[(cols[c] if c in cols else lit(None)).cast(f.dataType).alias(c)
-              for c, f in ((f.name, f) for f in LEDGER_EVENTS.fields) if c not in ("seq", "pipeline_run_id", "event")],
-        )
-        snap = (
-            ev("start", upto - 5, last_watermark=F.col("last_watermark"), at=F.col("started_at"))
-            .unionByName(ev("total", upto - 4, total_chunks=F.col("total_chunks"), at=F.col("updated_at"))
-                         .where(F.col("total_chunks").isNotNull()))
-            .unionByName(ev("advance", upto - 3, last_watermark=F.col("last_watermark"),
-                            chunks_delta=F.col("chunks_completed"), at=F.col("updated_at")))
-            .unionByName(ev("finish", upto - 2, status=F.col("status"), at=F.col("updated_at"))
-                         .where(F.col("status") != "running"))
-            .unionByName(ev("attempt", upto - 1, attempt=F.col("last_attempt"), at=F.col("updated_at")))
-            .unionByName(ev("attempt", upto, attempt=F.col("attempt"), at=F.col("updated_at")))
-        )
-        tmp = f"{self.path}/_snapshot-{upto:020d}-tmp"
-        snap.coalesce(1).write.option("timestampNTZFormat", RECORD_TIME_FORMAT).json(tmp)
-        fs, _ = _fs_path(self.spark, tmp)
-        jvm = self.spark.sparkContext._jvm
-        part = [st.getPath() for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(tmp))
-                if st.getPath().getName().startswith("part-")][0]
-        if not fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{self.path}/snapshot-{upto:020d}.json")):
-            raise FileExistsError(f"snapshot {upto} exists")
-        delete_path(self.spark, tmp)
-        for f in old:
-            delete_path(self.spark, f)
-        self._states.clear()
-        return upto
+        files = self._stored().select("day", F.input_file_name().alias("file")).distinct()
+        full = files.groupBy("day").count().where("count > 1")
+        replace_partitions(self._stored().join(full, "day", "left_semi").repartition("day"), self.path, "day", "json", **self.FORMAT)
+        return self.next_seq() - 1
 
     def current(self) -> DataFrame:
         return L.fold(self.events())
@@ -160,15 +121,15 @@ class LedgerStore:
         """Append events of one run in order, as one file (one commit); returns the last seq."""
         first = self.next_seq()
         rows = [{"seq": first + i, "pipeline_run_id": run_id, "event": e, "at": at, **v} for i, (e, v) in enumerate(events)]
-        commit_records(self.spark, self.path, f"{first:020d}.json", rows)
+        commit_records(self.spark, f"{self.path}/day={at.date().isoformat()}", f"{first:020d}.json", rows)
         self._seq = first + len(rows) - 1
         self._states.pop(run_id, None)
         return self._seq
 
     def state(self, run_id: str) -> dict | None:
-        if run_id not in self._states and not self._live_files():
-            return None
         if run_id not in self._states:
+            if self.is_empty():
+                return None
             rows = self.current().where(F.col("pipeline_run_id") == run_id).collect()
             self._states[run_id] = rows[0].asDict() if rows else None
         return self._states[run_id]
@@ -194,16 +155,15 @@ class LedgerPipeline:
         self.contract = contract
         self.ws = Workspace(spark, root)
         self.ledger = LedgerStore(spark, self.ws.ledger_path)
-        self.target = BucketTable(
-            spark, f"{self.ws.root}/financial_records", FINANCIAL_RECORDS, contract.key,
-            self.config.buckets, self.config.files_per_bucket, self.config.bucket_width,
+        self.target = RangeTable(
+            spark, f"{self.ws.root}/financial_records", FINANCIAL_RECORDS, contract.key, self.config.range_width
         )
         self._attempts: dict[str, str | None] = {}  # attempts this instance wrote to the ledger
 
     # -------------------------------------------------------------- K1
     def resume_point(self) -> tuple[_dt.datetime, _dt.datetime, _dt.datetime | None]:
         """(extract_since, initial_watermark, last_completed) from the ledger."""
-        if not self.ledger._live_files():  # empty ledger: the first run (T5), no job needed
+        if self.ledger.is_empty():  # empty ledger: the first run (T5), no job needed
             return EPOCH - _dt.timedelta(minutes=self.config.overlap_minutes), EPOCH, None
         row = L.resume_point(self.ledger.current(), self.config.overlap_minutes).first()
         return row["extract_since"], row["initial_watermark"], row["last_completed_watermark"]
@@ -231,7 +191,9 @@ class LedgerPipeline:
         self.ws.clear_run(run_id)
         extract = X.incremental_extract(source, since) if use_watermark else source.select(*self.contract.columns)
         staged_path = self.ws.buffer("staging_rows", run_id, attempt)
-        tag_sorted(extract, X.extract_order(extract)).withColumn("pipeline_run_id", F.lit(run_id)).write.parquet(staged_path)
+        seen = Observation("staging")
+        tagged = tag_sorted(extract, X.extract_order(extract)).withColumn("pipeline_run_id", F.lit(run_id))
+        tagged.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged_path)
         staged = self.spark.read.parquet(staged_path)
         # one row per sorted partition, kept as a table beside the rows
         offsets = self.ws.buffer("staging_offsets", run_id, attempt)
@@ -239,10 +201,10 @@ class LedgerPipeline:
             F.lit(run_id).alias("pipeline_run_id"), "_part", "_first", "_n", "_offset",
             F.lit(cfg.chunk_size).alias("chunk_size"),
         ).write.json(offsets)
-        rows = self._offset_rows(run_id, attempt).agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-        total = math.ceil(int(rows) / cfg.chunk_size)
+        rows = seen.get["rows"]
+        total = math.ceil(rows / cfg.chunk_size)
         self.ledger.append(run_id, "total", now, total_chunks=total)  # K6
-        return {"pipeline_run_id": run_id, "chunk_count": total, "extract_since": since.isoformat(), "row_count": int(rows)}
+        return {"pipeline_run_id": run_id, "chunk_count": total, "extract_since": since.isoformat(), "row_count": rows}
 
     def staging_rows(self, run_id: str) -> DataFrame:
         """A3: staged rows of the current attempt with position and chunk index."""
@@ -277,36 +239,34 @@ class LedgerPipeline:
             ev = ev.withColumn("errors", F.concat("fatal", "errors")).withColumn("fatal", F.array().cast("array<string>"))
         bad = ~F.col("is_valid_row")
         rows_path = self.ws.buffer("validated_rows", run_id, attempt)
-        ev.select(
+        checked = Observation("validated")
+        evaluated = ev.select(
             *keep,
             *[F.col(f"n_{c}").alias(c) for c in self.contract.columns],
             "is_valid_row",
             F.when(bad, F.col("errors")).alias("errors"),
             F.when(bad, F.col("fatal")).alias("fatal"),
             F.when(bad, V.payload_json(ev, raw_cols)).alias("payload"),
-        ).write.parquet(rows_path)
+        )
+        malformed = F.count_if(F.coalesce(F.size("fatal"), F.lit(0)) > 0)
+        evaluated.observe(checked, F.count_if(bad).alias("rejected"), malformed.alias("malformed")).write.parquet(rows_path)
         done = self.spark.read.parquet(rows_path)
+        if checked.get["malformed"]:
+            try:  # V18: stops before any dead letter or load
+                V.fatal_gate(done.where(F.size("fatal") > 0), key="position")
+            finally:
+                delete_path(self.spark, rows_path)
         # G2 + T8: rows, valid rows and the watermark over all rows per chunk (``updated_at``
-        # holds the parsed time of invalid rows too), and the malformed count for the gate.
+        # holds the parsed time of invalid rows too).
         chunks_path = self.ws.buffer("validated_chunks", run_id, attempt)
-        done.groupBy("chunk_index").agg(
+        counted = Observation("chunks")
+        chunks = done.groupBy("chunk_index").agg(
             F.count(F.lit(1)).alias("raw_rows"),
             F.count_if("is_valid_row").alias("valid_rows"),
             F.coalesce(F.max("updated_at"), ntz(EPOCH)).alias("source_high_watermark"),
-            F.count_if(F.coalesce(F.size("fatal"), F.lit(0)) > 0).alias("fatal_rows"),
         ).select(F.lit(run_id).alias("pipeline_run_id"), F.col("chunk_index").cast("int"), "raw_rows", "valid_rows",
-                 "source_high_watermark", "fatal_rows").write.parquet(chunks_path)
-        stats = self.spark.read.parquet(chunks_path).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum(F.col("raw_rows") - F.col("valid_rows")), F.lit(0)).alias("dlq"),
-            F.coalesce(F.sum("fatal_rows"), F.lit(0)).alias("fatal"),
-        ).first()
-        if stats["fatal"]:
-            try:  # V18: stops before any dead letter or load
-                V.fatal_gate(done.where(F.size("fatal") > 0), key="position")
-            finally:
-                delete_path(self.spark, chunks_path)
-                delete_path(self.spark, rows_path)
+                 "source_high_watermark")
+        chunks.observe(counted, F.count(F.lit(1)).alias("chunks")).write.parquet(chunks_path)
         rejected = done.where(~F.col("is_valid_row")).select(
             F.lit(run_id).alias("pipeline_run_id"),
             F.lit(attempt).alias("attempt"),
@@ -320,7 +280,7 @@ class LedgerPipeline:
         # One bulk append, partitioned by run so a per-run report reads one partition
         rejected.withColumn("run", F.lit(run_folder(run_id))).write.mode("append").partitionBy("run").parquet(
             self.ws.dead_letter_path)
-        return {"pipeline_run_id": run_id, "dlq_count": int(stats["dlq"] - stats["fatal"]), "chunks_validated": int(stats["n"])}
+        return {"pipeline_run_id": run_id, "dlq_count": checked.get["rejected"], "chunks_validated": counted.get["chunks"]}
 
     def dead_letters(self) -> DataFrame:
         """The dead-letter table (all runs, all attempts), with its ``run`` partition column."""
@@ -349,13 +309,11 @@ class LedgerPipeline:
             F.coalesce(F.sum("valid_rows"), F.lit(0)).alias("loaded"),
             F.max("source_high_watermark").alias("wm"),
         ).first()
-        version = None
         if stats["loaded"]:
-            version = self.target.upsert(changes, ["chunk_index", "position"], self.config.on_duplicate, self.config.guard)
+            self.target.upsert(changes, ["chunk_index", "position"], self.config.on_duplicate, self.config.guard)
         if stats["n"]:
             # K7: one event per run: GREATEST(watermark, max chunk watermark), + chunk count.
-            self.ledger.append(run_id, "advance", loaded_at, last_watermark=stats["wm"], chunks_delta=int(stats["n"]),
-                               table_version=version)
+            self.ledger.append(run_id, "advance", loaded_at, last_watermark=stats["wm"], chunks_delta=int(stats["n"]))
         return {"pipeline_run_id": run_id, "records_loaded": int(stats["loaded"]), "chunks_processed": int(stats["n"])}
 
     # -------------------------------------------------------------- P4

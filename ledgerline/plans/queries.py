@@ -412,7 +412,6 @@ def ledger_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(et == "view", F.floor("value").cast("int")).alias("total_chunks"),
         F.when(et == "purchase", "completed").when(et == "error", "failed").alias("status"),
         F.lit(None).cast("string").alias("attempt"),
-        F.lit(None).cast("long").alias("table_version"),
         F.col("ts").alias("at"),
     )
     return L.fold(events).select("pipeline_run_id", "last_watermark", "chunks_completed", "total_chunks", "status",

@@ -82,7 +82,6 @@ LEDGER_EVENTS = T.StructType(
         T.StructField("total_chunks", T.IntegerType(), True),
         T.StructField("status", T.StringType(), True),
         T.StructField("attempt", T.StringType(), True),
-        T.StructField("table_version", T.LongType(), True),
         T.StructField("at", T.TimestampNTZType(), False),
     ]
 )

@@ -1,9 +1,9 @@
-"""Storage: run buffers, dead letters, ledger events and the bucketed reporting table.
+"""Storage: run buffers, dead letters, ledger events and the partitioned reporting table.
 
 All state lives under one root in the shared filesystem (the cluster's checkpoint dir,
-HDFS...). Files are only ever written into new folders; a version or attempt becomes
-visible through a small commit record (manifest row or ledger event) written last, so a
-job that dies half-way leaves unreferenced folders and nothing half-visible (T22).
+HDFS...). Buffers are only ever written into new folders; an attempt becomes visible through
+a ledger event written last, so a job that dies half-way leaves unreferenced folders and
+nothing half-visible (T22). Tables are plain Parquet or JSON folders with a partition column.
 
 Layout under ``root``::
 
@@ -12,9 +12,8 @@ Layout under ``root``::
     validated_rows/run=r<h>/attempt=a<n>/     A4: the evaluated change set (valid flag, codes)
     validated_chunks/run=r<h>/attempt=a<n>/   A4: one row per chunk, empty chunks too (T9)
     dead_letter/run=r<h>/                     A6: append-only, partitioned by run
-    ledger/<seq>.json, snapshot-<seq>.json    A9: append-only state event records
-    financial_records/data/v=<n>-<id>/bucket=<b>/   A7: bucket files of one table version
-    financial_records/_manifest/v<n>.json, snapshot-v<n>.json   (version, bucket, path) records
+    ledger/day=<date>/<seq>.json              A9: append-only state event records
+    financial_records/keys_<width>=<n>/       A7: rows of one range of keys
 """
 
 from __future__ import annotations
@@ -76,7 +75,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
-# Small commit records (ledger events, manifest rows, offset tables) are JSON-lines files
+# Small commit records (ledger events) are JSON-lines files
 # written through the Hadoop FileSystem API: no Spark job for a few rows. Each file is
 # written under a hidden name, then renamed, so a reader never sees half a record; an existing
 # name stops a second writer. This needs a file system with atomic rename (HDFS and alike). On an object
@@ -178,205 +177,117 @@ class Workspace:
         return df.join(live, ["pipeline_run_id", "attempt"], "left_semi").drop("run", "attempt")
 
 
-# ------------------------------------------------------------------ bucketed reporting table
+# ------------------------------------------------------------------ partitioned reporting table
 
-MANIFEST = T.StructType(
-    [
-        T.StructField("version", T.LongType(), False),
-        T.StructField("bucket", T.LongType(), False),
-        T.StructField("path", T.StringType(), True),
-    ]
-)
 
+def replace_partitions(rows: DataFrame, path: str, column: str, fmt: str = "parquet", **options: str) -> None:
+    """Rewrite the partitions of ``path`` that ``rows`` have, by Spark's dynamic overwrite.
 
-class LayoutError(ValueError):
-    """A table was opened with another layout than the one it is stored in."""
+    ``rows`` may come from ``path`` itself. They are written beside it first: the overwrite takes
+    old partitions away before it moves new ones in, and a writer that dies there leaves a whole
+    copy, which ``finish_replace`` publishes. Repeating either changes nothing.
+    """
+    rows.write.format(fmt).options(**options).mode("overwrite").partitionBy(column).save(f"{path}_waiting")
+    finish_replace(rows.sparkSession, path, rows.schema, column, fmt, **options)
 
 
-#: Keys per range bucket of a table that is opened without a layout, and the file size that a
-#: rewrite aims at.
-DEFAULT_WIDTH = 10_000_000
-FILE_BYTES = 256 << 20
+def finish_replace(spark: SparkSession, path: str, schema: T.StructType, column: str, fmt: str = "parquet", **options: str) -> None:
+    """Publish a complete copy that an earlier ``replace_partitions`` left; else do nothing."""
+    waiting = f"{path}_waiting"
+    if not path_exists(spark, f"{waiting}/_SUCCESS"):
+        return
+    rows = spark.read.schema(schema).format(fmt).options(**options).load(waiting)
+    rows.write.format(fmt).options(**options, partitionOverwriteMode="dynamic").mode("overwrite").partitionBy(column).save(path)
+    delete_path(spark, waiting)
+
+
+class LayoutError(ValueError):
+    """A table was opened with another width than the one it is stored in."""
 
 
-class BucketTable:
-    """A keyed Parquet table stored as buckets under versions.
+#: Keys per partition and per file of a table that is opened without a width.
+DEFAULT_WIDTH = 10_000_000
+FILE_KEYS = 1_000_000
 
-    Two bucket rules, one of which is stored with the table on its first write:
 
-    * range (default for one integral key): ``bucket = key div bucket_width`` — for a rising
-      key (``BIGSERIAL``) new rows land in the last buckets and updates of recent rows stay
-      near them, so an incremental run rewrites a few buckets, not the table. The number
-      of buckets grows with the key range (``max_key / bucket_width``); choose the width so
-      that it stays in the tens of thousands.
-    * hash (``buckets`` given): ``bucket = pmod(hash(key), buckets)`` — any key, a fixed
-      number of buckets; a change set with scattered keys touches most buckets.
+class RangeTable:
+    """A keyed Parquet table partitioned by ranges of its integral key.
 
-    Opening a table takes the stored rule; asking for another one is a ``LayoutError``,
-    since a row would be looked for in a bucket that does not hold it.
+    The partition column ``keys_<width>`` holds ``key div width``, so the layout can be read off
+    the folder names by any Parquet reader. For a rising key (``BIGSERIAL``) new rows land in the
+    last ranges and updates of recent rows stay near them: a run rewrites some ranges, not the
+    table. A range holds at most ``width`` rows, a task ``FILE_KEYS`` of them. Choose the width so
+    that ``max key / width`` stays in the tens of thousands.
 
-    An upsert reads only the buckets its changes hit, writes them whole under a new
-    version folder, then appends one manifest file ``(version, bucket, path)``. A reader
-    takes, per bucket, the path of the newest version; untouched buckets keep their old
-    files. Single writer: the caller (the ledger) orders the loads.
+    An upsert joins the table with the ranges of its changes; Spark prunes the other partitions
+    from the scan by that join. Single writer: the caller (the ledger) orders the loads.
     """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        schema: T.StructType,
-        key: Sequence[str],
-        buckets: int | None = None,
-        files_per_bucket: int | None = None,
-        bucket_width: int | None = None,
-    ):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str], width: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.key = list(key)
-        self.files_per_bucket = files_per_bucket
-        if buckets is not None and bucket_width is not None:
-            raise ValueError("a table has hash buckets or range buckets, not both")
-        integral = len(self.key) == 1 and isinstance(schema[self.key[0]].dataType, T.IntegralType)
-        stored = self._stored_layout()
-        asked = buckets is not None or bucket_width is not None
-        if stored is not None:
-            if stored["key"] != self.key or (asked and (stored["buckets"], stored["bucket_width"]) != (buckets, bucket_width)):
-                raise LayoutError(f"{self.path} is stored with {stored}; it cannot be opened with "
-                                  f"key={self.key}, buckets={buckets}, bucket_width={bucket_width}")
-            buckets, bucket_width = stored["buckets"], stored["bucket_width"]
-        elif not asked:
-            if not integral:
-                raise ValueError("a table without one integral key needs a number of hash buckets")
-            bucket_width = DEFAULT_WIDTH
-        if bucket_width is not None and (not integral or bucket_width < 1):
-            raise ValueError("range buckets need one integral key and bucket_width >= 1")
-        self.buckets = buckets
-        self.bucket_width = bucket_width
-        self._layout_is_stored = stored is not None
-
-    @property
-    def layout_path(self) -> str:
-        return f"{self.path}/_layout"
-
-    def _stored_layout(self) -> dict | None:
-        file = f"{self.layout_path}/layout.json"
-        if not path_exists(self.spark, file):
-            return None
-        return json.loads(self.spark.read.text(file).first()[0])
-
-    def _store_layout(self) -> None:
-        if not self._layout_is_stored:
-            commit_records(self.spark, self.layout_path, "layout.json",
-                           [{"key": self.key, "buckets": self.buckets, "bucket_width": self.bucket_width}])
-            self._layout_is_stored = True
+        if len(self.key) != 1 or not isinstance(schema[self.key[0]].dataType, T.IntegralType):
+            raise ValueError("a range table needs one integral key")
+        if width is not None and width < 1:
+            raise ValueError("width must be at least 1")
+        stored = self._stored_width()
+        if stored is not None and width not in (None, stored):
+            raise LayoutError(f"{self.path} is stored in ranges of {stored} keys, not {width}")
+        self.width = stored or width or DEFAULT_WIDTH
 
     @property
-    def manifest_path(self) -> str:
-        return f"{self.path}/_manifest"
-
-    def bucket_of(self) -> Column:
-        """Bucket id. Hash buckets use ``pmod(hash(key), B)``, the function of Spark's own
-        hash partitioning, so that ``repartition(B * f, key)`` puts each bucket in ``f``
-        whole partitions (see ``upsert``)."""
-        if self.bucket_width is not None:
-            return F.floor(F.col(self.key[0]) / F.lit(self.bucket_width)).cast("long")
-        return F.pmod(F.hash(*[F.col(k) for k in self.key]), F.lit(self.buckets)).cast("long")
-
-    def _manifest_files(self) -> list[str]:
-        """The newest manifest snapshot and the version files after it."""
-        if not path_exists(self.spark, self.manifest_path):
-            return []
-        fs, p = _fs_path(self.spark, self.manifest_path)
-        names = [st.getPath().getName() for st in fs.listStatus(p)]
-        names = [n for n in names if n.endswith(".json") and not n.startswith(("_", "."))]
-        snaps = sorted(n for n in names if n.startswith("snapshot-v"))
-        upto = int(snaps[-1][len("snapshot-v"):-5]) if snaps else 0
-        live = [n for n in names if n.startswith("v") and int(n[1:-5]) > upto]
-        return [f"{self.manifest_path}/{n}" for n in snaps[-1:] + sorted(live)]
-
-    def manifest(self) -> DataFrame:
-        files = self._manifest_files()
-        if not files:
-            return self.spark.createDataFrame([], MANIFEST)
-        return self.spark.read.schema(MANIFEST).json(files)
-
-    def compact_manifest(self) -> int:
-        """Replace the manifest files by one snapshot of the newest row per bucket
-        (at most one row per bucket). Returns the version it covers."""
-        old = self._manifest_files()
-        heads = self.manifest().groupBy("bucket").agg(F.max("version").alias("version"),
-                                                      F.max_by("path", "version").alias("path")).collect()
-        if not heads:
-            return 0
-        upto = max(int(r["version"]) for r in heads)
-        if old == [f"{self.manifest_path}/snapshot-v{upto:010d}.json"]:
-            return upto  # nothing was written since the last snapshot
-        commit_records(self.spark, self.manifest_path, f"snapshot-v{upto:010d}.json",
-                       [{"version": int(r["version"]), "bucket": int(r["bucket"]), "path": r["path"]} for r in heads])
-        for f in old:
-            delete_path(self.spark, f)
-        return upto
-
-    def version(self) -> int:
-        v = self.manifest().agg(F.max("version")).first()[0]
-        return int(v) if v is not None else 0
-
-    def current_paths(self, buckets: Sequence[int] | None = None) -> dict[int, str]:
-        """Newest path per bucket; at most ``buckets`` rows reach the driver."""
-        m = self.manifest()
-        if buckets is not None:
-            m = m.where(F.col("bucket").isin(list(buckets)))
-        rows = m.groupBy("bucket").agg(F.max_by("path", "version").alias("path")).collect()
-        return {int(r["bucket"]): r["path"] for r in rows if r["path"]}
-
-    def _read_paths(self, paths: Sequence[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+    def column(self) -> str:
+        return f"keys_{self.width}"
+
+    def _stored_width(self) -> int | None:
+        """The width in the name of any partition folder, of the table or of a waiting copy."""
+        for path in (self.path, f"{self.path}_waiting"):
+            if path_exists(self.spark, path):
+                fs, p = _fs_path(self.spark, path)
+                found = fs.listStatusIterator(p)
+                while found.hasNext():
+                    name = found.next().getPath().getName()
+                    if name.startswith("keys_"):
+                        return int(name.removeprefix("keys_").partition("=")[0])
+        return None
+
+    def _stored_schema(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField(self.column, T.LongType())])
+
+    def range_of(self) -> Column:
+        """Range of a key, rounded down for negative keys too."""
+        key, width = F.col(self.key[0]).cast("long"), F.lit(self.width).cast("long")
+        return F.call_function("div", key - F.pmod(key, width), width)
+
+    def _rows(self) -> DataFrame:
+        """Stored rows with their range."""
+        finish_replace(self.spark, self.path, self._stored_schema(), self.column)
+        return read_or_empty(self.spark, self.path, self._stored_schema())
 
     def read(self) -> DataFrame:
-        return self._read_paths(sorted(self.current_paths().values()))
-
-
-    def _files(self, paths: Sequence[str]) -> int:
-        """Files per rewritten bucket: given, or from the bytes of the largest of them."""
-        if self.files_per_bucket is not None:
-            return self.files_per_bucket
-        most = 0
-        for path in paths:
-            fs, p = _fs_path(self.spark, path)
-            most = max(most, int(fs.getContentSummary(p).getLength()))
-        return max(1, -(-most // FILE_BYTES))
-
-    def _merged(self, old: DataFrame, latest: DataFrame, touched: int, files: int = 1) -> DataFrame:
-        """The rewritten rows of the ``touched`` buckets (old rows and deduplicated
-        changes, the change winning per key), with a ``bucket`` column."""
-        # One shuffle of the old rows: old rows and changes are partitioned so that every
-        # partition holds whole buckets, the per-key pick (the change over the old row) is
-        # a window over that same partitioning (no further exchange), and each task writes
-        # its buckets' files.
-        cols = [f.name for f in self.schema.fields]
+        return self._rows().select(*self.schema.names)
+
+    def touched(self, changes: DataFrame) -> DataFrame:
+        """Stored rows of the ranges that ``changes`` hit; other partitions are not read.
+
+        The ranges are one number each, as many as the table has at most.
+        """
+        ranges = changes.select(self.range_of().alias(self.column))
+        # Spark prunes by a join only if its other side is filtered; this holds for every range
+        every = F.col(self.column) >= F.lit(-(1 << 63) // self.width)
+        return self._rows().join(F.broadcast(ranges.where(every).distinct()), self.column, "left_semi")
+
+    def _merged(self, old: DataFrame, latest: DataFrame) -> DataFrame:
+        """Old rows and deduplicated changes, the change winning per key; one shuffle, whose
+        partitions are the files of the rewritten ranges."""
+        cols = self.schema.names
+        slot = F.floor(F.pmod(F.col(self.key[0]), F.lit(self.width)) / F.lit(FILE_KEYS))
         both = old.select(*cols, F.lit(0).alias("_src")).unionByName(latest.select(*cols, F.lit(1).alias("_src")))
-        if self.bucket_width is None:
-            # Hash buckets: partition q of B * f holds only bucket q mod B (Spark's own
-            # hash partitioning is the bucket function).
-            laid_out = both.repartition(self.buckets * files, *self.key)
-            pick = Window.partitionBy(*self.key).orderBy(F.col("_src").desc())
-        else:
-            # Range buckets: partition by (bucket, sub-bucket); the window's keys include
-            # them, so this partitioning satisfies it.
-            sub = F.pmod(F.hash(*[F.col(k) for k in self.key], F.lit(7)), F.lit(files))
-            laid_out = both.withColumn("bucket", self.bucket_of()).withColumn("_sub", sub).repartition(
-                max(1, touched * files), "bucket", "_sub")
-            pick = Window.partitionBy("bucket", "_sub", *self.key).orderBy(F.col("_src").desc())
-        return (
-            laid_out.withColumn("_rank", F.row_number().over(pick))
-            .where(F.col("_rank") == 1)
-            .drop("_rank", "_src", "_sub")
-            .withColumn("bucket", self.bucket_of())
-        )
+        laid_out = both.withColumn(self.column, self.range_of()).withColumn("_slot", slot).repartition(self.column, "_slot")
+        pick = Window.partitionBy(self.column, "_slot", *self.key).orderBy(F.col("_src").desc())
+        return laid_out.withColumn("_rank", F.row_number().over(pick)).where(F.col("_rank") == 1).drop("_rank", "_src", "_slot")
 
     def upsert(
         self,
@@ -384,31 +295,13 @@ class BucketTable:
         order: Sequence[str | Column] | None = None,
         on_duplicate: str = "latest",
         guard: str | None = None,
-    ) -> int:
-        """Apply ``changes`` (target columns plus the order columns); return the version."""
-        cols = [f.name for f in self.schema.fields]
-        # Touched buckets from the raw changes (same key set as after the dedupe, no
-        # shuffle of rows): a partial aggregate of at most ``buckets`` values.
-        touched = sorted(int(r[0]) for r in changes.select(self.bucket_of().alias("b")).distinct().collect())
-        latest = dedupe_changes(changes, self.key, order, on_duplicate).select(*cols)
-        latest = latest.withColumn("bucket", self.bucket_of())
-        # One manifest read: newest path per bucket and the newest version (<= B rows).
-        heads = self.manifest().groupBy("bucket").agg(
-            F.max_by("path", "version").alias("path"), F.max("version").alias("v")).collect()
-        last_version = max((int(r["v"]) for r in heads), default=0)
-        hit = set(touched)
-        current = sorted(r["path"] for r in heads if r["path"] and int(r["bucket"]) in hit)
-        old = self._read_paths(current)
-        version = last_version + 1
-        folder = f"{self.path}/data/v={version:010d}-{uuid.uuid4().hex[:8]}"
+    ) -> None:
+        """Apply ``changes`` (target columns plus the order columns)."""
+        old = self.touched(changes)
+        latest = dedupe_changes(changes, self.key, order, on_duplicate).select(*self.schema.names)
         if guard is not None:
             latest = drop_stale(old, latest, self.key, guard)
-        self._store_layout()
-        merged = self._merged(old, latest.drop("bucket"), len(touched), self._files(current))
-        merged.write.mode("errorifexists").partitionBy("bucket").parquet(folder)
-        commit_records(self.spark, self.manifest_path, f"v{version:010d}.json",
-                       [{"version": version, "bucket": b, "path": f"{folder}/bucket={b}"} for b in touched])
-        return version
+        replace_partitions(self._merged(old, latest), self.path, self.column)
 
 
 def merge_into(changes: DataFrame, table: str, key: Sequence[str], order: Sequence[str | Column] | None = None,
@@ -416,7 +309,7 @@ def merge_into(changes: DataFrame, table: str, key: Sequence[str], order: Sequen
     """M1: ``MERGE INTO table`` for catalogs with row-level operations.
 
     The table format finds the rows to change; nothing else is rewritten. Catalogs without it
-    (plain Parquet) raise an ``UnsupportedOperationException``: use ``BucketTable`` there.
+    (plain Parquet) raise an ``UnsupportedOperationException``: use ``RangeTable`` there.
     """
     target = changes.sparkSession.table(table).columns
     latest = dedupe_changes(changes, list(key), order, on_duplicate).select(*target).alias("source")

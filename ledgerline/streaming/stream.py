@@ -2,7 +2,7 @@
 
 The file source tracks which files it has read in its checkpoint, so each micro-batch is
 a change set. ``foreachBatch`` runs the batch pipeline on it: stage (the materialisation
-point), validate with dead letters, upsert into the bucket table, then the ledger event.
+point), validate with dead letters, upsert into the reporting table, then the ledger event.
 The run id is ``stream-<name>-<batchId>``: a batch replayed after a crash is a new
 attempt of the same run: the upsert is idempotent, and reports count the rejects of a run's
 last attempt only.
@@ -28,14 +28,13 @@ def upsert_batches(
     pipeline: LedgerPipeline, name: str, now: Callable[[], _dt.datetime], compact_every: int | None = 100
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one pipeline run per micro-batch; every
-    ``compact_every`` batches the ledger and the table manifest are folded into snapshots
-    (a long-running stream would otherwise leave a few small files per batch)."""
+    ``compact_every`` batches the ledger's files are merged by day (a long-running stream
+    would otherwise leave a few small files per batch)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         pipeline.run_pipeline(stream_run_id(name, batch_id), batch, now(), finalize=True, use_watermark=False)
         if compact_every and batch_id % compact_every == compact_every - 1:
             pipeline.ledger.compact()
-            pipeline.target.compact_manifest()
 
     return handle
 

@@ -24,7 +24,7 @@ from ledgerline.plans import ledger as L  # noqa: E402
 from ledgerline.schemas import FINANCIAL_RECORDS  # noqa: E402
 from ledgerline.session import local_session  # noqa: E402
 from ledgerline.sources.fixtures import Fixtures  # noqa: E402
-from ledgerline.sources.store import BucketTable  # noqa: E402
+from ledgerline.sources.store import RangeTable  # noqa: E402
 
 
 def _clean(line: str, width: int = 180) -> str:
@@ -54,8 +54,8 @@ def main() -> None:
     old = source.select(*[c for c in cols if c in source.columns]).withColumn("source_updated_at", F.col("updated_at")) \
         .withColumn("loaded_at", F.col("updated_at"))
     changes = old.where(F.col("transaction_id") % 30 == 0).withColumn("status", F.lit("completed"))
-    table = BucketTable(spark, f"{scratch}/table", FINANCIAL_RECORDS, ["transaction_id"], buckets=16)
-    merge = table._merged(old, changes, 16)
+    table = RangeTable(spark, f"{scratch}/table", FINANCIAL_RECORDS, ["transaction_id"])
+    merge = table._merged(old, changes)
     cases = [
         ("A1 incremental extract on a Parquet source",
          "The filter reaches the scan (`PushedFilters`) and `ReadSchema` lists the 10 contract columns only.",
@@ -69,7 +69,7 @@ def main() -> None:
         ("W4 latest per key",
          "`partial_max_by` before the shuffle: a hot key is reduced in each map task.",
          M.latest_per_key(fx.table("events"), ["user_id"], ["ts", "event_id"])),
-        ("M1 bucket rewrite (hash buckets, `BucketTable._merged`)",
+        ("M1 rewrite of touched ranges (`RangeTable._merged`)",
          "One hash exchange on the key; the window reuses it (no second exchange).",
          merge),
         ("V24 foreign keys",
@@ -82,7 +82,7 @@ def main() -> None:
              F.when(F.col("event_type") == "signup", "start").otherwise("advance").alias("event"),
              F.col("ts").alias("last_watermark"), F.lit(1).alias("chunks_delta"), F.lit(None).cast("int").alias("total_chunks"),
              F.lit(None).cast("string").alias("status"), F.lit(None).cast("string").alias("attempt"),
-             F.lit(None).cast("long").alias("table_version"), F.col("ts").alias("at")))),
+             F.col("ts").alias("at")))),
     ]
     out = ["# PLANS", "",
            f"Final physical plans (after AQE) of the key operators at `{sf}`, `local[8]`, 16 shuffle",

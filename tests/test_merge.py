@@ -1,6 +1,7 @@
-"""Upsert semantics (M1, M4, M7, T12, T13) and the bucket table."""
+"""Upsert semantics (M1, M4, M7, T12, T13) and the partitioned table."""
 
 import datetime as dt
+import glob
 from decimal import Decimal
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import merge as M
 from ledgerline.schemas import FINANCIAL_RECORDS
-from ledgerline.sources.store import BucketTable, LayoutError, merge_into
+from ledgerline.sources.store import LayoutError, RangeTable, finish_replace, merge_into, replace_partitions
 
 T = dt.datetime(2024, 1, 1)
 UUID = "123e4567-e89b-12d3-a456-426614174000"
@@ -19,26 +20,17 @@ def rec(i, amount, upd, loaded=T):
     return (i, UUID, 1, Decimal(amount), "USD", "debit", "pending", None, T, upd, upd, loaded)
 
 
+def records(spark, root, width=None):
+    return RangeTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], width)
+
+
 def test_upsert_pair_then_read(spark, root):
     """The reference's manual smoke: insert 100.00, upsert 200.50 on the key, read 200.50."""
-    table = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], buckets=4)
+    table = records(spark, root)
     table.upsert(spark.createDataFrame([rec(7, "100.00", T)], FINANCIAL_RECORDS), [F.col("updated_at")])
     table.upsert(spark.createDataFrame([rec(7, "200.50", T)], FINANCIAL_RECORDS), [F.col("updated_at")])
     rows = table.read().collect()
     assert [(r["transaction_id"], r["amount"]) for r in rows] == [(7, Decimal("200.50"))]
-    assert table.version() == 2
-
-
-def test_bucket_table_rewrites_touched_buckets_only(spark, root):
-    table = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], buckets=8)
-    table.upsert(spark.createDataFrame([rec(i, "1.00", T) for i in range(1, 101)], FINANCIAL_RECORDS), [F.col("updated_at")])
-    before = table.current_paths()
-    table.upsert(spark.createDataFrame([rec(3, "9.00", T)], FINANCIAL_RECORDS), [F.col("updated_at")])
-    after = table.current_paths()
-    changed = [b for b in after if after[b] != before.get(b)]
-    assert len(changed) == 1  # one bucket rewritten
-    got = {r["transaction_id"]: r["amount"] for r in table.read().collect()}
-    assert len(got) == 100 and got[3] == Decimal("9.00") and got[4] == Decimal("1.00")
 
 
 def test_stale_change_wins_without_guard(spark):
@@ -74,70 +66,119 @@ def test_replay_is_idempotent(spark):
     assert sorted(once.collect()) == sorted(twice.collect())
 
 
-def test_range_buckets_touch_only_new_ranges(spark, root):
-    table = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], bucket_width=100)
-    table.upsert(spark.createDataFrame([rec(i, "1.00", T) for i in range(1, 1001)], FINANCIAL_RECORDS), [F.col("updated_at")])
-    before = table.current_paths()
-    assert len(before) == 11  # ids 1..1000 in ranges 0..10
-    new = [rec(i, "2.00", T) for i in range(1001, 1051)] + [rec(999, "3.00", T)]
-    table.upsert(spark.createDataFrame(new, FINANCIAL_RECORDS), [F.col("updated_at")])
-    after = table.current_paths()
-    assert sorted(b for b in after if after[b] != before.get(b)) == [9, 10]  # only the touched ranges
-    got = {r["transaction_id"]: r["amount"] for r in table.read().collect()}
-    assert len(got) == 1050 and got[999] == Decimal("3.00") and got[1] == Decimal("1.00")
-
-
-def test_manifest_compaction(spark, root):
-    table = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], buckets=4)
-    for v in range(3):
-        table.upsert(spark.createDataFrame([rec(i, f"{v + 1}.00", T) for i in range(1, 21)], FINANCIAL_RECORDS),
-                     [F.col("updated_at")])
-    before = sorted((r["transaction_id"], r["amount"]) for r in table.read().collect())
-    assert table.compact_manifest() == 3
-    assert len(table._manifest_files()) == 1
-    assert table.compact_manifest() == 3  # repeating it changes nothing
-    assert sorted((r["transaction_id"], r["amount"]) for r in table.read().collect()) == before
-    table.upsert(spark.createDataFrame([rec(1, "9.00", T)], FINANCIAL_RECORDS), [F.col("updated_at")])
-    assert table.version() == 4
-    assert {r["transaction_id"]: r["amount"] for r in table.read().collect()}[1] == Decimal("9.00")
-
-
-def test_hash_bucket_rewrite_writes_f_files_per_bucket(spark, root):
-    import glob
-
-    table = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], buckets=4, files_per_bucket=2)
-    table.upsert(spark.createDataFrame([rec(i, "1.00", T) for i in range(1, 401)], FINANCIAL_RECORDS), [F.col("updated_at")])
-    for path in table.current_paths().values():
-        assert len(glob.glob(path.replace("file:", "") + "/*.parquet")) == 2  # one shuffle lays the files out
-
-
-def test_layout_is_stored_and_a_mismatch_refused(spark, root):
-    rows = spark.createDataFrame([rec(i, "1.00", T) for i in range(1, 101)], FINANCIAL_RECORDS)
-    BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], buckets=4).upsert(rows, [F.col("updated_at")])
-    for other in ({"buckets": 8}, {"bucket_width": 10}):
-        with pytest.raises(LayoutError):
-            BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"], **other)
+def files(table):
+    """Data files by range."""
+    out = {}
+    for f in glob.glob(f"{table.path}/keys_*/*.parquet"):
+        out.setdefault(int(f.split("/")[-2].split("=")[1]), []).append(f)
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def amounts(table):
+    return {r["transaction_id"]: str(r["amount"]) for r in table.read().collect()}
+
+
+def upsert(spark, table, recs, **options):
+    table.upsert(spark.createDataFrame(recs, FINANCIAL_RECORDS), [F.col("updated_at")], **options)
+
+
+def test_upsert_rewrites_touched_ranges_only(spark, root):
+    table = records(spark, root, 100)
+    upsert(spark, table, [rec(i, "1.00", T) for i in range(1, 1001)])
+    before = files(table)
+    assert sorted(before) == list(range(11))  # ids 1..1000
+    upsert(spark, table, [rec(i, "2.00", T) for i in range(1001, 1151)] + [rec(999, "3.00", T)])
+    after = files(table)
+    assert sorted(k for k in after if after[k] != before.get(k)) == [9, 10, 11]
+    got = amounts(table)
+    assert len(got) == table.read().count() == 1150 and got[999] == "3.00" and got[1] == "1.00" and got[1150] == "2.00"
+
+
+def test_other_ranges_are_not_read(spark, root):
+    """The upsert works although the files it has no business with cannot be read."""
+    table = records(spark, root, 100)
+    upsert(spark, table, [rec(i, "1.00", T) for i in range(-150, 500)])
+    for k, names in files(table).items():
+        for name in names if k not in (2, -2) else []:
+            with open(name, "wb") as f:
+                f.write(b"not parquet")
+    changes = f"{root}/changes"  # a written table, as in the pipeline
+    spark.createDataFrame([rec(250, "2.00", T), rec(-120, "3.00", T), rec(900, "4.00", T)], FINANCIAL_RECORDS).write.parquet(changes)
+    table.upsert(spark.read.parquet(changes), [F.col("updated_at")])
+    got = {}
+    for k in (2, -2, 9):
+        got.update({r["transaction_id"]: str(r["amount"]) for r in spark.read.parquet(f"{table.path}/keys_100={k}").collect()})
+    assert len(got) == 100 + 50 + 1 and (got[250], got[-120], got[900], got[251]) == ("2.00", "3.00", "4.00", "1.00")
+
+
+def test_large_keys_stay_exact(spark, root):
+    table = records(spark, root, 10)
+    keys = [2**53 + i for i in range(25)] + [2**62 + 9, 2**62 + 10, -(2**62) - 1, 0, -1]
+    upsert(spark, table, [rec(k, "1.00", T) for k in keys])
+    assert sorted(files(table)) == sorted({k // 10 for k in keys})
+    upsert(spark, table, [rec(k, "2.00", T) for k in keys])
+    assert amounts(table) == dict.fromkeys(keys, "2.00") and table.read().count() == len(keys)
+
+
+@pytest.mark.parametrize("stop", ["copying", "publishing"])
+def test_writer_that_dies_leaves_a_whole_table(spark, root, stop, monkeypatch):
+    table = records(spark, root, 100)
+    upsert(spark, table, [rec(i, "1.00", T) for i in range(1, 301)])
+    from ledgerline.sources import store
+
+    if stop == "copying":  # the copy beside the table is not complete
+        monkeypatch.setattr(store, "finish_replace", lambda *a, **k: None)
+        upsert(spark, table, [rec(5, "9.00", T)])
+        import os
+
+        os.remove(f"{table.path}_waiting/_SUCCESS")
+        want = "1.00"
+    else:  # the copy is complete; the overwrite has taken an old range away
+        monkeypatch.setattr(store, "finish_replace", lambda *a, **k: None)
+        upsert(spark, table, [rec(5, "9.00", T)])
+        store.delete_path(spark, f"{table.path}/keys_100=0")
+        want = "9.00"
+    monkeypatch.undo()
+    again = records(spark, root)  # a new process
+    got = amounts(again)
+    assert len(got) == 300 and got[5] == want and got[6] == "1.00"
+    upsert(spark, again, [rec(5, "9.00", T)])  # the replay
+    assert amounts(again)[5] == "9.00" and again.read().count() == 300
+
+
+def test_width_is_in_the_folder_names_and_a_mismatch_refused(spark, root):
+    upsert(spark, records(spark, root, 50), [rec(i, "1.00", T) for i in range(1, 101)])
     with pytest.raises(LayoutError):
-        BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["account_id"])
-    again = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"])  # takes the stored layout
-    assert again.buckets == 4 and again.bucket_width is None
-    more = [rec(i, "2.00", T) for i in (5, 101, 102)]
-    again.upsert(spark.createDataFrame(more, FINANCIAL_RECORDS), [F.col("updated_at")])
-    got = {r["transaction_id"]: r["amount"] for r in again.read().collect()}
-    assert again.read().count() == len(got) == 102 and got[5] == Decimal("2.00")
-
-
-def test_default_layout_reads_only_touched_buckets(spark, root):
-    table = BucketTable(spark, root + "/fr", FINANCIAL_RECORDS, ["transaction_id"])
-    w = table.bucket_width
-    rows = [rec(b * w + i, "1.00", T) for b in range(5) for i in range(1, 20)]
-    table.upsert(spark.createDataFrame(rows, FINANCIAL_RECORDS), [F.col("updated_at")])
-    before, read = table.current_paths(), []
-    table._read_paths = lambda paths: read.extend(paths) or BucketTable._read_paths(table, paths)
-    table.upsert(spark.createDataFrame([rec(4 * w + 3, "9.00", T)], FINANCIAL_RECORDS), [F.col("updated_at")])
-    assert read == [before[4]]
-    after = table.current_paths()
-    assert [b for b in after if after[b] != before[b]] == [4]
+        records(spark, root, 10)
+    again = records(spark, root)
+    assert again.width == 50
+    upsert(spark, again, [rec(i, "2.00", T) for i in (5, 101, 102)])
+    got = amounts(again)
+    assert again.read().count() == len(got) == 102 and got[5] == "2.00"
+    for key in (["account_id"], ["transaction_id", "account_id"]):
+        with pytest.raises(ValueError):
+            RangeTable(spark, root + "/other", FINANCIAL_RECORDS, key)
+
+
+def test_guard_and_duplicates(spark, root):
+    table = records(spark, root, 50)
+    day = dt.timedelta(days=1)
+    upsert(spark, table, [rec(1, "1.00", T + day), rec(2, "1.00", T)])
+    upsert(spark, table, [rec(1, "2.00", T), rec(2, "2.00", T + day), rec(2, "3.00", T + 2 * day)], guard="updated_at")
+    assert amounts(table) == {1: "1.00", 2: "3.00"}
+    with pytest.raises(M.DuplicateKeyError):
+        upsert(spark, table, [rec(2, "4.00", T), rec(2, "5.00", T)], on_duplicate="fail")
+    upsert(spark, table, [])  # no change at all
+    assert amounts(table) == {1: "1.00", 2: "3.00"}
+
+
+def test_partitions_of_another_format_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (3, "c", 1)], "k long, v string, day int")
+    rows.write.partitionBy("day").json(path)
+    replace_partitions(spark.createDataFrame([(9, "z", 0)], rows.schema), path, "day", "json")
+    finish_replace(spark, path, rows.schema, "day", "json")  # nothing waits
+    assert sorted(r["k"] for r in spark.read.schema(rows.schema).json(path).collect()) == [3, 9]
 
 
 def test_merge_into_needs_a_catalog_with_row_level_operations(spark, tmp_path):

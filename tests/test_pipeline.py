@@ -28,7 +28,7 @@ def rows(spark, n, bad=(), start=1, t0=T0, amount="10.00"):
 
 
 def test_dag_fixture_shape(spark, root):
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     src = rows(spark, 10, bad={4})
     ext = p.run_extraction(RUN, src, NOW)
     assert ext == {"pipeline_run_id": RUN, "chunk_count": 2, "extract_since": "1969-12-31T23:55:00", "row_count": 10}
@@ -47,7 +47,7 @@ def test_dag_fixture_shape(spark, root):
 
 
 def test_second_run_resumes_and_rereads_overlap(spark, root):
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     p.run_pipeline("r1", rows(spark, 10, bad={10}), NOW)
     src = rows(spark, 15, bad={10})  # 5 more rows after the first run
     out = p.run_pipeline("r2", src, NOW + dt.timedelta(days=1))
@@ -62,14 +62,14 @@ def test_second_run_resumes_and_rereads_overlap(spark, root):
 
 
 def test_boundary_row_is_not_extracted(spark, root):
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4, overlap_minutes=0))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, overlap_minutes=0))
     p.run_pipeline("r1", rows(spark, 3), NOW)
     out = p.run_extraction("r2", rows(spark, 3), NOW)
     assert out["row_count"] == 0 and out["chunk_count"] == 0  # T1: strict '>'
 
 
 def test_empty_extract_keeps_watermark(spark, root):
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     empty = spark.createDataFrame([], SCHEMA)
     out = p.run_pipeline("r0", empty, NOW)
     assert out["extract"]["chunk_count"] == 0 and out["load"]["records_loaded"] == 0
@@ -78,7 +78,7 @@ def test_empty_extract_keeps_watermark(spark, root):
 
 
 def test_all_rows_invalid_still_advance(spark, root):
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     p.run_pipeline("r1", rows(spark, 5, bad={1, 2, 3, 4, 5}), NOW)
     st = p.ledger.state("r1")
     assert st["chunks_completed"] == 1 and st["last_watermark"] == T0 + dt.timedelta(minutes=5)  # T9
@@ -86,7 +86,7 @@ def test_all_rows_invalid_still_advance(spark, root):
 
 
 def test_malformed_row_stops_before_any_write(spark, root):
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     src = rows(spark, 5).withColumn("amount", F.when(F.col("transaction_id") == 3, "abc").otherwise(F.col("amount")))
     with pytest.raises(StageError) as stopped:
         p.run_pipeline("r1", src, NOW)
@@ -95,12 +95,12 @@ def test_malformed_row_stops_before_any_write(spark, root):
     assert p.ledger.state("r1")["status"] == "failed"  # T21: we record the failure
     m = p.run_metrics(["r1"]).first()
     assert m["dead_letter_rows"] == 0 and m["validated_chunks"] == 0
-    q = LedgerPipeline(spark, root + "2", PipelineConfig(chunk_size=5, buckets=4, on_malformed="dead_letter"))
+    q = LedgerPipeline(spark, root + "2", PipelineConfig(chunk_size=5, on_malformed="dead_letter"))
     assert q.run_pipeline("r1", src, NOW)["validate"]["dlq_count"] == 1
 
 
 def test_smoke_transfer(spark, root):
-    p = LedgerPipeline(spark, root, PipelineConfig(buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig())
     src = rows(spark, 25).select(*TRANSACTION_COLUMNS)
     assert p.run_smoke_transfer(src, NOW, limit=1000) == {"rows_read": 25, "rows_loaded": 25}
     assert p.run_smoke_transfer(src.limit(0), NOW) == {"rows_read": 0, "rows_loaded": 0}
@@ -118,7 +118,7 @@ def test_chunk_size_parameter():
 def test_rerun_same_id_replaces_buffers(spark, root):
     """Re-running a run id stages a new attempt that replaces the old rows;
     the ledger keeps counting (the reference's counters are never reset)."""
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     p.run_pipeline("r1", rows(spark, 10), NOW, finalize=False)
     first = p.ledger.state("r1")["attempt"]
     out = p.run_pipeline("r1", rows(spark, 10), NOW, finalize=False)
@@ -138,7 +138,7 @@ def test_stages_in_separate_processes(spark, root, tmp_path):
 
     src = str(tmp_path / "src")
     rows(spark, 10, bad={4}).write.parquet(src)
-    common = ["--root", root, "--run-id", RUN, "--chunk-size", "5", "--buckets", "4", "--now", NOW.isoformat()]
+    common = ["--root", root, "--run-id", RUN, "--chunk-size", "5", "--now", NOW.isoformat()]
     ext = run(["extract", "--source-path", src, *common], spark)
     assert ext["row_count"] == 10 and ext["chunk_count"] == 2
     assert run(["validate", *common], spark)["dlq_count"] == 1
@@ -154,7 +154,7 @@ def test_stages_in_separate_processes(spark, root, tmp_path):
 def test_crash_between_table_and_ledger_then_replay(spark, root):
     """The table version is committed but the ledger event is not (the driver dies);
     re-running the run gives the same table and a consistent ledger."""
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     src = rows(spark, 10, bad={3})
     p.run_extraction("r1", src, NOW)
     p.run_validation("r1", NOW)
@@ -170,7 +170,7 @@ def test_crash_between_table_and_ledger_then_replay(spark, root):
         p.run_load("r1", NOW)
     assert p.table().count() == 9  # the data commit happened
     assert p.ledger.state("r1")["chunks_completed"] == 0  # the ledger commit did not
-    q = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))  # a new process
+    q = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))  # a new process
     out = q.run_pipeline("r1", src, NOW)
     assert out["load"]["records_loaded"] == 9
     assert q.table().count() == 9
@@ -197,7 +197,7 @@ def test_json_text_source_normalised_end_to_end(spark, root, tmp_path):
     path.write_text("\n".join(json.dumps(r) for r in recs))
     schema = ", ".join(f"{c} string" for c in TRANSACTION_COLUMNS)
     src = read_source(spark, "json", str(path), schema=schema)
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     out = p.run_pipeline("json-run", src, NOW)
     assert out["validate"]["dlq_count"] == 0
     got = {r["transaction_id"]: r for r in p.table().collect()}
@@ -210,7 +210,7 @@ def test_json_text_source_normalised_end_to_end(spark, root, tmp_path):
 
 
 def test_dead_letter_report_prunes_partitions(spark, root):
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     p.run_pipeline("r1", rows(spark, 5, bad={2}), NOW)
     p.run_pipeline("r2", rows(spark, 5, bad={8}, start=6), NOW)
     from ledgerline.sources.store import run_folder
@@ -224,7 +224,7 @@ def test_dead_letter_report_prunes_partitions(spark, root):
 def test_pipeline_chain_and_metadata_keys(spark, root):
     """The stage chain and the keys each stage hands to the next (the reference's DAG
     wiring and metadata tests); the load result also carries ``dlq_count``."""
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     out = p.run_pipeline(RUN, rows(spark, 10, bad={4}), NOW)
     assert list(out) == ["extract", "validate", "load", "report", "finalize"]
     assert set(out["extract"]) == {"pipeline_run_id", "chunk_count", "extract_since", "row_count"}
@@ -238,7 +238,7 @@ def test_pipeline_chain_and_metadata_keys(spark, root):
 
 def test_late_rows_report(spark, root):
     """A row that lands after the run, with an old time, is never extracted."""
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     p.run_pipeline("r1", rows(spark, 10), NOW)
     late = rows(spark, 1, start=50, t0=T0 - dt.timedelta(hours=2))  # updated 10:50, lands after the run
     src = rows(spark, 10).unionByName(late)
@@ -250,7 +250,7 @@ def test_late_rows_report(spark, root):
 def test_late_update_and_rejected_row(spark, root):
     """K4: an update that commits late is reported though its key is loaded; a row that a
     run rejected is not."""
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     src = rows(spark, 10, bad={3})
     p.run_pipeline("r1", src, NOW)
     assert p.late_rows(src).count() == 0
@@ -261,7 +261,7 @@ def test_late_update_and_rejected_row(spark, root):
 
 def test_replayed_run_counts_its_rejects_once(spark, root):
     """The report counts the rejects of a run's last attempt; compaction keeps that."""
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     for _ in range(2):
         p.run_pipeline("r1", rows(spark, 6, bad={3}), NOW, use_watermark=False)
     assert p.run_metrics(["r1"]).first()["dead_letter_rows"] == 1
@@ -273,7 +273,7 @@ def test_replayed_run_counts_its_rejects_once(spark, root):
 
 
 def test_retry_without_buffers_gives_zeros(spark, root):
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     p.run_pipeline("r1", rows(spark, 6), NOW)  # finalised: its buffers are gone
     assert p.run_validation("r1", NOW) == {"pipeline_run_id": "r1", "dlq_count": 0, "chunks_validated": 0}
     assert p.run_load("r1", NOW) == {"pipeline_run_id": "r1", "records_loaded": 0, "chunks_processed": 0}
@@ -283,7 +283,7 @@ def test_retry_without_buffers_gives_zeros(spark, root):
 def test_text_times_are_parsed_before_the_filter_and_the_sort(spark, root):
     src = rows(spark, 4).withColumn("updated_at", F.element_at(F.array(
         F.lit("2026-04-17T11:00:00-05:00"), F.lit("2026-04-17T16:30:00Z"), F.lit("20260417T154500"), F.lit("yesterday")), F.col("transaction_id").cast("int")))
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4, on_malformed="dead_letter"))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, on_malformed="dead_letter"))
     p.run_pipeline("r0", rows(spark, 1, start=90, t0=dt.datetime(2026, 4, 17, 10, 30)), NOW)  # watermark 12:00
     out = p.run_pipeline("r1", src, NOW, finalize=False)
     assert (out["extract"]["row_count"], out["validate"]["dlq_count"], out["load"]["records_loaded"]) == (4, 1, 3)
@@ -295,7 +295,7 @@ def test_text_times_are_parsed_before_the_filter_and_the_sort(spark, root):
 
 def test_load_progress_per_chunk(spark, root):
     """The running watermark and completed count the load reaches, chunk by chunk."""
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=4, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=4))
     p.run_extraction("r1", rows(spark, 10), NOW)
     p.run_validation("r1", NOW)
     got = [(r["chunk_index"], r["chunks_completed"], r["last_watermark"]) for r in
@@ -309,7 +309,7 @@ def test_source_pinned_by_staging(spark, root, tmp_path):
     landing in the source afterwards wait for the next run."""
     src = str(tmp_path / "src")
     rows(spark, 10).write.parquet(src)
-    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5, buckets=4))
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=5))
     assert p.run_extraction("r1", spark.read.parquet(src), NOW)["row_count"] == 10
     rows(spark, 5, start=11).write.mode("append").parquet(src)  # lands during the run
     p.run_validation("r1", NOW)
@@ -325,6 +325,6 @@ def test_cli_smoke_stage(spark, root, tmp_path):
 
     src = str(tmp_path / "src")
     rows(spark, 25).select(*TRANSACTION_COLUMNS).write.parquet(src)
-    out = run(["smoke", "--root", root, "--source-path", src, "--limit", "1000", "--buckets", "4", "--now", NOW.isoformat()],
+    out = run(["smoke", "--root", root, "--source-path", src, "--limit", "1000", "--now", NOW.isoformat()],
               spark)
     assert out == {"rows_read": 25, "rows_loaded": 25}

@@ -51,18 +51,47 @@ def test_cluster_settings_scale():
     assert cluster_settings(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
 
 
-def test_bucket_rewrite_has_one_exchange(spark, tmp_path):
-    """The rewrite of touched buckets shuffles the old rows once, for hash and for
-    range buckets (the per-key pick reuses the write layout's partitioning)."""
+def test_range_rewrite_has_one_exchange(spark, tmp_path):
+    """The rewrite of touched ranges shuffles the old rows once (the per-key pick
+    reuses the write layout's partitioning)."""
     from ledgerline.schemas import FINANCIAL_RECORDS
-    from ledgerline.sources.store import BucketTable
+    from ledgerline.sources.store import RangeTable
 
     path = str(tmp_path / "src")
     Fixtures(spark, SF).transactions().withColumn("source_updated_at", F.col("updated_at")) \
         .withColumn("loaded_at", F.col("updated_at")).write.parquet(path)
     old = spark.read.parquet(path)
     latest = old.where(F.col("transaction_id") % 7 == 0).withColumn("status", F.lit("completed"))
-    for kwargs in ({"buckets": 8}, {"bucket_width": 100}):
-        table = BucketTable(spark, str(tmp_path / "t"), FINANCIAL_RECORDS, ["transaction_id"], **kwargs)
-        plan = plan_text(table._merged(old, latest, 8))
-        assert plan.count("Exchange ") == 1, plan
+    plan = plan_text(RangeTable(spark, str(tmp_path / "t"), FINANCIAL_RECORDS, ["transaction_id"], 100)._merged(old, latest))
+    assert plan.count("Exchange ") == 1, plan
+
+
+def test_upsert_prunes_by_the_join_with_its_changes(spark, tmp_path):
+    """Partitions without a change are pruned by Spark, from the join alone."""
+    from ledgerline.sources.store import RangeTable
+
+    schema = spark.range(1).withColumn("v", F.lit("a")).schema
+    table = RangeTable(spark, str(tmp_path / "t"), schema, ["id"], 100)
+    table.upsert(spark.range(1000).withColumn("v", F.lit("a")), ["v"])
+    spark.createDataFrame([(205, "x"), (1500, "y")], "id long, v string").write.parquet(str(tmp_path / "c"))
+    old = table.touched(spark.read.parquet(str(tmp_path / "c")))
+    assert sorted(r["id"] for r in old.collect()) == list(range(200, 300))
+    assert "dynamicpruningexpression(" in plan_text(old)
+
+
+def test_counts_come_out_of_the_writes(spark, root):
+    """Row counts are observed by the writes; a run takes few jobs."""
+    from ledgerline.plans.pipeline import LedgerPipeline, PipelineConfig
+
+    p = LedgerPipeline(spark, root, PipelineConfig(chunk_size=100))
+    source = Fixtures(spark, SF).transactions()
+    sc = spark.sparkContext
+    sc.setJobGroup("one-run", "one run")
+    try:
+        out = p.run_pipeline("r1", source, dt.datetime(2024, 1, 1))
+    finally:
+        sc.setJobGroup("other", "other")
+    rows = source.count()
+    assert out["extract"]["row_count"] == rows
+    assert out["validate"]["dlq_count"] + out["load"]["records_loaded"] == rows
+    assert len(sc.statusTracker().getJobIdsForGroup("one-run")) <= 45

@@ -71,9 +71,7 @@ x as (select row, doc_id, host, raw, len(regexp_extract_all(raw, '[^\x20\x09-\x0
                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' {2,}', ' ', 'g'), ' ') as line
       from l where regexp_matches(raw, '[^\x20\x09-\x0D]')),
 u as (select row, (count(*) - count(distinct raw))::bigint as n_dup_lines from x group by row),
-h as (select host, count(distinct doc_id) as held from d group by host),
-f as (select x.host, line from x join h on x.host is not distinct from h.host
-      group by x.host, line, held having count(distinct doc_id) > 20 and count(distinct doc_id) > held * 0.01::double),
+f as (select host, line from x group by host, line having count(distinct doc_id) > 20),
 y as (select row, sum(words)::bigint as removed from x join f on x.host is not distinct from f.host and x.line = f.line group by row),
 s as (select d.row, d.doc_id, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::bigint as n_words,
              length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,

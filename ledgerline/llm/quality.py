@@ -30,11 +30,10 @@ WINDOW = 5
 @dataclass(frozen=True)
 class Limits:
     """A line is removed when more than ``documents`` documents of the host hold it, whatever the
-    host's size; ``share`` is accepted and has no effect. A document is rejected when less than
-    ``kept`` of its words, or fewer than ``words`` words, remain."""
+    host's size. A document is rejected when less than ``kept`` of its words, or fewer than
+    ``words`` words, remain."""
 
     documents: int = 20
-    share: float = 0.01
     kept: float = 0.3
     words: int = 10
 

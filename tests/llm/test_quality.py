@@ -37,7 +37,7 @@ def test_base_statistics(make):
 
 
 def test_frequent_lines_deplete(make):
-    limits = quality.Limits(documents=5, share=0.1)
+    limits = quality.Limits(documents=5)
     line = "Menu home about contact search login help terms privacy"
     rows = [(i, line + "\n" + " ".join(words(i, 40)), "s") for i in range(20)]
     rows += [(100 + i, f"{line}\n  MENU home\tabout contact search login help terms privacy \ntwo words", "s") for i in range(4)]
@@ -51,7 +51,7 @@ def test_frequent_lines_deplete(make):
 
 def test_repeated_rows_count_once_and_stay(make):
     rows = [(1, "same line of words that repeats in every row here now")] * 30 + [(2, "same line of words that repeats in every row here now")]
-    got = quality.judge(make(rows), limits=quality.Limits(documents=5, share=0)).collect()
+    got = quality.judge(make(rows), limits=quality.Limits(documents=5)).collect()
     assert len(got) == 31 and all(r.n_removed_words == 0 and r.kept for r in got)
 
 
@@ -85,3 +85,26 @@ def test_text_without_frequent_lines(make):
     assert texts == {**{i: f" own {i} stays \n\nend{i}" for i in range(8)}, 50: line, 51: None, 52: ""}
     removed = {r.doc_id: r.n_removed_words for r in quality.judge(docs, limits=limits).collect()}
     assert removed == {d: len((t or "").split()) - len((texts[d] or "").split()) for d, t, _ in rows}
+
+
+def test_sql_and_code_have_one_line_limit(make):
+    """A host of 2,500 documents with lines in 19 to 24 of them: the limit is a number, not a share."""
+    import duckdb
+
+    from ledgerline.llm.oracle import QUALITY
+
+    rows = []
+    for i in range(2500):
+        lines = [f"document {i} speaks of {i * 7 % 1009} things in its own words and says little else about it"]
+        lines += [f"shared line number {k} of this host" for k in range(19, 25) if i < k]
+        rows.append((i, "\n".join(lines), "hot"))
+    docs = make(rows)
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = con.execute(QUALITY).df()
+    got = quality.judge(docs).toPandas()
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns
+    plain = lambda df: sorted(map(repr, df[columns].astype(object).itertuples(index=False, name=None)))
+    assert plain(got) == plain(want)
+    assert {r.doc_id: r.n_removed_words for r in got.itertuples()}[0] == 4 * 7

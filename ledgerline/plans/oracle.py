@@ -464,3 +464,22 @@ SELECT pipeline_run_id,
 FROM live GROUP BY pipeline_run_id""",
     "stream_upsert": _with(V_TRANSACTIONS, V_RAW, V_EVAL) + LOADED.format(loaded_at="TIMESTAMP '2024-02-01 00:00:00'"),
 })
+
+SQL["event_time_stream"] = _with(V_TRANSACTIONS) + """, a AS (
+ SELECT transaction_id, updated_at, unnest(CASE WHEN ((transaction_id % 8) + 8) % 8 = 0 THEN [0, 400] ELSE [0] END)
+  + date_diff('day', DATE '1992-01-01', CAST(updated_at AS DATE))
+  + CASE WHEN ((transaction_id % 9) + 9) % 9 = 0 THEN 700 ELSE 0 END AS day FROM transactions),
+f AS (SELECT *, CAST(floor(day / 400) AS BIGINT) AS file FROM a),
+m AS (SELECT file, max(updated_at) AS newest FROM f GROUP BY file),
+w AS (SELECT file, max(newest) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 365 DAY AS passed FROM m)
+SELECT transaction_id, updated_at, coalesce(updated_at <= passed, false) AS late FROM f JOIN w USING (file)"""
+
+SQL["reconcile_tables"] = _with(V_TRANSACTIONS) + """, t AS (
+ SELECT transaction_id, account_id, category_id, CASE WHEN transaction_id % 103 = 0 THEN amount + 1 ELSE amount END AS amount, currency,
+  transaction_type, status, CASE WHEN transaction_id % 107 <> 0 THEN description END AS description, created_at, updated_at
+ FROM transactions WHERE transaction_id % 101 <> 0
+ UNION ALL SELECT -transaction_id, * EXCLUDE (transaction_id) FROM transactions WHERE transaction_id % 1000 < 3)
+SELECT coalesce(s.transaction_id, t.transaction_id) AS transaction_id,
+ CASE WHEN t.transaction_id IS NULL THEN 'missing' WHEN s.transaction_id IS NULL THEN 'extra' ELSE 'changed' END AS outcome
+FROM transactions s FULL JOIN t ON s.transaction_id = t.transaction_id
+WHERE s.transaction_id IS NULL OR t.transaction_id IS NULL OR s.amount <> t.amount OR s.description IS DISTINCT FROM t.description"""

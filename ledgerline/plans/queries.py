@@ -20,6 +20,7 @@ from ..operators import constraints as K
 from ..operators import extract as X
 from ..operators import merge as M
 from ..operators.load import load_projection as _load_projection
+from ..operators.reconcile import reconcile
 from ..operators import rules as R
 from ..operators import validate as V
 from ..plans import ledger as L
@@ -438,6 +439,58 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipe.table()
 
 
+def reconcile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source transactions against a target that lost every 101st key, holds another
+    amount for every 103rd, lacks a text at every 107th and has 3 keys in 1,000 of its own."""
+    source = Fixtures(spark, sf_dir).transactions()
+    k = F.col("transaction_id")
+    every = lambda n: F.pmod(k, F.lit(n)) == 0
+    changed = source.where(~every(101)).withColumns({
+        "amount": F.when(every(103), F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(18,2)"),
+        "description": F.when(~every(107), F.col("description")),
+    })
+    extra = source.where(F.pmod(k, F.lit(1000)) < 3).withColumn("transaction_id", -k)
+    return reconcile(source, changed.unionByName(extra), "transaction_id", [c for c in source.columns if c != "transaction_id"])
+
+
+#: Arrival of the out-of-order stream: every 9th key comes 700 days after its time, every 8th comes
+#: twice, 400 days apart; one landed file per 400 days, watermark one year behind.
+LANDED_DAYS = 400
+LATE_DELAY = "365 days"
+
+
+def event_time_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over files that land out of order, drained file by file; every row
+    with the watermark's verdict on it."""
+    from ..session import scratch_path
+    from ..streaming.event_time import mark_late, streaming_session
+    from ..streaming.stream import read_stream
+
+    own = streaming_session(spark)
+    root = scratch_path(spark, "event-time")
+    txn = Fixtures(own, sf_dir).transactions().select("transaction_id", "updated_at")
+    k = F.col("transaction_id")
+    day = F.datediff("updated_at", F.lit("1992-01-01")) + F.when(F.pmod(k, F.lit(9)) == 0, 700).otherwise(0)
+    days = F.when(F.pmod(k, F.lit(8)) == 0, F.array(day, day + LANDED_DAYS)).otherwise(F.array(day))
+    arrived = txn.select("*", F.explode(days).alias("day")).select("transaction_id", "updated_at", F.floor(F.col("day") / LANDED_DAYS).alias("file"))
+    arrived.repartition("file").write.partitionBy("file").parquet(f"{root}/arrived")
+    landed = own.read.parquet(f"{root}/arrived")
+    for row in landed.select("file").distinct().orderBy("file").collect():  # a handful: 400 days each
+        landed.where(F.col("file") == row["file"]).drop("file").coalesce(1).write.parquet(f"{root}/landing/file-{row['file']:05d}")
+    stream = read_stream(own, f"{root}/landing/*", txn.schema, max_files=1)
+    query = (
+        mark_late(stream, ["transaction_id"], "updated_at", LATE_DELAY)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{root}/_stream_checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{root}/marked")
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return spark.read.schema(txn.schema.add("late", "boolean")).parquet(f"{root}/marked")
+
+
 CATALOGUE = {
     "incremental_extract": incremental_extract,
     "resume_point": resume_point,
@@ -475,4 +528,6 @@ CATALOGUE = {
     "run_metrics": run_metrics,
     "ledger_state": ledger_state,
     "stream_upsert": stream_upsert,
+    "event_time_stream": event_time_stream,
+    "reconcile_tables": reconcile_tables,
 }

@@ -6,6 +6,9 @@ point), validate with dead letters, upsert into the reporting table, then the le
 The run id is ``stream-<name>-<batchId>``: a batch replayed after a crash is a new
 attempt of the same run: the upsert is idempotent, and reports count the rejects of a run's
 last attempt only.
+
+With ``event_time.mark_late`` before it, the stream applies the watermark rule: rows that came
+later than the allowed delay are written to ``late_rows`` and not loaded.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.pipeline import LedgerPipeline
@@ -32,6 +36,8 @@ def upsert_batches(
     would otherwise leave a few small files per batch)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if "late" in batch.columns:
+            batch = keep_late(pipeline, batch, batch_id)
         pipeline.run_pipeline(stream_run_id(name, batch_id), batch, now(), finalize=True, use_watermark=False)
         if compact_every and batch_id % compact_every == compact_every - 1:
             pipeline.ledger.compact()
@@ -39,6 +45,27 @@ def upsert_batches(
     return handle
 
 
+def late_path(pipeline: LedgerPipeline) -> str:
+    return f"{pipeline.ws.root}/late_rows"
+
+
+def keep_late(pipeline: LedgerPipeline, batch: DataFrame, batch_id: int) -> DataFrame:
+    """Write a batch of ``mark_late`` once, by ``late``, and return its rows on time.
+
+    A replayed batch overwrites what its first attempt wrote.
+    """
+    path = f"{late_path(pipeline)}/batch={batch_id}"
+    batch.write.mode("overwrite").partitionBy("late").parquet(path)
+    written = batch.sparkSession.read.schema(batch.schema).parquet(path)
+    return written.where(~F.col("late")).drop("late")
+
+
+def late_rows(pipeline: LedgerPipeline) -> DataFrame:
+    """K4: the rows that came after the watermark, with the batch that brought them."""
+    rows = pipeline.spark.read.parquet(late_path(pipeline))
+    return rows.where(F.col("late").cast("boolean")).drop("late")
+
+
 def start_upsert_stream(
     spark: SparkSession,
     stream: DataFrame,

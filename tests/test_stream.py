@@ -39,3 +39,40 @@ def test_three_batches_then_restart(spark, tmp_path):
     q2.awaitTermination()
     assert pipe.ledger.state(stream_run_id("t", 3)) is None
     assert pipe.table().count() == want.count()
+
+
+def test_late_rows_are_kept_apart_and_a_restart_changes_nothing(spark, tmp_path):
+    """K3, K4: rows behind the watermark go to the late rows; the others are loaded."""
+    import time
+
+    from ledgerline.streaming import stream as ST
+    from ledgerline.streaming.event_time import mark_late, streaming_session
+
+    own = streaming_session(spark)
+    schema = spark.read.parquet(f"{SF}/orders.parquet").schema
+    orders = FX.transactions(spark.read.parquet(f"{SF}/orders.parquet").limit(60)).orderBy("updated_at").collect()
+    files = [orders[20:40], orders[:10] + orders[40:60], orders[10:20] + orders[20:25]]
+    landing = str(tmp_path / "landing")
+    types = FX.transactions(spark.createDataFrame([], schema)).schema
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, types).coalesce(1).write.parquet(f"{landing}/f{i}")
+        time.sleep(0.05)
+    stream = mark_late(read_stream(own, f"{landing}/*", types, max_files=1), ["transaction_id"], "updated_at", "10 days")
+    pipe = LedgerPipeline(own, str(tmp_path / "store"), PipelineConfig(chunk_size=100))
+    ckpt = str(tmp_path / "ckpt")
+    for _ in range(2):  # the second time the checkpoint has all files
+        q = start_upsert_stream(own, stream, pipe, "late", ckpt, now=lambda: NOW)
+        q.awaitTermination()
+        assert q.exception() is None
+        newest, want_late, want_loaded = None, [], set()
+        for rows in files:
+            passed = None if newest is None else newest - dt.timedelta(days=10)
+            for r in rows:
+                if passed is not None and r["updated_at"] <= passed:
+                    want_late.append((r["transaction_id"], r["updated_at"]))
+                else:
+                    want_loaded.add(r["transaction_id"])
+            newest = max([newest or rows[0]["updated_at"], *(r["updated_at"] for r in rows)])
+        assert want_late and len(want_loaded) > 30
+        assert sorted((r["transaction_id"], r["updated_at"]) for r in ST.late_rows(pipe).collect()) == sorted(want_late)
+        assert {r["transaction_id"] for r in pipe.table().collect()} == want_loaded

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,13 +13,9 @@ from ..schemas import EPOCH
 
 # ISO text as the reference's parser takes it: date, optionally one separator character, a time
 # to the microsecond, and an offset; the basic form has no dashes and colons.
-_DATE = r"([0-9]{4})-?([0-9]{2})-?([0-9]{2})"
-_TIME = r"([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?"
-_OFFSET = r"(Z|[+-][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2})?)?)?"
 _CLOCK = r"[0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?|[0-9]{2}([0-9]{2}([.,][0-9]+)?)?)?"
 _ZONE = r"(Z|[+-][0-9]{2}(:[0-9]{2}(:[0-9]{2})?|[0-9]{2}([0-9]{2})?)?)?"
 _ISO = f"(?s)^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{8}})(.{_CLOCK}{_ZONE})?$"
-_PARTS = f"(?s)^{_DATE}(?:.{_TIME}{_OFFSET})?$"
 
 
 def ntz(value: _dt.datetime | str) -> Column:
@@ -39,22 +36,41 @@ def _since_epoch(seconds: Column) -> Column:
     return ntz(EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once. Without it the optimizer copies a computed
+    ``value`` into each place that names it, in every filter and projection above it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _parse_text(c: Column) -> Column:
-    part = lambda i: F.regexp_extract(c, _PARTS, i)
-    or_zero = lambda x: F.when(x == "", "00").otherwise(x)
-    micros = F.rpad(F.substring(part(7), 1, 6), 6, "0")
-    local = F.concat(
-        F.concat_ws("-", part(1), part(2), part(3)), F.lit(" "),
-        F.concat_ws(":", or_zero(part(4)), or_zero(part(5)), or_zero(part(6))), F.lit("."), micros,
-    ).try_cast(T.TimestampNTZType())
-    digits = F.regexp_replace(part(8), "[^0-9]", "")
-    sign = F.when(part(8).startswith("-"), -1).otherwise(1)
-    field = lambda at: F.coalesce(F.substring(digits, at, 2).try_cast("int"), F.lit(0))
-    hours, mins, secs = field(1), field(3), field(5)
-    # an offset of a day or more is no offset
-    fits = (hours < 24) & (mins < 60) & (secs < 60)
-    shift = F.make_dt_interval(F.lit(0), sign * hours, sign * mins, (sign * secs).cast("decimal(18,6)"))
-    return F.when(c.rlike(_ISO) & fits, local - shift)
+    """One match decides; the parts are then cut out by position."""
+    two = lambda text, at: F.substring(text, at, 2)
+
+    def parse(x: Column) -> Column:
+        width = F.when(F.substring(x, 5, 1) == "-", 10).otherwise(8)
+        date = F.replace(F.substring(x, F.lit(1), width), F.lit("-"), F.lit(""))
+        rest = F.substring(x, width + 2, F.length(x))
+        return _let(rest, lambda r: _let(F.substring_index(F.translate(r, "Z+-,", "|||."), "|", 1), lambda clock: moment(date, r, clock)))
+
+    def moment(date: Column, rest: Column, clock: Column) -> Column:
+        whole = F.substring_index(clock, ".", 1)
+        time = F.rpad(F.replace(whole, F.lit(":"), F.lit("")), 6, "0")
+        micros = F.rpad(F.substring(clock, F.length(whole) + 2, F.lit(6)), 6, "0")
+        digits = lambda text, *ats: [two(text, at) for at in ats]
+        day, hour = _let(date, lambda d: F.concat_ws("-", F.substring(d, 1, 4), *digits(d, 5, 7))), _let(time, lambda t: F.concat_ws(":", *digits(t, 1, 3, 5)))
+        local = F.concat(day, F.lit(" "), hour, F.lit("."), micros).try_cast(T.TimestampNTZType())
+        zone = F.substring(rest, F.length(clock) + 1, F.length(rest))
+        return F.when(F.length(zone) <= 1, local).otherwise(_let(zone, lambda z: shifted(local, z)))
+
+    def shifted(local: Column, zone: Column) -> Column:
+        digits = F.translate(zone, "+-:", "")
+        sign = F.when(zone.startswith("-"), -1).otherwise(1)
+        hours, mins, secs = (F.coalesce(two(digits, at).try_cast("int"), F.lit(0)) for at in (1, 3, 5))
+        shift = F.make_dt_interval(F.lit(0), sign * hours, sign * mins, (sign * secs).cast("decimal(18,6)"))
+        # an offset of a day or more is no offset
+        return F.when((hours < 24) & (mins < 60) & (secs < 60), local - shift)
+
+    return _let(c, lambda x: F.when(x.rlike(_ISO), parse(x)))
 
 
 def parse_iso(c: Column, dtype: T.DataType) -> Column:

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import checkpoint_materialize
+
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that appear more than once, with their row count (partial aggregation)."""
@@ -28,6 +30,56 @@ def orphans(df: DataFrame, fk: Sequence[str], ref: DataFrame, ref_key: Sequence[
     return df.where(present).join(keys, list(fk), "left_anti")
 
 
+#: Bits of the map of parent keys: 2 MB, whatever the tables' size.
+MAP_BITS = 1 << 24
+#: Keys that are broadcast at most; more are joined by a shuffle.
+SMALL_ROWS = 200_000
+
+
+def key_map(keys: DataFrame, slot: Column) -> DataFrame:
+    """``(bucket, bits)``: the slots that ``keys`` hit, 32,768 to a row of 4 kB. The maps are
+    combined on the map side, so the shuffle carries maps and no keys."""
+    return keys.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+
+
+def _bit(bits: Column, slot: Column) -> Column:
+    """Whether ``slot`` is in its bucket's map."""
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(bits, F.call_function("div", place, F.lit(8)).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1, F.lit(False))
+
+
+def orphans_of_large(df: DataFrame, fk: Sequence[str], ref: DataFrame, ref_key: Sequence[str], bits: int = MAP_BITS) -> DataFrame:
+    """V24 / J4 for a referenced table that is too large to broadcast; the result of ``orphans``.
+
+    A map of the parents' hashed keys, ``bits`` long and so of a known size, settles the rows
+    whose bit is not set: they are orphans for certain. Of the others only the distinct keys are
+    shuffled, to be looked up exactly; what is not found there were hash collisions. Child rows
+    themselves are not shuffled, so a key that a third of them share costs one row a task.
+    """
+    unlike = [(a, b) for a, b in zip(fk, ref_key, strict=True) if df.schema[a].dataType != ref.schema[b].dataType]
+    if unlike:  # equal values of unlike types have other hashes
+        raise ValueError(f"keys of different types, cast one side: {unlike}")
+    present = F.lit(True)
+    for a in fk:
+        present = present & F.col(a).isNotNull()
+    names = [f"key{i}" for i in range(len(fk))]
+    slot = F.pmod(F.xxhash64(*names), F.lit(bits)) + 1
+    parents = ref.select(*[F.col(b).alias(n) for b, n in zip(ref_key, names, strict=True)])
+    maps = F.broadcast(key_map(parents, slot))
+    children = df.where(present).select(F.struct("*").alias("row"), *[F.col(a).alias(n) for a, n in zip(fk, names, strict=True)])
+
+    def looked_up(rows: DataFrame) -> DataFrame:
+        return rows.join(maps, F.bitmap_bucket_number(slot) == F.col("bucket"), "left").withColumn("maybe", _bit(F.col("bits"), slot)).drop("bucket", "bits")
+
+    by_chance = looked_up(children.select(*names).distinct()).where("maybe").drop("maybe").join(parents.distinct(), names, "left_anti")
+    by_chance = checkpoint_materialize(by_chance.withColumn("lost", F.lit(True)))
+    if by_chance.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        by_chance = F.broadcast(by_chance)
+    marked = looked_up(children).join(by_chance, names, "left")
+    return marked.where(~F.col("maybe") | F.col("lost")).select("row.*")
+
+
 @dataclass(frozen=True)
 class Check:
     """A SQL CHECK: ``predicate`` must not be false. A null result passes."""

@@ -281,7 +281,7 @@ def foreign_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         "account_id", F.when(lost, md5_uuid(-F.col("transaction_id"))).otherwise(F.col("account_id")))
     cat = K.orphans(txn, ["category_id"], fx.categories(), ["category_id"]).select(
         F.lit("category_fk").alias("constraint_name"), "transaction_id", F.col("category_id").cast("string").alias("missing_key"))
-    acc = K.orphans(txn, ["account_id"], fx.accounts(), ["account_id"]).select(
+    acc = K.orphans_of_large(txn, ["account_id"], fx.accounts(), ["account_id"]).select(
         F.lit("account_fk").alias("constraint_name"), "transaction_id", F.col("account_id").alias("missing_key"))
     return cat.unionByName(acc)
 

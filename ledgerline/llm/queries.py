@@ -44,7 +44,8 @@ def token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 1: write the ORC token files of all documents and read them back."""
     path = scratch_path(spark, "token-orc")
     token_files.write_tokens(read(spark, sf_dir, "documents"), path, tokenizer(WORD_TOKENIZER))
-    rows = token_files.with_start(token_files.id_checksums(token_files.read_tokens(spark, path)))
+    stored = token_files.read_tokens(spark, path)
+    rows = token_files.with_start(token_files.id_checksums(stored), stored)
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

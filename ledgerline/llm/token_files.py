@@ -102,12 +102,16 @@ def read_tokens(spark: SparkSession, path: str, where: Column | None = None) ->
     return rows if where is None else rows.where(where)
 
 
-def with_start(rows: DataFrame) -> DataFrame:
-    """Add ``start``: ids of all documents before the row's, from one sum per file."""
+def with_start(rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Add ``start``: ids of all documents before the row's, from one sum per file.
+
+    ``stored``: the files' rows, when ``rows`` derives from them; the sums then read their sizes
+    alone and not what ``rows`` computes from the ids.
+    """
     from pyspark.sql import Window
 
     # one row per file; the window sees as many rows as there are files
-    sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("held"))
+    sums = (rows if stored is None else stored).groupBy("part").agg(F.sum("n_tokens").alias("held"))
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("part", F.coalesce(F.sum("held").over(order), F.lit(0)).alias("base"))
     return rows.join(bases, "part").withColumn("start", F.col("base") + F.col("before")).drop("base")

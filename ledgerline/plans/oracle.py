@@ -483,3 +483,14 @@ SELECT coalesce(s.transaction_id, t.transaction_id) AS transaction_id,
  CASE WHEN t.transaction_id IS NULL THEN 'missing' WHEN s.transaction_id IS NULL THEN 'extra' ELSE 'changed' END AS outcome
 FROM transactions s FULL JOIN t ON s.transaction_id = t.transaction_id
 WHERE s.transaction_id IS NULL OR t.transaction_id IS NULL OR s.amount <> t.amount OR s.description IS DISTINCT FROM t.description"""
+
+SQL["props_paths"] = """WITH e AS (SELECT CASE event_id % 50 WHEN 1 THEN '{"k": 1, "extra": 2}' WHEN 2 THEN '{"extra": 2}' WHEN 3 THEN '{}'
+ WHEN 4 THEN '{"k": "7", "tags": ["a", 1, {"z": null}], "at": {"x": 1.5, "y": {"w": true}}}' WHEN 5 THEN '{"k": true}'
+ WHEN 6 THEN '{"k":' WHEN 7 THEN NULL ELSE props END AS props FROM events),
+d AS (SELECT props, count(*) AS n FROM e GROUP BY props),
+t AS (SELECT n, j.fullkey, j.type FROM (SELECT * FROM d WHERE json_valid(props)) v, json_tree(v.props) j),
+u AS (SELECT regexp_replace(fullkey, '[[][0-9]+[]]', '[]', 'g') AS path,
+ CASE type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean'
+  WHEN 'NULL' THEN 'null' ELSE 'number' END AS type, n FROM t
+ UNION ALL SELECT '$', CASE WHEN props IS NULL THEN 'missing' ELSE 'malformed' END, n FROM d WHERE props IS NULL OR NOT json_valid(props))
+SELECT path, type, CAST(sum(n) AS BIGINT) AS "values" FROM u GROUP BY path, type"""

@@ -135,9 +135,23 @@ class LedgerStore:
         return self._states[run_id]
 
 
+def newest_rows(source: DataFrame, limit: int, time: str, key: str) -> DataFrame:
+    """The ``limit`` newest rows, ties by the greatest key.
+
+    The time of the last of them is found first, from the time column alone; as a lower bound it
+    then reaches the scan, so whole rows are read only where newer ones lie. Rows at the bound stay.
+    """
+    rows = source
+    if isinstance(source.schema[time].dataType, T.TimestampNTZType):
+        last = source.select(time).orderBy(F.col(time).desc()).limit(limit).agg(F.min(time), F.count(time)).first()
+        if last[1] == limit:  # fewer: rows without a time belong to the result
+            rows = source.where(F.col(time) >= ntz(last[0]))
+    return rows.orderBy(F.col(time).desc(), F.col(key).desc()).limit(limit)
+
+
 def newest_valid_rows(source: DataFrame, contract: R.Contract, limit: int) -> DataFrame:
     """The newest ``limit`` rows, read once, normalised; any invalid one raises."""
-    top = source.orderBy(F.col("updated_at").desc(), F.col(contract.key[0]).desc()).limit(limit)
+    top = newest_rows(source, limit, "updated_at", contract.key[0])
     path = scratch_path(source.sparkSession, "newest")
     top.select(*contract.columns).write.parquet(path)
     ev = R.evaluate(source.sparkSession.read.parquet(path), contract)

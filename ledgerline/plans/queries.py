@@ -19,6 +19,7 @@ from ..operators import change_set as C
 from ..operators import constraints as K
 from ..operators import extract as X
 from ..operators import merge as M
+from ..operators.json_paths import json_paths
 from ..operators.load import load_projection as _load_projection
 from ..operators.reconcile import reconcile
 from ..operators import rules as R
@@ -453,6 +454,14 @@ def reconcile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(source, changed.unionByName(extra), "transaction_id", [c for c in source.columns if c != "transaction_id"])
 
 
+def props_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths, types and counts of ``events.props``, some of them nested or broken."""
+    r = F.col("event_id") % 50
+    nested = '{"k": "7", "tags": ["a", 1, {"z": null}], "at": {"x": 1.5, "y": {"w": true}}}'
+    props = F.when(r == 4, nested).when(r == 5, '{"k": true}').when(r == 6, '{"k":').when(r == 7, F.lit(None).cast("string")).otherwise(F.col("props"))
+    return json_paths(event_props(Fixtures(spark, sf_dir).table("events")).withColumn("props", props), "props", 4)
+
+
 #: Arrival of the out-of-order stream: every 9th key comes 700 days after its time, every 8th comes
 #: twice, 400 days apart; one landed file per 400 days, watermark one year behind.
 LANDED_DAYS = 400
@@ -530,4 +539,5 @@ CATALOGUE = {
     "stream_upsert": stream_upsert,
     "event_time_stream": event_time_stream,
     "reconcile_tables": reconcile_tables,
+    "props_paths": props_paths,
 }

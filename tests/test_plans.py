@@ -95,3 +95,19 @@ def test_counts_come_out_of_the_writes(spark, root):
     assert out["extract"]["row_count"] == rows
     assert out["validate"]["dlq_count"] + out["load"]["records_loaded"] == rows
     assert len(sc.statusTracker().getJobIdsForGroup("one-run")) <= 45
+
+
+def test_newest_rows_push_their_bound_to_the_scan(spark, tmp_path):
+    """Ties at the bound, rows without a time, and the pushed filter."""
+    from ledgerline.plans.pipeline import newest_rows
+
+    path = str(tmp_path / "t")
+    day = lambda i: None if i % 40 == 0 else dt.datetime(2024, 1, 1) + dt.timedelta(days=i // 7)
+    data = [(i, day(i), "x" * 20) for i in range(400)]
+    spark.createDataFrame(data, "id long, updated_at timestamp_ntz, text string").repartition(4).write.parquet(path)
+    source = spark.read.parquet(path)
+    order = sorted(data, key=lambda r: (r[1] is not None, r[1] or dt.datetime.min, r[0]), reverse=True)
+    for limit in (1, 10, 389, 390, 395, 500):
+        got = newest_rows(source, limit, "updated_at", "id")
+        assert [r["id"] for r in got.collect()] == [r[0] for r in order[:limit]]
+        assert ("GreaterThanOrEqual(updated_at," in plan_text(got)) == (limit <= 390)

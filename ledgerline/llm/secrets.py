@@ -1,9 +1,15 @@
 """Secret scans: fixed patterns, and random strings by two character Markov models.
 
-A long run of token characters is scored by two first-order Markov models over characters: one
-of random strings, one of ordinary identifiers. Both are counted on labelled samples from a
-bounded number of documents: what the fixed patterns find is labelled random, other words are
-labelled ordinary. A run is a secret when the log-likelihood ratio beats the prior odds.
+A long run of token characters is cut at its separators, and the pieces are scored by two
+first-order Markov models over characters: one of random strings, one of ordinary words,
+numbers and identifiers. Both are counted on labelled samples from a bounded number of
+documents: what the fixed patterns find is labelled random; pieces outside of it and outside
+of undecided runs are labelled ordinary. Prose holds few constants, joined names and numbers,
+so a fixed share of the ordinary model is given to each of these shapes, spelt with the counted
+letters (``Shapes``). A run is a secret when the log-likelihood ratio beats the prior odds.
+
+Paths, slugs, dates and numbered identifiers are ordinary by this. Short random strings with few
+kinds of characters, such as UUIDs, can fall on either side.
 
 Defined results: a null or empty text has no span; rows that repeat get equal results; a
 sample without any secret leaves the random model uniform; other columns of the input pass
@@ -15,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,21 +43,35 @@ ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 
 #: Candidates of the models: long runs with a letter and a digit.
 RUN = re.compile("[A-Za-z0-9+/_=-]{16,}")
-ORDINARY = re.compile("[A-Za-z_]{4,40}")
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Characters of the pieces; every other one separates two pieces.
+ALPHABET = string.ascii_uppercase + string.ascii_lowercase + string.digits
 INDEX = {c: i for i, c in enumerate(ALPHABET)}
+UPPER, LOWER, DIGIT = slice(0, 26), slice(26, 52), slice(52, 62)
 START = len(ALPHABET)
 
 #: Expected number of documents in the training sample; prior odds of a run being a secret.
 TRAIN_DOCS = 20_000
 PRIOR = 1e-6
 #: Weight of the uniform distribution in the random model, which has seen few samples.
-UNIFORM = 0.5
+UNIFORM = 0.8
+#: The same in the ordinary model: names hold pairs that the sample's words do not.
+UNSEEN = 0.1
 #: Weight of the single characters in a pair's chance, in pairs seen.
 BACK_OFF = 2.0
 MARK = "[secret]"
 
 
+@dataclass(frozen=True)
+class Shapes:
+    """Weights of spellings that prose holds too rarely, as shares of the counted letters."""
+
+    constant: float = 0.1  # words in capitals
+    capital: float = 0.1  # words with a capital
+    joined: float = 0.03  # a capital inside a word
+    number: float = 0.1  # pieces of digits
+    numbered: float = 0.03  # digits behind a letter, letters behind a digit
+
+
 @dataclass(frozen=True)
 class Models:
     """Log-likelihood ratio of each character after each other one."""
@@ -60,13 +81,14 @@ class Models:
     def score(self, run: str) -> float:
         total, last = 0.0, START
         for c in run:
-            here = INDEX[c]
-            total += self.ratio[last][here]
+            here = INDEX.get(c, START)
+            if here != START:
+                total += self.ratio[last][here]
             last = here
         return total
 
     def secret(self, run: str) -> bool:
-        return any(c.isdigit() for c in run) and any(c.isalpha() for c in run) and self.score(run) > -math.log(PRIOR)
+        return candidate(run) and self.score(run) > -math.log(PRIOR)
 
 
 def base_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int]], list[tuple[int, int]]]:
@@ -103,6 +125,18 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{lo}:{hi}" for lo, hi, kind in spans)
 
 
+def candidate(run: str) -> bool:
+    """Whether the models decide on a run: it holds a letter and a digit."""
+    return any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
+
+
+def _pairs(text: str) -> np.ndarray:
+    """How often each character follows each other one inside the pieces of a text."""
+    n = START + 1
+    codes = _CODES[np.frombuffer(f" {text}".encode("ascii", "replace"), np.uint8)]
+    return np.bincount(codes[:-1] * n + codes[1:], minlength=n * n).reshape(n, n)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Character pairs of the labelled samples: label 1 random, 0 ordinary."""
     n = START + 1
@@ -111,18 +145,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text").to_pylist():
             if not text:
                 continue
-            _, values, _ = base_spans(text)
-            for lo, hi in values:
-                run = [START, *(INDEX[c] for c in text[lo:hi] if c in INDEX)]
-                np.add.at(counts[1], (run[:-1], run[1:]), 1)
-            plain = text
-            for lo, hi in sorted(values, reverse=True):
-                plain = plain[:lo] + " " + plain[hi:]
-            words = " ".join(ORDINARY.findall(plain))
-            if words:
-                # a space stands for the start of a word and for nothing else
-                codes = _CODES[np.frombuffer((" " + words).encode("ascii"), np.uint8)]
-                np.add.at(counts[0], (codes[:-1], codes[1:]), 1)
+            _, values, runs = base_spans(text)
+            if values:
+                counts[1] += _pairs(" ".join(text[lo:hi] for lo, hi in values))
+            hidden = values + [(lo, hi) for lo, hi in runs if candidate(text[lo:hi])]
+            plain, at = [], 0
+            for lo, hi in sorted(hidden):
+                if lo > at:
+                    plain.append(text[at:lo])
+                at = max(at, hi)
+            counts[0] += _pairs(" ".join([*plain, text[at:]]))
+    counts[:, :, START] = 0
     label, a, b = np.nonzero(counts)
     yield pa.record_batch(
         [pa.array(label, pa.int32()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(counts[label, a, b])], names=["label", "a", "b", "n"]
@@ -134,8 +167,28 @@ for _c, _i in INDEX.items():
     _CODES[ord(_c)] = _i
 
 
+def shaped(seen: np.ndarray, shapes: Shapes = Shapes()) -> np.ndarray:
+    """Counted pairs of ordinary pieces, with those of the rarer spellings added."""
+    out = seen.astype(float)
+    inner, first = seen[LOWER, LOWER] + 0.1, seen[START, LOWER] + 0.1
+    letters, words = inner.sum(), first.sum()
+    out[UPPER, UPPER] += shapes.constant * inner
+    out[START, UPPER] += (shapes.constant + shapes.capital) * first
+    # behind its first letter a word goes on as lower-case words do
+    out[UPPER, LOWER] += (shapes.capital + shapes.joined) * inner * (first / inner.sum(axis=1))[:, None]
+    place = inner.sum(axis=0) / letters
+    out[LOWER, UPPER] += shapes.joined * words * np.outer(place, first / words)
+    out[START, DIGIT] += shapes.number * words / 10
+    out[DIGIT, DIGIT] += shapes.number * words / 100 * 2
+    out[LOWER, DIGIT] += shapes.numbered * words * place[:, None] / 10
+    out[UPPER, DIGIT] += shapes.numbered * shapes.constant * words * place[:, None] / 10
+    out[DIGIT, LOWER] += shapes.numbered * words / 10 * first / words
+    out[DIGIT, UPPER] += shapes.numbered * shapes.capital * words / 10 * first / words
+    return out
+
+
 def train(docs: DataFrame, sample: int = TRAIN_DOCS) -> Models:
-    """Count both models on about ``sample`` documents, chosen by hash; at most 2 x 68 x 68 sums return."""
+    """Count both models on about ``sample`` documents, chosen by hash; at most 2 x 63 x 63 sums return."""
     total = max(1, docs.count())
     part = docs.select("text").where(F.pmod(F.xxhash64("doc_id"), F.lit(total)) < sample)
     sums = part.transform(map_arrow, _count, "label int, a int, b int, n long").groupBy("label", "a", "b").agg(F.sum("n").alias("n")).collect()
@@ -143,13 +196,14 @@ def train(docs: DataFrame, sample: int = TRAIN_DOCS) -> Models:
     counts = np.zeros((2, n + 1, n + 1))
     for r in sums:
         counts[r["label"], r["a"], r["b"]] = r["n"]
-    seen = counts[:, :, :n]
+    seen = np.stack((shaped(counts[0]), counts[1]))[:, :, :n]
     # pairs back off to single characters, and those to a small count of each
     single = seen.sum(axis=1, keepdims=True) + 0.5
     single /= single.sum(axis=2, keepdims=True)
     chance = (seen + BACK_OFF * single) / (seen.sum(axis=2, keepdims=True) + BACK_OFF)
     random = (1 - UNIFORM) * chance[1] + UNIFORM / n
-    return Models(np.log(random / chance[0]).tolist())
+    ordinary = (1 - UNSEEN) * chance[0] + UNSEEN / n
+    return Models(np.log(random / ordinary).tolist())
 
 
 def scan(docs: DataFrame, models: Models) -> DataFrame:

@@ -1,12 +1,17 @@
 """Operator 2 against plain regular expressions, and its models on held-out strings."""
 
 import ast
+import base64
 import hashlib
+import itertools
 import logging
 import os
 import random
 import re
+import socket
 import string
+import unittest
+import zipfile
 
 import pytest
 from conftest_llm import ODD
@@ -54,6 +59,50 @@ def test_base_spans(make, models):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s.startswith(k) for s in base) for k in ("assign", "access", "hex"))
 
 
+@pytest.fixture(scope="module")
+def prose_models(spark):
+    """Learnt from the given documents, whose words are not the names of the held-out runs."""
+    return secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+def held_out_runs(rng):
+    """Ordinary runs with digits: slugs, dated paths, constants, joined and numbered names, versions."""
+    names = sorted({n for m in (os, ast, logging, socket, unittest, zipfile) for n in dir(m) if not n.startswith("__")})
+    w = lambda: rng.choice(names)
+    low = lambda: w().lower()
+    while True:
+        y, m, d = rng.randint(1995, 2030), rng.randint(1, 12), rng.randint(1, 28)
+        run = rng.choice([
+            f"{low()}-{low()}-{y}-{m:02}-{d:02}", f"com/{y}/{m:02}/{d:02}/{low()}-{low()}", f"{w()}_{w()}_{rng.randint(0, 99)}",
+            f"docs/api/v{rng.randint(1, 5)}/{low()}/{low()}", f"{w()}{rng.randint(0, 9999)}/{w()}", f"{low()}{low().title()}{rng.randint(0, 99)}",
+            f"{w().upper()}_{w().upper()}_{rng.randint(1, 9)}", f"{y}-{m:02}-{d:02}T{rng.randint(0, 23):02}-{w()}", f"{low()}-v{rng.randint(0, 9)}-{d}-x86_64-linux",
+        ])
+        if secrets.RUN.fullmatch(run) and secrets.candidate(run):
+            yield run
+
+
+def random_runs(rng):
+    """Random strings of 20 to 44 characters over the alphabets that keys use."""
+    while True:
+        n = rng.randint(20, 44)
+        raw = rng.randbytes(n * 3 // 4)
+        run = rng.choice([
+            "".join(rng.choices(string.ascii_letters + string.digits, k=n)), base64.b64encode(raw).decode(), base64.urlsafe_b64encode(raw).decode(),
+            "".join(rng.choices(string.ascii_uppercase + string.digits, k=n)), "".join(rng.choices(string.ascii_lowercase + string.digits, k=n)),
+        ])
+        if secrets.candidate(run):
+            yield run
+
+
+def test_random_strings_apart_from_held_out_runs(prose_models):
+    rng = random.Random(5)
+    ordinary = list(itertools.islice(held_out_runs(rng), 1000))
+    called = [o for o in ordinary if prose_models.secret(o)]
+    assert len(called) < 0.02 * len(ordinary), called
+    found = sum(map(prose_models.secret, itertools.islice(random_runs(rng), 1000)))
+    assert found >= 950
+
+
 def test_random_strings_apart_from_identifiers(models):
     rng = random.Random(5)
     random_ones = ["".join(rng.choices(string.ascii_letters + string.digits, k=32)) for _ in range(200)]
@@ -64,6 +113,19 @@ def test_random_strings_apart_from_identifiers(models):
     assert max(scores) < min(models.score(r) / len(r) for r in random_ones)
 
 
+def test_named_runs(models, prose_models):
+    known = ["release-notes-2024-10-03", "com/2024/01/15/some-title", "https_connection_timeout_30", "docs/api/v2/reference/index",
+             "the_internal_counter_value_2", "getUserNameFromRequest1", "theoninthtionerthe2024", "internalizationthethe"]
+    for m in (models, prose_models):
+        assert not [k for k in known if m.secret(k)]
+        assert m.secret("Zk3vQ9xR7tLw2MfB8nHc")
+
+
+def test_separators_add_nothing(prose_models):
+    one, two = "Zk3vQ9xR7tLw", "some2024title"
+    assert prose_models.score(f"{one}--/{two}=") == pytest.approx(prose_models.score(one) + prose_models.score(two))
+
+
 def test_redaction_keeps_every_document(make, models):
     docs = make([*ODD, (90, f"a token = \"{HEX40}\" b"), (91, "clean text stays as it is")])
     out = secrets.redact(docs, models)

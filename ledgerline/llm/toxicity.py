@@ -2,11 +2,16 @@
 
 A document's features are the distinct hashed character n-grams of its whole lower-cased text.
 Training takes a bounded sample of labelled rows. Spark counts, per class, the documents that
-hold each n-gram; the log ratio of the smoothed class frequencies scales the feature. The
-n-grams with the strongest evidence enter a logistic regression with L2 penalty.
+hold each n-gram; the log ratio of the smoothed class frequencies scales the feature, and a
+document's features are divided by the square root of their norm, so that length alone decides
+little. The n-grams with the strongest evidence enter Spark's logistic regression with L2 penalty.
+
+A text longer than ``Sizes.window`` characters is scored in windows of that length, each half a
+window after the last, over its whole length; its score is that of its most toxic window. So a
+long text is judged by what it holds and not by how many n-grams it has.
 
 Bounds: ``Sizes.sample`` labelled rows, ``2 ** Sizes.bits`` hash buckets, ``Sizes.kept``
-features. The model that goes to the tasks has one number per bucket, whatever the input.
+features. The model that goes to the tasks has three numbers per feature, whatever the input.
 
 Defined results: a null or empty text scores the bias alone; labels that are null are not
 learnt from, and a doc_id with several labels counts as toxic if one says so; without labels
@@ -21,14 +26,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import map_arrow
+from ledgerline.llm.common import map_arrow, materialise, tasks_for
 
 #: Characters hashed at a time; longer texts go in overlapping parts.
 PART_CHARS = 1 << 20
 THRESHOLD = 0.3
+#: Sample rows in a task of the regression.
+FIT_ROWS = 2_000
 
 
 @dataclass(frozen=True)
@@ -36,34 +45,53 @@ class Sizes:
     """Bounds and settings of the training."""
 
     grams: tuple[int, ...] = (4, 5, 6)
-    bits: int = 18
+    bits: int = 22
     sample: int = 16_000
-    kept: int = 4_000
+    kept: int = 20_000
     least_documents: int = 3
     smooth: float = 1.0
-    penalty: float = 3.0
-    steps: int = 200
+    penalty: float = 0.3
+    steps: int = 100
+    tolerance: float = 1e-6
+    window: int = 4_000
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weight per hash bucket (zero: not a feature) and the bias."""
+    """The features' hash buckets in ascending order, their weights and ratios, and the bias."""
 
+    buckets: np.ndarray
     weights: np.ndarray
+    ratio: np.ndarray
     bias: float
     sizes: Sizes
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        used = self.weights != 0
+        place = places(self.buckets, self.sizes)
         out = np.empty(len(texts))
         for i, text in enumerate(texts):
-            found = features(text, self.sizes, used)
-            out[i] = self.bias + float(self.weights[found].sum(dtype=np.float64))
+            out[i] = max(self._sum(place[found] - 1) for found in windows(text, self.sizes, place > 0))
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
+    def _sum(self, columns: np.ndarray) -> float:
+        values = scaled(self.ratio[columns])
+        return self.bias + float((self.weights[columns] * values).sum())
+
+
+def places(buckets: np.ndarray, sizes: Sizes) -> np.ndarray:
+    """Per hash bucket the number of its feature, counted from 1; 0 where there is none."""
+    place = np.zeros(1 << sizes.bits, np.int32)
+    place[buckets] = np.arange(1, len(buckets) + 1)
+    return place
+
 
-def hashes(text: str, sizes: Sizes) -> Iterator[np.ndarray]:
-    """Buckets of all n-grams of a text, part by part."""
+def scaled(ratio: np.ndarray) -> np.ndarray:
+    """Values of a text's features: their ratios over the square root of the ratios' norm."""
+    return ratio / max(float(np.sqrt(np.linalg.norm(ratio))), 1e-9)
+
+
+def hashes(text: str, sizes: Sizes) -> Iterator[tuple[int, np.ndarray]]:
+    """Buckets of all n-grams of a text, part by part, with the place of the first one."""
     most = max(sizes.grams)
     for at in range(0, len(text), PART_CHARS):
         c = np.frombuffer(text[at : at + PART_CHARS + most - 1].encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -74,17 +102,36 @@ def hashes(text: str, sizes: Sizes) -> Iterator[np.ndarray]:
             h = h[:-1] * np.uint32(0x01000193) + c[n - 1 :]
             if n in sizes.grams:
                 mixed = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-                yield (mixed + np.uint32(n)) * np.uint32(0x9E3779B1) >> np.uint32(32 - sizes.bits)
+                yield at, (mixed + np.uint32(n)) * np.uint32(0x9E3779B1) >> np.uint32(32 - sizes.bits)
 
 
 def features(text: str | None, sizes: Sizes, used: np.ndarray | None = None) -> np.ndarray:
     """Distinct buckets of a text, of the used ones if given."""
     if not text:
         return np.empty(0, np.uint32)
-    found = [h if used is None else h[used[h]] for h in hashes(text.lower(), sizes)]
+    found = [h if used is None else h[used[h]] for _, h in hashes(text.lower(), sizes)]
     return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint32)
 
 
+def windows(text: str | None, sizes: Sizes, used: np.ndarray) -> Iterator[np.ndarray]:
+    """Distinct used buckets of each window; an n-gram belongs where it starts."""
+    if not text or len(text) <= sizes.window:
+        yield features(text, sizes, used)
+        return
+    half = max(1, sizes.window // 2)
+    text = text.lower()
+    keys = []
+    for at, h in hashes(text, sizes):
+        i = np.flatnonzero(used[h])
+        keys.append(((at + i) // half << sizes.bits) | h[i])
+    key = np.unique(np.concatenate(keys))
+    n = -(-len(text) // half)
+    starts = np.searchsorted(key, np.arange(n + 1) << sizes.bits)
+    bucket = key & ((1 << sizes.bits) - 1)
+    for k in range(max(1, n - 1)):
+        yield np.unique(bucket[starts[k] : starts[min(k + 2, n)]])
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that are never learnt from: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
@@ -102,90 +149,71 @@ def labelled(docs: DataFrame, labels: DataFrame, sizes: Sizes) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, sizes: Sizes = Sizes()) -> Model:
     """Fit on the bounded sample; the texts themselves stay in the tasks."""
     rows = labelled(docs, labels, sizes)
+    counts = materialise(gram_counts(rows, sizes), "toxicity-counts")
+    held = counts.where("bucket < 0").agg(F.sum("clean"), F.sum("toxic")).first()
+    clean, toxic = (int(n or 0) for n in held)
+    prior = float(np.log((toxic + 1) / (clean + 1)))
+    got = strongest(counts.where("bucket >= 0"), clean, toxic, sizes).toArrow() if clean and toxic else None
+    if got is None or not got.num_rows:
+        return Model(np.empty(0, np.int64), np.empty(0), np.empty(0), prior, sizes)
+    order = np.argsort(got["bucket"].to_numpy())
+    buckets, ratio = got["bucket"].to_numpy()[order], got["ratio"].to_numpy()[order]
+    weights, bias = fit(vectors(rows, buckets, sizes), clean + toxic, ratio, sizes)
+    return Model(buckets, weights, ratio, bias, sizes)
+
+
+def gram_counts(rows: DataFrame, sizes: Sizes) -> DataFrame:
+    """``(bucket, clean, toxic)``: documents of each class that hold an n-gram; bucket -1: all documents."""
     buckets = 1 << sizes.bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, held = np.zeros((2, buckets), np.int64), np.zeros(2, np.int64)
+        seen, held = np.zeros((2, buckets), np.int32), np.zeros(2, np.int32)
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 y = int(toxic > 0)
                 seen[y, features(text, sizes)] += 1
                 held[y] += 1
-        y, b = np.nonzero(seen)
-        # bucket -1 holds the number of documents of the class
-        columns = [np.concatenate((y, [0, 1])), np.concatenate((b, [-1, -1])), np.concatenate((seen[y, b], held))]
-        yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], names=["y", "bucket", "n"])
-
-    sums = rows.transform(map_arrow, count, "y long, bucket long, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n"))
-    strong = sums.groupBy("bucket").agg(F.sum("n").alias("all")).where(F.col("all") >= sizes.least_documents).select("bucket")
-    got = sums.join(strong, "bucket", "left_semi").toArrow()
-    seen, held = np.zeros((2, buckets)), np.zeros(2)
-    y, b, n = (got[c].to_numpy() for c in ("y", "bucket", "n"))
-    held[y[b < 0]] = n[b < 0]
-    seen[y[b >= 0], b[b >= 0]] = n[b >= 0]
-    prior = float(np.log((held[1] + 1) / (held[0] + 1)))
-    if min(held) == 0:
-        return Model(np.zeros(buckets, np.float32), prior, sizes)
-    share = (seen + sizes.smooth) / (held[:, None] + 2 * sizes.smooth)
-    ratio = np.log(share[1] / share[0])
-    # evidence: how far the class frequencies differ, in standard errors
-    spread = np.sqrt((share * (1 - share) / held[:, None]).sum(axis=0))
-    evidence = np.where(seen.sum(axis=0) >= sizes.least_documents, np.abs(share[1] - share[0]) / spread, 0)
-    chosen = np.sort(np.argsort(-evidence, kind="stable")[: sizes.kept])
-    used = np.zeros(buckets, bool)
-    used[chosen] = evidence[chosen] > 0
-    x, starts, y = _matrix(rows, used, sizes)
-    weights, bias = fit(x, starts, y, ratio, prior, sizes)
-    return Model((weights * ratio * used).astype(np.float32), bias, sizes)
-
-
-def _matrix(rows: DataFrame, used: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sample's used features as one array with the rows' starts, and the labels."""
+        b = np.flatnonzero(seen.any(axis=0))
+        columns = [np.append(b, -1).astype(np.int32), *(np.append(seen[y, b], held[y]) for y in (0, 1))]
+        yield pa.record_batch([pa.array(c) for c in columns], names=["bucket", "clean", "toxic"])
+
+    found = rows.transform(map_arrow, count, "bucket int, clean int, toxic int")
+    return found.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+
+
+def strongest(counts: DataFrame, clean: int, toxic: int, sizes: Sizes) -> DataFrame:
+    """``(bucket, ratio)`` of the ``sizes.kept`` n-grams whose class frequencies differ by most standard errors."""
+    share = lambda c, n: (F.col(c) + F.lit(sizes.smooth)) / F.lit(n + 2 * sizes.smooth)
+    some = counts.where(F.col("clean") + F.col("toxic") >= sizes.least_documents)
+    some = some.select("bucket", share("clean", clean).alias("p0"), share("toxic", toxic).alias("p1"))
+    spread = F.sqrt(F.expr(f"p0 * (1 - p0) / {clean} + p1 * (1 - p1) / {toxic}"))
+    some = some.select("bucket", F.log(F.col("p1") / F.col("p0")).alias("ratio"), (F.abs(F.col("p1") - F.col("p0")) / spread).alias("evidence"))
+    return some.where("evidence > 0").orderBy(F.desc("evidence"), "bucket").limit(sizes.kept).select("bucket", "ratio")
+
+
+def vectors(rows: DataFrame, buckets: np.ndarray, sizes: Sizes) -> DataFrame:
+    """``(toxic, found)``: the sample's labels and the numbers of each row's features, written once."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = places(buckets, sizes)
         for batch in batches:
-            found = [features(t, sizes, used).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("toxic"), pa.array(found, pa.binary())], names=["toxic", "found"])
-
-    got = rows.transform(map_arrow, over, "toxic int, found binary").toArrow()
-    parts = [np.frombuffer(f.as_py(), "<u4") for f in got["found"]]
-    starts = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-    # rows in an order of their own content: Spark returns them in any order
-    order = sorted(range(len(parts)), key=lambda i: parts[i].tobytes())
-    y = (got["toxic"].to_numpy() > 0).astype(float)
-    lengths = np.diff(starts)[order]
-    x = np.concatenate([parts[i] for i in order]) if len(parts) else np.empty(0, np.uint32)
-    return x, np.concatenate(([0], np.cumsum(lengths))), y[order]
-
-
-def fit(x: np.ndarray, starts: np.ndarray, y: np.ndarray, ratio: np.ndarray, prior: float, sizes: Sizes) -> tuple[np.ndarray, float]:
-    """Logistic regression on ``ratio``-scaled presence, by accelerated gradient steps."""
-    columns, place = np.unique(x, return_inverse=True)
-    scale = ratio[columns]
-    row = np.repeat(np.arange(len(y)), np.diff(starts))
-    value = scale[place]
-    # step length from a bound on the curvature: power iterations on the scaled matrix
-    v = np.ones(len(columns)) / np.sqrt(max(1, len(columns)))
-    top = 1.0
-    for _ in range(15):
-        z = np.bincount(row, value * v[place], len(y))
-        u = np.bincount(place, value * z[row], len(columns))
-        top = float(np.linalg.norm(u)) or 1.0
-        v = u / top
-    step = 1 / (0.25 * 1.1 * (top + len(y)) + sizes.penalty)
-    w = old = np.zeros(len(columns))
-    b = old_b = prior
-    for k in range(sizes.steps):
-        m = k / (k + 3)
-        ahead, ahead_b = w + m * (w - old), b + m * (b - old_b)
-        z = np.bincount(row, value * ahead[place], len(y)) + ahead_b
-        error = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
-        old, old_b = w, b
-        w = ahead - step * (np.bincount(place, value * error[row], len(columns)) + sizes.penalty * ahead)
-        b = ahead_b - step * float(error.sum())
-    weights = np.zeros(len(ratio))
-    weights[columns] = w
-    return weights, float(b)
+            found = [place[features(t, sizes, place > 0)] - 1 for t in batch.column("text").to_pylist()]
+            yield pa.record_batch([batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "found"])
+
+    return materialise(rows.transform(map_arrow, over, "toxic int, found array<int>"), "toxicity-sample")
+
+
+def fit(sample: DataFrame, n: int, ratio: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, float]:
+    """Spark's logistic regression on the scaled features; the tasks sum the gradients."""
+    size = len(ratio)
+    vector = F.udf(lambda found: SparseVector(size, found, scaled(ratio[found]).tolist()), VectorUDT())
+    # rows of a task in an order of their own content, so that sums do not depend on the input's order
+    key = F.xxhash64("toxic", "found")
+    rows = sample.repartition(tasks_for(n, FIT_ROWS), key).sortWithinPartitions("toxic", "found")
+    rows = rows.select((F.col("toxic") > 0).cast("double").alias("label"), vector("found").alias("features"))
+    # the penalty is a sum over rows, Spark's objective a mean
+    model = LogisticRegression(maxIter=sizes.steps, regParam=sizes.penalty / n, standardization=False, tol=sizes.tolerance).fit(rows)
+    return model.coefficients.toArray(), float(model.intercept)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -3,7 +3,6 @@
 import zlib
 
 import numpy as np
-import pytest
 from conftest_llm import ODD, words
 
 from ledgerline.llm import toxicity
@@ -63,76 +62,6 @@ def test_no_labels(spark, make):
     assert max(one_class.scores(["text", ""])) < 0.1
 
 
-def plain_grams(text, sizes):
-    low = text.lower()
-    return {low[i : i + n] for n in sizes.grams for i in range(len(low) - n + 1)}
-
-
-def test_counts_ratios_and_fit_against_plain_python(spark, make):
-    docs, labels = corpus(120)
-    sizes = toxicity.Sizes(sample=1000, kept=2_000, steps=1000, tolerance=1e-12)
-    table, marks = make(docs), spark.createDataFrame(labels, LABELS)
-    model = toxicity.train(table, marks, sizes)
-    learnt = [(t, labels[i][2]) for i, t in docs if zlib.crc32(str(i).encode()) % 4 != 2]
-    held = [sum(y == c for _, y in learnt) for c in (0, 1)]
-    for text, _ in learnt[:20]:
-        every = {int(b) for g in plain_grams(text, sizes) for b in toxicity.features(g, sizes)}
-        assert every == set(toxicity.features(text, sizes).tolist())
-    place = {int(b): i for i, b in enumerate(model.buckets)}
-    found = [toxicity.features(t, sizes) for t, _ in learnt]
-    n = {b: [0, 0] for b in place}
-    for f, (_, y) in zip(found, learnt, strict=True):
-        for b in f.tolist():
-            if b in n:
-                n[b][y] += 1
-    for b, (clean, toxic) in n.items():
-        assert clean + toxic >= sizes.least_documents
-        expected = np.log((toxic + 1) / (held[1] + 2)) - np.log((clean + 1) / (held[0] + 2))
-        assert model.ratio[place[b]] == pytest.approx(expected)
-    # at the minimum of the penalised sum every slope is zero
-    slope, shift = sizes.penalty * model.weights, 0.0
-    for f, (text, y) in zip(found, learnt, strict=True):
-        columns = np.array(sorted(place[b] for b in f.tolist() if b in place), int)
-        value = model.ratio[columns] / np.sqrt(np.sqrt((model.ratio[columns] ** 2).sum()))
-        p = 1 / (1 + np.exp(-(model.bias + model.weights[columns] @ value)))
-        assert len(text) > sizes.window or model.scores([text])[0] == pytest.approx(p)
-        slope[columns] += (p - y) * value
-        shift += p - y
-    assert np.abs(slope).max() < 0.02 and abs(shift) < 0.02
-
-
-def test_long_texts_are_judged_by_what_they_hold(spark, make):
-    docs, labels = corpus()
-    model = toxicity.train(make(docs), spark.createDataFrame(labels, LABELS))
-    held = [(t, labels[i][2]) for i, t in docs if zlib.crc32(str(i).encode()) % 4 == 2]
-    clean = [t for t, y in held if not y and model.scores([t])[0] < 0.1]
-    toxic = [t for t, y in held if y and model.scores([t])[0] > 0.9]
-    assert model.scores([" ".join(clean)])[0] < toxicity.THRESHOLD
-    mixed = [" ".join([*clean[i : i + 10], t, *clean[i + 10 : i + 40]]) for i, t in enumerate(toxic)]
-    assert (model.scores(mixed) >= toxicity.THRESHOLD).mean() > 0.9
-
-
-def test_windows_hold_every_feature(monkeypatch):
-    sizes, text = toxicity.Sizes(window=100), " ".join(words(1, 4000))
-    used = np.zeros(1 << sizes.bits, bool)
-    used[toxicity.features(text, sizes)[::7]] = True
-    got = list(toxicity.windows(text, sizes, used))
-    assert len(got) == -(-len(text) // 50) - 1
-    assert np.array_equal(np.unique(np.concatenate(got)), toxicity.features(text, sizes, used))
-    for k, found in enumerate(got):
-        part = text[50 * k : 50 * k + 100 + max(sizes.grams) - 1]
-        grams = [part[i : i + n] for n in sizes.grams for i in range(100) if i + n <= len(part)]
-        assert set(found.tolist()) == {int(b) for g in grams for b in _own(g, sizes) if used[b]}
-    monkeypatch.setattr(toxicity, "PART_CHARS", 333)
-    again = list(toxicity.windows(text, sizes, used))
-    assert all(np.array_equal(a, b) for a, b in zip(got, again, strict=True))
-
-
-def _own(gram, sizes):
-    """The bucket of the n-gram itself, without those of shorter ones inside."""
-    return list(toxicity.hashes(gram, sizes))[-1][1].tolist()
-
-
 def test_long_text_in_parts(monkeypatch):
     sizes, text = toxicity.Sizes(), " ".join(words(1, 4000))
     whole = toxicity.features(text, sizes)

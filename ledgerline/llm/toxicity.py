@@ -1,12 +1,15 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
 A document's features are the distinct hashed character n-grams of its whole lower-cased text.
-Training takes a bounded sample of labelled rows. Spark counts, per class, the documents that
-hold each n-gram; the log ratio of the smoothed class frequencies scales the feature. The
-n-grams with the strongest evidence enter a logistic regression with L2 penalty.
+Training takes every labelled row that is not held out. Spark counts, per class, the documents
+that hold each n-gram; the log ratio of the smoothed class frequencies scales the feature. The
+n-grams with the strongest evidence enter a logistic regression with L2 penalty: the rows are dealt
+by the hash of their id into groups of about ``Sizes.sample``, each group is fitted in a task, and
+the weights are averaged by the groups' rows (parameter mixing, McDonald et al., 2009). Up to
+``Sizes.sample`` rows are one group.
 
-Bounds: ``Sizes.sample`` labelled rows, ``2 ** Sizes.bits`` hash buckets, ``Sizes.kept``
-features. The model that goes to the tasks has one number per bucket, whatever the input.
+Bounds, none of which leaves a row out: ``2 ** Sizes.bits`` hash buckets, ``Sizes.kept`` features,
+the rows of one fit. The model that goes to the tasks has one number per bucket, whatever the input.
 
 Defined results: a null or empty text scores the bias alone; labels that are null are not
 learnt from, and a doc_id with several labels counts as toxic if one says so; without labels
@@ -24,16 +27,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import map_arrow
+from ledgerline.llm.common import grouped, map_arrow
 
 #: Characters hashed at a time; longer texts go in overlapping parts.
 PART_CHARS = 1 << 20
 THRESHOLD = 0.3
+#: Buckets whose counts are one row of the shuffle.
+COUNT_PART = 1 << 12
 
 
 @dataclass(frozen=True)
 class Sizes:
-    """Bounds and settings of the training."""
+    """Bounds and settings of the training; ``sample``: labelled rows of one fit."""
 
     grams: tuple[int, ...] = (4, 5, 6)
     bits: int = 18
@@ -90,72 +95,110 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, sizes: Sizes) -> DataFrame:
-    """``(text, toxic)`` of the labelled rows to learn from; at most ``sizes.sample`` ids."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sizes.sample).select(F.col("doc_id").alias("_id"), "toxic")
-    # the sample's ids are bounded by the parameter, so they can go to every task
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", F.col("toxic"))
+def known(labels: DataFrame) -> DataFrame:
+    """``(_id, toxic)``: every id with a label to learn from."""
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
+    return rows.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
 
 
 def train(docs: DataFrame, labels: DataFrame, sizes: Sizes = Sizes()) -> Model:
-    """Fit on the bounded sample; the texts themselves stay in the tasks."""
-    rows = labelled(docs, labels, sizes)
-    buckets = 1 << sizes.bits
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, held = np.zeros((2, buckets), np.int64), np.zeros(2, np.int64)
-        for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                y = int(toxic > 0)
-                seen[y, features(text, sizes)] += 1
-                held[y] += 1
-        y, b = np.nonzero(seen)
-        # bucket -1 holds the number of documents of the class
-        columns = [np.concatenate((y, [0, 1])), np.concatenate((b, [-1, -1])), np.concatenate((seen[y, b], held))]
-        yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], names=["y", "bucket", "n"])
-
-    sums = rows.transform(map_arrow, count, "y long, bucket long, n long").groupBy("y", "bucket").agg(F.sum("n").alias("n"))
-    strong = sums.groupBy("bucket").agg(F.sum("n").alias("all")).where(F.col("all") >= sizes.least_documents).select("bucket")
-    got = sums.join(strong, "bucket", "left_semi").toArrow()
-    seen, held = np.zeros((2, buckets)), np.zeros(2)
-    y, b, n = (got[c].to_numpy() for c in ("y", "bucket", "n"))
-    held[y[b < 0]] = n[b < 0]
-    seen[y[b >= 0], b[b >= 0]] = n[b >= 0]
+    """Fit on all rows to learn from; the texts themselves stay in the tasks."""
+    docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    labels = known(labels)
+    # both sides grow with the input: the same plan at every size
+    rows = docs.join(labels.hint("merge"), F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    seen, held = class_counts(rows, sizes)
     prior = float(np.log((held[1] + 1) / (held[0] + 1)))
     if min(held) == 0:
-        return Model(np.zeros(buckets, np.float32), prior, sizes)
+        return Model(np.zeros(1 << sizes.bits, np.float32), prior, sizes)
     share = (seen + sizes.smooth) / (held[:, None] + 2 * sizes.smooth)
     ratio = np.log(share[1] / share[0])
     # evidence: how far the class frequencies differ, in standard errors
     spread = np.sqrt((share * (1 - share) / held[:, None]).sum(axis=0))
     evidence = np.where(seen.sum(axis=0) >= sizes.least_documents, np.abs(share[1] - share[0]) / spread, 0)
     chosen = np.sort(np.argsort(-evidence, kind="stable")[: sizes.kept])
-    used = np.zeros(buckets, bool)
+    used = np.zeros(1 << sizes.bits, bool)
     used[chosen] = evidence[chosen] > 0
-    x, starts, y = _matrix(rows, used, sizes)
-    weights, bias = fit(x, starts, y, ratio, prior, sizes)
+    weights, bias = mixed(_rows(docs, labels, used, sizes), int(held.sum()), ratio, prior, sizes)
     return Model((weights * ratio * used).astype(np.float32), bias, sizes)
 
 
-def _matrix(rows: DataFrame, used: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sample's used features as one array with the rows' starts, and the labels."""
+def class_counts(rows: DataFrame, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of each class that hold each bucket, and documents of each class."""
+    width = min(COUNT_PART, 1 << sizes.bits)
+    parts = (1 << sizes.bits) // width
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, held = np.zeros((2, 1 << sizes.bits), "<u4"), np.zeros((2, 1), "<u4")
+        for batch in batches:
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                y = int(toxic > 0)
+                seen[y, features(text, sizes)] += 1
+                held[y] += 1
+        # part -1 holds the number of documents of the class
+        found = [(y, part, seen[y, part * width : (part + 1) * width] if part >= 0 else held[y]) for y in (0, 1) for part in range(-1, parts)]
+        found = [(y, part, n.tobytes()) for y, part, n in found if n.any()]
+        columns = list(zip(*found, strict=True)) or [(), (), ()]
+        types = [pa.int64(), pa.int64(), pa.binary()]
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["y", "part", "n"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(n, "<u4").astype("<i8") for n in table["n"].to_pylist())
+        return pa.table({"y": table["y"][:1], "part": table["part"][:1], "n": pa.array([total.tobytes()], pa.binary())})
+
+    counts = rows.transform(map_arrow, count, "y long, part long, n binary").transform(grouped, ["y", "part"], add, "y long, part long, n binary")
+    seen, held = np.zeros((2, 1 << sizes.bits)), np.zeros(2)
+    got = counts.toArrow()
+    for y, part, n in zip(*(got[c].to_pylist() for c in ("y", "part", "n")), strict=True):
+        n = np.frombuffer(n, "<i8")
+        if part < 0:
+            held[y] = n[0]
+        else:
+            seen[y, part * width : (part + 1) * width] = n
+    return seen, held
+
+
+def _rows(docs: DataFrame, labels: DataFrame, used: np.ndarray, sizes: Sizes) -> DataFrame:
+    """``(doc_id, found, toxic)``: the used features of each row; only they meet the labels."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [features(t, sizes, used).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("toxic"), pa.array(found, pa.binary())], names=["toxic", "found"])
-
-    got = rows.transform(map_arrow, over, "toxic int, found binary").toArrow()
-    parts = [np.frombuffer(f.as_py(), "<u4") for f in got["found"]]
-    starts = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-    # rows in an order of their own content: Spark returns them in any order
-    order = sorted(range(len(parts)), key=lambda i: parts[i].tobytes())
-    y = (got["toxic"].to_numpy() > 0).astype(float)
-    lengths = np.diff(starts)[order]
-    x = np.concatenate([parts[i] for i in order]) if len(parts) else np.empty(0, np.uint32)
-    return x, np.concatenate(([0], np.cumsum(lengths))), y[order]
+            yield pa.record_batch([batch.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "found"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = docs.transform(map_arrow, over, f"doc_id {kind}, found binary")
+    return found.join(labels.hint("merge"), F.col("doc_id") == F.col("_id")).drop("_id")
+
+
+def mixed(rows: DataFrame, n: int, ratio: np.ndarray, prior: float, sizes: Sizes) -> tuple[np.ndarray, float]:
+    """Weights and bias of the groups of ``n`` rows in all, averaged by the groups' rows."""
+
+    def one(table: pa.Table) -> pa.Table:
+        every = sorted(zip(table["found"].to_pylist(), table["toxic"].to_pylist(), strict=True))
+        # rows that share a doc_id share a group: a group that grew so is fitted in blocks
+        blocks = -(-len(every) // (2 * sizes.sample))
+        places, values = [], []
+        for k in range(blocks):
+            parts = [np.frombuffer(f, "<u4") for f, _ in every[k::blocks]]
+            starts = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+            y = np.array([float(toxic > 0) for _, toxic in every[k::blocks]])
+            weights, bias = fit(np.concatenate(parts), starts, y, ratio, prior, sizes)
+            at = np.flatnonzero(weights)
+            # place -1 holds the bias
+            places += [[-1], at]
+            values += [[bias * len(y)], weights[at] * len(y)]
+        return pa.table({"place": pa.array(np.concatenate(places), pa.int64()), "value": pa.array(np.concatenate(values), pa.float64())})
+
+    groups = max(1, -(-n // sizes.sample))
+    dealt = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
+    parts = dealt.select("grp", "found", "toxic").transform(grouped, ["grp"], one, "place long, value double", groups)
+    # exact sums, so the order in which the groups end changes nothing
+    got = parts.groupBy("place").agg(F.sum(F.col("value").cast("decimal(38,18)")).cast("double").alias("value")).toArrow()
+    place, value = got["place"].to_numpy(), got["value"].to_numpy() / n
+    weights = np.zeros(len(ratio))
+    weights[place[place >= 0]] = value[place >= 0]
+    return weights, float(value[place < 0][0])
 
 
 def fit(x: np.ndarray, starts: np.ndarray, y: np.ndarray, ratio: np.ndarray, prior: float, sizes: Sizes) -> tuple[np.ndarray, float]:

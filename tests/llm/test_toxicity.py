@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 from conftest_llm import ODD, words
+from pyspark.sql import functions as F
 
 from ledgerline.llm import toxicity
 
@@ -67,3 +68,23 @@ def test_long_text_in_parts(monkeypatch):
     whole = toxicity.features(text, sizes)
     monkeypatch.setattr(toxicity, "PART_CHARS", 100)
     assert np.array_equal(toxicity.features(text, sizes), whole)
+
+
+def test_every_labelled_row_is_learnt_from(spark, make):
+    """A word that only rows past the size of one fit hold becomes evidence."""
+    docs, labels = corpus()
+    sizes = toxicity.Sizes(sample=200)
+    ids = spark.createDataFrame([(d,) for d, _ in docs], "doc_id long").where(~toxicity.held_out(F.col("doc_id")))
+    late = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").collect()[sizes.sample :]]
+    docs = [(d, text + " qqzzxxjj" * (d in late and labels[d][2])) for d, text in docs]
+    model = toxicity.train(make(docs), spark.createDataFrame(labels, LABELS), sizes)
+    assert model.scores(["qqzzxxjj"])[0] > 2 * model.scores(["aabbccdd"])[0]
+    held = [(text, labels[d][2]) for d, text in docs if zlib.crc32(str(d).encode()) % 4 == 2]
+    scores = model.scores([text for text, _ in held])
+    assert sum((s >= toxicity.THRESHOLD) == y for s, (_, y) in zip(scores, held, strict=True)) >= 0.98 * len(held)
+
+
+def test_rows_that_share_an_id_are_fitted_in_blocks(spark, make):
+    docs, labels = corpus(300)
+    twice = toxicity.train(make([*docs, *[(5, docs[5][1])] * 500]), spark.createDataFrame(labels, LABELS), toxicity.Sizes(sample=100))
+    assert np.isfinite(twice.weights).all() and np.isfinite(twice.bias)

@@ -1,11 +1,13 @@
 """First-fit decreasing packing of documents, with a tournament tree over the bins' free room.
 
 Every document is encoded whole and cut into full pieces and one rest. The encoded pieces are
-written once to the shared folder, so nothing is encoded again when an executor is lost and the
-dealing below cannot change between attempts. They are then dealt at random into groups of about
-``GROUP_TOKENS`` ids, and each group is packed alone: the pieces, longest first, go to the first
-bin with room, which a tournament tree over the bins finds in logarithmic time. A group is bounded
-by its ids, so no document, source or group of copies is too large for one task.
+written once to the shared folder with a number each and their checksum, so nothing is encoded again
+when an executor is lost and the dealing below cannot change between attempts. Their lengths are then
+dealt at random into groups of about ``GROUP_TOKENS`` ids, and each group is packed alone: the pieces,
+longest first, go to the first bin with room, which a tournament tree over the bins finds in
+logarithmic time. A group is bounded by its ids, so no document, source or group of copies is too
+large for one task. The ids stay where they are; only those of a piece that was cut are fetched again
+by its number, for the checksums of its parts.
 
 A sequence is padded to ``room`` ids unless its length is a power of two. First fit leaves a few
 bins of a group part-filled; ``close`` then moves pieces of the emptiest ones into the gaps of the
@@ -24,19 +26,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import grouped, map_arrow, materialise
+from ledgerline.llm.ngram_join import bitmap
 from ledgerline.llm.tokens import Encoder
 
 ROOM = 4096
-#: Ids of one group: 16 MB, some 1,000 sequences.
+#: Ids of one group: some 1,000 sequences.
 GROUP_TOKENS = 4 << 20
 #: Ids that leave a worker in one batch while encoding.
 BATCH_TOKENS = 1 << 20
 
-ENCODED = "doc_id long, start long, doc_tokens long, length long, ids binary"
+ENCODED = "piece long, doc_id long, start long, doc_tokens long, length long, ids_crc32 long, ids binary"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded long"
 
 
@@ -142,8 +146,9 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, room: int) -> DataFrame
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
-        names = ["doc_id", "start", "doc_tokens", "length", "ids"]
-        types = [pa.int64()] * 4 + [pa.binary()]
+        names = ["piece", "doc_id", "start", "doc_tokens", "length", "ids_crc32", "ids"]
+        types = [pa.int64()] * 6 + [pa.binary()]
+        piece = TaskContext.get().partitionId() << 40
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
             return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
@@ -156,7 +161,9 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, room: int) -> DataFrame
                 n, at = len(ids) // 4, 0
                 while at < n:
                     size = (n - at) % room or room
-                    rows.append((doc, at, n, size, ids[4 * at : 4 * (at + size)]))
+                    part = ids[4 * at : 4 * (at + size)]
+                    rows.append((piece, doc, at, n, size, zlib.crc32(part), part))
+                    piece += 1
                     at += size
                     waiting += size
                     if waiting >= BATCH_TOKENS:
@@ -171,8 +178,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, room: int) -> DataFrame
 def pack(pieces: DataFrame, tokens: int, room: int = ROOM, group_tokens: int = GROUP_TOKENS, with_ids: bool = False) -> DataFrame:
     """Pack a written table of ``ENCODED`` rows; ``tokens``: the sum of their lengths.
 
-    One row per piece with its sequence and place, and its ids if asked for. ``pieces`` must be
-    read from files: its rows are numbered by their place in them.
+    One row per piece with its sequence and place, and its ids if asked for.
     """
 
     def one(table: pa.Table) -> pa.Table:
@@ -180,25 +186,40 @@ def pack(pieces: DataFrame, tokens: int, room: int = ROOM, group_tokens: int = G
         order = np.lexsort((table["start"].to_numpy(), -lengths))
         bins = close(first_fit(lengths[order].tolist(), room), room)
         base = table["grp"][0].as_py() << 32
-        doc, start, whole = (table[c].to_pylist() for c in ("doc_id", "start", "doc_tokens"))
-        ids = table["ids"]
+        piece, doc, start, whole, sums = (table[c].to_pylist() for c in ("piece", "doc_id", "start", "doc_tokens", "ids_crc32"))
         rows: list[tuple] = []
         for k, parts in enumerate(bins):
             at = 0
             padded = padded_length(sum(b - a for _, a, b in parts), room)
-            for piece, a, b in parts:
-                i = int(order[piece])
-                part = ids[i].as_buffer().to_pybytes()[4 * a : 4 * b]
-                row = (doc[i], start[i] + a, b - a, zlib.crc32(part), whole[i], base + k, at, padded)
-                rows.append((*row, part) if with_ids else row)
+            for place, a, b in parts:
+                i = int(order[place])
+                crc = sums[i] if b - a == lengths[i] else None
+                rows.append((piece[i], a, doc[i], start[i] + a, b - a, crc, whole[i], base + k, at, padded))
                 at += b - a
-        types = [pa.int64()] * 8 + [pa.binary()] * with_ids
-        names = [*_NAMES, "ids"] if with_ids else _NAMES
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+        return pa.table([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["piece", "first", *_NAMES])
 
     groups = max(1, -(-tokens // group_tokens))
-    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
-    return grouped(dealt, ["grp"], one, PACKED + ", ids binary" * with_ids, groups)
+    dealt = pieces.drop("ids").withColumn("grp", F.pmod(F.xxhash64("piece"), F.lit(groups)))
+    parts = materialise(grouped(dealt, ["grp"], one, f"piece long, first long, {PACKED}", groups), "ffd-parts")
+    ids = F.substring("ids", (4 * F.col("first") + 1).cast("int"), (4 * F.col("length")).cast("int"))
+    if with_ids:
+        out = parts.drop("ids_crc32").join(pieces.select("piece", "ids"), "piece").withColumn("ids", ids)
+        return out.select(*(F.crc32("ids").alias(n) if n == "ids_crc32" else n for n in _NAMES), "ids")
+    cut = parts.where(F.col("ids_crc32").isNull())
+    found = cut.drop("ids_crc32").join(ids_of(pieces, cut), "piece").withColumn("ids_crc32", F.crc32(ids))
+    return parts.where(F.col("ids_crc32").isNotNull()).select(*_NAMES).unionAll(found.select(*_NAMES))
+
+
+def ids_of(pieces: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(piece, ids)`` of the pieces that a map of ``wanted(piece)`` names; the others stay in their tasks."""
+    named = bitmap(wanted.select(F.xxhash64("piece").alias("h")))
+
+    @F.arrow_udf("boolean")
+    def has(h: pa.Array) -> pa.Array:
+        return pa.array(named.has(h.to_numpy()))
+
+    # the numbers alone go to Python; the package is there since the pieces were encoded or packed
+    return pieces.select("piece", "ids").where(has(F.xxhash64("piece")))
 
 
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded"]

@@ -100,3 +100,16 @@ def test_small_tables(make, rows):
     docs = make(rows) if rows else make([]).limit(0)
     got = ffd.pack_documents(docs, WORD).collect()
     assert [(r.doc_id, r.length, r.padded, r.offset) for r in got] == [(1, 1, 1, 0)] * len(rows)
+
+
+def test_ids_are_not_shuffled(make):
+    """Only the ids of cut pieces leave the tasks that read them; all checksums hold."""
+    docs = make([(i, " ".join(words(i, 30 + 41 * i % 700))) for i in range(120)])
+    pieces = ffd.materialise(ffd.encode(docs, WORD, 2, ffd.ROOM), "ffd-test")
+    tokens = pieces.agg(F.sum("length")).first()[0]
+    packed = ffd.pack(pieces, tokens, group_tokens=10_000)
+    check(packed.collect(), docs, ffd.ROOM)
+    cut = packed.groupBy("doc_id").count().where("count > 1").count()
+    assert 0 < cut < 60
+    some = pieces.where("doc_id < 3")
+    assert {r.piece for r in ffd.ids_of(pieces, some).collect()} == {r.piece for r in some.collect()}

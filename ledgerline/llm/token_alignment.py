@@ -6,12 +6,13 @@ byte fallback that puts a space before a text. Both are read as byte intervals o
 group ends where a start reaches that maximum, which is where a token of A and one of B both end.
 Inside the groups every overlap of an A and a B interval is a link.
 
-1. ``count_pairs`` counts every linked id pair over all documents: words are counted first, each
-   distinct word is aligned once, and partial counts are added up by Spark.
-2. ``align`` gives each document its groups and sums the counts of its links. Frequent pairs
-   (at most ``HEAD_PAIRS`` of them, chosen by a histogram of the counts, so the bound is known
-   before anything is sent) travel to the tasks; they are what every document holds. The other
-   pairs are joined by Spark; none of them is frequent, so no key of that join is hot.
+1. ``linked`` tokenizes every text once, gives each document its groups, and stores its linked id
+   pairs with how often each occurs there. Distinct words are aligned once and kept.
+2. ``count_pairs`` adds the stored pairs up over all documents.
+3. ``align`` sums the counts of each document's stored pairs. Frequent pairs (at most ``HEAD_PAIRS``
+   of them, chosen by a histogram of the counts, so the bound is known before anything is sent)
+   travel to the tasks; they are what every document holds. The other pairs are joined by Spark;
+   none of them is frequent, so no key of that join is hot.
 
 Texts are cut at single spaces where both tokenizers cut as well: a space before a visible Latin
 character, no character whose bytes B might change, no piece of B with a space inside it. All other
@@ -28,11 +29,12 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +44,10 @@ from ledgerline.llm.token_files import slices
 
 #: Most frequent pairs that every task gets: 17 bytes each.
 HEAD_PAIRS = 1 << 20
-#: Words a worker keeps or counts at a time; some 300 bytes each.
+#: Words a worker keeps at a time; some 300 bytes each.
 CACHE_WORDS = 300_000
+#: Pairs that a task adds up at a time.
+HELD_PAIRS = 1_200_000
 #: Words aligned in one go.
 JOINT_WORDS = 4000
 
@@ -193,6 +197,35 @@ class Aligner:
 _LATIN_START = re.compile("[!-~\xa1-ɏ]")
 
 
+LINKED = (
+    "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
+    "pairs binary, times binary"
+)
+
+
+def linked(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
+    """Tokens and groups of every ``docs(doc_id, text)``, and its linked id pairs with their number.
+
+    ``pairs`` are packed as little-endian long and ``times`` as int, so Spark moves bytes only.
+    """
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.empty(0, np.int64)
+        documents = Documents(Aligner.of(a_file, b_file), none, none, none.astype(bool))
+        at = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for lo, hi in slices(batch.column("text")):
+                *sums, _, _, digests, pairs, times = documents.rows(batch.column("text").slice(lo, hi - lo).to_pylist())
+                ids = batch.column("doc_id").slice(lo, hi - lo)
+                yield pa.record_batch([pa.array(range(at, at + hi - lo), pa.int64()), ids, *sums, digests, pairs, times], names=_LINKED_NAMES)
+                at += hi - lo
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(map_arrow, over, LINKED)
+
+
+_LINKED_NAMES = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
+
+
 def _added(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sums of counts by pair."""
     kinds, kind = np.unique(np.concatenate(pairs), return_inverse=True)
@@ -201,49 +234,33 @@ def _added(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return kinds, total
 
 
-def count_pairs(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
-    """``(pair, b, n, best)`` of every linked id pair; ``best``: no pair of its B id has more."""
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs and times of a batch of ``linked`` rows, and where each row's begin and end."""
+    pairs, times = (b"".join(batch.column(c).to_pylist()) for c in ("pairs", "times"))
+    at = np.append(0, np.cumsum(pc.binary_length(batch.column("times")).to_numpy())) // 4
+    return np.frombuffer(pairs, "<i8"), np.frombuffer(times, "<i4").astype(np.int64), at
+
+
+def count_pairs(rows: DataFrame, b_file: str) -> DataFrame:
+    """``(pair, b, n, best)`` of every pair of ``linked`` rows; ``best``: no pair of its B id has more."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner.of(a_file, b_file)
-        words: Counter[str] = Counter()
         pairs: list[np.ndarray] = []
         counts: list[np.ndarray] = []
-        held = 0
-
-        def flush() -> pa.RecordBatch:
-            listed = list(words)
-            times = np.fromiter(words.values(), np.int64, len(words))
-            for lo in range(0, len(listed), JOINT_WORDS):
-                got = aligner.joint(listed[lo : lo + JOINT_WORDS])
-                kinds, total = _added([got.pairs], [np.repeat(times[lo : lo + JOINT_WORDS], np.diff(got.links))])
-                pairs.append(kinds)
-                counts.append(total)
-            return pa.record_batch([pa.array(c) for c in _added(pairs, counts)], names=["pair", "n"])
-
         for batch in batches:
-            for text in batch.column("text"):
-                text = text.as_py()
-                if not text:
-                    continue
-                parts = aligner.words(text)
-                if parts is not None:
-                    words.update(parts)
-                elif (got := aligner.whole(text)) is not None:
-                    kinds, total = _added([got.pairs], [np.ones(len(got.pairs), np.int64)])
-                    pairs.append(kinds)
-                    counts.append(total)
-                    held += len(kinds)
-                if len(words) >= CACHE_WORDS or held >= 4 * CACHE_WORDS:
-                    yield flush()
-                    words.clear()
-                    pairs.clear()
-                    counts.clear()
-                    held = 0
-        if words or pairs:
-            yield flush()
-
-    partial = map_arrow(docs.select("text"), over, "pair long, n long")
+            found, times, _ = _unpacked(batch)
+            pairs.append(found)
+            counts.append(times)
+            if sum(map(len, pairs)) >= HELD_PAIRS:
+                kinds, total = _added(pairs, counts)
+                pairs, counts = [kinds], [total]
+                if 2 * len(kinds) >= HELD_PAIRS:
+                    yield pa.record_batch([pa.array(kinds), pa.array(total)], names=["pair", "n"])
+                    pairs, counts = [], []
+        if pairs:
+            yield pa.record_batch([pa.array(c) for c in _added(pairs, counts)], names=["pair", "n"])
+
+    partial = map_arrow(rows.select("pairs", "times"), over, "pair long, n long")
     pieces = _pieces(b_file)
     sums = materialise(partial.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("b", F.pmod("pair", F.lit(pieces))), "token-pairs")
     # one row per B id, so at most as many as the vocabulary has
@@ -269,29 +286,27 @@ def frequent(counts: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     return counts.where(level >= limit), counts.where(level < limit)
 
 
-DOCUMENTS = (
-    "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, "
+SUMMED = (
+    "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long, "
     "rare array<struct<pair: long, times: long>>"
 )
 
 
-def align(docs: DataFrame, counts: DataFrame, a_file: str, b_file: str, head_pairs: int = HEAD_PAIRS) -> DataFrame:
-    """Tokens, groups and links of every ``docs(doc_id, text)`` with the sums of ``counts``."""
+def align(documents: DataFrame, counts: DataFrame, head_pairs: int = HEAD_PAIRS) -> DataFrame:
+    """``linked`` rows with the sums of ``counts`` over their links."""
     head, rest = frequent(counts, head_pairs)
     table = head.orderBy("pair").select("pair", "n", "best").toArrow()
-    sent = docs.sparkSession.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("pair", "n", "best")))
+    sent = documents.sparkSession.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("pair", "n", "best")))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        documents = Documents(Aligner.of(a_file, b_file), *sent.value)
-        at = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for lo, hi in slices(batch.column("text")):
-                rows = documents.rows(batch.column("text").slice(lo, hi - lo).to_pylist())
-                ids = batch.column("doc_id").slice(lo, hi - lo)
-                yield pa.record_batch([pa.array(range(at, at + hi - lo), pa.int64()), ids, *rows], names=_DOCUMENT_NAMES)
-                at += hi - lo
+            pair, times, at = _unpacked(batch)
+            hit, best, n = _counted(pair, *sent.value)
+            sums = [pa.array(_runs(v * times, at)) for v in (best, n)]
+            rare = _lists(np.append(0, np.cumsum(~hit))[at], pair[~hit], times[~hit])
+            yield pa.record_batch([*batch.columns[:-2], *sums, rare], names=[*_LINKED_NAMES[:-2], "n_best", "count_sum", "rare"])
 
-    rows = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(map_arrow, over, DOCUMENTS), "token-groups")
+    rows = materialise(documents.select(*_LINKED_NAMES).transform(map_arrow, over, SUMMED), "token-sums")
     links = rows.select("row", F.explode("rare").alias("link")).select("row", "link.pair", "link.times")
     sums = (
         links.join(rest.select("pair", "n", "best"), "pair")
@@ -307,12 +322,32 @@ def align(docs: DataFrame, counts: DataFrame, a_file: str, b_file: str, head_pai
     )
 
 
-_DOCUMENT_NAMES = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rare"]
-_RARE = pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())]))
+def _runs(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` between the places of ``at``."""
+    return np.diff(np.append(0, np.cumsum(values))[at])
+
+
+def _counted(found: np.ndarray, pairs: np.ndarray, n: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each pair found is in the sorted ``pairs``, whether it is a best one, and its count."""
+    if not len(pairs):
+        hit = np.zeros(len(found), bool)
+        return hit, hit, np.zeros(len(found), np.int64)
+    at = np.minimum(np.searchsorted(pairs, found), len(pairs) - 1)
+    hit = pairs[at] == found
+    return hit, hit & best[at], np.where(hit, n[at], 0)
+
+
+def _lists(at: np.ndarray, pair: np.ndarray, times: np.ndarray) -> pa.ListArray:
+    """Lists of ``(pair, times)`` between the places of ``at``."""
+    links = pa.StructArray.from_arrays([pa.array(pair, pa.int64()), pa.array(times, pa.int64())], ["pair", "times"])
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), links)
 
 
 class Documents:
-    """Rows of documents; keeps what words add to them."""
+    """Rows of documents, with the sums of the given pairs' counts, and all other pairs packed.
+
+    Keeps what words add to them.
+    """
 
     def __init__(self, aligner: Aligner, pairs: np.ndarray, n: np.ndarray, best: np.ndarray) -> None:
         self.aligner, self.pairs, self.n, self.best = aligner, pairs, n, best
@@ -322,65 +357,58 @@ class Documents:
         self.index: dict[str, int] = {}
         self.sums = np.empty((0, 6), np.int64)
         self.texts: list[str] = []
-        self.rare: dict[int, np.ndarray] = {}
+        self.others = np.empty(0, np.int64)  # pairs without a given count, word after word
+        self.ends = np.zeros(1, np.int64)  # where each word's pairs end, from 0
 
-    def _sums(self, got: Aligned) -> tuple[np.ndarray, list[str], dict[int, np.ndarray]]:
-        """Per part: n_a, n_b, groups, links, best links, counts; groups written out; other pairs."""
+    def _sums(self, got: Aligned) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+        """Per part: n_a, n_b, groups, links, best links, counts; groups written out; other pairs and their ends."""
         groups, texts = got.groups()
-        if len(self.pairs):
-            at = np.minimum(np.searchsorted(self.pairs, got.pairs), len(self.pairs) - 1)
-            hit = self.pairs[at] == got.pairs
-            best, n = hit & self.best[at], np.where(hit, self.n[at], 0)
-        else:
-            hit = best = np.zeros(len(got.pairs), bool)
-            n = np.zeros(len(got.pairs), np.int64)
-        run = lambda values: np.diff(np.append(0, np.cumsum(values))[got.links])
-        sums = np.stack((got.n_a, got.n_b, groups, np.diff(got.links), run(best), run(n)), axis=1)
-        missed = np.flatnonzero(~hit)
-        part = np.searchsorted(got.links, missed, "right") - 1
-        heads = np.flatnonzero(np.diff(part, prepend=-1))
-        rare = dict(zip(part[heads].tolist(), np.split(got.pairs[missed], heads[1:]), strict=True)) if len(heads) else {}
-        return sums, texts, rare
+        hit, best, n = _counted(got.pairs, self.pairs, self.n, self.best)
+        sums = np.stack((got.n_a, got.n_b, groups, np.diff(got.links), _runs(best, got.links), _runs(n, got.links)), axis=1)
+        return sums, texts, got.pairs[~hit], np.cumsum(_runs(~hit, got.links))
 
     def _learn(self, words: list[str]) -> None:
-        sums = [self.sums]
+        sums, others, ends = [self.sums], [self.others], [self.ends]
         for lo in range(0, len(words), JOINT_WORDS):
             some = words[lo : lo + JOINT_WORDS]
-            new, texts, rare = self._sums(self.aligner.joint(some))
+            new, texts, pairs, to = self._sums(self.aligner.joint(some))
             base = len(self.texts)
             self.index.update(zip(some, range(base, base + len(some)), strict=True))
             self.texts += texts
-            self.rare.update((base + k, v) for k, v in rare.items())
             sums.append(new)
-        self.sums = np.concatenate(sums)
+            others.append(pairs)
+            ends.append(to + ends[-1][-1])
+        self.sums, self.others, self.ends = np.concatenate(sums), np.concatenate(others), np.concatenate(ends)
 
     def rows(self, texts: list[str | None]) -> list[pa.Array]:
         parts = [self.aligner.words(t) if t else None for t in texts]
         if len(self.index) > CACHE_WORDS:
             self._forget()
-        missing = [w for w in dict.fromkeys(w for p in parts if p for w in p) if w not in self.index]
-        self._learn(missing)
+        missing = [w for w in dict.fromkeys(chain.from_iterable(p for p in parts if p)) if w not in self.index]
+        if missing:
+            self._learn(missing)
         sums = np.zeros((len(texts), 6), np.int64)
-        digests, others = [""] * len(texts), [[]] * len(texts)
+        digests, links = [""] * len(texts), [np.empty(0, np.int64)] * len(texts)
         for k, (text, words) in enumerate(zip(texts, parts, strict=True)):
             if words:
                 at = list(map(self.index.__getitem__, words))
-                sums[k] = self.sums[at].sum(axis=0)
                 written = ";".join([self.texts[i] for i in at])
-                rare = [self.rare[i] for i in at if i in self.rare] if self.rare else []
+                at = np.array(at)
+                sums[k] = self.sums[at].sum(axis=0)
+                sizes = self.ends[at + 1] - self.ends[at]
+                links[k] = self.others[np.arange(sizes.sum()) + np.repeat(self.ends[at + 1] - np.cumsum(sizes), sizes)]
             elif text and (got := self.aligner.whole(text)) is not None:
-                one, (written,), missed = self._sums(got)
+                one, (written,), links[k], _ = self._sums(got)
                 sums[k] = one[0]
-                rare = list(missed.values())
             else:
                 continue
             digests[k] = hashlib.sha256(written.encode()).hexdigest()
-            if rare:
-                kinds, times = np.unique(np.concatenate(rare), return_counts=True)
-                others[k] = [{"pair": p, "times": t} for p, t in zip(kinds.tolist(), times.tolist(), strict=True)]
-        return [*(pa.array(c) for c in sums.T.copy()), pa.array(digests), pa.array(others, _RARE)]
+        kinds = [np.unique(x, return_counts=True) for x in links]
+        packed = [pa.array([x[i].astype(kind).tobytes() for x in kinds], pa.binary()) for i, kind in enumerate(("<i8", "<i4"))]
+        return [*(pa.array(c) for c in sums.T.copy()), pa.array(digests), *packed]
 
 
 def align_documents(docs: DataFrame, a_file: str, b_file: str, head_pairs: int = HEAD_PAIRS) -> DataFrame:
-    """Count the pairs of all documents, then align each with those counts."""
-    return align(docs, materialise(count_pairs(docs, a_file, b_file), "token-counts"), a_file, b_file, head_pairs)
+    """Link the tokens of all documents, count the pairs, then sum each document's counts."""
+    rows = materialise(linked(docs, a_file, b_file), "token-links")
+    return align(rows, materialise(count_pairs(rows, b_file), "token-counts"), head_pairs)

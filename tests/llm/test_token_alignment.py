@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -132,6 +133,21 @@ def test_small_caches_give_the_same_rows(make, monkeypatch):
     assert [(g[0][0].as_py(), g[2][0].as_py(), g[3][0].as_py(), g[6][0].as_py()) for g in got] == [(w[1], w[3], w[4], w[7]) for w in want]
 
 
+def test_links_are_stored_with_one_tokenizing(make):
+    """Counts and sums need no tokenizer: every document's pairs are stored, with how often each occurs."""
+    rows = [(1, None), (2, ""), (3, "a b a b"), (4, "\u4e2d\u6587 x"), (5, "a a"), *random_rows(3, 40)]
+    plain, got = Plain(), ta.linked(make(rows), A_FILE, B_FILE).localCheckpoint()
+    pieces = plain.b.get_piece_size()
+    want = {d: Counter(i * pieces + j for i, j in plain.row(t)[3]) for d, t in rows}
+    stored = {r["doc_id"]: (np.frombuffer(r["pairs"], "<i8"), np.frombuffer(r["times"], "<i4")) for r in got.collect()}
+    assert {d: Counter(dict(zip(*map(np.ndarray.tolist, x), strict=True))) for d, x in stored.items()} == want
+    counts = {r["pair"]: r["n"] for r in ta.count_pairs(got, B_FILE).collect()}
+    assert counts == sum(want.values(), Counter())
+    for head in (ta.HEAD_PAIRS, 3, 0):
+        sums = {r["doc_id"]: r["count_sum"] for r in ta.align(got, ta.count_pairs(got, B_FILE), head).collect()}
+        assert sums == {d: sum(counts[p] * n for p, n in c.items()) for d, c in want.items()}
+
+
 def test_empty_table(make):
     assert ta.align_documents(make([]).limit(0), A_FILE, B_FILE).collect() == []
     assert [tuple(r) for r in ta.align_documents(make([(1, None), (2, "")]), A_FILE, B_FILE).orderBy("doc_id").collect()] == [

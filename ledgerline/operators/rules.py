@@ -336,8 +336,8 @@ def evaluate(df: DataFrame, contract: Contract, keep: Sequence[str] = (), partit
     no_null = F.array(F.lit(None).cast("string"))
     errors = F.array_except(F.array(*dead_codes), no_null) if dead_codes else F.array().cast("array<string>")
     fatal = F.array_except(F.array(*fatal_codes), no_null) if fatal_codes else F.array().cast("array<string>")
-    codes = dead_codes + fatal_codes
-    valid = F.coalesce(*codes).isNull() if codes else F.lit(True)
+    # from the arrays, not the codes again: the generated method would grow too long to be compiled
+    valid = (F.size(errors) == 0) & (F.size(fatal) == 0)
     return df.select("*", *values, errors.alias("errors"), fatal.alias("fatal"), valid.alias("is_valid_row"))
 
 

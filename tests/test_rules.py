@@ -2,6 +2,7 @@
 values arrive), plus typed-input cases and the account / category contracts."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -197,3 +198,25 @@ def test_iso_times_as_the_reference_parses_them(spark):
             assert instant.select(parse_iso(F.col("t"), instant.schema["t"].dataType)).first()[0] == dt.datetime(2024, 11, 3, 6, 30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_checked_rows_run_compiled(spark):
+    """The JVM never compiles a method above 8,000 bytes: every row would then be interpreted."""
+    from ledgerline.sources.fixtures import transactions_raw
+
+    k = F.col("id")
+    txn = spark.range(200).select(
+        (k + 1).alias("transaction_id"), F.concat(F.lit("00000000-0000-0000-0000-"), F.lpad(k.cast("string"), 12, "0")).alias("account_id"),
+        (k % 10 + 1).cast("int").alias("category_id"), (k / 7).cast("decimal(18,2)").alias("amount"), F.lit("USD").alias("currency"),
+        F.lit("debit").alias("transaction_type"), F.lit("pending").alias("status"), k.cast("string").alias("description"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("created_at"), F.lit("2024-01-01").cast("timestamp_ntz").alias("updated_at"),
+    )
+    raw = transactions_raw(txn).localCheckpoint()
+    ev = R.evaluate(raw, R.TRANSACTION_CONTRACT)
+    code = ev.select([c for c in ev.columns if c not in raw.columns])._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) <= 8000
+    rows = ev.select("is_valid_row", "errors", "fatal").collect()
+    assert {r["is_valid_row"] for r in rows} == {True, False}
+    assert all(r["is_valid_row"] == (not r["errors"] and not r["fatal"]) for r in rows)

@@ -191,3 +191,74 @@ def test_centres_in_a_stretch_by_all_stretches():
             for b in range(a + passages.T, len(common) + 1):
                 want[a:b] |= 5 * common[a:b].sum() >= 4 * (b - a)
         assert (passages._reached(common, np.arange(len(common))) == want).all()
+
+
+def test_longest_stretch_of_a_long_chain():
+    # 600 runs of ten and one other, a loop, many others and a last run: up to the last run too few are common as sets
+    ids = iter(range(1, 1 << 20))
+    a, b = [], []
+    for _ in range(600):
+        run = [next(ids) for _ in range(10)]
+        a += [*run, next(ids)]
+        b += [*run, next(ids)]
+    loop, last = [next(ids), next(ids)] * 2000, [next(ids) for _ in range(10)]
+    whole = len(a) + len(loop)
+    a, b = (np.array(x + loop + [next(ids) for _ in range(600)] + last, np.int32) for x in (a, b))
+    assert passages.common_passage(a, b) == (0, whole, 0, whole)
+
+
+def test_all_ends_of_a_chain_against_one_by_one(monkeypatch):
+    rng = np.random.default_rng(7)
+    found = 0
+    for case in range(150):
+        # few values, so that shingles repeat; b is a with changes, a loop or another order
+        a = rng.integers(0, int(rng.integers(20, 400)), int(rng.integers(60, 200))).astype(np.int32)
+        b = np.concatenate((a[:40], a[int(rng.integers(30, 50)) :]))
+        b[rng.random(len(b)) < rng.uniform(0, 0.2)] = 500 + case
+        if case % 3 == 0:
+            a, b = np.tile(a[:50], 3), np.tile(b[:50], 3)
+        a, b = passages._small(a, b)
+        pair = passages.Pair(a, b, (np.isin(a, b), np.isin(b, a)), (passages._before(a), passages._before(b)))
+        both = [(i, j) for i in range(0, len(a), 7) for j in np.flatnonzero(b == a[i]).tolist()]
+        for i, j in both[:12]:
+            runs, want = pair.runs(i, j).tolist(), (0, None)
+            for k, (lo, p, _) in enumerate(runs):
+                for hi, q, n in runs[k:]:
+                    hi, q, common = hi + n, q + n, sum(r[2] for r in runs if lo <= r[0] < hi + n)
+                    if hi - lo + q - p > want[0] and passages.OTHERS_OF_BOTH * (hi - lo + q - p - 2 * common) <= common and passages._near(a[lo:hi], b[p:q]):
+                        want = hi - lo + q - p, (lo, hi, p, q)
+            monkeypatch.setattr(passages, "RUNS", [1, 4, 512][case % 3])
+            pair.tried.clear()
+            pair.unlike.clear()
+            assert passages._in_order(pair, i, j) == want[1]
+            if want[1]:
+                assert pair.may_hold() and pair.may_follow
+                found += 1
+            # the same runs without the short way for the same order of both sides
+            steps = passages.Pair(a, b, pair.flags, pair.before)
+            steps.aligned = False
+            assert steps.runs(i, j).tolist() == runs
+    assert found > 100
+
+
+def test_bound_of_distinct_others():
+    rng = np.random.default_rng(8)
+    for _ in range(100):
+        x = rng.integers(0, 60, int(rng.integers(passages.T, 150)))
+        common = np.isin(x, rng.integers(0, 60, 40))
+        want = min(len({*x[k : k + passages.T][~common[k : k + passages.T]].tolist()}) for k in range(len(x) - passages.T + 1))
+        assert passages._least_others(common, passages._before(x)) == want
+        shares = [(n - c) / c if (c := int(common[k : k + n].sum())) else np.inf for n in range(passages.T, len(x) + 1) for k in range(len(x) - n + 1)]
+        assert passages._least_share(common) == min(shares)
+
+
+def test_unlike_loops_are_given_up(monkeypatch):
+    # five in 31 of each loop are its own: no chain can hold a passage, though each side alone has few others
+    rng = np.random.default_rng(9)
+    shared = rng.permutation(1 << 20)[:26].astype(np.int32)
+    x, y = (np.tile(np.concatenate((shared, (1 << 21) + 100 * k + np.arange(5, dtype=np.int32))), 30) for k in (0, 1))
+    chains = [0]
+    monkeypatch.setattr(passages, "_in_order", lambda *a, f=passages._in_order: chains.__setitem__(0, chains[0] + 1) or f(*a))
+    at = np.arange(0, len(x), 31)
+    matches = np.array([(0, i, len(x) - 1, 0, j, len(y) - 1) for i in at for j in at])
+    assert list(passages.passages_of(x, y, matches)) == [] and chains[0] <= 1

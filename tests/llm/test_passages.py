@@ -262,3 +262,34 @@ def test_unlike_loops_are_given_up(monkeypatch):
     at = np.arange(0, len(x), 31)
     matches = np.array([(0, i, len(x) - 1, 0, j, len(y) - 1) for i in at for j in at])
     assert list(passages.passages_of(x, y, matches)) == [] and chains[0] <= 1
+
+
+def test_rows_of_a_key_grow_with_its_windows():
+    # 40 near copies, all open: pairs are merged to one range of each document, with the least of its others
+    rng = np.random.default_rng(10)
+    a = rng.integers(1, 1 << 23, 120)
+    texts = [np.concatenate((a, rng.integers(1, 1 << 23, 5))) for _ in range(40)]
+    seqs = [np.stack([x & 255, x >> 8 & 255, x >> 16], 1).astype(np.uint8).tobytes() for x in texts]
+    ints = lambda n: pa.array([n] * 40, pa.int32())
+    table = pa.table({"doc": list(range(1, 41)), "left": ints(3), "centre": ints(50), "open": [True] * 40, "seq": seqs})
+    got = passages._meet(table)
+    assert sorted(zip(*(got[c].to_pylist() for c in ("doc", "other", "start", "stop")), strict=True)) == [(d, 1 + (d == 1), 3, 127) for d in range(1, 41)]
+
+
+def test_merged_ranges_and_least_others():
+    rng = np.random.default_rng(11)
+    for _ in range(50):
+        start = rng.integers(0, 60, 30)
+        found = np.stack((rng.integers(0, 3, 30), rng.integers(5, 9, 30), start, start + rng.integers(1, 9, 30)), axis=1)
+        got = {d: [] for d in set(found[:, 0].tolist())}
+        for d, o, a, b in zip(*(passages._merged(found)[c].to_pylist() for c in ("doc", "other", "start", "stop")), strict=True):
+            assert o == found[found[:, 0] == d, 1].min()
+            got[d].append((a, b))
+        for d, spans in got.items():
+            want = []
+            for a, b in sorted(found[found[:, 0] == d, 2:].tolist()):
+                if want and a <= want[-1][1]:
+                    want[-1] = (want[-1][0], max(want[-1][1], b))
+                else:
+                    want.append((a, b))
+            assert spans == want
